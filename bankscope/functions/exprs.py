@@ -211,31 +211,26 @@ def scaled_int(c: str | Column, scale: int) -> Column:
 def round_ratio(num_int: Column, den_int: Column, dp: int) -> Column:
     """Half-even rounding of ``num_int / den_int`` to ``dp`` decimals, exact.
 
-    Both arguments are integer-valued (DECIMAL(38,0)); the quotient is
-    scaled by 10^dp, split into floor and remainder with integer arithmetic
-    and rounded half-to-even, so ties (e.g. 0.025 -> 0.02) are decided on
-    the true value.  A zero denominator gives null.
+    Both arguments are integer-valued.  The quotient is a DECIMAL with 18
+    decimals: a terminating tie (e.g. 0.025) is represented exactly and
+    rounds half-to-even on the true value, and a non-tie quotient differs
+    from a tie by at least 1 / (2 den), far above the 1e-18 resolution
+    (exact for |num| < 1e20, den < 1e13).  A zero denominator gives null.
     """
-    n = (num_int.cast(_D0) * F.lit(10 ** dp).cast(DecimalType(dp + 1, 0))).cast(_D0)
-    d = den_int.cast(_D0)
-    a, b = F.abs(n), F.abs(d)
-    rem = F.pmod(a, b)
-    base = ((a - rem) / b).cast(_D0)
-    two_rem = rem * F.lit(2).cast(DecimalType(1, 0))
-    r = (F.when(two_rem > b, base + F.lit(1))
-         .when(two_rem == b, base + F.pmod(base, F.lit(2).cast(_D0)))
-         .otherwise(base))
-    sgn = F.when((n < 0) != (d < 0), F.lit(-1.0)).otherwise(F.lit(1.0))
-    return F.when(b == 0, F.lit(None).cast("double")).otherwise(
-        sgn * r.cast("double") / F.lit(float(10 ** dp)))
+    q = F.try_divide(num_int.cast(DecimalType(20, 0)), den_int.cast(DecimalType(17, 0)))
+    return F.bround(q, dp).cast("double")
 
 
 def round_avg(sum_exact: Column, count: Column, scale: int, dp: int) -> Column:
-    """Exact half-even ``round(sum / count, dp)`` for a DECIMAL sum of ``scale``."""
-    return round_ratio(scaled_int(sum_exact, scale), count.cast(_D0) * F.lit(10 ** scale).cast(_D0), dp)
+    """Exact half-even ``round(sum / count, dp)`` for a DECIMAL sum of ``scale``
+    (quotient carried with >= 16 decimals; exact for counts < 1e13)."""
+    q = F.try_divide(sum_exact.cast(DecimalType(24, scale)), count.cast(DecimalType(14, 0)))
+    return F.bround(q, dp).cast("double")
 
 
 def round_pct(part_exact: Column, whole_exact: Column, scale: int, dp: int) -> Column:
-    """Exact half-even ``round(part / whole * 100, dp)``."""
-    return round_ratio(scaled_int(part_exact, scale) * F.lit(100).cast(DecimalType(3, 0)),
-                       scaled_int(whole_exact, scale), dp)
+    """Exact half-even ``round(part / whole * 100, dp)`` (18-decimal quotient;
+    exact for |whole| < 1e13 units of the last decimal)."""
+    num = (part_exact.cast(DecimalType(17, scale)) * F.lit(100).cast(DecimalType(3, 0))).cast(DecimalType(20, scale))
+    q = F.try_divide(num, whole_exact.cast(DecimalType(16, scale)))
+    return F.bround(q, dp).cast("double")

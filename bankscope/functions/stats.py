@@ -26,6 +26,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from . import exprs as X
 
@@ -78,23 +79,32 @@ def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataF
 
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
-              bounded: bool = False) -> DataFrame:
+              bounded: bool = False, scale: int | None = None) -> DataFrame:
     """One row per group with one column per named probability.
 
     Linear interpolation between order statistics (numpy default, pandas
-    ``quantile``, DuckDB ``quantile_cont``).  Nulls are ignored.
+    ``quantile``, DuckDB ``quantile_cont``).  Nulls are ignored.  With
+    ``scale`` (values on a fixed decimal grid, e.g. 2-dp money) the rank and
+    the interpolation are exact DECIMALs, so a median halfway between two
+    cents is exactly x.xx5 and later half-even rounding is decided on the
+    true value; the result is then DECIMAL.
     """
     by = list(by)
     names = list(probs)
-    if bounded:
+    if bounded and scale is None:
         arr = F.percentile(F.col(value), F.array(*[F.lit(float(probs[n])) for n in names]))
         agg = (df.groupBy(*by) if by else df.groupBy()).agg(arr.alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
+    def rank(n: Column, p: float) -> Column:
+        if scale is None:
+            return (n - 1).cast("double") * F.lit(float(p))
+        return (n - 1).cast(DecimalType(20, 0)) * X.dlit(format(p, ".8f"), 10, 8)
+
     def targets(n: Column):
         out = []
         for nm in names:
-            rn = (n - 1).cast("double") * F.lit(float(probs[nm]))
+            rn = rank(n, probs[nm])
             out.append((nm + "\u0001lo", F.floor(rn)))
             out.append((nm + "\u0001hi", F.ceil(rn)))
         return out
@@ -104,11 +114,14 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
     for nm in names:
         lo = F.max(F.when(F.col("_name") == nm + "\u0001lo", F.col("_v")))
         hi = F.max(F.when(F.col("_name") == nm + "\u0001hi", F.col("_v")))
-        rn = F.max(F.when(F.col("_name") == nm + "\u0001lo", (F.col("_n") - 1).cast("double")
-                          * F.lit(float(probs[nm]))))
+        rn = F.max(F.when(F.col("_name") == nm + "\u0001lo", rank(F.col("_n"), probs[nm])))
         frac = rn - F.floor(rn)
-        lo_d, hi_d = lo.cast("double"), hi.cast("double")
-        aggs.append(F.when(frac == 0, lo_d).otherwise(lo_d + (hi_d - lo_d) * frac).alias(nm))
+        if scale is None:
+            lo_d, hi_d = lo.cast("double"), hi.cast("double")
+            aggs.append(F.when(frac == 0, lo_d).otherwise(lo_d + (hi_d - lo_d) * frac).alias(nm))
+        else:
+            lo_d, hi_d = lo.cast(DecimalType(18, scale)), hi.cast(DecimalType(18, scale))
+            aggs.append((lo_d + (hi_d - lo_d) * frac).alias(nm))
     return (hit.groupBy(*by) if by else hit.groupBy()).agg(*aggs)
 
 
@@ -145,15 +158,16 @@ def top_k_sum(df: DataFrame, value: str, fraction: float, scale: int = 2) -> Dat
 
 
 def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), bounded: bool = False,
-                 prefix: str = "") -> DataFrame:
+                 prefix: str = "", scale: int | None = None) -> DataFrame:
     """min, q1, median, q3, max per group (box-plot statistics)."""
     by = list(by)
-    q = quantiles(df, value, {f"{prefix}q1": 0.25, f"{prefix}median": 0.5, f"{prefix}q3": 0.75}, by, bounded)
+    q = quantiles(df, value, {f"{prefix}q1": 0.25, f"{prefix}median": 0.5, f"{prefix}q3": 0.75}, by,
+                  bounded, scale)
     mm = (df.groupBy(*by) if by else df.groupBy()).agg(
         F.min(value).cast("double").alias(f"{prefix}min"), F.max(value).cast("double").alias(f"{prefix}max"),
         F.count(value).alias(f"{prefix}n"))
     if not by:
-        return mm.crossJoin(q)
+        return mm.crossJoin(q)  # 1 row x 1 row
     return mm.join(q, [*by], "left")
 
 

@@ -16,8 +16,14 @@ from ..functions import exprs as X
 from ..functions import stats as S
 
 P8 = DecimalType(12, 8)
-HIGH = F.col("risk_level") == "High"
-CRIT = (F.col("risk_level") == "High") & (F.col("financial_value") == "High")
+def _high() -> Column:
+    return F.col("risk_level") == "High"
+
+
+def _crit() -> Column:
+    return (F.col("risk_level") == "High") & (F.col("financial_value") == "High")
+
+
 
 
 def _loss() -> Column:
@@ -28,11 +34,11 @@ def portfolio_metrics(rec: DataFrame) -> DataFrame:
     """A13 + C10: one row of portfolio totals."""
     g = rec.agg(
         F.count(F.lit(1)).alias("n_customers"),
-        X.count_if(HIGH).alias("_hr"),
-        F.sum(F.when(HIGH, X.dec("predicted_revenue_annual", 2))).alias("_rar"),
+        X.count_if(_high()).alias("_hr"),
+        F.sum(F.when(_high(), X.dec("predicted_revenue_annual", 2))).alias("_rar"),
         F.sum(_loss()).alias("_loss"),
-        F.sum(F.when(HIGH, X.dec("clv", 2))).alias("_clvr"),
-        X.count_if(CRIT).alias("high_value_at_risk"),
+        F.sum(F.when(_high(), X.dec("clv", 2))).alias("_clvr"),
+        X.count_if(_crit()).alias("high_value_at_risk"),
         X.exact_sum("predicted_revenue_annual", 2).alias("_rev"),
         X.exact_sum("clv", 2).alias("_clv"),
     )
@@ -58,8 +64,8 @@ def segment_breakdown(rec: DataFrame) -> DataFrame:
     g = rec.where(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.count("customer_id").alias("n_customers"),
         X.exact_sum("churn_probability", 4).alias("_p"), F.count("churn_probability").alias("_np"),
-        X.count_if(HIGH).alias("high_risk_count"),
-        F.sum(F.when(HIGH, X.dec("predicted_revenue_annual", 2))).alias("_rar"),
+        X.count_if(_high()).alias("high_risk_count"),
+        F.sum(F.when(_high(), X.dec("predicted_revenue_annual", 2))).alias("_rar"),
         X.exact_sum("clv", 2).alias("_clv"), F.count("clv").alias("_nclv"),
         X.exact_sum("predicted_revenue_annual", 2).alias("_rev"),
     )
@@ -110,7 +116,7 @@ def kpi_revenue_at_risk(enr: DataFrame) -> DataFrame:
 def kpi_churn_rate(enr: DataFrame) -> DataFrame:
     """High share in % (total 2 dp, segments 1 dp), expected churners
     round(mean p * n) = round(sum p), mean probability (4 dp)."""
-    g = _levels(enr, ["segment"], [F.count(F.lit(1)).alias("n_customers"), X.count_if(HIGH).alias("_hr"),
+    g = _levels(enr, ["segment"], [F.count(F.lit(1)).alias("n_customers"), X.count_if(_high()).alias("_hr"),
                                     X.exact_sum("churn_probability", 4).alias("_p"),
                                     F.count("churn_probability").alias("_np")])
     tot = F.col("dimension") == "total"
@@ -127,18 +133,18 @@ def kpi_clv(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Total / mean / median / p90 / at-risk CLV, by segment mean /
     total / median; discount factor (4 dp)."""
     g = _levels(enr, ["segment"], [X.exact_sum("clv", 2).alias("_clv"), F.count("clv").alias("_n"),
-                                    F.sum(F.when(HIGH, X.dec("clv", 2))).alias("_risk")])
-    q_tot = S.quantiles(enr, "clv", {"median": 0.5, "p90": 0.9}).withColumn("key", F.lit("ALL"))
-    q_seg = S.quantiles(enr.where(F.col("segment").isNotNull()), "clv", {"median": 0.5, "p90": 0.9}, ["segment"]) \
-        .withColumnRenamed("segment", "key")
+                                    F.sum(F.when(_high(), X.dec("clv", 2))).alias("_risk")])
+    q_tot = S.quantiles(enr, "clv", {"median": 0.5, "p90": 0.9}, scale=2).withColumn("key", F.lit("ALL"))
+    q_seg = S.quantiles(enr.where(F.col("segment").isNotNull()), "clv", {"median": 0.5, "p90": 0.9}, ["segment"],
+                        scale=2).withColumnRenamed("segment", "key")
     q = q_tot.unionByName(q_seg)
     tot = F.col("dimension") == "total"
     return g.join(q, "key", "left").select(
         "dimension", "key",
         X.dround(F.col("_clv"), 2).alias("total_clv"),
         X.round_avg(F.col("_clv"), F.col("_n"), 2, 2).alias("avg_clv"),
-        F.bround("median", 2).alias("median_clv"),
-        F.when(tot, F.bround("p90", 2)).alias("p90_clv"),
+        X.dround(F.col("median"), 2).alias("median_clv"),
+        F.when(tot, X.dround(F.col("p90"), 2)).alias("p90_clv"),
         F.when(tot, X.dround(F.coalesce(F.col("_risk"), F.lit(0).cast(DecimalType(18, 2))), 2)).alias("clv_at_risk"),
         F.when(tot, F.lit(round(params.discount_factor, 4))).alias("discount_factor"),
     )
@@ -146,7 +152,7 @@ def kpi_clv(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
 
 def kpi_high_value_at_risk(enr: DataFrame) -> DataFrame:
     """The High-risk x High-value cohort; segments only where present."""
-    crit = enr.where(CRIT)
+    crit = enr.where(_crit())
     g = _levels(crit, ["segment"], [F.count("customer_id").alias("count"),
                                      X.exact_sum("predicted_revenue_annual", 2).alias("_rev"),
                                      X.exact_sum("clv", 2).alias("_clv"),
@@ -216,8 +222,8 @@ def kpi_engagement(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame
     return g.select(
         "dimension", "key",
         X.round_avg(F.col("_e"), F.col("_ne"), 4, 4).alias("avg_engagement"),
-        F.when(tot, F.col("_low")).alias("low_engagement_count"),
-        F.when(tot, X.round_ratio(F.col("_low") * F.lit(100), F.col("_n"), 2)).alias("low_engagement_pct"),
+        F.col("_low").alias("low_engagement_count"),
+        X.round_ratio(F.col("_low") * F.lit(100), F.col("_n"), 2).alias("low_engagement_pct"),
         F.when(tot, F.bround(corr_from_parts(), 4)).alias("corr_with_churn_prob"),
     )
 
@@ -282,8 +288,8 @@ def kpi_summary(enr: DataFrame) -> DataFrame:
     """A32 summary block: seven portfolio numbers (one row)."""
     g = enr.agg(
         X.exact_sum("predicted_revenue_annual", 2).alias("_rev"), X.exact_sum("revenue_at_risk", 2).alias("_rar"),
-        F.count(F.lit(1)).alias("_n"), X.count_if(HIGH).alias("_hr"), X.exact_sum("clv", 2).alias("_clv"),
-        X.exact_sum("net_profit_per_client", 2).alias("_np"), X.count_if(CRIT).alias("critical_customers"))
+        F.count(F.lit(1)).alias("_n"), X.count_if(_high()).alias("_hr"), X.exact_sum("clv", 2).alias("_clv"),
+        X.exact_sum("net_profit_per_client", 2).alias("_np"), X.count_if(_crit()).alias("critical_customers"))
     return g.select(
         X.dround(F.col("_rev"), 2).alias("total_revenue"),
         X.dround(F.col("_rar"), 2).alias("total_revenue_at_risk"),

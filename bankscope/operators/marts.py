@@ -115,6 +115,11 @@ def financial_aggregates(enriched: DataFrame) -> DataFrame:
         X.exact_sum("priority_score", 4).alias("_pri"), F.count("priority_score").alias("_npri"),
         X.exact_sum("cost_to_serve", 2).alias("_cost"),
     )
+    # The levels are a few dozen rows.  A stage boundary keeps the exact
+    # rounding projection out of the aggregate's generated method (which
+    # would otherwise exceed the JVM's 64 KB method size and fall back to
+    # interpreted evaluation).
+    g = g.repartition(1)
     level = None
     valid = None
     key = None

@@ -108,9 +108,9 @@ TX_FEATURE_COLUMNS = [
 
 def feature_columns(cal: Calendar = DEFAULT_CALENDAR) -> list[Column]:
     n = cal.n_months
-    zero = F.lit(0).cast(DecimalType(38, 4))
-    s = F.coalesce(F.col("m_sum"), zero)
-    q = F.coalesce(F.col("m_sq"), zero)
+    # cast before coalescing: a wider-typed zero would widen (and cut) the scale
+    s = F.coalesce(F.col("m_sum").cast(DecimalType(18, 4)), F.lit(0).cast(DecimalType(18, 4)))
+    q = F.coalesce(F.col("m_sq").cast(DecimalType(26, 8)), F.lit(0).cast(DecimalType(26, 8)))
     var_num = exact_centered_ss(F.lit(n), s, q).cast("double")
     return [
         F.col("n30").alias("transaction_count_30d"),

@@ -15,7 +15,10 @@ from ..config import DEFAULT_PARAMS, Params
 from ..functions import exprs as X
 from ..functions import stats as S
 
-HIGH = F.col("risk_level") == "High"
+def _high() -> Column:
+    return F.col("risk_level") == "High"
+
+
 
 
 # -- filters ---------------------------------------------------------------
@@ -93,7 +96,7 @@ def priority_list(df: DataFrame, n: int = 25) -> DataFrame:
     cols = ["customer_id", "segment", "churn_probability", "predicted_revenue_annual", "clv", "revenue_at_risk",
             "risk_level", "financial_value", "recommended_action", "priority_score", "engagement_index",
             "days_since_last_transaction", "action_urgency"]
-    return top_n(df.where(HIGH), "priority_score", n).select(*[c for c in cols if c in df.columns])
+    return top_n(df.where(_high()), "priority_score", n).select(*[c for c in cols if c in df.columns])
 
 
 def top_rar(mart: DataFrame, n: int = 50) -> DataFrame:
@@ -127,15 +130,19 @@ def risk_distribution(df: DataFrame) -> DataFrame:
 
 def rar_by_segment_high(df: DataFrame) -> DataFrame:
     """V2: revenue at risk of High-risk customers per segment, ascending."""
-    g = df.where(HIGH & F.col("segment").isNotNull()).groupBy("segment").agg(
+    g = df.where(_high() & F.col("segment").isNotNull()).groupBy("segment").agg(
         X.exact_sum("revenue_at_risk", 2).alias("_r"))
     return g.select("segment", X.dround(F.col("_r"), 2).alias("revenue_at_risk")).orderBy("revenue_at_risk", "segment")
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str], bounded: bool, dp: int = 4) -> DataFrame:
-    """Min, q1, median, q3, max per group (rounded)."""
-    f = S.five_numbers(df.where(F.col(value).isNotNull()), value, by, bounded)
-    return f.select(*by, "n", *[F.bround(c, dp).alias(c) for c in ["min", "q1", "median", "q3", "max"]])
+def box_stats(df: DataFrame, value: str, by: Sequence[str], grid: int | None, dp: int = 4) -> DataFrame:
+    """Min, q1, median, q3, max per group (rounded).
+
+    ``grid`` is the number of decimals of a fixed-precision column (exact
+    DECIMAL interpolation); None for a free double column."""
+    f = S.five_numbers(df.where(F.col(value).isNotNull()), value, by, False, scale=grid)
+    return f.select(*by, "n", *[F.bround(F.col(c), dp).cast("double").alias(c)
+                                for c in ["min", "q1", "median", "q3", "max"]])
 
 
 def histogram_by(df: DataFrame, value: str, bins: int, by: Sequence[str] = ("segment",), dp: int = 6) -> DataFrame:
@@ -150,7 +157,7 @@ def segment_summary(df: DataFrame) -> DataFrame:
     g = df.where(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.count("customer_id").alias("customers"),
         X.exact_sum("churn_probability", 4).alias("_p"), F.count("churn_probability").alias("_np"),
-        X.count_if(HIGH).alias("high_risk"),
+        X.count_if(_high()).alias("high_risk"),
         X.exact_sum("predicted_revenue_annual", 2).alias("_rev"),
         X.exact_sum("clv", 2).alias("_clv"), F.count("clv").alias("_nclv"),
         X.exact_sum("revenue_at_risk", 2).alias("_rar"),
@@ -197,8 +204,8 @@ def priority_heatmap(df: DataFrame) -> DataFrame:
 def executive_cards(df: DataFrame) -> DataFrame:
     """The seven cards on a (filtered) customer view."""
     g = df.agg(X.exact_sum("predicted_revenue_annual", 2).alias("_rev"), X.exact_sum("revenue_at_risk", 2).alias("_rar"),
-               F.count(F.lit(1)).alias("_n"), X.count_if(HIGH).alias("_hr"), X.exact_sum("clv", 2).alias("_clv"),
-               X.count_if(HIGH & (F.col("financial_value") == "High")).alias("critical_accounts"),
+               F.count(F.lit(1)).alias("_n"), X.count_if(_high()).alias("_hr"), X.exact_sum("clv", 2).alias("_clv"),
+               X.count_if(_high() & (F.col("financial_value") == "High")).alias("critical_accounts"),
                X.exact_sum("net_profit_per_client", 2).alias("_np"))
     return g.select(
         X.dround(F.col("_rev"), 2).alias("total_revenue"), X.dround(F.col("_rar"), 2).alias("revenue_at_risk"),
@@ -217,7 +224,7 @@ def roi_scenarios(df: DataFrame, rates: Sequence[float] = (50.0,), costs: Sequen
     spark = df.sparkSession
     grid = spark.createDataFrame([(float(r), float(c)) for r in rates for c in costs],
                                  "success_rate_pct double, cost_per_customer double")
-    tot = df.agg(X.exact_sum("revenue_at_risk", 2).alias("_rar"), X.count_if(HIGH).alias("_hr"))
+    tot = df.agg(X.exact_sum("revenue_at_risk", 2).alias("_rar"), X.count_if(_high()).alias("_hr"))
     rar, hr = tot.select("_rar").scalar(), tot.select("_hr").scalar()
     saved = X.dround(rar * F.col("success_rate_pct").cast("decimal(10,4)") / F.lit(100), 2)
     cost = X.dround(hr.cast("decimal(20,0)") * F.col("cost_per_customer").cast("decimal(14,2)"), 2)
@@ -254,7 +261,7 @@ def streak_bucket_expr() -> Column:
 def churn_by_streak_bucket(mart: DataFrame) -> DataFrame:
     """Churn % five-number summary per streak bucket and segment."""
     df = mart.withColumn("streak_bucket", streak_bucket_expr())
-    return box_stats(df, "churn_probability_pct", ["streak_bucket", "segment"], bounded=True, dp=2)
+    return box_stats(df, "churn_probability_pct", ["streak_bucket", "segment"], grid=1, dp=2)
 
 
 def quadrant_expr(clv_p75: Column, churn_line: float = 65.0) -> Column:
@@ -350,7 +357,7 @@ def kpi_cards(agg: DataFrame) -> DataFrame:
         'Critical Accounts', cast(critical_count as double), 'static red') as (label, value, rule)"""),
                     rar_pct.alias("_rar_pct"), churn.alias("_churn")).select(
         "label", "value",
-        F.when(F.col("label").isin("Portfolio Churn Rate"), X.format_pct("value", 1))
+        F.when(F.col("label").isin("Portfolio Churn Rate"), X.format_pct(X.dround(X.dec("value", 2), 1), 1))
          .when(F.col("label") == "Critical Accounts", F.format_number(F.col("value"), 0))
          .otherwise(X.format_money("value")).alias("value_formatted"),
         F.when(F.col("rule") == "rar", F.when(F.col("_rar_pct") > 5, "red").when(F.col("_rar_pct") >= 3, "amber")
