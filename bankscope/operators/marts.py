@@ -235,6 +235,25 @@ def monthly_risk(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CAL
     )
 
 
+def revenue_trends(ts: DataFrame) -> list[Column]:
+    """W1-W3 on a monthly table: month index, 3-month rolling means of
+    revenue (2 dp) and volume (0 dp), month-over-month revenue growth in %
+    (2 dp, first month null).  Exact half-even rounding of the ratios."""
+    w = Window.orderBy("calendar_ym")
+    rev_c = X.scaled_int(F.col("estimated_monthly_revenue"), 2)
+    lag1, lag2 = F.lag(rev_c, 1).over(w), F.lag(rev_c, 2).over(w)
+    k = F.least(F.row_number().over(w), F.lit(3))
+    rsum = rev_c + F.coalesce(lag1, F.lit(0)) + F.coalesce(lag2, F.lit(0))
+    vol = F.col("transaction_volume")
+    vsum = vol + F.coalesce(F.lag(vol, 1).over(w), F.lit(0)) + F.coalesce(F.lag(vol, 2).over(w), F.lit(0))
+    return [
+        F.row_number().over(w).cast("bigint").alias("month_index"),
+        X.round_ratio(rsum, k * F.lit(100), 2).alias("revenue_3m_rolling_avg"),
+        X.round_ratio(vsum, k, 0).alias("tx_volume_3m_rolling_avg"),
+        X.round_ratio((rev_c - lag1) * F.lit(100), lag1, 2).alias("revenue_mom_growth_pct"),
+    ]
+
+
 def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
                 params: Params = DEFAULT_PARAMS) -> DataFrame:
     """B2: monthly series with 3-month rolling means and MoM growth.
@@ -247,22 +266,14 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
     mr = monthly_risk(tx, enriched, cal, cm, params.months_observed)
     ts = mt.join(mr, "calendar_ym", "left")
     w = Window.orderBy("calendar_ym")
-    rev_c = X.scaled_int(F.col("estimated_monthly_revenue"), 2)
-    lag1, lag2 = F.lag(rev_c, 1).over(w), F.lag(rev_c, 2).over(w)
     k = F.least(F.row_number().over(w), F.lit(3))
-    rsum = rev_c + F.coalesce(lag1, F.lit(0)) + F.coalesce(lag2, F.lit(0))
     raw = F.col("_avg_churn_raw") / F.col("_pcount").cast("double")
     c1, c2 = F.lag(raw, 1).over(w), F.lag(raw, 2).over(w)
     csum = F.when(c2.isNotNull(), c2 + c1 + raw).when(c1.isNotNull(), c1 + raw).otherwise(raw)
-    vol = F.col("transaction_volume")
-    vsum = vol + F.coalesce(F.lag(vol, 1).over(w), F.lit(0)) + F.coalesce(F.lag(vol, 2).over(w), F.lit(0))
     out = ts.select(
         *[c for c in ts.columns if not c.startswith("_")],
-        X.month_date("calendar_ym").alias("calendar_date"),
-        F.row_number().over(w).alias("month_index"),
-        X.round_ratio(rsum, k * F.lit(100), 2).alias("revenue_3m_rolling_avg"),
+        F.to_timestamp(F.concat(F.col("calendar_ym"), F.lit("-01"))).alias("calendar_date"),
+        *revenue_trends(ts),
         F.bround(csum / k.cast("double"), 4).alias("churn_prob_3m_rolling_avg"),
-        X.round_ratio(vsum, k, 0).alias("tx_volume_3m_rolling_avg"),
-        X.round_ratio((rev_c - lag1) * F.lit(100), lag1, 2).alias("revenue_mom_growth_pct"),
     )
     return out.select(*TS_COLUMNS)

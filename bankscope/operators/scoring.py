@@ -119,14 +119,15 @@ def scoring_table(customers: DataFrame, churn_preds: DataFrame, revenue_preds: D
     )
 
 
-def exact_scoring_table(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
-                        params: Params = DEFAULT_PARAMS, keep_features: bool = False) -> DataFrame:
-    """Scoring table from the deterministic scorer in a single join.
+def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
+                       params: Params = DEFAULT_PARAMS, keep_features: bool = False) -> DataFrame:
+    """Customers LEFT JOIN the per-customer transaction roll-up, with the
+    deterministic predictions and CLV (everything but the value score).
 
     Both predictions are columns of the same customer row, so the general
-    three-table join collapses to customers LEFT JOIN the per-customer
-    activity roll-up.  With ``keep_features`` the nine E7 features ride
-    along on the same join (the enrichment then needs no second join).
+    three-table join collapses to one join.  With ``keep_features`` the
+    nine E7 features ride along on the same join (the enrichment then needs
+    no second join).
     """
     act = TXF.customer_activity(tx, cal)
     feats = TXF.feature_columns(cal) if keep_features else []
@@ -138,9 +139,22 @@ def exact_scoring_table(customers: DataFrame, tx: DataFrame, cal: Calendar = DEF
         F.coalesce(revenue_target_expr(F.col("amt_total"), params), F.lit(0.0)).alias("predicted_revenue_annual"),
         *[F.col(c) for c in (TXF.TX_FEATURE_COLUMNS if keep_features else [])],
     )
-    j = j.withColumn("clv", clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"), params))
-    rng = j.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi"))
+    return j.withColumn("clv", clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"), params))
+
+
+def add_value_score(base: DataFrame) -> DataFrame:
+    """C2 over a table with ``clv``: the CLV range is one scalar subquery.
+
+    Run it on a materialised base so the subquery is a scan, not a second
+    evaluation of the joins behind the base."""
+    rng = base.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi"))
     lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
-    extra = TXF.TX_FEATURE_COLUMNS if keep_features else []
-    return j.withColumn("financial_value_score", value_score_expr(F.col("clv"), lo, hi)).select(
+    extra = [c for c in TXF.TX_FEATURE_COLUMNS if c in base.columns]
+    return base.withColumn("financial_value_score", value_score_expr(F.col("clv"), lo, hi)).select(
         *SCORING_COLUMNS, *extra)
+
+
+def exact_scoring_table(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
+                        params: Params = DEFAULT_PARAMS, keep_features: bool = False) -> DataFrame:
+    """Scoring table (C3) from the deterministic scorer."""
+    return add_value_score(exact_scoring_base(customers, tx, cal, params, keep_features))

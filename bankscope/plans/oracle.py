@@ -374,7 +374,7 @@ cte("ts", ["ts0"], f"""
 SELECT calendar_ym, transaction_volume, total_transaction_amount, avg_transaction_amount, unique_active_customers,
        estimated_monthly_revenue, avg_churn_probability, high_risk_active_count, monthly_revenue_at_risk,
        {", ".join(f"tx_amount_{s}" for s in _SEGS)},
-       CAST(strptime(calendar_ym || '-01', '%Y-%m-%d') AS DATE) AS calendar_date,
+       strptime(calendar_ym || '-01', '%Y-%m-%d') AS calendar_date,
        month_index,
        {rr('rsum', 'least(month_index, 3) * 100', 2)} AS revenue_3m_rolling_avg,
        round_even(csum / CAST(least(month_index, 3) AS DOUBLE), 4) AS churn_prob_3m_rolling_avg,

@@ -13,6 +13,7 @@ transaction roll-up.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +26,18 @@ from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing the stage once as Parquet in the shared
+    checkpoint folder and reading it back (never ``localCheckpoint``).
+
+    Unlike ``DataFrame.checkpoint()`` (which evaluates the plan twice unless
+    it is cached) the stage is computed once; later reads get column pruning
+    and filter push-down, and the files survive executor loss.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bankscope-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @dataclass
@@ -58,10 +67,16 @@ def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CAL
     tx = FX.transactions(spark, sf_dir, cal)
     # One join of customers with the transaction roll-up carries both the
     # predictions and the nine behavioural features.
-    scoring = materialize(SC.exact_scoring_table(cust, tx, cal, params, keep_features=True))
-    rec = materialize(D.apply_recommendations(scoring, params))
-    enriched = materialize(E.enrich_from(rec, params))
+    base = materialize(SC.exact_scoring_base(cust, tx, cal, params, keep_features=True), "scoring")
+    scoring = SC.add_value_score(base)
+    rec = materialize(D.apply_recommendations(scoring, params), "recommendations")
+    enriched = materialize(E.enrich_from(rec, params), "enriched")
     st = Stages(cust, tx, scoring.select(*SC.SCORING_COLUMNS), rec.select(*D.REC_COLUMNS), enriched)
     if reuse:
         _CACHE[key] = st
     return st
+
+
+def clear_cache() -> None:
+    """Forget materialised stages (each call rebuilds from the raw tables)."""
+    _CACHE.clear()
