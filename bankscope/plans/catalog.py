@@ -645,3 +645,55 @@ def _model_query(kind: str):
 register("churn_model")(_model_query("churn"))
 register("revenue_model")(_model_query("revenue"))
 register("risk_cluster")(_model_query("cluster"))
+
+# -- sinks (write, read back) and jobs ----------------------------------------------------
+
+
+def _scratch(spark, what: str) -> str:
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/bankscope-{what}-{uuid.uuid4().hex}"
+
+
+def _sink_parquet(spark, d):
+    from ..sources import readers, schema, sinks
+    path = sinks.write_parquet(FX.customers(spark, d), _scratch(spark, "customers") + ".parquet")
+    return readers.read_table(spark, path, schema.CUSTOMER_SCHEMA)
+
+
+def _sink_partitioned(spark, d):
+    from ..sources import readers, schema, sinks
+    path = sinks.write_partitioned(FX.transactions_with_segment(spark, d), _scratch(spark, "transactions"))
+    return readers.read_shards(spark, path, schema.TX_WITH_SEGMENT_SCHEMA)
+
+
+def _sink_csv(spark, d):
+    from ..sources import sinks
+    fa = _fa(spark, d)
+    path = sinks.write_csv(fa, _scratch(spark, "financial_aggregates") + ".csv")
+    return spark.read.option("header", True).schema(fa.schema).csv(path)
+
+
+register("sink_parquet", O.q("customers", "SELECT * FROM customers"))(_sink_parquet)
+register("sink_partitioned", O.q(["tx", "customers"], """
+SELECT t.*, c.segment FROM tx t LEFT JOIN (SELECT customer_id, segment FROM customers) c USING (customer_id)"""))(
+    _sink_partitioned)
+register("sink_csv", O.q("fa", "SELECT * FROM fa"))(_sink_csv)
+
+
+def _scoring_job(spark, d):
+    from .jobs import run_scoring_job
+    out = _scratch(spark, "scoring-job")
+    run_scoring_job(spark, FX.customers(spark, d), _tx(spark, d), out)
+    return spark.read.parquet(f"{out}/recommendations.parquet")
+
+
+def _mart_job(spark, d):
+    from .jobs import run_mart_job
+    out = _scratch(spark, "mart-job")
+    run_mart_job(spark, _rec(spark, d), _tx(spark, d), out)
+    return spark.read.parquet(f"{out}/tableau/financial_aggregates.parquet")
+
+
+register("scoring_job", O.q("rec", "SELECT * FROM rec"))(_scoring_job)
+register("mart_job", O.q("fa", "SELECT * FROM fa"))(_mart_job)
