@@ -27,7 +27,7 @@ REC_COLUMNS = [
 
 
 def thresholds(scoring: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """The four bucket thresholds as one row."""
+    """The four bucket thresholds as one row (exact linear quantiles)."""
     churn = S.quantiles(scoring, "churn_probability",
                         {"churn_high": params.risk_p_high, "churn_low": params.risk_p_low}, bounded=True)
     value = S.quantiles(scoring, "financial_value_score",

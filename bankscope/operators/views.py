@@ -378,3 +378,12 @@ def low_engagement_cards(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> Dat
     """Average engagement, low-engagement count / %, correlation."""
     from .kpis import kpi_engagement
     return kpi_engagement(enr, params).where(F.col("dimension") == "total").drop("dimension", "key")
+
+
+def trend_cards(ts: DataFrame) -> DataFrame:
+    """24-month revenue total, monthly mean, peak month and 6-month slope."""
+    from .kpis import kpi_time_series
+    tot = ts.agg(X.exact_sum("estimated_monthly_revenue", 2).alias("_t"))
+    k = kpi_time_series(ts).select("avg_monthly_revenue", "peak_revenue_month", "peak_monthly_revenue",
+                                   "revenue_trend_6m_slope", "revenue_trend_direction")
+    return tot.select(X.dround(F.col("_t"), 2).alias("total_revenue_24m")).crossJoin(k)  # 1 row x 1 row

@@ -697,3 +697,74 @@ def _mart_job(spark, d):
 
 register("scoring_job", O.q("rec", "SELECT * FROM rec"))(_scoring_job)
 register("mart_job", O.q("fa", "SELECT * FROM fa"))(_mart_job)
+
+
+# -- remaining readers, reports and thresholds -------------------------------------------
+
+register("view_v10_trend_cards", O.q("ts", f"""
+SELECT (SELECT {O.dr(O.esum('estimated_monthly_revenue', 2), 2)} FROM ts) AS total_revenue_24m,
+       (SELECT {O.ravg(O.esum('estimated_monthly_revenue', 2), 'count(estimated_monthly_revenue)', 2, 2)} FROM ts)
+         AS avg_monthly_revenue,
+       (SELECT min(calendar_ym) FROM ts WHERE estimated_monthly_revenue = (SELECT max(estimated_monthly_revenue) FROM ts))
+         AS peak_revenue_month,
+       (SELECT max(estimated_monthly_revenue) FROM ts) AS peak_monthly_revenue,
+       slope AS revenue_trend_6m_slope, CASE WHEN slope > 0 THEN 'GROWING' ELSE 'DECLINING' END AS revenue_trend_direction
+FROM (SELECT {O.rr('sum((2 * x - (k - 1)) * yc)', 'max(k) * (max(k) * max(k) - 1) // 6 * 100', 2)} AS slope
+      FROM (SELECT k - rd AS x, k, {O.si('estimated_monthly_revenue', 2)} AS yc
+            FROM (SELECT *, row_number() OVER (ORDER BY calendar_ym DESC) AS rd,
+                         least(6, count(*) OVER ()) AS k FROM ts) WHERE rd <= 6))
+WHERE (SELECT count(*) FROM ts) >= 2"""))(lambda s, d: V.trend_cards(_ts(s, d)))
+
+
+def _report_summary(spark, d):
+    """V40 (S10 + S11): KPI summary written as a JSON report, read back."""
+    from ..sources import readers, sinks
+    path = sinks.write_report(K.kpi_summary(_enr(spark, d)).select(F.struct("*").alias("summary")),
+                              _scratch(spark, "kpi-report") + ".json")
+    r = readers.read_report(spark, path)
+    return r.select("summary.*").select(*[F.col(c).cast("bigint" if c == "critical_customers" else "double").alias(c)
+                                          for c in ["total_revenue", "total_revenue_at_risk", "rar_pct",
+                                                    "churn_rate_pct", "total_clv", "total_net_profit",
+                                                    "critical_customers"]])
+
+
+register("view_v40_report_summary", O.q("enr", f"""
+SELECT {O.dr(O.esum('predicted_revenue_annual', 2), 2)} AS total_revenue,
+       {O.dr(O.esum('revenue_at_risk', 2), 2)} AS total_revenue_at_risk,
+       {O.rpct(O.esum('revenue_at_risk', 2), O.esum('predicted_revenue_annual', 2), 2, 2)} AS rar_pct,
+       {O.rr(_HR + ' * 100', 'count(*)', 2)} AS churn_rate_pct,
+       {O.dr(O.esum('clv', 2), 2)} AS total_clv, {O.dr(O.esum('net_profit_per_client', 2), 2)} AS total_net_profit,
+       count(*) FILTER (WHERE {_CRIT}) AS critical_customers
+FROM enr"""))(_report_summary)
+
+
+def _first_available(spark, d):
+    """S3 + S4 + S5: the customer mart if it exists, else recommendations;
+    mart names normalised to pipeline names; timestamps coerced."""
+    from ..sources import readers, sinks
+    mart_path = sinks.write_parquet(_mart(spark, d), _scratch(spark, "customer-table") + ".parquet")
+    df = readers.read_first_available(spark, [_scratch(spark, "missing") + ".parquet", mart_path])
+    tx = readers.coerce_timestamps(_tx(spark, d).withColumn("timestamp", F.col("timestamp").cast("string")))
+    last = tx.groupBy("customer_id").agg(F.max("timestamp").alias("last_tx_date"))
+    return readers.normalize_columns(df).select("customer_id", "predicted_revenue_annual", "clv").join(
+        last, "customer_id", "left")
+
+
+register("read_first_available", O.q(["enr", "tx"], """
+SELECT e.customer_id, e.predicted_revenue_annual, e.clv, t.last_tx_date
+FROM enr e LEFT JOIN (SELECT customer_id, max("timestamp") AS last_tx_date FROM tx GROUP BY customer_id) t
+  USING (customer_id)"""))(_first_available)
+
+
+def _thresholds(spark, d):
+    st = fixture_stages(spark, d)
+    t = D.thresholds(st.scoring)
+    return t.select(*[F.bround(c, 6).alias(c) for c in t.columns])
+
+
+register("bucket_thresholds", O.q("scoring", f"""
+SELECT round_even(quantile_cont(churn_probability, {PAR.risk_p_high}), 6) AS churn_high,
+       round_even(quantile_cont(churn_probability, {PAR.risk_p_low}), 6) AS churn_low,
+       round_even(quantile_cont(financial_value_score, {PAR.value_p_high}), 6) AS value_high,
+       round_even(quantile_cont(financial_value_score, {PAR.value_p_low}), 6) AS value_low
+FROM scoring"""))(_thresholds)

@@ -44,7 +44,7 @@ def read_first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame
             df.schema  # forces path resolution
             return df
         except AnalysisException as e:  # PATH_NOT_FOUND and friends
-            errors.append(f"{p}: {e.getErrorClass() or e}")
+            errors.append(f"{p}: {e.getCondition() or e}")
     raise InputMissing("none of the inputs exist; run the scoring job first:\n  " + "\n  ".join(errors))
 
 
