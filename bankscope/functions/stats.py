@@ -38,12 +38,16 @@ def _partitions(df: DataFrame) -> int:
         return 200
 
 
-def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row.
+def scalars(one_row: DataFrame) -> dict[str, Column]:
+    """The columns of a one-row frame (a global aggregate) as scalar
+    subqueries: each is computed once and used as a literal, so whole-table
+    statistics reach every row without a join."""
+    return {c: one_row.select(c).scalar() for c in one_row.columns}
 
-    The right side is a global aggregate: exactly one row, so the broadcast
-    is bounded and the product has as many rows as ``df``."""
-    return df.crossJoin(F.broadcast(one_row))
+
+def one_row(spark, cols: dict[str, Column]) -> DataFrame:
+    """A one-row frame holding the given scalar expressions."""
+    return spark.range(1).select(*[c.alias(n) for n, c in cols.items()])
 
 
 def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataFrame:
@@ -145,16 +149,17 @@ def top_k_sum(df: DataFrame, value: str, fraction: float, scale: int = 2) -> Dat
     Returns one row: ``k``, ``n``, ``top_sum`` (double from an exact sum).
     """
     kt = kth_largest(df, value, lambda n: F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(fraction))))
-    v = F.col(value)
-    j = df.select(value).crossJoin(F.broadcast(kt))
+    k, n, t = (kt.agg(F.max(c)).scalar() for c in ("k", "n", "t"))
+    # the threshold is projected first (an aggregate may not take a subquery)
+    j = df.select(F.col(value).alias("_v"), t.alias("_t"))
+    v, tt = F.col("_v"), F.col("_t")
     s = j.agg(
-        F.first("k").alias("k"), F.first("n").alias("n"), F.first("t").alias("t"),
-        F.sum(F.when(v > F.col("t"), X.dec(v, scale))).alias("_above"),
-        X.count_if(v > F.col("t")).alias("_n_above"),
+        F.sum(F.when(v > tt, X.dec(v, scale))).alias("_above"),
+        X.count_if(v > tt).alias("_n_above"),
     )
     top = F.coalesce(F.col("_above"), F.lit(0).cast("decimal(18,0)")) + \
-        (F.col("k") - F.col("_n_above")).cast("decimal(20,0)") * X.dec(F.col("t"), scale)
-    return s.select("k", "n", top.cast("double").alias("top_sum"))
+        (k - F.col("_n_above")).cast("decimal(20,0)") * X.dec(t, scale)
+    return s.select(k.alias("k"), n.alias("n"), top.cast("double").alias("top_sum"))
 
 
 def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), bounded: bool = False,
@@ -167,7 +172,7 @@ def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), bounded: boo
         F.min(value).cast("double").alias(f"{prefix}min"), F.max(value).cast("double").alias(f"{prefix}max"),
         F.count(value).alias(f"{prefix}n"))
     if not by:
-        return mm.crossJoin(q)  # 1 row x 1 row
+        return mm.select("*", *[c.alias(name) for name, c in scalars(q).items()])
     return mm.join(q, [*by], "left")
 
 
@@ -179,8 +184,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     """
     by = list(by)
     v = F.col(value).cast("double")
-    rng = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    j = df.where(F.col(value).isNotNull()).select(*by, v.alias("_x")).crossJoin(F.broadcast(rng))
+    rng = scalars(df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")))
+    j = df.where(F.col(value).isNotNull()).select(*by, v.alias("_x"), rng["_lo"].alias("_lo"), rng["_hi"].alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) / width * F.lit(float(bins))), F.lit(bins - 1))).cast("int")

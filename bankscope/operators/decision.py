@@ -32,7 +32,7 @@ def thresholds(scoring: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame
                         {"churn_high": params.risk_p_high, "churn_low": params.risk_p_low}, bounded=True)
     value = S.quantiles(scoring, "financial_value_score",
                         {"value_high": params.value_p_high, "value_low": params.value_p_low}, bounded=True)
-    return churn.crossJoin(value)  # 1 row x 1 row
+    return S.one_row(scoring.sparkSession, {**S.scalars(churn), **S.scalars(value)})
 
 
 def decision_expr(risk: Column, value: Column) -> Column:

@@ -234,9 +234,8 @@ def kpi_revenue_concentration(enr: DataFrame) -> DataFrame:
     rev_all = enr.agg(X.exact_sum("predicted_revenue_annual", 2)).scalar()
     t10 = S.top_k_sum(enr, "predicted_revenue_annual", 0.10)
     t20 = S.top_k_sum(enr, "predicted_revenue_annual", 0.20)
-    a = t10.select(F.col("k").alias("top_10pct_customer_count"), F.col("top_sum").alias("_t10"))
-    b = t20.select(F.col("top_sum").alias("_t20"))
-    j = a.crossJoin(b)  # 1 row x 1 row
+    j = S.one_row(enr.sparkSession, {"top_10pct_customer_count": t10.select("k").scalar(),
+                                     "_t10": t10.select("top_sum").scalar(), "_t20": t20.select("top_sum").scalar()})
     return j.select(
         X.round_pct(X.dec("_t10", 2), rev_all, 2, 2).alias("top_10pct_revenue_share"),
         F.bround("_t10", 2).alias("top_10pct_revenue_amount"),
@@ -319,7 +318,7 @@ def kpi_report(enr: DataFrame, ts: DataFrame, params: Params = DEFAULT_PARAMS) -
              block(kpi_engagement(enr, params), "engagement_distribution"),
              block(kpi_revenue_concentration(enr), "revenue_concentration"),
              block(kpi_time_series(ts), "time_series")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # every part is exactly one row
-    return out
+    cols = {}
+    for p in parts:
+        cols.update(S.scalars(p))  # every part is one row: one scalar subquery per block
+    return S.one_row(enr.sparkSession, cols)

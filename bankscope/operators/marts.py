@@ -258,16 +258,44 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
                 params: Params = DEFAULT_PARAMS) -> DataFrame:
     """B2: monthly series with 3-month rolling means and MoM growth.
 
-    The windows run over at most ``n_months`` rows (one per month), so an
-    unpartitioned window is bounded here.
+    One pass: transactions -> (customer, month) cells -> LEFT JOIN the
+    customer table at cell grain -> one aggregation by month carrying the
+    transaction measures (A18), the transaction-weighted risk measures
+    (A19, A20) and the per-segment amounts (A21).  The windows then run over
+    at most ``n_months`` rows, so an unpartitioned window is bounded here.
     """
     cm = customer_months(tx)
-    mt = monthly_tx(tx, cal, params, cm)
-    mr = monthly_risk(tx, enriched, cal, cm, params.months_observed)
-    ts = mt.join(mr, "calendar_ym", "left")
+    cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level", "segment")
+    j = cm.join(cust, "customer_id", "left")
+    n = F.col("n_rows").cast(DecimalType(20, 0))
+    per = (Decimal(str(params.margin_rate)) / Decimal(params.months_observed)).quantize(Decimal("1e-10"))
+    segs = {f"tx_amount_{sg}": F.sum(F.when(F.col("segment") == sg, F.col("amt"))) for sg in sorted(C.SEGMENTS)}
+    g = j.groupBy("month").agg(
+        F.sum("n_tx").alias("transaction_volume"), F.sum("amt").alias("_amt"), F.sum("n_amt").alias("_namt"),
+        F.count("customer_id").alias("unique_active_customers"),
+        F.sum(F.col("churn_probability").cast(DecimalType(10, 4)) * n).alias("_pn"),
+        F.sum(F.when(F.col("churn_probability").isNotNull(), F.col("n_rows"))).alias("_pcount"),
+        F.sum(F.when(F.col("risk_level") == "High", F.col("n_rows")).otherwise(0)).alias("high_risk_active_count"),
+        F.sum(F.col("revenue_at_risk").cast(DecimalType(18, 2)) * n).alias("_rar"),
+        *[v.alias(k) for k, v in segs.items()],
+    )
+    ts = g.select(
+        X.month_label("month", cal.start).alias("calendar_ym"), "transaction_volume",
+        X.dround(F.col("_amt"), 4).alias("total_transaction_amount"),
+        X.round_avg(F.col("_amt"), F.col("_namt"), 4, 4).alias("avg_transaction_amount"),
+        "unique_active_customers",
+        X.dround(F.col("_amt").cast(DecimalType(20, 4)) * X.dlit(format(per, "f"), 12, 10), 2)
+        .alias("estimated_monthly_revenue"),
+        X.round_avg(F.col("_pn"), F.col("_pcount"), 4, 4).alias("avg_churn_probability"),
+        (F.col("_pn").cast("double") / F.col("_pcount").cast("double")).alias("_raw"),
+        "high_risk_active_count",
+        X.round_ratio(X.scaled_int(F.coalesce(F.col("_rar"), F.lit(0).cast(DecimalType(18, 2))), 2),
+                      F.lit(params.months_observed * 100), 4).alias("monthly_revenue_at_risk"),
+        *[F.coalesce(X.dround(F.col(k), 4), F.lit(0.0)).alias(k) for k in segs],
+    )
     w = Window.orderBy("calendar_ym")
     k = F.least(F.row_number().over(w), F.lit(3))
-    raw = F.col("_avg_churn_raw") / F.col("_pcount").cast("double")
+    raw = F.col("_raw")
     c1, c2 = F.lag(raw, 1).over(w), F.lag(raw, 2).over(w)
     csum = F.when(c2.isNotNull(), c2 + c1 + raw).when(c1.isNotNull(), c1 + raw).otherwise(raw)
     out = ts.select(

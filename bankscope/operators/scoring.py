@@ -120,7 +120,8 @@ def scoring_table(customers: DataFrame, churn_preds: DataFrame, revenue_preds: D
 
 
 def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
-                       params: Params = DEFAULT_PARAMS, keep_features: bool = False) -> DataFrame:
+                       params: Params = DEFAULT_PARAMS, keep_features: bool = False,
+                       churn_score_from_last=None) -> DataFrame:
     """Customers LEFT JOIN the per-customer transaction roll-up, with the
     deterministic predictions and CLV (everything but the value score).
 
@@ -131,8 +132,12 @@ def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFA
     """
     act = TXF.customer_activity(tx, cal)
     feats = TXF.feature_columns(cal) if keep_features else []
-    vol = act.select("customer_id", "amt_total", *feats)
-    j = customers.join(vol, "customer_id", "left").select(
+    vol = act.select("customer_id", "amt_total", "last_ts", *feats)
+    j = customers.join(vol, "customer_id", "left")
+    if churn_score_from_last is not None:
+        # the churn score is derived from the same roll-up (one scan of the transactions)
+        j = j.withColumn("churn_risk_score", churn_score_from_last(F.col("last_ts")))
+    j = j.select(
         "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
         "churn_risk_score",
         F.col("churn_risk_score").alias("churn_probability"),

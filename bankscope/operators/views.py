@@ -238,8 +238,8 @@ def roi_scenarios(df: DataFrame, rates: Sequence[float] = (50.0,), costs: Sequen
 def roi_waterfall(df: DataFrame, rate: float = 50.0, cost: float = 500.0) -> DataFrame:
     """Four ordered steps: RAR, saved, -cost, net."""
     r = roi_scenarios(df, [rate], [cost])
-    tot = df.agg(X.exact_sum("revenue_at_risk", 2).alias("_rar"))
-    j = r.crossJoin(tot)  # 1 row x 1 row
+    rar = df.agg(X.exact_sum("revenue_at_risk", 2)).scalar()
+    j = r.withColumn("_rar", rar)
     return j.select(F.expr("""stack(4,
         1, 'Revenue at Risk', cast(_rar as double),
         2, 'Revenue Saved', revenue_saved,
@@ -298,15 +298,15 @@ def region_risk_map(agg: DataFrame) -> DataFrame:
 def profitability_heatmap(agg: DataFrame) -> DataFrame:
     """V6: segment x region profitability ratio (1 dp), missing cells 0.
 
-    The grid is the product of the segments and regions present at that
-    level (both bounded by the number of distinct dimension values)."""
-    sr = at_level(agg, "by_segment_region")
-    segs = sr.select("segment").distinct()
-    regs = sr.select("region").distinct()
-    grid = segs.crossJoin(regs)
-    j = grid.join(sr.select("segment", "region", "profitability_ratio"), ["segment", "region"], "left")
-    return j.select("segment", "region",
-                    F.bround(F.coalesce(F.col("profitability_ratio"), F.lit(0.0)), 1).alias("profitability_ratio"))
+    Pivot (one column per region present) then unpivot back to rows: every
+    segment gets every region, empty cells filled with 0, as the heat map
+    shows them.  The level has at most segments x regions rows."""
+    sr = at_level(agg, "by_segment_region").select("segment", "region", "profitability_ratio")
+    regions = [r[0] for r in sr.select("region").distinct().orderBy("region").collect()]  # column labels only
+    wide = sr.groupBy("segment").pivot("region", regions).agg(F.first("profitability_ratio"))
+    long = wide.unpivot("segment", regions, "region", "profitability_ratio")
+    return long.select("segment", "region",
+                       F.bround(F.coalesce(F.col("profitability_ratio"), F.lit(0.0)), 1).alias("profitability_ratio"))
 
 
 def profitability_table(agg: DataFrame) -> DataFrame:
@@ -328,10 +328,12 @@ def action_donut(mart: DataFrame) -> DataFrame:
 
 def margin_by_segment_month(ts: DataFrame, agg: DataFrame) -> DataFrame:
     """V33 (J9): every month x every segment with the segment's
-    profitability ratio.  Both sides are small aggregates (months x
-    segments rows), so the product is bounded."""
-    seg = at_level(agg, "by_segment").select("segment", "profitability_ratio")
-    return ts.select("calendar_ym", "calendar_date").crossJoin(seg)
+    profitability ratio.  The segment level (one row per segment) is one
+    array value (scalar subquery) exploded on each month row - no join."""
+    seg = at_level(agg, "by_segment")
+    arr = seg.agg(F.collect_list(F.struct("segment", "profitability_ratio"))).scalar()
+    return ts.select("calendar_ym", "calendar_date", F.explode(arr).alias("_s")).select(
+        "calendar_ym", "calendar_date", "_s.segment", "_s.profitability_ratio")
 
 
 def cumulative_rar(ts: DataFrame) -> DataFrame:
@@ -386,4 +388,4 @@ def trend_cards(ts: DataFrame) -> DataFrame:
     tot = ts.agg(X.exact_sum("estimated_monthly_revenue", 2).alias("_t"))
     k = kpi_time_series(ts).select("avg_monthly_revenue", "peak_revenue_month", "peak_monthly_revenue",
                                    "revenue_trend_6m_slope", "revenue_trend_direction")
-    return tot.select(X.dround(F.col("_t"), 2).alias("total_revenue_24m")).crossJoin(k)  # 1 row x 1 row
+    return k.select(X.dround(tot.select("_t").scalar(), 2).alias("total_revenue_24m"), "*")

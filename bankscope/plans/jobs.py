@@ -24,12 +24,11 @@ from .pipeline import materialize
 
 
 def _report(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row: each part as a struct (1-row parts) or an array of structs."""
-    out = None
-    for name, df in parts.items():
-        block = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
-        out = block if out is None else out.crossJoin(block)  # every block is one row
-    return out
+    """One row: each part as an array of structs (one scalar subquery per part)."""
+    from ..functions.stats import one_row
+    spark = next(iter(parts.values())).sparkSession
+    return one_row(spark, {name: df.agg(F.collect_list(F.struct(*df.columns))).scalar()
+                           for name, df in parts.items()})
 
 
 def run_scoring_job(spark: SparkSession, customers: DataFrame, transactions: DataFrame, out_dir: str,

@@ -65,9 +65,13 @@ def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CAL
         return _CACHE[key]
     cust = FX.customers(spark, sf_dir, cal)
     tx = FX.transactions(spark, sf_dir, cal)
-    # One join of customers with the transaction roll-up carries both the
-    # predictions and the nine behavioural features.
-    base = materialize(SC.exact_scoring_base(cust, tx, cal, params, keep_features=True), "scoring")
+    # One join of customers with the transaction roll-up carries the churn
+    # score (last order), both predictions and the nine behavioural features:
+    # the transactions are scanned once.
+    base = materialize(SC.exact_scoring_base(FX.customers(spark, sf_dir, cal, with_score=False), tx, cal, params,
+                                             keep_features=True,
+                                             churn_score_from_last=lambda last: FX.churn_score_expr(last, cal)),
+                       "scoring")
     scoring = SC.add_value_score(base)
     rec = materialize(D.apply_recommendations(scoring, params), "recommendations")
     enriched = materialize(E.enrich_from(rec, params), "enriched")

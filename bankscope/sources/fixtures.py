@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CALENDAR, Calendar
@@ -55,35 +55,44 @@ def transactions(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALEN
     )
 
 
-def customers(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
-    """Customers with region and a churn score derived from order recency.
+def churn_score_expr(last_ts: Column, cal: Calendar = DEFAULT_CALENDAR) -> Column:
+    """churn_risk_score = half-even 4 dp of clip(floor days from the last
+    order in the window to the calendar end / obs_days, 0, 1); no order -> 1."""
+    days = X.floor_days(X.ts_lit(cal.end), last_ts)
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0),
+                                           F.coalesce(days, F.lit(cal.obs_days)).cast("double")
+                                           / F.lit(float(cal.obs_days))))
+    return F.bround(score, 4)
+
+
+def customers(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR,
+              with_score: bool = True) -> DataFrame:
+    """Customers with region and (optionally) the recency-based churn score.
 
-    churn_risk_score = half-even 4 dp of clip(floor days from the last order
-    in the window to the calendar end / obs_days, 0, 1); no order -> 1.
+    Without ``with_score`` no transaction is read; the pipeline then takes
+    the last order from its own transaction roll-up (one scan of orders).
     """
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    last = (_window_orders(spark, sf_dir, cal).groupBy("o_custkey")
-            .agg(F.max("o_orderdate").alias("_last")))
-    days = X.floor_days(X.ts_lit(cal.end), F.col("_last"))
-    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0),
-                                           F.coalesce(days, F.lit(cal.obs_days)).cast("double")
-                                           / F.lit(float(cal.obs_days))))
     k = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-             .join(r, n.n_regionkey == r.r_regionkey, "left")
-             .join(last, k == F.col("o_custkey"), "left")
-             .select(
-                 k.cast("string").alias("customer_id"),
-                 (F.lit(18) + k % 57).cast("int").alias("age"),
-                 (F.lit(20000) + (k * 7919) % 230000).cast("double").alias("income"),
-                 F.greatest(F.col("c_acctbal"), F.lit(0.0)).alias("account_balance"),
-                 X.map_values("c_mktsegment", MKT_SEGMENT).alias("segment"),
-                 F.bround(score, 4).alias("churn_risk_score"),
-                 (F.lit(1) + k % 179).cast("int").alias("tenure_months"),
-                 F.col("r_name").alias("region"),
-             ))
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
+    score = []
+    if with_score:
+        last = (_window_orders(spark, sf_dir, cal).groupBy("o_custkey")
+                .agg(F.max("o_orderdate").alias("_last")))
+        j = j.join(last, k == F.col("o_custkey"), "left")
+        score = [churn_score_expr(F.col("_last"), cal).alias("churn_risk_score")]
+    return j.select(
+        k.cast("string").alias("customer_id"),
+        (F.lit(18) + k % 57).cast("int").alias("age"),
+        (F.lit(20000) + (k * 7919) % 230000).cast("double").alias("income"),
+        F.greatest(F.col("c_acctbal"), F.lit(0.0)).alias("account_balance"),
+        X.map_values("c_mktsegment", MKT_SEGMENT).alias("segment"),
+        *score,
+        (F.lit(1) + k % 179).cast("int").alias("tenure_months"),
+        F.col("r_name").alias("region"),
+    )
 
 
 def transactions_with_segment(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
