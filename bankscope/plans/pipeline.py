@@ -60,9 +60,10 @@ def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CAL
     Within one session the materialised stages are shared by every query on
     the same directory and parameters.
     """
-    key = (id(spark), sf_dir.rstrip("/"), repr(cal), repr(params))
-    if reuse and key in _CACHE:
-        return _CACHE[key]
+    key = (sf_dir.rstrip("/"), repr(cal), repr(params))
+    hit = _CACHE.get(key)
+    if reuse and hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
     cust = FX.customers(spark, sf_dir, cal)
     tx = FX.transactions(spark, sf_dir, cal)
     # One join of customers with the transaction roll-up carries the churn
@@ -77,7 +78,7 @@ def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CAL
     enriched = materialize(E.enrich_from(rec, params), "enriched")
     st = Stages(cust, tx, scoring.select(*SC.SCORING_COLUMNS), rec.select(*D.REC_COLUMNS), enriched)
     if reuse:
-        _CACHE[key] = st
+        _CACHE[key] = (spark, st)
     return st
 
 
