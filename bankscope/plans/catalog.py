@@ -522,7 +522,7 @@ SELECT success_rate_pct, cost_per_customer, revenue_saved, programme_cost,
        round_even(revenue_saved - programme_cost, 2) AS net_roi,
        CASE WHEN programme_cost > 0 THEN round_even(revenue_saved / programme_cost, 4) ELSE 0.0 END AS roi_ratio
 FROM (SELECT g.success_rate_pct, g.cost_per_customer,
-             CAST(round_even(t.rar * CAST(g.success_rate_pct AS DECIMAL(10,4)) / 100, 2) AS DOUBLE) AS revenue_saved,
+             CAST(round_even(t.rar * CAST(g.success_rate_pct / 100 AS DECIMAL(12,6)), 2) AS DOUBLE) AS revenue_saved,
              CAST(round_even(CAST(t.hr AS DECIMAL(20,0)) * CAST(g.cost_per_customer AS DECIMAL(14,2)), 2) AS DOUBLE) AS programme_cost
       FROM (SELECT * FROM (VALUES {", ".join(f"({r}::DOUBLE)" for r in _RATES)}) a(success_rate_pct),
                           (VALUES {", ".join(f"({c}::DOUBLE)" for c in _COSTS)}) b(cost_per_customer)) g
@@ -627,7 +627,17 @@ register("view_v32_engagement_priority_points")(
     lambda s, d: V.samples(_mart(s, d), 5000, PAR.seed,
                            ["customer_id", "engagement_index", "priority_score", "recommended_action", "revenue_at_risk"]))
 register("kpi_report")(lambda s, d: K.kpi_report(_enr(s, d), _ts(s, d)))
-register("roi_waterfall")(lambda s, d: V.roi_waterfall(_enr(s, d)))
+register("roi_waterfall", O.q("enr", f"""
+SELECT step, label, amount FROM (
+  SELECT r.*, x.* FROM
+    (SELECT rar, CAST(round_even(rar * CAST(0.5 AS DECIMAL(12,6)), 2) AS DOUBLE) AS saved,
+            CAST(round_even(CAST(hr AS DECIMAL(20,0)) * CAST(500.0 AS DECIMAL(14,2)), 2) AS DOUBLE) AS cost
+     FROM (SELECT {O.esum('revenue_at_risk', 2)} AS rar, {_HR} AS hr FROM enr)) r,
+    LATERAL (SELECT 1 AS step, 'Revenue at Risk' AS label, CAST(r.rar AS DOUBLE) AS amount
+             UNION ALL SELECT 2, 'Revenue Saved', r.saved
+             UNION ALL SELECT 3, 'Programme Cost', -r.cost
+             UNION ALL SELECT 4, 'Net ROI', round_even(r.saved - r.cost, 2)) x)
+"""))(lambda s, d: V.roi_waterfall(_enr(s, d)))
 
 
 def _model_query(kind: str):
