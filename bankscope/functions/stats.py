@@ -39,10 +39,12 @@ def _partitions(df: DataFrame) -> int:
 
 
 def scalars(one_row: DataFrame) -> dict[str, Column]:
-    """The columns of a one-row frame (a global aggregate) as scalar
-    subqueries: each is computed once and used as a literal, so whole-table
-    statistics reach every row without a join."""
-    return {c: one_row.select(c).scalar() for c in one_row.columns}
+    """The columns of a one-row frame (a global aggregate) as fields of ONE
+    scalar subquery: the statistics are computed once, used as literals, and
+    reach every row without a join."""
+    cols = one_row.columns
+    row = one_row.select(F.struct(*cols).alias("_r")).scalar()
+    return {c: row.getField(c) for c in cols}
 
 
 def one_row(spark, cols: dict[str, Column]) -> DataFrame:
@@ -143,23 +145,47 @@ def kth_largest(df: DataFrame, value: str, k_of_n, by: Sequence[str] = ()) -> Da
                       F.col("_v").alias("t"))
 
 
-def top_k_sum(df: DataFrame, value: str, fraction: float, scale: int = 2) -> DataFrame:
-    """Sum of the k = max(1, int(n * fraction)) largest values (tie-safe).
+def top_k_sums(df: DataFrame, value: str, fractions: Mapping[str, float], scale: int = 2) -> DataFrame:
+    """Sums of the k = max(1, int(n * fraction)) largest values (tie-safe),
+    for several fractions at once: one order-statistic search for all k-th
+    values, then one pass summing above each threshold.
 
-    Returns one row: ``k``, ``n``, ``top_sum`` (double from an exact sum).
+    Returns one row: ``k_<name>``, ``top_<name>`` (double from an exact sum).
     """
-    kt = kth_largest(df, value, lambda n: F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(fraction))))
-    k, n, t = (kt.agg(F.max(c)).scalar() for c in ("k", "n", "t"))
-    # the threshold is projected first (an aggregate may not take a subquery)
-    j = df.select(F.col(value).alias("_v"), t.alias("_t"))
-    v, tt = F.col("_v"), F.col("_t")
-    s = j.agg(
-        F.sum(F.when(v > tt, X.dec(v, scale))).alias("_above"),
-        X.count_if(v > tt).alias("_n_above"),
-    )
-    top = F.coalesce(F.col("_above"), F.lit(0).cast("decimal(18,0)")) + \
-        (k - F.col("_n_above")).cast("decimal(20,0)") * X.dec(t, scale)
-    return s.select(k.alias("k"), n.alias("n"), top.cast("double").alias("top_sum"))
+    names = list(fractions)
+
+    def targets(n: Column):
+        return [(nm, n - F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(float(fractions[nm])))))
+                for nm in names]
+
+    hit = _order_stats(df, value, [], targets)
+    kt = hit.agg(*[F.max(F.when(F.col("_name") == nm, F.col("_n") - F.col("_rank"))).alias(f"k_{nm}")
+                   for nm in names],
+                 *[F.max(F.when(F.col("_name") == nm, F.col("_v"))).alias(f"t_{nm}") for nm in names])
+    sc = scalars(kt)
+    # thresholds are projected first (an aggregate may not take a subquery)
+    j = df.select(F.col(value).alias("_v"), *[sc[f"t_{nm}"].alias(f"t_{nm}") for nm in names])
+    v = F.col("_v")
+    aggs = []
+    for nm in names:
+        t = F.col(f"t_{nm}")
+        aggs += [F.sum(F.when(v > t, X.dec(v, scale))).alias(f"_above_{nm}"),
+                 X.count_if(v > t).alias(f"_n_{nm}"), F.max(t).alias(f"_t_{nm}")]
+    s = j.agg(*aggs)
+    out = []
+    for nm in names:
+        k = sc[f"k_{nm}"]
+        top = (F.coalesce(F.col(f"_above_{nm}"), F.lit(0).cast("decimal(18,0)"))
+               + (k - F.col(f"_n_{nm}")).cast("decimal(20,0)") * X.dec(F.col(f"_t_{nm}"), scale))
+        out += [k.alias(f"k_{nm}"), top.cast("double").alias(f"top_{nm}")]
+    return s.select(*out)
+
+
+def top_k_sum(df: DataFrame, value: str, fraction: float, scale: int = 2) -> DataFrame:
+    """Sum of the k = max(1, int(n * fraction)) largest values: one row
+    ``k``, ``top_sum``."""
+    r = top_k_sums(df, value, {"x": fraction}, scale)
+    return r.select(F.col("k_x").alias("k"), F.col("top_x").alias("top_sum"))
 
 
 def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), bounded: bool = False,
@@ -184,7 +210,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     """
     by = list(by)
     v = F.col(value).cast("double")
-    rng = scalars(df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")))
+    rng = scalars(df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")))  # one subquery
     j = df.where(F.col(value).isNotNull()).select(*by, v.alias("_x"), rng["_lo"].alias("_lo"), rng["_hi"].alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(0)).otherwise(

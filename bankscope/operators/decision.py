@@ -54,14 +54,11 @@ def priority_expr(risk: Column, value: Column, p: Column, score: Column) -> Colu
 
 def apply_recommendations(scoring: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Risk level, value level, action, rationale, priority, HNW override."""
-    ch = scoring.agg(F.percentile("churn_probability", F.array(
-        F.lit(params.risk_p_high), F.lit(params.risk_p_low))).alias("q"))
-    vq = scoring.agg(F.percentile("financial_value_score", F.array(
-        F.lit(params.value_p_high), F.lit(params.value_p_low))).alias("q"))
-    p65 = ch.select(F.col("q")[0]).scalar()
-    p35 = ch.select(F.col("q")[1]).scalar()
-    v_hi = vq.select(F.col("q")[0]).scalar()
-    v_lo = vq.select(F.col("q")[1]).scalar()
+    q = S.scalars(scoring.agg(
+        F.percentile("churn_probability", F.array(F.lit(params.risk_p_high), F.lit(params.risk_p_low))).alias("c"),
+        F.percentile("financial_value_score", F.array(F.lit(params.value_p_high), F.lit(params.value_p_low))).alias("v")))
+    p65, p35 = q["c"][0], q["c"][1]
+    v_hi, v_lo = q["v"][0], q["v"][1]
     risk = X.level_at_least("churn_probability", p65, p35)
     value = X.level_at_least("financial_value_score", v_hi, v_lo)
     df = scoring.withColumns({"risk_level": risk, "financial_value": value})

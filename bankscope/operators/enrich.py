@@ -68,16 +68,15 @@ def engagement_expr(max_recency: Column, max_tx90: Column) -> Column:
 
 def risk_tercile(df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:
     """Churn probability p33/p66 bands, right-closed (bounded grid)."""
-    q = df.agg(F.percentile("churn_probability", F.array(*[F.lit(p) for p in params.tercile_ps])).alias("q"))
-    return X.cut_right("churn_probability", [q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()],
-                       list(C.CLUSTER_NAMES))
+    q = S.scalars(df.agg(F.percentile("churn_probability", F.array(*[F.lit(p) for p in params.tercile_ps])).alias("q")))
+    return X.cut_right("churn_probability", [q["q"][0], q["q"][1]], list(C.CLUSTER_NAMES))
 
 
 def value_cluster(df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:
     """CLV p33/p66 bands, right-closed (CLV is unbounded: distributed
     order statistics instead of one percentile buffer)."""
-    q = S.quantile_row(df, "clv", {"p33": params.tercile_ps[0], "p66": params.tercile_ps[1]})
-    return X.cut_right("clv", [q.select("p33").scalar(), q.select("p66").scalar()], list(C.CLUSTER_NAMES))
+    q = S.scalars(S.quantile_row(df, "clv", {"p33": params.tercile_ps[0], "p66": params.tercile_ps[1]}))
+    return X.cut_right("clv", [q["p33"], q["p66"]], list(C.CLUSTER_NAMES))
 
 
 def composite_features(df: DataFrame, params: Params = DEFAULT_PARAMS, risk_cluster: Column | None = None) -> DataFrame:
@@ -88,12 +87,12 @@ def composite_features(df: DataFrame, params: Params = DEFAULT_PARAMS, risk_clus
     whole-table statistics are taken from the input frame, so no subquery
     nests another one.
     """
-    mx = df.agg(F.greatest(F.max(F.col("days_since_last_transaction").cast("double")), F.lit(1.0)).alias("r"),
-                F.greatest(F.max(F.col("transaction_count_90d").cast("double")), F.lit(1.0)).alias("t"))
+    mx = S.scalars(df.agg(F.greatest(F.max(F.col("days_since_last_transaction").cast("double")), F.lit(1.0)).alias("r"),
+                          F.greatest(F.max(F.col("transaction_count_90d").cast("double")), F.lit(1.0)).alias("t")))
     rc = risk_cluster if risk_cluster is not None else risk_tercile(df, params)
     vc = value_cluster(df, params)
     return df.withColumns({
-        "engagement_index": engagement_expr(mx.select("r").scalar(), mx.select("t").scalar()),
+        "engagement_index": engagement_expr(mx["r"], mx["t"]),
         "risk_adjusted_value_score": X.dround(_p("financial_value_score") * (X.dlit(1, 1, 0) - _p()), 4),
         "churn_probability_pct": X.dround(_p() * X.dlit(100, 3, 0), 1),
         "risk_cluster": rc,
@@ -108,10 +107,10 @@ def minmax_scaled(df: DataFrame, cols=("churn_probability", "net_profit_per_clie
     for c in cols:
         aggs += [F.min(F.coalesce(F.col(c), F.lit(0.0))).alias(f"{c}__lo"),
                  F.max(F.coalesce(F.col(c), F.lit(0.0))).alias(f"{c}__hi")]
-    mm = df.agg(*aggs)
+    mm = S.scalars(df.agg(*aggs))
     out = []
     for c in cols:
-        lo, hi = mm.select(f"{c}__lo").scalar(), mm.select(f"{c}__hi").scalar()
+        lo, hi = mm[f"{c}__lo"], mm[f"{c}__hi"]
         x = F.coalesce(F.col(c), F.lit(0.0)).cast("double")
         out.append(F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0)).alias(f"{c}_scaled"))
     return df.select("customer_id", *out)

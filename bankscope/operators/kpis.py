@@ -134,10 +134,11 @@ def kpi_clv(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     total / median; discount factor (4 dp)."""
     g = _levels(enr, ["segment"], [X.exact_sum("clv", 2).alias("_clv"), F.count("clv").alias("_n"),
                                     F.sum(F.when(_high(), X.dec("clv", 2))).alias("_risk")])
-    q_tot = S.quantiles(enr, "clv", {"median": 0.5, "p90": 0.9}, scale=2).withColumn("key", F.lit("ALL"))
-    q_seg = S.quantiles(enr.where(F.col("segment").isNotNull()), "clv", {"median": 0.5, "p90": 0.9}, ["segment"],
-                        scale=2).withColumnRenamed("segment", "key")
-    q = q_tot.unionByName(q_seg)
+    # one order-statistic search for the portfolio and every segment: rows are
+    # keyed 'ALL' and by segment (a narrow union, no shuffle of its own)
+    keyed = enr.select(F.lit("ALL").alias("key"), "clv").unionByName(
+        enr.where(F.col("segment").isNotNull()).select(F.col("segment").alias("key"), "clv"))
+    q = S.quantiles(keyed, "clv", {"median": 0.5, "p90": 0.9}, ["key"], scale=2)
     tot = F.col("dimension") == "total"
     return g.join(q, "key", "left").select(
         "dimension", "key",
@@ -158,8 +159,8 @@ def kpi_high_value_at_risk(enr: DataFrame) -> DataFrame:
                                      X.exact_sum("clv", 2).alias("_clv"),
                                      X.exact_sum("churn_probability", 4).alias("_p"),
                                      F.count("churn_probability").alias("_np")])
-    tot = enr.agg(F.count(F.lit(1)).alias("n"), X.exact_sum("predicted_revenue_annual", 2).alias("rev"))
-    n_all, rev_all = tot.select("n").scalar(), tot.select("rev").scalar()
+    tot = S.scalars(enr.agg(F.count(F.lit(1)).alias("n"), X.exact_sum("predicted_revenue_annual", 2).alias("rev")))
+    n_all, rev_all = tot["n"], tot["rev"]
     is_tot = F.col("dimension") == "total"
     return g.select(
         "dimension", "key", "count",
@@ -232,10 +233,9 @@ def kpi_revenue_concentration(enr: DataFrame) -> DataFrame:
     """A29 (T5): revenue share of the top 10 % / 20 % customers,
     k = max(1, int(n * p)); exact, tie-safe, fully distributed."""
     rev_all = enr.agg(X.exact_sum("predicted_revenue_annual", 2)).scalar()
-    t10 = S.top_k_sum(enr, "predicted_revenue_annual", 0.10)
-    t20 = S.top_k_sum(enr, "predicted_revenue_annual", 0.20)
-    j = S.one_row(enr.sparkSession, {"top_10pct_customer_count": t10.select("k").scalar(),
-                                     "_t10": t10.select("top_sum").scalar(), "_t20": t20.select("top_sum").scalar()})
+    t = S.top_k_sums(enr, "predicted_revenue_annual", {"10": 0.10, "20": 0.20})
+    j = t.select(F.col("k_10").alias("top_10pct_customer_count"), F.col("top_10").alias("_t10"),
+                 F.col("top_20").alias("_t20"))
     return j.select(
         X.round_pct(X.dec("_t10", 2), rev_all, 2, 2).alias("top_10pct_revenue_share"),
         F.bround("_t10", 2).alias("top_10pct_revenue_amount"),

@@ -42,8 +42,8 @@ CUSTOMER_MART_MAP = [
 def value_tier(clv: str, df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:
     """CLV p40/p70/p90 bands, right-closed -> Standard..Elite."""
     names = ["p40", "p70", "p90"]
-    q = S.quantile_row(df, clv, dict(zip(names, params.tier_ps)))
-    return X.cut_right(clv, [q.select(n).scalar() for n in names], list(C.VALUE_TIERS))
+    q = S.scalars(S.quantile_row(df, clv, dict(zip(names, params.tier_ps))))
+    return X.cut_right(clv, [q[n] for n in names], list(C.VALUE_TIERS))
 
 
 def age_band(age: str = "age") -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..functions import exprs as X
+from ..functions import stats as S
 from . import txfeatures as TXF
 
 SCORING_COLUMNS = [
@@ -85,8 +86,8 @@ def compute_clv(churn_preds: DataFrame, revenue_preds: DataFrame, params: Params
     j = churn_preds.join(revenue_preds, "customer_id", "inner")
     with_clv = j.select("customer_id", clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"),
                                                   params).alias("clv"))
-    rng = with_clv.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = S.scalars(with_clv.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi")))
+    lo, hi = rng["lo"], rng["hi"]
     return with_clv.select("customer_id", "clv", value_score_expr(F.col("clv"), lo, hi).alias("financial_value_score"))
 
 
@@ -107,8 +108,8 @@ def scoring_table(customers: DataFrame, churn_preds: DataFrame, revenue_preds: D
     both = F.col("_p").isNotNull() & F.col("_r").isNotNull()
     clv = F.when(both, clv_expr(F.col("_r"), F.col("_p"), params))
     j = j.withColumn("_clv", clv)
-    rng = j.agg(F.min("_clv").alias("lo"), F.max("_clv").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = S.scalars(j.agg(F.min("_clv").alias("lo"), F.max("_clv").alias("hi")))
+    lo, hi = rng["lo"], rng["hi"]
     return j.select(
         "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
         "churn_risk_score",
@@ -152,8 +153,8 @@ def add_value_score(base: DataFrame) -> DataFrame:
 
     Run it on a materialised base so the subquery is a scan, not a second
     evaluation of the joins behind the base."""
-    rng = base.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = S.scalars(base.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi")))
+    lo, hi = rng["lo"], rng["hi"]
     extra = [c for c in TXF.TX_FEATURE_COLUMNS if c in base.columns]
     return base.withColumn("financial_value_score", value_score_expr(F.col("clv"), lo, hi)).select(
         *SCORING_COLUMNS, *extra)

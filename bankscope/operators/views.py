@@ -225,7 +225,8 @@ def roi_scenarios(df: DataFrame, rates: Sequence[float] = (50.0,), costs: Sequen
     grid = spark.createDataFrame([(float(r), float(c)) for r in rates for c in costs],
                                  "success_rate_pct double, cost_per_customer double")
     tot = df.agg(X.exact_sum("revenue_at_risk", 2).alias("_rar"), X.count_if(_high()).alias("_hr"))
-    rar, hr = tot.select("_rar").scalar(), tot.select("_hr").scalar()
+    sc = S.scalars(tot)
+    rar, hr = sc["_rar"], sc["_hr"]
     saved = X.dround(rar * F.col("success_rate_pct").cast("decimal(10,4)") / F.lit(100), 2)
     cost = X.dround(hr.cast("decimal(20,0)") * F.col("cost_per_customer").cast("decimal(14,2)"), 2)
     out = grid.select("success_rate_pct", "cost_per_customer", saved.alias("revenue_saved"),
@@ -273,7 +274,7 @@ def quadrant_expr(clv_p75: Column, churn_line: float = 65.0) -> Column:
 
 def risk_value_quadrant(mart: DataFrame) -> DataFrame:
     """Fixed 65 % churn line x CLV p75 -> four quadrant counts."""
-    p75 = S.quantile_row(mart, "clv_5yr", {"p75": 0.75}).select("p75").scalar()
+    p75 = S.scalars(S.quantile_row(mart, "clv_5yr", {"p75": 0.75}))["p75"]
     return mart.withColumn("quadrant", quadrant_expr(p75)).groupBy("quadrant").agg(
         F.count("customer_id").alias("count"))
 

@@ -168,7 +168,7 @@ def _scoring_general(spark, d):
                             preds.select("customer_id", "predicted_revenue_annual"))
 
 
-register("scoring_table", O.q("scoring", "SELECT * FROM scoring"))(_scoring_general)
+register("scoring_table", O.q("scoring", "SELECT * FROM scoring"))(lambda s, d: fixture_stages(s, d).scoring)
 register("recommendations", O.q("rec", "SELECT * FROM rec"))(lambda s, d: _rec(s, d))
 
 register("portfolio_metrics", O.q("rec", f"""

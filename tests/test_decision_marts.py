@@ -143,3 +143,12 @@ def test_series_of_one_month_has_no_trend_kpis(spark):
     one = spark.createDataFrame([("2023-01", 10.0, 5)], "calendar_ym string, estimated_monthly_revenue double, "
                                                           "transaction_volume bigint")
     assert K.kpi_time_series(one).count() == 0
+
+
+def test_general_scoring_table_equals_staged_scorer(spark, stages):
+    """C3 with separate prediction tables gives the same table as the
+    single-join deterministic scorer used by the pipeline."""
+    from bankscope.plans.catalog import _scoring_general
+    a = sorted(tuple(r) for r in _scoring_general(spark, SF_SMALL).collect())
+    b = sorted(tuple(r) for r in stages.scoring.collect())
+    assert a == b
