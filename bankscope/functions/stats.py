@@ -52,6 +52,16 @@ def one_row(spark, cols: dict[str, Column]) -> DataFrame:
     return spark.range(1).select(*[c.alias(n) for n, c in cols.items()])
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where null keys match (a null group is a group)."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataFrame:
     """Values at given 0-based ascending ranks, per group.
 
@@ -69,18 +79,22 @@ def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataF
     w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = part.withColumn("_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
     totals = part.groupBy(*by).agg(F.sum("_pc").alias("_n"))
-    pos = local.join(offs.select("_pid", *by, "_off"), ["_pid", *by]).select(
+    pos = _join_null_safe(local, offs.select("_pid", *by, "_off"), ["_pid", *by]).select(
         *by, v.alias("_v"), (F.col("_off") + F.col("_before")).alias("_lo"),
         (F.col("_off") + F.col("_before") + F.col("_c")).alias("_hi"))
+    # The wanted ranks are functions of the group size n: attach n (one
+    # scalar, or a per-group equi-join with a table of one row per group) and
+    # keep, on every value row, the ranks that fall in its [lo, hi) range.
+    # No range join, and no group is gathered into one task.
+    if by:
+        pos = _join_null_safe(pos, totals, by)
+    else:
+        pos = pos.withColumn("_n", totals.agg(F.max("_n")).scalar())
     tg = targets(F.col("_n"))
-    tcols = F.array(*[F.struct(F.lit(name).alias("_name"), r.cast("bigint").alias("_rank")) for name, r in tg])
-    want = totals.select(*by, F.col("_n"), F.explode(tcols).alias("_t")).select(
-        *by, "_n", F.col("_t._name").alias("_name"), F.col("_t._rank").alias("_rank"))
-    cond = (pos["_lo"] <= want["_rank"]) & (want["_rank"] < pos["_hi"])
-    for b in by:
-        cond = cond & pos[b].eqNullSafe(want[b])
-    hit = want.join(pos, cond, "inner").select(*[want[b] for b in by], want["_name"], want["_n"],
-                                                want["_rank"], pos["_v"])
+    arr = F.array(*[F.struct(F.lit(name).alias("_name"), r.cast("bigint").alias("_rank")) for name, r in tg])
+    inside = F.filter(arr, lambda t: (t["_rank"] >= F.col("_lo")) & (t["_rank"] < F.col("_hi")))
+    hit = pos.select(*by, "_n", "_v", F.explode(inside).alias("_t")).select(
+        *by, "_n", F.col("_t._name").alias("_name"), F.col("_t._rank").alias("_rank"), "_v")
     return hit
 
 

@@ -53,3 +53,9 @@ def test_stable_sample_ignores_partitioning(spark):
     a = {r[0] for r in S.stable_sample(df.repartition(3), 100, 42).collect()}
     b = {r[0] for r in S.stable_sample(df.repartition(11), 100, 42).collect()}
     assert a == b and len(a) == 100
+
+
+def test_quantiles_keep_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    got = {r["g"]: r["m"] for r in S.quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
