@@ -110,6 +110,7 @@ def kpi_revenue_at_risk(enr: DataFrame) -> DataFrame:
     g = _levels(enr, ["segment", "region"], [X.exact_sum("revenue_at_risk", 2).alias("_rar"),
                                                X.exact_sum("predicted_revenue_annual", 2).alias("_rev")])
     return g.select("dimension", "key", X.dround(F.col("_rar"), 2).alias("revenue_at_risk"),
+                    X.format_money(X.dround(F.col("_rar"), 2)).alias("value_formatted"),
                     X.round_pct(F.col("_rar"), F.col("_rev"), 2, 2).alias("pct_of_revenue"))
 
 
@@ -124,6 +125,7 @@ def kpi_churn_rate(enr: DataFrame) -> DataFrame:
         "dimension", "key", "n_customers",
         F.when(tot, X.round_ratio(F.col("_hr") * F.lit(100), F.col("n_customers"), 2))
          .otherwise(X.round_ratio(F.col("_hr") * F.lit(100), F.col("n_customers"), 1)).alias("churn_rate_pct"),
+        X.format_pct(X.round_ratio(F.col("_hr") * F.lit(100), F.col("n_customers"), 1), 1).alias("value_formatted"),
         X.dround(F.col("_p"), 0).cast("bigint").alias("expected_annual_loss_count"),
         X.round_avg(F.col("_p"), F.col("_np"), 4, 4).alias("avg_churn_probability"),
     )
@@ -143,6 +145,7 @@ def kpi_clv(enr: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     return g.join(q, "key", "left").select(
         "dimension", "key",
         X.dround(F.col("_clv"), 2).alias("total_clv"),
+        X.format_money(X.dround(F.col("_clv"), 2)).alias("total_clv_formatted"),
         X.round_avg(F.col("_clv"), F.col("_n"), 2, 2).alias("avg_clv"),
         X.dround(F.col("median"), 2).alias("median_clv"),
         F.when(tot, X.dround(F.col("p90"), 2)).alias("p90_clv"),
@@ -182,6 +185,7 @@ def kpi_net_profit(enr: DataFrame) -> DataFrame:
     return g.select(
         "dimension", "key",
         X.dround(F.col("_np"), 2).alias("total_net_profit"),
+        X.format_money(X.dround(F.col("_np"), 2)).alias("total_net_profit_formatted"),
         X.round_avg(F.col("_np"), F.col("_nnp"), 2, 2).alias("avg_net_profit"),
         X.dround(F.col("_m"), 2).alias("total_margin"),
         X.dround(F.col("_c"), 2).alias("total_cost"),
@@ -300,6 +304,22 @@ def kpi_summary(enr: DataFrame) -> DataFrame:
     )
 
 
+# KPI catalogue: names and codes are the report's keys; the formula texts are
+# our own short wording.
+KPI_CATALOGUE = [
+    ("revenue_at_risk", "Revenue at Risk", "RAR", "sum of annual revenue x churn probability"),
+    ("churn_rate", "Churn Rate", "CR", "High-risk customers / all customers x 100"),
+    ("customer_lifetime_value", "Customer Lifetime Value", "CLV",
+     "revenue x margin x (1 - churn probability) x discounted 5-year annuity"),
+    ("high_value_at_risk", "High-Value Customers at Risk", "HVAR", "customers with High risk and High value"),
+    ("net_profit_per_segment", "Net Profit per Segment", "NPS_SEG", "sum of (margin - cost to serve) by segment"),
+    ("engagement_distribution", "Engagement Score Distribution", "ESD",
+     "0.3 active days + 0.3 90-day frequency + 0.2 online share + 0.2 recency"),
+    ("revenue_concentration", "Revenue Concentration Index", "RCI", "revenue of the top 10 % customers / all revenue"),
+    ("time_series", "Time-Series KPIs", "TS", "latest month, 6-month OLS slope, peak month, means"),
+]
+
+
 def kpi_report(enr: DataFrame, ts: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """One row: metadata, summary and the eight KPI blocks as structs /
     arrays of structs (each block is a small aggregate; nothing is collected)."""
@@ -321,4 +341,6 @@ def kpi_report(enr: DataFrame, ts: DataFrame, params: Params = DEFAULT_PARAMS) -
     cols = {}
     for p in parts:
         cols.update(S.scalars(p))  # every part is one row: one scalar subquery per block
+    cols["catalogue"] = F.array(*[F.struct(F.lit(k).alias("kpi"), F.lit(n).alias("name"), F.lit(c).alias("code"),
+                                           F.lit(f).alias("formula")) for k, n, c, f in KPI_CATALOGUE])
     return S.one_row(enr.sparkSession, cols)

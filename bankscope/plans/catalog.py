@@ -280,6 +280,7 @@ def levels_sql(dims: list[str], measures: str, where: str = "TRUE", src: str = "
 
 register("kpi_rar", O.q("enr", levels_sql(["segment", "region"], f"""
 {O.dr(O.esum('revenue_at_risk', 2), 2)} AS revenue_at_risk,
+'$' || format('{{:,.0f}}', round_even({O.dr(O.esum('revenue_at_risk', 2), 2)}, 0)) AS value_formatted,
 {O.rpct(O.esum('revenue_at_risk', 2), O.esum('predicted_revenue_annual', 2), 2, 2)} AS pct_of_revenue""")))(
     lambda s, d: K.kpi_revenue_at_risk(_enr(s, d)))
 
@@ -288,6 +289,7 @@ register("kpi_churn", O.q("enr", f"""
 SELECT dimension, "key", n_customers,
        CASE WHEN dimension = 'total' THEN {O.rr('hr * 100', 'n_customers', 2)} ELSE {O.rr('hr * 100', 'n_customers', 1)} END
          AS churn_rate_pct,
+       format('{{:,.1f}}', {O.rr('hr * 100', 'n_customers', 1)}) || '%' AS value_formatted,
        CAST(round_even(p, 0) AS BIGINT) AS expected_annual_loss_count,
        {O.ravg('p', 'np', 4, 4)} AS avg_churn_probability
 FROM ({levels_sql(['segment'], f"count(*) AS n_customers, {_HR} AS hr, {O.esum('churn_probability', 4)} AS p, count(churn_probability) AS np")})"""))(
@@ -298,7 +300,9 @@ def _clvq() -> str:
 
 
 register("kpi_clv", O.q("enr", f"""
-SELECT l.dimension, l."key", {O.dr('l.s', 2)} AS total_clv, {O.ravg('l.s', 'l.n', 2, 2)} AS avg_clv,
+SELECT l.dimension, l."key", {O.dr('l.s', 2)} AS total_clv,
+       '$' || format('{{:,.0f}}', round_even({O.dr('l.s', 2)}, 0)) AS total_clv_formatted,
+       {O.ravg('l.s', 'l.n', 2, 2)} AS avg_clv,
        CAST(round_even(q.median, 2) AS DOUBLE) AS median_clv,
        CASE WHEN l.dimension = 'total' THEN CAST(round_even(q.p90, 2) AS DOUBLE) END AS p90_clv,
        CASE WHEN l.dimension = 'total' THEN {O.dr('coalesce(l.r, 0)', 2)} END AS clv_at_risk,
@@ -320,7 +324,9 @@ FROM ({levels_sql(['segment'], f"count(customer_id) AS \"count\", {O.esum('predi
     lambda s, d: K.kpi_high_value_at_risk(_enr(s, d)))
 
 register("kpi_net_profit", O.q("enr", f"""
-SELECT dimension, "key", {O.dr('np', 2)} AS total_net_profit, {O.ravg('np', 'nnp', 2, 2)} AS avg_net_profit,
+SELECT dimension, "key", {O.dr('np', 2)} AS total_net_profit,
+       '$' || format('{{:,.0f}}', round_even({O.dr('np', 2)}, 0)) AS total_net_profit_formatted,
+       {O.ravg('np', 'nnp', 2, 2)} AS avg_net_profit,
        {O.dr('m', 2)} AS total_margin, {O.dr('c', 2)} AS total_cost, n_customers,
        CASE WHEN dimension = 'total' THEN {O.rpct('np', 'rev', 2, 2)} END AS overall_profit_margin_pct
 FROM ({levels_sql(['segment'], f"{O.esum('net_profit_per_client', 2)} AS np, count(net_profit_per_client) AS nnp, {O.esum('estimated_margin_per_client', 2)} AS m, {O.esum('cost_to_serve', 2)} AS c, count(customer_id) AS n_customers, {O.esum('predicted_revenue_annual', 2)} AS rev")})"""))(
