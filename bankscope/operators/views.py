@@ -299,15 +299,16 @@ def region_risk_map(agg: DataFrame) -> DataFrame:
 def profitability_heatmap(agg: DataFrame) -> DataFrame:
     """V6: segment x region profitability ratio (1 dp), missing cells 0.
 
-    Pivot (one column per region present) then unpivot back to rows: every
-    segment gets every region, empty cells filled with 0, as the heat map
-    shows them.  The level has at most segments x regions rows."""
+    Every segment gets every region of that level (the heat-map grid): the
+    regions are one sorted array value (a scalar subquery, bounded by the
+    number of regions) exploded on each segment row, then the ratios are
+    left-joined; empty cells are 0."""
     sr = at_level(agg, "by_segment_region").select("segment", "region", "profitability_ratio")
-    regions = [r[0] for r in sr.select("region").distinct().orderBy("region").collect()]  # column labels only
-    wide = sr.groupBy("segment").pivot("region", regions).agg(F.first("profitability_ratio"))
-    long = wide.unpivot("segment", regions, "region", "profitability_ratio")
-    return long.select("segment", "region",
-                       F.bround(F.coalesce(F.col("profitability_ratio"), F.lit(0.0)), 1).alias("profitability_ratio"))
+    regions = sr.agg(F.array_sort(F.collect_set("region"))).scalar()
+    grid = sr.select("segment").distinct().select("segment", F.explode(regions).alias("region"))
+    j = grid.join(sr, ["segment", "region"], "left")
+    return j.select("segment", "region",
+                    F.bround(F.coalesce(F.col("profitability_ratio"), F.lit(0.0)), 1).alias("profitability_ratio"))
 
 
 def profitability_table(agg: DataFrame) -> DataFrame:
