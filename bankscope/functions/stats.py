@@ -76,20 +76,31 @@ def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataF
     w_local = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(w_local), F.lit(0)))
     part = local.groupBy("_pid", *by).agg(F.sum("_c").alias("_pc"))
-    w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = part.withColumn("_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
-    totals = part.groupBy(*by).agg(F.sum("_pc").alias("_n"))
-    pos = _join_null_safe(local, offs.select("_pid", *by, "_off"), ["_pid", *by]).select(
-        *by, v.alias("_v"), (F.col("_off") + F.col("_before")).alias("_lo"),
-        (F.col("_off") + F.col("_before") + F.col("_c")).alias("_hi"))
-    # The wanted ranks are functions of the group size n: attach n (one
-    # scalar, or a per-group equi-join with a table of one row per group) and
-    # keep, on every value row, the ranks that fall in its [lo, hi) range.
-    # No range join, and no group is gathered into one task.
-    if by:
-        pos = _join_null_safe(pos, totals, by)
+    if not by:
+        # One small scalar: the per-partition counts (one entry per range
+        # partition) with their prefix sums, and the total n.
+        a = F.array_sort(F.collect_list(F.struct(F.col("_pid"), F.col("_pc"))))
+        zero = F.lit(0).cast("bigint")
+        stats_row = part.agg(a.alias("a")).select(
+            F.map_from_entries(F.transform(F.col("a"), lambda x, i: F.struct(
+                x["_pid"], F.aggregate(F.slice(F.col("a"), 1, i), zero, lambda acc, y: acc + y["_pc"])))).alias("off"),
+            F.aggregate(F.col("a"), zero, lambda acc, y: acc + y["_pc"]).alias("n"))
+        sc = scalars(stats_row)
+        off = F.element_at(sc["off"], F.col("_pid"))
+        pos = local.select(v.alias("_v"), (off + F.col("_before")).alias("_lo"),
+                           (off + F.col("_before") + F.col("_c")).alias("_hi"), sc["n"].alias("_n"))
     else:
-        pos = pos.withColumn("_n", totals.agg(F.max("_n")).scalar())
+        w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offs = part.withColumn("_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
+        totals = part.groupBy(*by).agg(F.sum("_pc").alias("_n"))
+        pos = _join_null_safe(local, offs.select("_pid", *by, "_off"), ["_pid", *by]).select(
+            *by, v.alias("_v"), (F.col("_off") + F.col("_before")).alias("_lo"),
+            (F.col("_off") + F.col("_before") + F.col("_c")).alias("_hi"))
+        # The wanted ranks are functions of the group size n: attach n (a
+        # per-group equi-join with a table of one row per group) and keep, on
+        # every value row, the ranks that fall in its [lo, hi) range.  No range
+        # join, and no group is gathered into one task.
+        pos = _join_null_safe(pos, totals, by)
     tg = targets(F.col("_n"))
     arr = F.array(*[F.struct(F.lit(name).alias("_name"), r.cast("bigint").alias("_rank")) for name, r in tg])
     inside = F.filter(arr, lambda t: (t["_rank"] >= F.col("_lo")) & (t["_rank"] < F.col("_hi")))
