@@ -14,7 +14,7 @@ transaction roll-up.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,13 +40,45 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
-@dataclass
 class Stages:
-    customers: DataFrame
-    transactions: DataFrame
-    scoring: DataFrame
-    recommendations: DataFrame
-    enriched: DataFrame
+    """The pipeline's stages for one fixture directory, built on first use.
+
+    ``scoring`` (one customers LEFT JOIN transaction roll-up, carrying the
+    churn score, both predictions and the nine behavioural features),
+    ``recommendations`` and ``enriched`` are each written once to the
+    checkpoint folder when first needed; a query that only needs the scoring
+    table never builds the later stages.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cal: Calendar, params: Params):
+        self.spark, self.sf_dir, self.cal, self.params = spark, sf_dir, cal, params
+        self.customers = FX.customers(spark, sf_dir, cal)
+        self.transactions = FX.transactions(spark, sf_dir, cal)
+
+    @cached_property
+    def _base(self) -> DataFrame:
+        cal, params = self.cal, self.params
+        # the transactions are scanned once: the churn score (last order) comes
+        # from the same roll-up as the predictions and features
+        return materialize(SC.exact_scoring_base(
+            FX.customers(self.spark, self.sf_dir, cal, with_score=False), self.transactions, cal, params,
+            keep_features=True, churn_score_from_last=lambda last: FX.churn_score_expr(last, cal)), "scoring")
+
+    @cached_property
+    def _rec(self) -> DataFrame:
+        return materialize(D.apply_recommendations(SC.add_value_score(self._base), self.params), "recommendations")
+
+    @property
+    def scoring(self) -> DataFrame:
+        return SC.add_value_score(self._base).select(*SC.SCORING_COLUMNS)
+
+    @property
+    def recommendations(self) -> DataFrame:
+        return self._rec.select(*D.REC_COLUMNS)
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return materialize(E.enrich_from(self._rec, self.params), "enriched")
 
 
 _CACHE: dict = {}
@@ -54,29 +86,15 @@ _CACHE: dict = {}
 
 def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR,
                    params: Params = DEFAULT_PARAMS, reuse: bool = True) -> Stages:
-    """Customers, transactions and the three materialised stages for a
-    fixture directory (deterministic scorer, tercile risk clusters).
-
-    Within one session the materialised stages are shared by every query on
-    the same directory and parameters.
+    """Stages of the deterministic-scorer pipeline over a fixture directory
+    (tercile risk clusters).  Within one session they are shared by every
+    query on the same directory and parameters.
     """
     key = (sf_dir.rstrip("/"), repr(cal), repr(params))
     hit = _CACHE.get(key)
     if reuse and hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
         return hit[1]
-    cust = FX.customers(spark, sf_dir, cal)
-    tx = FX.transactions(spark, sf_dir, cal)
-    # One join of customers with the transaction roll-up carries the churn
-    # score (last order), both predictions and the nine behavioural features:
-    # the transactions are scanned once.
-    base = materialize(SC.exact_scoring_base(FX.customers(spark, sf_dir, cal, with_score=False), tx, cal, params,
-                                             keep_features=True,
-                                             churn_score_from_last=lambda last: FX.churn_score_expr(last, cal)),
-                       "scoring")
-    scoring = SC.add_value_score(base)
-    rec = materialize(D.apply_recommendations(scoring, params), "recommendations")
-    enriched = materialize(E.enrich_from(rec, params), "enriched")
-    st = Stages(cust, tx, scoring.select(*SC.SCORING_COLUMNS), rec.select(*D.REC_COLUMNS), enriched)
+    st = Stages(spark, sf_dir, cal, params)
     if reuse:
         _CACHE[key] = (spark, st)
     return st
