@@ -61,9 +61,15 @@ def _fa(spark, d):
     return M.financial_aggregates(_enr(spark, d))
 
 
+def _risk(spark, d):
+    """Per-customer risk columns for the monthly series: a projection of the
+    recommendations stage (revenue at risk is a row expression), so the
+    time-series queries do not need the enriched stage."""
+    return E.financial_features(fixture_stages(spark, d).recommendations)
+
+
 def _ts(spark, d):
-    st = fixture_stages(spark, d)
-    return M.time_series(st.transactions, st.enriched)
+    return M.time_series(fixture_stages(spark, d).transactions, _risk(spark, d))
 
 
 # -- sources -------------------------------------------------------------------
@@ -238,8 +244,7 @@ SELECT calendar_ym, CAST(transaction_volume AS BIGINT) AS transaction_volume, to
 
 
 def _mrisk(spark, d, cols):
-    st = fixture_stages(spark, d)
-    return M.monthly_risk(st.transactions, st.enriched).select(*cols)
+    return M.monthly_risk(fixture_stages(spark, d).transactions, _risk(spark, d)).select(*cols)
 
 
 _RISK_COLS = ["calendar_ym", "avg_churn_probability", "high_risk_active_count", "monthly_revenue_at_risk"]
