@@ -287,7 +287,7 @@ register("kpi_rar", O.q("enr", levels_sql(["segment", "region"], f"""
 {O.dr(O.esum('revenue_at_risk', 2), 2)} AS revenue_at_risk,
 '$' || format('{{:,.0f}}', round_even({O.dr(O.esum('revenue_at_risk', 2), 2)}, 0)) AS value_formatted,
 {O.rpct(O.esum('revenue_at_risk', 2), O.esum('predicted_revenue_annual', 2), 2, 2)} AS pct_of_revenue""")))(
-    lambda s, d: K.kpi_revenue_at_risk(_enr(s, d)))
+    lambda s, d: K.kpi_revenue_at_risk(_risk(s, d)))
 
 _HR = "count(*) FILTER (WHERE risk_level = 'High')"
 register("kpi_churn", O.q("enr", f"""
@@ -298,7 +298,7 @@ SELECT dimension, "key", n_customers,
        CAST(round_even(p, 0) AS BIGINT) AS expected_annual_loss_count,
        {O.ravg('p', 'np', 4, 4)} AS avg_churn_probability
 FROM ({levels_sql(['segment'], f"count(*) AS n_customers, {_HR} AS hr, {O.esum('churn_probability', 4)} AS p, count(churn_probability) AS np")})"""))(
-    lambda s, d: K.kpi_churn_rate(_enr(s, d)))
+    lambda s, d: K.kpi_churn_rate(_risk(s, d)))
 
 def _clvq() -> str:
     return f"{qexact('clv', 0.5, 2)} AS median, {qexact('clv', 0.9, 2)} AS p90"
@@ -315,7 +315,7 @@ SELECT l.dimension, l."key", {O.dr('l.s', 2)} AS total_clv,
 FROM ({levels_sql(['segment'], f"{O.esum('clv', 2)} AS s, count(clv) AS n, sum({O.d2('clv')}) FILTER (WHERE risk_level = 'High') AS r")}) l
 LEFT JOIN (SELECT 'ALL' AS "key", {_clvq()} FROM enr
            UNION ALL SELECT segment AS "key", {_clvq()} FROM enr WHERE segment IS NOT NULL GROUP BY segment) q
-  ON l."key" = q."key" """))(lambda s, d: K.kpi_clv(_enr(s, d)))
+  ON l."key" = q."key" """))(lambda s, d: K.kpi_clv(_risk(s, d)))
 
 _CRIT = "risk_level = 'High' AND financial_value = 'High'"
 register("kpi_hvar", O.q("enr", f"""
@@ -326,7 +326,7 @@ SELECT dimension, "key", "count",
        CASE WHEN dimension = 'total' THEN {O.rpct('coalesce(rev, 0)', '(SELECT ' + O.esum('predicted_revenue_annual', 2) + ' FROM enr)', 2, 2)} END
          AS pct_of_total_revenue
 FROM ({levels_sql(['segment'], f"count(customer_id) AS \"count\", {O.esum('predicted_revenue_annual', 2)} AS rev, {O.esum('clv', 2)} AS clv, {O.esum('churn_probability', 4)} AS p, count(churn_probability) AS np", where=_CRIT)})"""))(
-    lambda s, d: K.kpi_high_value_at_risk(_enr(s, d)))
+    lambda s, d: K.kpi_high_value_at_risk(_risk(s, d)))
 
 register("kpi_net_profit", O.q("enr", f"""
 SELECT dimension, "key", {O.dr('np', 2)} AS total_net_profit,
@@ -335,7 +335,7 @@ SELECT dimension, "key", {O.dr('np', 2)} AS total_net_profit,
        {O.dr('m', 2)} AS total_margin, {O.dr('c', 2)} AS total_cost, n_customers,
        CASE WHEN dimension = 'total' THEN {O.rpct('np', 'rev', 2, 2)} END AS overall_profit_margin_pct
 FROM ({levels_sql(['segment'], f"{O.esum('net_profit_per_client', 2)} AS np, count(net_profit_per_client) AS nnp, {O.esum('estimated_margin_per_client', 2)} AS m, {O.esum('cost_to_serve', 2)} AS c, count(customer_id) AS n_customers, {O.esum('predicted_revenue_annual', 2)} AS rev")})"""))(
-    lambda s, d: K.kpi_net_profit(_enr(s, d)))
+    lambda s, d: K.kpi_net_profit(_risk(s, d)))
 
 _CORR_PARTS = (f"count(*) FILTER (WHERE engagement_index IS NOT NULL AND churn_probability IS NOT NULL) AS cn, "
                f"sum({O.d4('engagement_index')}) AS sx, sum({O.d4('churn_probability')}) AS sy, "
@@ -366,7 +366,7 @@ SELECT {O.rpct(_topk_sql(0.1), '(SELECT ' + O.esum('predicted_revenue_annual', 2
        {O.dr(_topk_sql(0.1), 2)} AS top_10pct_revenue_amount,
        {O.rpct(_topk_sql(0.2), '(SELECT ' + O.esum('predicted_revenue_annual', 2) + ' FROM enr)', 2, 2)} AS top_20pct_revenue_share,
        greatest(1, CAST(floor((SELECT count(*) FROM enr) * 0.1) AS BIGINT)) AS top_10pct_customer_count"""))(
-    lambda s, d: K.kpi_revenue_concentration(_enr(s, d)))
+    lambda s, d: K.kpi_revenue_concentration(_risk(s, d)))
 
 register("kpi_time_series", O.q("ts", f"""
 SELECT (SELECT max(calendar_ym) FROM ts) AS latest_month,
@@ -439,11 +439,11 @@ SELECT customer_id, segment_label, age_band, region, churn_probability_pct, clv_
 
 register("view_v01_risk_distribution", O.q("enr", f"""
 SELECT risk_level, count(*) AS "count", {O.rr('count(*) * 100', '(SELECT count(*) FROM enr)', 2)} AS pct
-FROM enr GROUP BY risk_level"""))(lambda s, d: V.risk_distribution(_enr(s, d)))
+FROM enr GROUP BY risk_level"""))(lambda s, d: V.risk_distribution(_risk(s, d)))
 
 register("view_v02_rar_by_segment_high", O.q("enr", f"""
 SELECT segment, {O.dr(O.esum('revenue_at_risk', 2), 2)} AS revenue_at_risk FROM enr
-WHERE risk_level = 'High' AND segment IS NOT NULL GROUP BY segment"""))(lambda s, d: V.rar_by_segment_high(_enr(s, d)))
+WHERE risk_level = 'High' AND segment IS NOT NULL GROUP BY segment"""))(lambda s, d: V.rar_by_segment_high(_risk(s, d)))
 
 
 def _box_sql(value: str, by: list[str], src: str, dp: int, where: str = "TRUE", grid: int | None = 4) -> str:
@@ -460,7 +460,7 @@ def _box_sql(value: str, by: list[str], src: str, dp: int, where: str = "TRUE",
 
 
 register("view_v03_churn_box_by_segment", O.q("enr", _box_sql("churn_probability", ["segment"], "enr", 4)))(
-    lambda s, d: V.box_stats(_enr(s, d), "churn_probability", ["segment"], grid=4))
+    lambda s, d: V.box_stats(_risk(s, d), "churn_probability", ["segment"], grid=4))
 register("view_v04_engagement_box", O.q("enr", _box_sql("engagement_index", ["segment", "risk_level"], "enr", 4)))(
     lambda s, d: V.box_stats(_enr(s, d), "engagement_index", ["segment", "risk_level"], grid=4))
 
@@ -488,7 +488,7 @@ SELECT segment, count(customer_id) AS customers, {O.ravg(O.esum('churn_probabili
        {O.dr(O.esum('revenue_at_risk', 2), 2)} AS revenue_at_risk, {O.dr(O.esum('net_profit_per_client', 2), 2)} AS net_profit,
        {O.rr(_HR + ' * 100', 'count(customer_id)', 1)} AS churn_rate_pct,
        {O.rpct(O.esum('revenue_at_risk', 2), O.esum('predicted_revenue_annual', 2), 2, 1)} AS rar_pct
-FROM enr WHERE segment IS NOT NULL GROUP BY segment"""))(lambda s, d: V.segment_summary(_enr(s, d)))
+FROM enr WHERE segment IS NOT NULL GROUP BY segment"""))(lambda s, d: V.segment_summary(_risk(s, d)))
 
 register("view_v11_streak_analysis", O.q("enr", f"""
 SELECT inactivity_streak, count(customer_id) AS n_customers,
@@ -506,14 +506,14 @@ WHERE value_cluster IS NOT NULL AND segment IS NOT NULL GROUP BY ALL"""))(
 register("view_v15_action_segment", O.q("enr", """
 SELECT segment, recommended_action, count(customer_id) AS "count" FROM enr
 WHERE segment IS NOT NULL AND recommended_action IS NOT NULL GROUP BY ALL"""))(
-    lambda s, d: V.counts_by(_enr(s, d), ["segment", "recommended_action"]))
+    lambda s, d: V.counts_by(_risk(s, d), ["segment", "recommended_action"]))
 register("view_v16_priority_heatmap", O.q("enr", f"""
 SELECT g.risk_level, g.financial_value, {O.ravg('e.s', 'e.n', 4, 4)} AS avg_priority
 FROM (SELECT * FROM (VALUES ('High'), ('Medium'), ('Low')) a(risk_level),
                     (VALUES ('High'), ('Medium'), ('Low')) b(financial_value)) g
 LEFT JOIN (SELECT risk_level, financial_value, {O.esum('priority_score', 4)} AS s, count(priority_score) AS n
            FROM enr GROUP BY ALL) e USING (risk_level, financial_value)"""))(
-    lambda s, d: V.priority_heatmap(_enr(s, d)))
+    lambda s, d: V.priority_heatmap(_risk(s, d)))
 register("view_v17_churn_histogram", O.q("enr", _hist_sql("churn_probability", 50, ["segment"], "enr")))(
     lambda s, d: V.histogram_by(_enr(s, d), "churn_probability", 50))
 
@@ -525,7 +525,7 @@ SELECT {O.dr(O.esum('predicted_revenue_annual', 2), 2)} AS total_revenue, {O.dr(
 FROM enr WHERE segment IN ('retail', 'premium') AND risk_level IN ('High', 'Medium')
   AND income BETWEEN 40000.0 AND 200000.0 AND recommended_action IN ({", ".join(O._q(a) for a in _F3['actions'])})
   AND region IN ('AMERICA', 'ASIA', 'EUROPE')"""))(
-    lambda s, d: V.executive_cards(V.filter_portfolio(_enr(s, d), **_F3)))
+    lambda s, d: V.executive_cards(V.filter_portfolio(_risk(s, d), **_F3)))
 
 _RATES, _COSTS = (25.0, 50.0, 75.0), (250.0, 500.0, 1000.0)
 register("roi_scenarios", O.q("enr", f"""
@@ -538,7 +538,7 @@ FROM (SELECT g.success_rate_pct, g.cost_per_customer,
       FROM (SELECT * FROM (VALUES {", ".join(f"({r}::DOUBLE)" for r in _RATES)}) a(success_rate_pct),
                           (VALUES {", ".join(f"({c}::DOUBLE)" for c in _COSTS)}) b(cost_per_customer)) g
       CROSS JOIN (SELECT {O.esum('revenue_at_risk', 2)} AS rar, {_HR} AS hr FROM enr) t)"""))(
-    lambda s, d: V.roi_scenarios(_enr(s, d), _RATES, _COSTS))
+    lambda s, d: V.roi_scenarios(_risk(s, d), _RATES, _COSTS))
 
 register("view_v25_churn_histogram_5pt", O.q("mart", """
 SELECT segment, CAST(floor(churn_probability_pct / 5.0) * 5 AS INTEGER) AS bin_start_pct, count(customer_id) AS "count"
@@ -648,7 +648,7 @@ SELECT step, label, amount FROM (
              UNION ALL SELECT 2, 'Revenue Saved', r.saved
              UNION ALL SELECT 3, 'Programme Cost', -r.cost
              UNION ALL SELECT 4, 'Net ROI', round_even(r.saved - r.cost, 2)) x)
-"""))(lambda s, d: V.roi_waterfall(_enr(s, d)))
+"""))(lambda s, d: V.roi_waterfall(_risk(s, d)))
 
 
 def _model_query(kind: str):
@@ -740,7 +740,7 @@ WHERE (SELECT count(*) FROM ts) >= 2"""))(lambda s, d: V.trend_cards(_ts(s, d)))
 def _report_summary(spark, d):
     """V40 (S10 + S11): KPI summary written as a JSON report, read back."""
     from ..sources import readers, sinks
-    path = sinks.write_report(K.kpi_summary(_enr(spark, d)).select(F.struct("*").alias("summary")),
+    path = sinks.write_report(K.kpi_summary(_risk(spark, d)).select(F.struct("*").alias("summary")),
                               _scratch(spark, "kpi-report") + ".json")
     r = readers.read_report(spark, path)
     return r.select("summary.*").select(*[F.col(c).cast("bigint" if c == "critical_customers" else "double").alias(c)
