@@ -31,6 +31,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
+        # nothing reads the status store of a local test/bench session: keep it
+        # small so it does not grow with every job of a long run
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "100")
+        .config("spark.ui.retainedTasks", "2000")
+        .config("spark.sql.ui.retainedExecutions", "20")
     )
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
