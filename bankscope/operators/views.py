@@ -62,10 +62,13 @@ def dashboard_filters(df: DataFrame, spec: Mapping[str, object]) -> DataFrame:
     return df.where(cond)
 
 
-def search_customer(df: DataFrame, text: str) -> DataFrame:
-    """F4 + V24: case-insensitive substring search on the id; first hit by id."""
-    pat = "(?i)" + "".join("\\" + ch if not ch.isalnum() else ch for ch in text.strip())
-    return df.where(F.col("customer_id").rlike(pat)).orderBy("customer_id").limit(1)
+def search_customer(df: DataFrame, text: str, regex: bool = True) -> DataFrame:
+    """F4 + V24: case-insensitive search on the id (a regular expression, as
+    in the original dashboard; ``regex=False`` for a literal substring);
+    the first hit by id.  The limit is the feature (one profile)."""
+    t = text.strip()
+    body = t if regex else "".join("\\" + ch if not ch.isalnum() else ch for ch in t)
+    return df.where(F.col("customer_id").rlike("(?i)" + body)).orderBy("customer_id").limit(1)
 
 
 def top_n(df: DataFrame, col: str, n: int, key: str = "customer_id") -> DataFrame:

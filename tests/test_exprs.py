@@ -73,3 +73,11 @@ def test_safe_ratio_and_maps(spark):
 def test_month_label_and_date(spark):
     assert one(spark, X.month_label(F.lit(5), dt.date(2023, 1, 1))) == "2023-06"
     assert one(spark, X.month_date(F.lit("2023-06"))) == dt.date(2023, 6, 1)
+
+
+def test_search_is_case_insensitive_regex(spark):
+    from bankscope.operators.views import search_customer
+    df = spark.createDataFrame([("CID_0012",), ("cid_0120",), ("X9",)], "customer_id string")
+    assert search_customer(df, "cid_01").first()["customer_id"] == "CID_0012"
+    assert search_customer(df, "0.2").first()["customer_id"] == "CID_0012"
+    assert search_customer(df, "0.2", regex=False).first() is None
