@@ -78,6 +78,6 @@ def test_month_label_and_date(spark):
 def test_search_is_case_insensitive_regex(spark):
     from bankscope.operators.views import search_customer
     df = spark.createDataFrame([("CID_0012",), ("cid_0120",), ("X9",)], "customer_id string")
-    assert search_customer(df, "cid_01").first()["customer_id"] == "CID_0012"
+    assert search_customer(df, "cid_001").first()["customer_id"] == "CID_0012"
     assert search_customer(df, "0.2").first()["customer_id"] == "CID_0012"
     assert search_customer(df, "0.2", regex=False).first() is None
