@@ -373,7 +373,10 @@ def kpi_cards(agg: DataFrame) -> DataFrame:
                .otherwise("green"))
          .when(F.col("rule") == "profit", F.when(F.col("value") < 0, "red").otherwise("green"))
          .when(F.col("rule") == "static blue", "blue").when(F.col("rule") == "static green", "green")
-         .otherwise("red").alias("color"))
+         .otherwise("red").alias("color"),
+        F.when(F.col("rule") == "rar", F.concat(F.lit("("), X.format_pct(X.dround(X.dec("_rar_pct", 2), 1), 1),
+                                                 F.lit(" of total revenue)")))
+         .when(F.col("label") == "Critical Accounts", F.lit("High-value + High-risk")).alias("sub_label"))
 
 
 def samples(df: DataFrame, n: int, seed: int, cols: Sequence[str]) -> DataFrame:

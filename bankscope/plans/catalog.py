@@ -603,7 +603,10 @@ SELECT label, "value",
             THEN format('{:,.1f}', CAST(round_even(CAST("value" AS DECIMAL(18,2)), 1) AS DOUBLE)) || '%'
             WHEN label = 'Critical Accounts' THEN format('{:,.0f}', "value")
             ELSE '$' || format('{:,.0f}', round_even("value", 0)) END AS value_formatted,
-       color
+       color,
+       CASE WHEN label = 'Revenue at Risk'
+            THEN '(' || format('{:,.1f}', CAST(round_even(CAST(rar_pct AS DECIMAL(18,2)), 1) AS DOUBLE)) || '% of total revenue)'
+            WHEN label = 'Critical Accounts' THEN 'High-value + High-risk' END AS sub_label
 FROM (SELECT 'Total Annual Revenue' AS label, total_revenue AS "value", 'blue' AS color FROM fa WHERE aggregation_level = 'total'
       UNION ALL SELECT 'Revenue at Risk', total_revenue_at_risk,
         CASE WHEN revenue_at_risk_pct > 5 THEN 'red' WHEN revenue_at_risk_pct >= 3 THEN 'amber' ELSE 'green' END
@@ -614,7 +617,8 @@ FROM (SELECT 'Total Annual Revenue' AS label, total_revenue AS "value", 'blue' A
       UNION ALL SELECT '5-Year Customer CLV', total_clv, 'green' FROM fa WHERE aggregation_level = 'total'
       UNION ALL SELECT 'Net Portfolio Profit', total_net_profit, CASE WHEN total_net_profit < 0 THEN 'red' ELSE 'green' END
         FROM fa WHERE aggregation_level = 'total'
-      UNION ALL SELECT 'Critical Accounts', CAST(critical_count AS DOUBLE), 'red' FROM fa WHERE aggregation_level = 'total')"""))(
+      UNION ALL SELECT 'Critical Accounts', CAST(critical_count AS DOUBLE), 'red' FROM fa WHERE aggregation_level = 'total')
+CROSS JOIN (SELECT revenue_at_risk_pct AS rar_pct FROM fa WHERE aggregation_level = 'total')"""))(
     lambda s, d: V.kpi_cards(_fa(s, d)))
 register("view_v41_engagement_cards", O.q("enr", f"""
 SELECT {O.ravg(O.esum('engagement_index', 4), 'count(engagement_index)', 4, 4)} AS avg_engagement,
