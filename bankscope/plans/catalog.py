@@ -717,7 +717,7 @@ def _mart_job(spark, d):
     from .jobs import run_mart_job
     out = _scratch(spark, "mart-job")
     run_mart_job(spark, _rec(spark, d), _tx(spark, d), out)
-    return spark.read.parquet(f"{out}/tableau/financial_aggregates.parquet")
+    return spark.read.parquet(f"{out}/marts/financial_aggregates.parquet")
 
 
 register("scoring_job", O.q("rec", "SELECT * FROM rec"))(_scoring_job)

@@ -85,7 +85,7 @@ def run_mart_job(spark: SparkSession, recommendations: DataFrame, transactions:
     fa = materialize(M.financial_aggregates(enriched), "financial_aggregates")
     ts = materialize(M.time_series(transactions, enriched, cal, params), "time_series")
     paths.update(sinks.export_marts({"customer_table": cust, "financial_aggregates": fa, "time_series": ts},
-                                    f"{base}/tableau"))
+                                    f"{base}/marts"))
     paths["kpi_report"] = sinks.write_report(K.kpi_report(enriched, ts, params), f"{base}/kpis/kpi_report.json")
     paths["dashboard_cards"] = sinks.write_report(_report({"kpi_cards": V.kpi_cards(fa)}),
                                                   f"{base}/specs/dashboard_cards.json")
