@@ -152,3 +152,12 @@ def test_general_scoring_table_equals_staged_scorer(spark, stages):
     a = sorted(tuple(r) for r in _scoring_general(spark, SF_SMALL).collect())
     b = sorted(tuple(r) for r in stages.scoring.collect())
     assert a == b
+
+
+def test_stages_are_built_only_when_read(spark):
+    from bankscope.plans.pipeline import fixture_stages as fs
+    st = fs(spark, SF_SMALL, reuse=False)
+    assert st.scoring.count() == st.customers.count()
+    assert "_base" in st.__dict__ and "_rec" not in st.__dict__ and "enriched" not in st.__dict__
+    st.recommendations.count()
+    assert "_rec" in st.__dict__ and "enriched" not in st.__dict__
