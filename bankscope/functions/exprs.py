@@ -20,12 +20,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# DECIMAL scales used for exact arithmetic.
-MONEY4 = DecimalType(18, 4)   # transaction amounts (4 dp after /100)
-MONEY2 = DecimalType(18, 2)   # rounded money (2 dp)
-PROB4 = DecimalType(10, 4)    # probabilities and scores (4 dp)
-
-
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

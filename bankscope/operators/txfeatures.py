@@ -165,7 +165,7 @@ def spend_trend(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
         "customer_id", "spending_volatility", "spending_trend_slope", "inactivity_streak")
 
 
-def _known_channel_ratios(act_cols: bool = True) -> tuple[Column, Column]:
+def _known_channel_ratios() -> tuple[Column, Column]:
     known = F.col("n_online") + F.col("n_atm") + F.col("n_branch")
     den = F.when(known == 0, F.lit(1)).otherwise(known).cast("double")
     has = F.col("n_chan") > 0
