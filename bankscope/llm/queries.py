@@ -5,18 +5,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op7_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                    "base_failed", "kept", "failed")
+
+
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_language_mixture,)}
+QUERIES = {f.__name__: f for f in (op7_adaptive_rules, op9_language_mixture)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {}
