@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, rules
+from . import langid, pii, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,11 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_adaptive_rules, op9_language_mixture)}
+def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {}
