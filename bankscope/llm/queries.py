@@ -4,14 +4,21 @@ applies one operator, with production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, pii, rules
+from . import knn, langid, pii, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = knn.integers(_table(spark, sf_dir, "embeddings"))
+    return (knn.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+
+
 def op7_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -26,7 +33,18 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op6_voronoi_top_k, op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_voronoi_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, d.vec_id,
+                     list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i]))::bigint as score
+              from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0)
+        select query_id, cast(row_number() over w as int) as "rank", vec_id, score from s
+        window w as (partition by query_id order by score desc, vec_id)
+        qualify row_number() over w <= 5""",
+}
