@@ -6,13 +6,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import knn, langid, pii, rules
+from . import knn, langid, pii, rules, wordtable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _tokenizer(path: str | None = None) -> str:
+    """The JSON of a public tokenizer; the driver reads it, tasks get its text."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordtable.digests(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
 def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = knn.integers(_table(spark, sf_dir, "embeddings"))
     return (knn.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
@@ -33,7 +45,7 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_voronoi_top_k, op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op3_word_table_bpe, op6_voronoi_top_k, op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {
