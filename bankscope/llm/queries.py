@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import knn, langid, pii, rules, wordtable
+from . import knn, langid, packing, pii, rules, wordtable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "base_failed", "kept", "failed")
 
 
+def op8_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_word_table_bpe, op6_voronoi_top_k, op7_adaptive_rules, op9_language_mixture, op10_feistel_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op3_word_table_bpe, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {
