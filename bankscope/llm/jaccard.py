@@ -15,7 +15,6 @@ what these links already join needs no further comparison.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, slices, stage, utf8
+from .common import components_by_signature, slices, stage, utf8
 from .wordtable import UNIT, cut_words
 
 #: Cells of a part; a signature leaves out one.
@@ -182,38 +181,7 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         both = pairs.join(x, "x").join(y, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
         return both.select("x", "y", (F.col("both") * b >= (F.size("sx") + F.size("sy") - F.col("both")) * a).alias("linked"))
 
-    def ordered(p: DataFrame) -> DataFrame:
-        return p.select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct()
-
-    checked: list[DataFrame] = []
-    component = None
-    for r in range(ROUNDS + 1):
-        m = members.withColumn("component", F.col("rep"))
-        if component is not None:
-            m = members.join(component, F.col("rep") == F.col("id"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
-        m = stage(m, "jaccard-state") if component is not None else m
-        if r < ROUNDS:
-            one = m.groupBy("sig").agg(F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), F.col("rep").alias("q"), F.col("component").alias("c"))).alias("one"),
-                                       F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            pairs = m.join(one.select("sig", "one.q", "one.c"), "sig").where("component <> c").select(F.col("rep").alias("p"), "q")
-        else:
-            # whatever is still apart: all pairs of sets of different components
-            several = m.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
-            groups = m.join(several, "sig").select("sig", "component").distinct()
-            apart = groups.join(groups.withColumnRenamed("component", "other"), "sig").where("component < other")
-            pairs = (apart.join(m.withColumnRenamed("rep", "p"), ["sig", "component"])
-                     .join(m.select("sig", F.col("component").alias("other"), F.col("rep").alias("q")), ["sig", "other"]).select("p", "q"))
-        pairs = ordered(pairs)
-        for c in checked:
-            pairs = pairs.join(c.select("x", "y"), ["x", "y"], "left_anti")
-        found = stage(verify(pairs), "jaccard-pairs")
-        checked.append(found)
-        if found.isEmpty():
-            break
-        links = reduce(DataFrame.unionByName, checked).where("linked")
-        component = connected_components(links, "x", "y")
-        component = stage(component, "jaccard-components")
-    links = reduce(DataFrame.unionByName, checked).where("linked")
+    component, links = components_by_signature(members.withColumn("code", F.lit(0)), verify, ROUNDS)
     degree = links.select(F.explode(F.array("x", "y")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links_found"))
     by_class = classes.join(component, F.col("rep") == F.col("id"), "left").drop("id") if component is not None else classes.withColumn("component", F.lit(None).cast("long"))
     by_class = (by_class.join(degree, F.col("rep") == F.col("id"), "left")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, knn, langid, packing, pii, rules, wordtable
+from . import jaccard, knn, langid, lines, packing, pii, rules, wordtable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def _tokenizer(path: str | None = None) -> str:
         return f.read()
 
 
+def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_partenum_join, op3_word_table_bpe, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op1_simhash_lines, op2_partenum_join, op3_word_table_bpe, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {
