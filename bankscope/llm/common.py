@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -35,7 +36,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._llm_path = path
+    return out
+
+
+def release(*stages: DataFrame) -> None:
+    """Delete the files of stages that nothing reads any more, and let Spark
+    clean the shuffle files of plans that are no longer referred to."""
+    for df in stages:
+        jvm, path = df.sparkSession._jvm, df._llm_path
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    SparkSession.getActiveSession()._jvm.System.gc()
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

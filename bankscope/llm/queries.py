@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hpylm, jaccard, knn, langid, lines, packing, pii, rules, wordtable
+from . import hpylm, jaccard, knn, langid, lines, packing, pii, rules, suffix, wordtable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordtable.digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op5_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpylm.score(_table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_lines, op2_partenum_join, op3_word_table_bpe, op5_pitman_yor_scores, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op1_simhash_lines, op2_partenum_join, op3_word_table_bpe, op4_suffix_family, op5_pitman_yor_scores, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {
