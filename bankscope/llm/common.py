@@ -124,8 +124,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
 
 
-def components_by_signature(members: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 4,
-                            near: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame | None, DataFrame]:
+#: Members of a signature up to which all its pairs are simply joined.
+FEW = 24
+
+
+def components_by_signature(members: DataFrame, verify: Callable[[DataFrame], DataFrame], large: Callable[[DataFrame], DataFrame],
+                            rounds: int = 2, near: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame | None, DataFrame]:
     """Components (id, component; None without a link) of the graph whose
     edges are the pairs of ``members`` (sig, rep, code) that share a
     signature and pass ``near`` (of their codes) and ``verify``; and the
@@ -135,37 +139,48 @@ def components_by_signature(members: DataFrame, verify: Callable[[DataFrame], Da
     some rounds the members of a signature are compared with one of them
     only, so that a group of copies costs as many comparisons as it has
     members; a signature whose members are then all joined is done.  At the
-    end all pairs that are still apart are compared: no link is missed.
+    end all that are still apart are compared, so no link is missed: the
+    pairs of signatures with few members are joined; ``large`` takes the
+    members (sig, rep, code, component) of the others and gives the pairs
+    (x, y) that are linked or, at the least, near, block by block.
     """
     near = near or (lambda a, b: F.lit(True))
     checked: list[DataFrame] = []
     component = None
-    for r in range(rounds + 1):
+
+    def state() -> DataFrame:
         if component is None:
-            m = members.withColumn("component", F.col("rep"))
-        else:
-            m = stage(members.join(component, F.col("rep") == F.col("id"), "left")
-                      .select("sig", "rep", "code", F.coalesce("component", "rep").alias("component")), "members")
-        if r < rounds:
-            one = F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), F.col("rep").alias("q"), F.col("component").alias("c"), F.col("code").alias("d")))
-            apart = m.groupBy("sig").agg(one.alias("one"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            pairs = (m.join(apart.select("sig", "one.q", "one.c", "one.d"), "sig")
-                     .where((F.col("component") != F.col("c")) & near(F.col("code"), F.col("d"))).select(F.col("rep").alias("p"), "q"))
-        else:
-            # whatever is still apart: all pairs of members of different components
-            apart = m.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
-            groups = stage(m.join(apart, "sig").select("sig", "component").distinct(), "groups")
-            two = groups.join(groups.withColumnRenamed("component", "other"), "sig").where("component < other")
-            pairs = (two.join(m.select("sig", "component", F.col("rep").alias("p"), F.col("code").alias("c")), ["sig", "component"])
-                     .join(m.select("sig", F.col("component").alias("other"), F.col("rep").alias("q"), F.col("code").alias("d")), ["sig", "other"])
-                     .where(near(F.col("c"), F.col("d"))).select("p", "q"))
+            return members.withColumn("component", F.col("rep"))
+        return stage(members.join(component, F.col("rep") == F.col("id"), "left")
+                     .select("sig", "rep", "code", F.coalesce("component", "rep").alias("component")), "members")
+
+    def check(pairs: DataFrame) -> DataFrame | None:
+        """Verify new pairs; the components with their links."""
         pairs = pairs.select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct()
         for c in checked:
             pairs = pairs.join(c.select("x", "y"), ["x", "y"], "left_anti")
         found = stage(verify(pairs), "pairs")
         checked.append(found)
-        if not found.where("linked").isEmpty():
-            component = stage(connected_components(reduce(DataFrame.unionByName, checked).where("linked"), "x", "y"), "components")
-        elif found.isEmpty():
-            break
+        if found.where("linked").isEmpty():
+            return component
+        return stage(connected_components(reduce(DataFrame.unionByName, checked).where("linked"), "x", "y"), "components")
+
+    for r in range(rounds):
+        m = state()
+        one = F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), F.col("rep").alias("q"), F.col("component").alias("c"), F.col("code").alias("d")))
+        apart = m.groupBy("sig").agg(one.alias("one"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        component = check(m.join(apart.select("sig", "one.q", "one.c", "one.d"), "sig")
+                          .where((F.col("component") != F.col("c")) & near(F.col("code"), F.col("d"))).select(F.col("rep").alias("p"), "q"))
+    m = state()
+    apart = (m.groupBy("sig").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low <> high").select("sig", "n"))
+    m = stage(m.join(apart, "sig"), "apart")
+    few = m.where(F.col("n") <= FEW).drop("n")
+    pairs = (few.select("sig", F.col("rep").alias("p"), F.col("component").alias("a"), F.col("code").alias("c"))
+             .join(few.select("sig", F.col("rep").alias("q"), F.col("component").alias("b"), F.col("code").alias("d")), "sig")
+             .where((F.col("a") < F.col("b")) & near(F.col("c"), F.col("d"))).select("p", "q"))
+    many = m.where(F.col("n") > FEW).drop("n")
+    if not many.isEmpty():
+        pairs = pairs.unionByName(large(many).select(F.col("x").alias("p"), F.col("y").alias("q")))
+    component = check(pairs)
     return component, reduce(DataFrame.unionByName, checked).where("linked")

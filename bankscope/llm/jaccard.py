@@ -9,7 +9,10 @@ Candidates come from shared signatures and are checked exactly.
 
 A group of copies shares most signatures.  Sets that are equal count once,
 and each set of a signature is first compared with one of its sets only;
-what these links already join needs no further comparison.
+what these links already join needs no further comparison.  What stays apart
+though many sets share its signature is compared in blocks, by matrix
+products: without a row for each pair, though the products themselves grow
+with the square of such a group.
 """
 
 from __future__ import annotations
@@ -23,23 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components_by_signature, slices, stage, utf8
-from .wordtable import UNIT, cut_words
+from .wordtable import UNIT, cut_words, hash_words, mixed, pack as pack_int, pack_long, unpack, unpack_long
 
 #: Cells of a part; a signature leaves out one.
 CELLS = 3
 #: A band's sizes differ by less than the similarity to this power.
 BAND = 3
-#: Rounds in which each signature's sets are compared with one of them.
-ROUNDS = 4
-_M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """64 well-mixed bits of each number, one to one."""
-    x = x + _M1
-    x = (x ^ (x >> np.uint64(30))) * _M2
-    x = (x ^ (x >> np.uint64(27))) * _M3
-    return x ^ (x >> np.uint64(31))
+#: Features of the sets that are signed together.
+GROUP = 1 << 21
+#: The bits of a signature that are kept: unlike subsets that agree in them
+#: cost a comparison, no more.
+_KEPT = np.uint64((1 << 48) - 1)
+#: Sets of a block, where many sets share a signature.
+BLOCK = 512
+_STEP = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def feature_sets(raw: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -49,8 +49,7 @@ def feature_sets(raw: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndar
     raw[(raw >= 65) & (raw <= 90)] += 32
     words, counts = cut_words(raw, at)
     coded = words.dictionary_encode()
-    h = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    h = h[coded.indices.to_numpy(zero_copy_only=False)] if len(h) else np.empty(0, np.uint64)
+    h = hash_words(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
     ends = np.append(0, np.cumsum(counts))
     for i, n in enumerate(counts.tolist()):
         w = h[ends[i]:ends[i + 1]]
@@ -60,7 +59,7 @@ def feature_sets(raw: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndar
             continue
         s = np.full(n - take + 1, take, np.uint64)
         for k in range(take):
-            s = _mixed(s * _M2 + w[k:k + n - take + 1])
+            s = mixed(s * _STEP + w[k:k + n - take + 1])
         yield np.unique(s)
 
 
@@ -89,17 +88,17 @@ def signatures(features: np.ndarray, similarity: tuple[int, int], edges: np.ndar
         # differences of two similar sets: (b - a) / (b + a) of their sizes
         k = (b - a) * 2 * largest // (b + a)
         if k == 0:
-            out.append(_mixed(np.array([np.sum(_mixed(features)) ^ np.uint64(band)], np.uint64)))
+            out.append(mixed(np.array([np.sum(mixed(features)) ^ np.uint64(band)], np.uint64)))
             continue
         parts = k // 2 + 1
-        m = _mixed(features ^ _mixed(np.array([band], np.uint64)))
+        m = mixed(features ^ mixed(np.array([band], np.uint64)))
         cell = (m % np.uint64(parts)).astype(np.int64) * CELLS + ((m >> np.uint64(40)) % np.uint64(CELLS)).astype(np.int64)
         sums = np.zeros(parts * CELLS, np.uint64)
-        np.add.at(sums, cell, _mixed(m))
+        np.add.at(sums, cell, mixed(m))
         sums = sums.reshape(parts, CELLS)
         left = sums.sum(1, keepdims=True, dtype=np.uint64) - sums
         place = np.arange(parts * CELLS, dtype=np.uint64).reshape(parts, CELLS) + np.uint64(band << 40)
-        out.append(_mixed(left + _mixed(place)).ravel())
+        out.append(mixed(left + mixed(place)).ravel())
     return np.concatenate(out)
 
 
@@ -110,12 +109,67 @@ def _each(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int |
             yield from zip(b.column(0).slice(i, j - i).to_pylist(), feature_sets(raw[at[i]:at[j]], at[i:j + 1] - at[i], size), strict=True)
 
 
+def _groups_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+    """The sets of some megabytes of text at a time."""
+    group, total = [], 0
+    for i, f in _each(batches, size):
+        group.append((i, f))
+        total += len(f)
+        if total >= GROUP:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
+
+
 def _node(features: np.ndarray) -> tuple[int, int]:
     """Two signed 64-bit numbers that stand for a set."""
     x = xxhash.xxh3_128_digest(features.tobytes())
     return int.from_bytes(x[:8], "big", signed=True), int.from_bytes(x[8:], "big", signed=True)
 
 
+def _block_links(a: int, b: int):
+    """For two blocks of sets, or one with itself: links that join what their
+    components leave apart."""
+    def run(table: pa.Table) -> pa.Table:
+        rep, component = (table.column(c).to_numpy() for c in ("rep", "component"))
+        lists = table.column("set").combine_chunks()
+        n = np.diff(lists.offsets.to_numpy())
+        _, feature, count = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(n)), n)
+        use = count[feature] > 1
+        number = np.cumsum(count > 1) - 1
+        row, feature = row[use], number[feature[use]]
+        order = np.argsort(feature, kind="stable")
+        row, feature = row[order], feature[order]
+        common = np.zeros((len(n), len(n)), np.float32)
+        for lo in range(0, int(feature[-1]) + 1 if len(feature) else 0, 4096):
+            i, j = np.searchsorted(feature, (lo, lo + 4096))
+            x = np.zeros((len(n), 4096), np.float32)
+            x[row[i:j], feature[i:j] - lo] = 1
+            common += x @ x.T
+        common = common.astype(np.int64)
+        linked = common * b >= (n[:, None] + n[None, :] - common) * a
+        x, y = np.nonzero(linked & (component[:, None] < component[None, :]))
+        # of all links those that join two groups, by union and find over the components
+        parent = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        out = []
+        for u, v in zip(x.tolist(), y.tolist(), strict=True):
+            p, q = find(int(component[u])), find(int(component[v]))
+            if p != q:
+                parent[p] = q
+                out.append((rep[u], rep[v]))
+        return pa.table({"x": pa.array([u for u, _ in out], pa.int64()), "y": pa.array([v for _, v in out], pa.int64())})
+
+    return run
+
+
 def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100),
          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links_found) of every row of ``docs``.
@@ -131,6 +185,7 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
     """
     a, b = similarity
     edges = _band_edges(similarity)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,18 +202,57 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         return out
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, node, total = [], [], 0
-        for i, f in _each(batches, size):
-            if i is not None and len(f):
-                s = signatures(f, similarity, edges)
-                sig.append(s.view(np.int64))
-                node.append(np.full(len(s), _node(f)[0], np.int64))
-                total += len(s)
-            if total >= 1 << 17:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig)), pa.array(np.concatenate(node))], names=["sig", "node"])
-                sig, node, total = [], [], 0
-        if sig:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig)), pa.array(np.concatenate(node))], names=["sig", "node"])
+        for group in _groups_of(batches, size):
+            nodes, sets = zip(*{_node(f)[0]: f for i, f in group if i is not None and len(f)}.items(), strict=True) if any(
+                i is not None and len(f) for i, f in group) else ((), ())
+            if not nodes:
+                continue
+            signed = [signatures(f, similarity, edges) & _KEPT for f in sets]
+            sig = np.concatenate(signed)
+            who = np.repeat(np.array(nodes, np.int64), [len(x) for x in signed])
+            order = np.argsort(sig, kind="stable")
+            sig, who = sig[order], who[order]
+            # of sets here that share a signature one goes on for all; the others are members already
+            first = np.append(True, sig[1:] != sig[:-1])
+            more = ~first
+            shared = np.append(more[1:], False) & first  # those that go on for others too
+            rows = [(int(who[0]) % parts, False, pack_long(sig[more]), pack_long(who[more].view(np.uint64)), None)] if more.any() else []
+            s, w, flag = sig[first], who[first], shared[first]
+            part = (s >> np.uint64(16)).astype(np.int64) * parts >> 32
+            cut = np.searchsorted(part, np.arange(parts + 1))
+            for p in range(parts):
+                i, j = cut[p], cut[p + 1]
+                if i < j:
+                    there, at = np.unique(w[i:j], return_inverse=True)
+                    rows.append((p, True, pack_long(np.diff(s[i:j], prepend=np.uint64(0))), pack_long(there.view(np.uint64)),
+                                 pack_int(at.astype(np.uint32) * 2 + flag[i:j])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "open", "sigs", "nodes", "at"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        """The signatures of a part that different sets share, and who."""
+        out_s, out_w, sigs, who, flags = [], [], [], [], []
+        for r in table.to_pylist():
+            nodes = unpack_long(r["nodes"]).view(np.int64)
+            if r["open"]:
+                at = unpack(r["at"])
+                sigs.append(np.cumsum(unpack_long(r["sigs"]), dtype=np.uint64))
+                who.append(nodes[at >> 1])
+                flags.append(at & 1)
+            else:
+                out_s.append(unpack_long(r["sigs"]))
+                out_w.append(nodes)
+        if sigs:
+            s, w, f = (np.concatenate(x) for x in (sigs, who, flags))
+            order = np.lexsort((w, s))
+            s, w, f = s[order], w[order], f[order]
+            run = np.cumsum(np.append(False, s[1:] != s[:-1]))
+            several = np.append(False, (s[1:] == s[:-1]) & (w[1:] != w[:-1])) | (f > 0)
+            use = np.bincount(run, weights=several)[run] > 0
+            out_s.append(s[use])
+            out_w.append(w[use])
+        return pa.table({"sig": np.concatenate(out_s).view(np.int64), "node": np.concatenate(out_w)}) if out_s else pa.table(
+            {"sig": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, f in _each(batches, size):
@@ -166,9 +260,8 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
 
     described = stage(d.mapInArrow(describe, "doc_id long, n long, node long, check long"), "jaccard-documents")
     classes = (described.where("n > 0 and doc_id is not null").groupBy("node", "check").agg(F.min("doc_id").alias("rep")))
-    signed = d.mapInArrow(sign, "sig long, node long")
-    shared = signed.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("sig")
-    members = signed.join(stage(shared, "jaccard-shared"), "sig").distinct()
+    signed = d.mapInArrow(sign, "part int, open boolean, sigs binary, nodes binary, at binary")
+    members = signed.groupBy("part").applyInArrow(gather, "sig long, node long").distinct()
     # from here on a set is its smallest document
     members = stage(members.join(classes, "node").select("sig", "rep"), "jaccard-members")
     wanted = members.select("rep").distinct()
@@ -181,7 +274,19 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         both = pairs.join(x, "x").join(y, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
         return both.select("x", "y", (F.col("both") * b >= (F.size("sx") + F.size("sy") - F.col("both")) * a).alias("linked"))
 
-    component, links = components_by_signature(members.withColumn("code", F.lit(0)), verify, ROUNDS)
+    def blocks(many: DataFrame) -> DataFrame:
+        """Links between components in the signatures that many sets share:
+        matrix products of blocks of sets, each cluster of signatures once."""
+        degree = many.groupBy("rep").agg(F.count("*").alias("degree"))
+        central = many.join(degree, "rep").groupBy("sig").agg(F.max(F.struct("degree", "rep")).alias("one"))
+        cluster = many.join(central, "sig").select(F.col("one.rep").alias("cluster"), "rep", "component").distinct()
+        size = cluster.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+        dealt = cluster.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+        pairs = dealt.select("cluster", "rep", "component", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+        pairs = pairs.select("cluster", "rep", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        return pairs.join(sets, "rep").groupBy("cluster", "i", "j").applyInArrow(_block_links(a, b), "x long, y long").distinct()
+
+    component, links = components_by_signature(members.withColumn("code", F.lit(0)), verify, blocks)
     degree = links.select(F.explode(F.array("x", "y")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links_found"))
     by_class = classes.join(component, F.col("rep") == F.col("id"), "left").drop("id") if component is not None else classes.withColumn("component", F.lit(None).cast("long"))
     by_class = (by_class.join(degree, F.col("rep") == F.col("id"), "left")
