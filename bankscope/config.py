@@ -2,8 +2,8 @@
 
 Everything that the pipeline treats as a tunable constant lives in one of
 two frozen dataclasses so that jobs can run over any observation window
-(the fixture tables use a 1999-2001 window, the original generator a
-2023-2024 one) without editing operator code.
+(the fixture tables span 1995-2001, the original generator 2023-2024)
+without editing operator code.
 """
 
 from __future__ import annotations
@@ -16,14 +16,15 @@ from dataclasses import dataclass, field
 class Calendar:
     """Observation window of the transaction history.
 
-    ``end`` is ``start + obs_days`` (723 days for a 24-month window); the
-    recency and trailing-window features are measured against it.  Months
-    are indexed ``0 .. n_months-1`` from ``start``.
+    ``end`` is ``start + obs_days``; the recency and trailing-window features
+    are measured against it.  Months are indexed ``0 .. n_months-1`` from
+    ``start``; transactions of other months count in all but the month grid.
+    The default spans the whole of the fixture's orders.
     """
 
-    start: _dt.date = _dt.date(1999, 8, 1)
-    n_months: int = 24
-    obs_days: int = 723
+    start: _dt.date = _dt.date(1995, 1, 1)
+    n_months: int = 80
+    obs_days: int = 2404
     recent_days: tuple[int, int] = (30, 90)
 
     @property
@@ -38,12 +39,6 @@ class Calendar:
     def cut_90(self) -> _dt.date:
         return self.end - _dt.timedelta(days=self.recent_days[1])
 
-    @property
-    def window_end(self) -> _dt.date:
-        """First day after the last calendar month (exclusive upper bound)."""
-        y, m = divmod(self.start.month - 1 + self.n_months, 12)
-        return _dt.date(self.start.year + y, m + 1, 1)
-
     @property
     def centre(self) -> float:
         """Mean of the month indices 0..n-1, used by the closed-form slope."""
@@ -64,7 +59,6 @@ SEGMENTS = ("retail", "premium", "high_net_worth")
 COST_TO_SERVE = {"retail": 180.0, "premium": 320.0, "high_net_worth": 600.0}
 DEFAULT_COST_TO_SERVE = 250.0
 LEVELS = ("High", "Medium", "Low")
-LEVEL_WEIGHT = {"High": 3, "Medium": 2, "Low": 1}
 RETAIN_PREMIUM = "Retain - Premium Offer"
 RETAIN_STANDARD = "Retain - Standard Offer"
 CROSS_SELL = "Cross-Sell Opportunity"
@@ -108,16 +102,6 @@ AGE_BAND_EDGES = (17, 29, 39, 49, 59, 75)
 AGE_BANDS = ("18-29", "30-39", "40-49", "50-59", "60+")
 CLUSTER_NAMES = ("low", "medium", "high")
 
-# Rationale per action: our own wording (descriptive text only).
-ACTION_RATIONALE = {
-    RETAIN_PREMIUM: "High churn risk on a high-value account: escalate to a relationship manager with a premium retention package.",
-    RETAIN_STANDARD: "High churn risk on a medium-value account: proactive outreach with a fee waiver or product upgrade.",
-    CROSS_SELL: "Stable account with measurable value: candidate for additional products.",
-    MONITOR: "Elevated risk or weakening activity: watch engagement before intervening.",
-    NO_ACTION: "Stable account without a risk or opportunity signal: re-evaluate next cycle.",
-}
-
-
 def _annuity(rate: float, years: int) -> float:
     return sum(1.0 / (1.0 + rate) ** t for t in range(1, years + 1))
 
@@ -129,7 +113,6 @@ class Params:
     margin_rate: float = 0.18
     discount_rate: float = 0.10
     clv_years: int = 5
-    months_observed: int = 24
     risk_p_high: float = 0.65
     risk_p_low: float = 0.35
     value_p_high: float = 0.75
@@ -148,11 +131,6 @@ class Params:
         """Sum over t=1..years of (1+r)^-t (3.7907867694... for 10 %, 5 y)."""
         return _annuity(self.discount_rate, self.clv_years)
 
-    @property
-    def revenue_scale(self) -> float:
-        """Volume -> annual revenue: 12 / months_observed * margin."""
-        return 12.0 / self.months_observed * self.margin_rate
-
 
 DEFAULT_CALENDAR = Calendar()
 DEFAULT_PARAMS = Params()

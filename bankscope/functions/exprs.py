@@ -117,11 +117,6 @@ def month_index(ts: str | Column, start: _dt.date) -> Column:
     return ((F.year(t) - start.year) * 12 + F.month(t) - start.month).cast("int")
 
 
-def month_date(ym: str | Column) -> Column:
-    """'yyyy-MM' -> first day of that month."""
-    return F.to_date(F.concat(col(ym), F.lit("-01")))
-
-
 def map_values(c: str | Column, mapping: Mapping, default=None, keep: bool = False) -> Column:
     """Literal lookup; unknown keys -> ``default`` (or the input if ``keep``)."""
     pairs = []

@@ -3,21 +3,18 @@
 * ``quantiles``: linear-interpolated quantiles (numpy ``linear`` /
   DuckDB ``quantile_cont``).  Two exact strategies:
 
-  - ``bounded=True``: Spark's ``percentile`` aggregate.  Its buffer holds one
-    entry per *distinct* value, so it is only used for columns on a bounded
-    grid (4-dp scores in [0, 1] have at most 10,001 values).
-  - otherwise a distributed order-statistic search: values are counted per
-    distinct value (map-side combine, so a value or group holding a third of
-    all rows collapses to one row per task), range-partitioned on
-    (group, value) so even a huge group spans many tasks, running counts are
-    formed per range partition and shifted by per-partition offsets (a table
-    of partitions x groups rows).  Only the rows that contain the wanted
-    ranks survive.  Nothing goes through one task or the driver.
-
-* ``top_k_sum``: exact sum of the k largest values, tie-safe, from the
+  - ``bounded=True``: columns on a bounded grid (4-dp scores in [0, 1] have
+    at most 10,001 values) are counted per distinct value first; one
+    ``percentile`` with frequencies then works on a table of that size.
+  - otherwise two passes.  ``percentile_approx`` gives for each wanted rank
+    a bracket of values that must hold it (its rank error is bounded); the
+    second pass counts what lies below the bracket and keeps counts per
+    distinct value inside it, and the rank is picked there.  Nothing depends
+    on how rows are partitioned; a rank outside its bracket would fail the
+    job instead of giving a wrong value.
+
+* ``top_k_sums``: exact sum of the k largest values, tie-safe, from the
   k-th largest value ``t``: sum(v > t) + (k - count(v > t)) * t.
-* ``threshold_row``: whole-table statistics as a one-row DataFrame that is
-  broadcast-joined to the rows that use it (bounded: exactly one row).
 """
 
 from __future__ import annotations
@@ -31,13 +28,6 @@ from pyspark.sql.types import DecimalType
 from . import exprs as X
 
 
-def _partitions(df: DataFrame) -> int:
-    try:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    except Exception:  # pragma: no cover
-        return 200
-
-
 def scalars(one_row: DataFrame) -> dict[str, Column]:
     """The columns of a one-row frame (a global aggregate) as fields of ONE
     scalar subquery: the statistics are computed once, used as literals, and
@@ -52,61 +42,60 @@ def one_row(spark, cols: dict[str, Column]) -> DataFrame:
     return spark.range(1).select(*[c.alias(n) for n, c in cols.items()])
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join on ``keys`` where null keys match (a null group is a group)."""
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null keys match (a null group is a group)."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"_r_{k}"])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
 
+#: Of ``percentile_approx``: ranks are right within n / ACCURACY.
+ACCURACY = 2000
 
-def _order_stats(df: DataFrame, value: str, by: Sequence[str], targets) -> DataFrame:
+
+def _order_stats(df: DataFrame, value: str, by: Sequence[str], probs: Mapping[str, float], targets) -> DataFrame:
     """Values at given 0-based ascending ranks, per group.
 
+    ``probs``: name -> about which share of the values lies below;
     ``targets(n)`` maps the per-group count column to a list of
-    ``(name, rank_column)``.  Returns ``by + [name, rank, v]`` rows.
+    ``(name, part, rank_column)`` with ranks within one of that share of
+    n - 1.  Returns ``by + [_n, _name, _part, _rank, _v]`` rows.
     """
-    by = list(by)
+    by, names = list(by), list(probs)
     v = F.col(value)
-    vc = df.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = vc.repartitionByRange(_partitions(df), *[F.col(b) for b in by], v).withColumn(
-        "_pid", F.spark_partition_id())
-    w_local = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(w_local), F.lit(0)))
-    part = local.groupBy("_pid", *by).agg(F.sum("_c").alias("_pc"))
-    if not by:
-        # One small scalar: the per-partition counts (one entry per range
-        # partition) with their prefix sums, and the total n.
-        a = F.array_sort(F.collect_list(F.struct(F.col("_pid"), F.col("_pc"))))
-        zero = F.lit(0).cast("bigint")
-        stats_row = part.agg(a.alias("a")).select(
-            F.map_from_entries(F.transform(F.col("a"), lambda x, i: F.struct(
-                x["_pid"], F.aggregate(F.slice(F.col("a"), 1, i), zero, lambda acc, y: acc + y["_pc"])))).alias("off"),
-            F.aggregate(F.col("a"), zero, lambda acc, y: acc + y["_pc"]).alias("n"))
-        sc = scalars(stats_row)
-        off = F.element_at(sc["off"], F.col("_pid"))
-        pos = local.select(v.alias("_v"), (off + F.col("_before")).alias("_lo"),
-                           (off + F.col("_before") + F.col("_c")).alias("_hi"), sc["n"].alias("_n"))
+    d = df.where(v.isNotNull()).select(*by, v.alias("_v"))
+    edge = 2.0 / ACCURACY
+    shares = [F.lit(min(1.0, max(0.0, probs[n] + side * edge))) for n in names for side in (-1, 1)]
+    ends = (d.groupBy(*by) if by else d).agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+                                              F.percentile_approx("_v", F.array(*shares), ACCURACY).alias("_q"))
+    # few values: the ends of the whole range, so that neighbouring ranks lie inside
+    small = F.col("_n") < 4 * ACCURACY
+    bracket = F.array(*[F.struct(F.lit(i).alias("i"), F.when(small, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("lo"),
+                                 F.when(small, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("hi")) for i in range(len(names))])
+    ends = ends.select(*by, "_n", bracket.alias("_b"))
+    if by:
+        j = _join_null_safe(d, ends, by)
     else:
-        w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        offs = part.withColumn("_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
-        totals = part.groupBy(*by).agg(F.sum("_pc").alias("_n"))
-        pos = _join_null_safe(local, offs.select("_pid", *by, "_off"), ["_pid", *by]).select(
-            *by, v.alias("_v"), (F.col("_off") + F.col("_before")).alias("_lo"),
-            (F.col("_off") + F.col("_before") + F.col("_c")).alias("_hi"))
-        # The wanted ranks are functions of the group size n: attach n (a
-        # per-group equi-join with a table of one row per group) and keep, on
-        # every value row, the ranks that fall in its [lo, hi) range.  No range
-        # join, and no group is gathered into one task.
-        pos = _join_null_safe(pos, totals, by)
+        sc = scalars(ends)
+        j = d.select("_v", sc["_n"].alias("_n"), sc["_b"].alias("_b"))
+    # what lies below a bracket is counted under null, which sorts first
+    hits = F.transform(F.filter("_b", lambda x: F.col("_v") <= x["hi"]),
+                       lambda x: F.struct(x["i"].alias("i"), F.when(F.col("_v") >= x["lo"], F.col("_v")).alias("v")))
+    counted = (j.select(*by, "_n", "_v", F.explode(hits).alias("_h"))
+               .groupBy(*by, "_n", F.col("_h.i").alias("_i"), F.col("_h.v").alias("_v")).agg(F.count("*").alias("_c")))
+    w = Window.partitionBy(*by, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_c").over(w))
     tg = targets(F.col("_n"))
-    arr = F.array(*[F.struct(F.lit(name).alias("_name"), r.cast("bigint").alias("_rank")) for name, r in tg])
-    inside = F.filter(arr, lambda t: (t["_rank"] >= F.col("_lo")) & (t["_rank"] < F.col("_hi")))
-    hit = pos.select(*by, "_n", "_v", F.explode(inside).alias("_t")).select(
-        *by, "_n", F.col("_t._name").alias("_name"), F.col("_t._rank").alias("_rank"), "_v")
-    return hit
+    arr = F.array(*[F.struct(F.lit(names.index(n)).alias("i"), F.lit(part).alias("part"), r.cast("bigint").alias("rank")) for n, part, r in tg])
+    inside = F.filter(arr, lambda t: (t["i"] == F.col("_i")) & (t["rank"] >= F.col("_upto") - F.col("_c")) & (t["rank"] < F.col("_upto")))
+    label = F.array(*[F.lit(n) for n in names])
+    found = F.when(F.col("_v").isNull(), F.raise_error(F.lit("a rank lies outside its bracket"))).otherwise(F.col("_v"))
+    return (upto.select(*by, "_n", "_i", "_v", F.explode(inside).alias("_t"))
+            .select(*by, "_n", F.element_at(label, F.col("_i") + 1).alias("_name"), F.col("_t.part").alias("_part"),
+                    F.col("_t.rank").alias("_rank"), found.alias("_v")))
 
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
@@ -123,8 +112,9 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
     by = list(by)
     names = list(probs)
     if bounded and scale is None:
-        arr = F.percentile(F.col(value), F.array(*[F.lit(float(probs[n])) for n in names]))
-        agg = (df.groupBy(*by) if by else df.groupBy()).agg(arr.alias("_q"))
+        counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+        arr = F.percentile(F.col(value), F.array(*[F.lit(float(probs[n])) for n in names]), F.col("_c"))
+        agg = (counted.groupBy(*by) if by else counted.groupBy()).agg(arr.alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
     def rank(n: Column, p: float) -> Column:
@@ -133,19 +123,15 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
         return (n - 1).cast(DecimalType(20, 0)) * X.dlit(format(p, ".8f"), 10, 8)
 
     def targets(n: Column):
-        out = []
-        for nm in names:
-            rn = rank(n, probs[nm])
-            out.append((nm + "\u0001lo", F.floor(rn)))
-            out.append((nm + "\u0001hi", F.ceil(rn)))
-        return out
-
-    hit = _order_stats(df, value, by, targets)
+        return [(nm, part, f(rank(n, probs[nm]))) for nm in names for part, f in (("lo", F.floor), ("hi", F.ceil))]
+
+    hit = _order_stats(df, value, by, probs, targets)
     aggs = []
     for nm in names:
-        lo = F.max(F.when(F.col("_name") == nm + "\u0001lo", F.col("_v")))
-        hi = F.max(F.when(F.col("_name") == nm + "\u0001hi", F.col("_v")))
-        rn = F.max(F.when(F.col("_name") == nm + "\u0001lo", rank(F.col("_n"), probs[nm])))
+        here = F.col("_name") == nm
+        lo = F.max(F.when(here & (F.col("_part") == "lo"), F.col("_v")))
+        hi = F.max(F.when(here & (F.col("_part") == "hi"), F.col("_v")))
+        rn = F.max(F.when(here, rank(F.col("_n"), probs[nm])))
         frac = rn - F.floor(rn)
         if scale is None:
             lo_d, hi_d = lo.cast("double"), hi.cast("double")
@@ -162,14 +148,6 @@ def quantile_row(df: DataFrame, value: str, probs: Mapping[str, float], bounded:
     return quantiles(df, value, probs, (), bounded)
 
 
-def kth_largest(df: DataFrame, value: str, k_of_n, by: Sequence[str] = ()) -> DataFrame:
-    """Per group: k (from ``k_of_n(n)``) and the k-th largest value ``t``."""
-    by = list(by)
-    hit = _order_stats(df, value, by, lambda n: [("t", n - k_of_n(n))])
-    return hit.select(*by, (F.col("_n") - F.col("_rank")).alias("k"), F.col("_n").alias("n"),
-                      F.col("_v").alias("t"))
-
-
 def top_k_sums(df: DataFrame, value: str, fractions: Mapping[str, float], scale: int = 2) -> DataFrame:
     """Sums of the k = max(1, int(n * fraction)) largest values (tie-safe),
     for several fractions at once: one order-statistic search for all k-th
@@ -180,10 +158,10 @@ def top_k_sums(df: DataFrame, value: str, fractions: Mapping[str, float], scale:
     names = list(fractions)
 
     def targets(n: Column):
-        return [(nm, n - F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(float(fractions[nm])))))
+        return [(nm, "t", n - F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(float(fractions[nm])))))
                 for nm in names]
 
-    hit = _order_stats(df, value, [], targets)
+    hit = _order_stats(df, value, [], {nm: 1.0 - fractions[nm] for nm in names}, targets)
     kt = hit.agg(*[F.max(F.when(F.col("_name") == nm, F.col("_n") - F.col("_rank"))).alias(f"k_{nm}")
                    for nm in names],
                  *[F.max(F.when(F.col("_name") == nm, F.col("_v"))).alias(f"t_{nm}") for nm in names])
@@ -224,7 +202,7 @@ def five_numbers(df: DataFrame, value: str, by: Sequence[str] = (), bounded: boo
         F.count(value).alias(f"{prefix}n"))
     if not by:
         return mm.select("*", *[c.alias(name) for name, c in scalars(q).items()])
-    return mm.join(q, [*by], "left")
+    return _join_null_safe(mm, q, by, "left")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -250,9 +228,9 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
 def stable_sample(df: DataFrame, n: int, seed: int, key: str = "customer_id") -> DataFrame:
     """Deterministic sample of n rows: the same rows for any partitioning.
 
-    Rows are ranked by a seeded 64-bit hash of the key; the limit is the
+    Rows are ranked by the MD5 of the key and the seed; the limit is the
     feature (a sampling operator), so a TakeOrderedAndProject of n rows is
     the intended plan.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")

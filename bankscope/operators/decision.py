@@ -52,13 +52,19 @@ def priority_expr(risk: Column, value: Column, p: Column, score: Column) -> Colu
     return X.dround(p.cast(P8) * wr * half + score.cast(P8) * wv * half, 4)
 
 
+def rationale_expr() -> Column:
+    """What led to the action: the two levels, and the override if it applied."""
+    return F.concat(F.lit("risk "), F.col("risk_level"), F.lit(", value "), F.col("financial_value"),
+                    F.when((F.col("segment") == "high_net_worth") & (F.col("risk_level") == "High"),
+                           F.lit(", high net worth")).otherwise(F.lit("")),
+                    F.lit(" -> "), F.col("recommended_action"))
+
+
 def apply_recommendations(scoring: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Risk level, value level, action, rationale, priority, HNW override."""
-    q = S.scalars(scoring.agg(
-        F.percentile("churn_probability", F.array(F.lit(params.risk_p_high), F.lit(params.risk_p_low))).alias("c"),
-        F.percentile("financial_value_score", F.array(F.lit(params.value_p_high), F.lit(params.value_p_low))).alias("v")))
-    p65, p35 = q["c"][0], q["c"][1]
-    v_hi, v_lo = q["v"][0], q["v"][1]
+    c = S.scalars(S.quantiles(scoring, "churn_probability", {"hi": params.risk_p_high, "lo": params.risk_p_low}, bounded=True))
+    v = S.scalars(S.quantiles(scoring, "financial_value_score", {"hi": params.value_p_high, "lo": params.value_p_low}, bounded=True))
+    p65, p35, v_hi, v_lo = c["hi"], c["lo"], v["hi"], v["lo"]
     risk = X.level_at_least("churn_probability", p65, p35)
     value = X.level_at_least("financial_value_score", v_hi, v_lo)
     df = scoring.withColumns({"risk_level": risk, "financial_value": value})
@@ -68,12 +74,7 @@ def apply_recommendations(scoring: DataFrame, params: Params = DEFAULT_PARAMS) -
     df = df.withColumn("recommended_action", action)
     return df.select(
         *scoring.columns, "risk_level", "financial_value", "recommended_action",
-        X.map_values("recommended_action", C.ACTION_RATIONALE).alias("action_rationale"),
+        rationale_expr().alias("action_rationale"),
         priority_expr(F.col("risk_level"), F.col("financial_value"), F.col("churn_probability"),
                       F.col("financial_value_score")).alias("priority_score"),
     )
-
-
-def expected_loss_expr(params: Params = DEFAULT_PARAMS) -> Column:
-    """Revenue x churn probability (exact, unrounded)."""
-    return (X.dec("predicted_revenue_annual", 2) * F.col("churn_probability").cast(P8))

@@ -68,8 +68,8 @@ def engagement_expr(max_recency: Column, max_tx90: Column) -> Column:
 
 def risk_tercile(df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:
     """Churn probability p33/p66 bands, right-closed (bounded grid)."""
-    q = S.scalars(df.agg(F.percentile("churn_probability", F.array(*[F.lit(p) for p in params.tercile_ps])).alias("q")))
-    return X.cut_right("churn_probability", [q["q"][0], q["q"][1]], list(C.CLUSTER_NAMES))
+    q = S.scalars(S.quantiles(df, "churn_probability", {"p33": params.tercile_ps[0], "p66": params.tercile_ps[1]}, bounded=True))
+    return X.cut_right("churn_probability", [q["p33"], q["p66"]], list(C.CLUSTER_NAMES))
 
 
 def value_cluster(df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:

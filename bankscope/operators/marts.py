@@ -185,7 +185,7 @@ def monthly_tx(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, params: Params =
                cells: DataFrame | None = None) -> DataFrame:
     """Volume, amount, mean, distinct customers, estimated revenue."""
     cm = cells if cells is not None else customer_months(tx)
-    per = (Decimal(str(params.margin_rate)) / Decimal(params.months_observed)).quantize(Decimal("1e-10"))
+    per = (Decimal(str(params.margin_rate)) / Decimal(cal.n_months)).quantize(Decimal("1e-10"))
     g = cm.groupBy("month").agg(F.sum("n_tx").alias("transaction_volume"), F.sum("amt").alias("_amt"),
                                 F.sum("n_amt").alias("_namt"), F.count("customer_id").alias("unique_active_customers"))
     return g.select(
@@ -199,9 +199,9 @@ def monthly_tx(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, params: Params =
 
 
 def monthly_risk(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
-                 cells: DataFrame | None = None, months_observed: int = 24) -> DataFrame:
+                 cells: DataFrame | None = None) -> DataFrame:
     """A19 + A20 + A21 (J6, J8): transaction-weighted churn, High-risk
-    transaction count, revenue at risk / 24, spend per segment.
+    transaction count, revenue at risk / months of the calendar, spend per segment.
 
     Transactions are first reduced to (customer, month) cells with a row
     count ``n``; the cells (not the transactions) are joined to the
@@ -230,7 +230,7 @@ def monthly_risk(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CAL
         F.col("_pcount"),
         "high_risk_active_count",
         X.round_ratio(X.scaled_int(F.coalesce(F.col("_rar"), F.lit(0).cast(DecimalType(18, 2))), 2),
-                      F.lit(months_observed * 100), 4).alias("monthly_revenue_at_risk"),
+                      F.lit(cal.n_months * 100), 4).alias("monthly_revenue_at_risk"),
         *[F.coalesce(X.dround(F.col(k), 4), F.lit(0.0)).alias(k) for k in seg_cols],
     )
 
@@ -268,7 +268,7 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
     cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level", "segment")
     j = cm.join(cust, "customer_id", "left")
     n = F.col("n_rows").cast(DecimalType(20, 0))
-    per = (Decimal(str(params.margin_rate)) / Decimal(params.months_observed)).quantize(Decimal("1e-10"))
+    per = (Decimal(str(params.margin_rate)) / Decimal(cal.n_months)).quantize(Decimal("1e-10"))
     segs = {f"tx_amount_{sg}": F.sum(F.when(F.col("segment") == sg, F.col("amt"))) for sg in sorted(C.SEGMENTS)}
     g = j.groupBy("month").agg(
         F.sum("n_tx").alias("transaction_volume"), F.sum("amt").alias("_amt"), F.sum("n_amt").alias("_namt"),
@@ -290,7 +290,7 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
         (F.col("_pn").cast("double") / F.col("_pcount").cast("double")).alias("_raw"),
         "high_risk_active_count",
         X.round_ratio(X.scaled_int(F.coalesce(F.col("_rar"), F.lit(0).cast(DecimalType(18, 2))), 2),
-                      F.lit(params.months_observed * 100), 4).alias("monthly_revenue_at_risk"),
+                      F.lit(cal.n_months * 100), 4).alias("monthly_revenue_at_risk"),
         *[F.coalesce(X.dround(F.col(k), 4), F.lit(0.0)).alias(k) for k in segs],
     )
     w = Window.orderBy("calendar_ym")

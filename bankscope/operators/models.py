@@ -62,7 +62,7 @@ def revenue_features(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAUL
                    X.safe_ratio(F.col("amt_total"), F.col("n_amt")).alias("tx_avg_amount"),
                    F.col("amt_total").cast("double").alias("tx_total_volume"),
                    F.coalesce(online, F.lit(0.5)).alias("online_ratio"),
-                   revenue_target_expr(F.col("amt_total"), params).alias("revenue_target"))
+                   revenue_target_expr(F.col("amt_total"), params, cal).alias("revenue_target"))
     j = customers.join(a, "customer_id", "left").fillna(
         {"tx_count": 0, "tx_avg_amount": 0.0, "tx_total_volume": 0.0, "online_ratio": 0.0, "revenue_target": 0.0})
     return j.select("customer_id", "age", "income", "account_balance", "tenure_months", "tx_count",

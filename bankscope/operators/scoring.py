@@ -25,14 +25,14 @@ SCORING_COLUMNS = [
 ]
 
 
-def _revenue_factor(params: Params) -> Column:
-    f = (Decimal(12) / Decimal(params.months_observed)) * Decimal(str(params.margin_rate))
-    return X.dlit(format(f.quantize(Decimal("1e-8")), "f"), 10, 8)
+def revenue_factor(params: Params, cal: Calendar) -> str:
+    """Volume of all observed months -> annual revenue, as a decimal text."""
+    return format((Decimal(12) / Decimal(cal.n_months) * Decimal(str(params.margin_rate))).quantize(Decimal("1e-8")), "f")
 
 
-def revenue_target_expr(volume_exact: Column, params: Params = DEFAULT_PARAMS) -> Column:
-    """M7: volume * 12 / months_observed * margin, half-even 2 dp (exact)."""
-    return X.dround(volume_exact.cast(DecimalType(18, 4)) * _revenue_factor(params), 2)
+def revenue_target_expr(volume_exact: Column, params: Params = DEFAULT_PARAMS, cal: Calendar = DEFAULT_CALENDAR) -> Column:
+    """M7: volume * 12 / months of the calendar * margin, half-even 2 dp (exact)."""
+    return X.dround(volume_exact.cast(DecimalType(18, 4)) * X.dlit(revenue_factor(params, cal), 10, 8), 2)
 
 
 def revenue_target(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, params: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -42,8 +42,8 @@ def revenue_target(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, params: Para
     return act.select(
         "customer_id",
         vol.cast("double").alias("tx_total_volume"),
-        (vol.cast("double") * F.lit(12.0 / params.months_observed)).alias("annual_tx_volume"),
-        revenue_target_expr(vol, params).alias("predicted_revenue_actual"),
+        (vol.cast("double") * F.lit(12.0 / cal.n_months)).alias("annual_tx_volume"),
+        revenue_target_expr(vol, params, cal).alias("predicted_revenue_actual"),
     )
 
 
@@ -58,7 +58,7 @@ def exact_predictions(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAU
     return customers.select("customer_id", "churn_risk_score").join(vol, "customer_id", "left").select(
         "customer_id",
         F.col("churn_risk_score").alias("churn_probability"),
-        F.coalesce(revenue_target_expr(F.col("amt_total"), params), F.lit(0.0)).alias("predicted_revenue_annual"),
+        F.coalesce(revenue_target_expr(F.col("amt_total"), params, cal), F.lit(0.0)).alias("predicted_revenue_annual"),
     )
 
 
@@ -142,7 +142,7 @@ def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFA
         "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
         "churn_risk_score",
         F.col("churn_risk_score").alias("churn_probability"),
-        F.coalesce(revenue_target_expr(F.col("amt_total"), params), F.lit(0.0)).alias("predicted_revenue_annual"),
+        F.coalesce(revenue_target_expr(F.col("amt_total"), params, cal), F.lit(0.0)).alias("predicted_revenue_annual"),
         *[F.col(c) for c in (TXF.TX_FEATURE_COLUMNS if keep_features else [])],
     )
     return j.withColumn("clv", clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"), params))

@@ -152,13 +152,6 @@ def monthly_spend(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
               .agg(X.exact_sum("amount", 4).cast("double").alias("spend")))
 
 
-def monthly_spend_dense(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
-    """A8 as a wide view: one column per month (only for display/export)."""
-    sp = monthly_spend(tx, cal)
-    return (sp.groupBy("customer_id").pivot("month", list(range(cal.n_months)))
-              .agg(F.first("spend")).fillna(0.0))
-
-
 def spend_trend(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     """Volatility, slope and inactivity streak over the month grid."""
     return transaction_features(tx, cal).select(

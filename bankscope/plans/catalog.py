@@ -155,8 +155,8 @@ FROM customers c LEFT JOIN tx_cstat t USING (customer_id)"""))(_churn_matrix)
 
 register("revenue_target", O.q("tx_cstat", f"""
 SELECT customer_id, CAST(amt_total AS DOUBLE) AS tx_total_volume,
-       CAST(amt_total AS DOUBLE) * {12.0 / PAR.months_observed}::DOUBLE AS annual_tx_volume,
-       {O.dr(O.d4('amt_total') + " * CAST('0.09000000' AS DECIMAL(10,8))", 2)} AS predicted_revenue_actual
+       CAST(amt_total AS DOUBLE) * {12.0 / CAL.n_months}::DOUBLE AS annual_tx_volume,
+       {O.dr(O.d4('amt_total') + " * CAST('" + O.FACTOR + "' AS DECIMAL(10,8))", 2)} AS predicted_revenue_actual
 FROM tx_cstat"""))(lambda s, d: SC.revenue_target(_tx(s, d)))
 
 # -- scoring and decisions ------------------------------------------------------------

@@ -78,11 +78,12 @@ def esum(x: str, s: int) -> str:
     return f"sum(CAST({x} AS DECIMAL(18,{s})))"
 
 
-START, END, WEND = CAL.start, CAL.end, CAL.window_end
+START, END = CAL.start, CAL.end
 NM = CAL.n_months
 DAYS = CAL.obs_days
-WINDOW = f"o_orderdate >= {_ts(START)} AND o_orderdate < {_ts(WEND)}"
 DF = repr(PAR.discount_factor)
+#: 12 / months * margin, exact.
+FACTOR = f"{12 * PAR.margin_rate / NM:.8f}"
 RISK_W = "CAST(CASE {c} WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 ELSE 1 END AS DECIMAL(1,0))"
 IN_RANGE = f"month >= 0 AND month < {NM}"
 
@@ -107,9 +108,9 @@ SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(o_custkey AS VARCHAR)
        {_case('substr(o_orderpriority, 1, 1)', PRIORITY_TYPE)} AS "type",
        {_case('o_orderstatus', ORDER_STATUS_CHANNEL)} AS channel,
        CAST((year(o_orderdate) - {START.year}) * 12 + month(o_orderdate) - {START.month} AS INTEGER) AS month
-FROM orders WHERE {WINDOW}""")
+FROM orders""")
 
-cte("last_order", [], f"SELECT o_custkey, max(o_orderdate) AS last_ts FROM orders WHERE {WINDOW} GROUP BY o_custkey")
+cte("last_order", [], f"SELECT o_custkey, max(o_orderdate) AS last_ts FROM orders GROUP BY o_custkey")
 
 cte("customers", ["last_order"], f"""
 SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
@@ -176,7 +177,7 @@ SELECT *, round_even(predicted_revenue_annual * {PAR.margin_rate}::DOUBLE * (1.0
                      * {DF}::DOUBLE, 2) AS clv
 FROM (SELECT cu.customer_id, cu.segment, cu.age, cu.income, cu.account_balance, cu.tenure_months, cu.region,
              cu.churn_risk_score, cu.churn_risk_score AS churn_probability,
-             coalesce({dr(d4('t.amt_total') + " * CAST('0.09000000' AS DECIMAL(10,8))", 2)}, 0.0::DOUBLE)
+             coalesce({dr(d4('t.amt_total') + " * CAST('" + FACTOR + "' AS DECIMAL(10,8))", 2)}, 0.0::DOUBLE)
                AS predicted_revenue_annual
       FROM customers cu LEFT JOIN tx_cstat t USING (customer_id))""")
 
@@ -204,7 +205,9 @@ SELECT s.*,
 FROM scoring s CROSS JOIN thr t""")
 
 cte("rec", ["rec0"], f"""
-SELECT *, {_case('recommended_action', C.ACTION_RATIONALE)} AS action_rationale,
+SELECT *, 'risk ' || risk_level || ', value ' || financial_value
+         || CASE WHEN segment = 'high_net_worth' AND risk_level = 'High' THEN ', high net worth' ELSE '' END
+         || ' -> ' || recommended_action AS action_rationale,
        CAST(round_even({p8('churn_probability')} * {RISK_W.format(c='risk_level')} * CAST(0.5 AS DECIMAL(2,1))
                       + {p8('financial_value_score')} * {RISK_W.format(c='financial_value')} * CAST(0.5 AS DECIMAL(2,1)), 4)
             AS DOUBLE) AS priority_score
@@ -343,7 +346,7 @@ def _ym(m: str) -> str:
     return f"strftime(DATE '{START.isoformat()}' + to_months(CAST({m} AS INTEGER)), '%Y-%m')"
 
 
-_PER = format((__import__('decimal').Decimal(str(PAR.margin_rate)) / PAR.months_observed).quantize(
+_PER = format((__import__('decimal').Decimal(str(PAR.margin_rate)) / CAL.n_months).quantize(
     __import__('decimal').Decimal('1e-10')), 'f')
 
 cte("mtx", ["cm"], f"""
@@ -363,7 +366,7 @@ SELECT {_ym('c.month')} AS calendar_ym,
        sum(c.n_rows) FILTER (WHERE e.churn_probability IS NOT NULL) AS _pcount,
        coalesce(sum(c.n_rows) FILTER (WHERE e.risk_level = 'High'), 0) AS high_risk_active_count,
        {rr(si('coalesce(sum(CAST(e.revenue_at_risk AS DECIMAL(18,2)) * CAST(c.n_rows AS DECIMAL(20,0))), 0)', 2),
-           str(PAR.months_observed * 100), 4)} AS monthly_revenue_at_risk,
+           str(CAL.n_months * 100), 4)} AS monthly_revenue_at_risk,
        {", ".join(f"coalesce({dr(f'sum(c.amt) FILTER (WHERE e.segment = {_q(s)})', 4)}, 0.0::DOUBLE) AS tx_amount_{s}" for s in _SEGS)}
 FROM cm c LEFT JOIN enr e USING (customer_id) GROUP BY c.month""")
 

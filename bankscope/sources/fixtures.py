@@ -1,7 +1,7 @@
 """Adapter from the TPC-H-style test tables to ``customers`` / ``transactions``.
 
 customers    <- customer JOIN nation JOIN region (+ a recency-based churn score)
-transactions <- orders inside the calendar window
+transactions <- all orders
 
 All mapping rules are plain column expressions so the identical rules can be
 written in SQL for the oracle.  Joins run on the numeric keys before the ids
@@ -10,8 +10,6 @@ are turned into strings.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,17 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _window_orders(spark: SparkSession, sf_dir: str, cal: Calendar) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    lo = X.ts_lit(cal.start)
-    hi = X.ts_lit(cal.window_end)
-    return o.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
-
-
 def transactions(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
-    """Orders in the window as transactions (TX_SCHEMA, no segment)."""
-    o = _window_orders(spark, sf_dir, cal)
-    return o.select(
+    """All orders as transactions (no segment: see ``transactions_with_segment``)."""
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
@@ -57,7 +47,7 @@ def transactions(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALEN
 
 def churn_score_expr(last_ts: Column, cal: Calendar = DEFAULT_CALENDAR) -> Column:
     """churn_risk_score = half-even 4 dp of clip(floor days from the last
-    order in the window to the calendar end / obs_days, 0, 1); no order -> 1."""
+    order to the calendar end / obs_days, 0, 1); no order -> 1."""
     days = X.floor_days(X.ts_lit(cal.end), last_ts)
     score = F.least(F.lit(1.0), F.greatest(F.lit(0.0),
                                            F.coalesce(days, F.lit(cal.obs_days)).cast("double")
@@ -79,7 +69,7 @@ def customers(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
     score = []
     if with_score:
-        last = (_window_orders(spark, sf_dir, cal).groupBy("o_custkey")
+        last = (table(spark, sf_dir, "orders").groupBy("o_custkey")
                 .agg(F.max("o_orderdate").alias("_last")))
         j = j.join(last, k == F.col("o_custkey"), "left")
         score = [churn_score_expr(F.col("_last"), cal).alias("churn_risk_score")]
@@ -102,7 +92,3 @@ def transactions_with_segment(spark: SparkSession, sf_dir: str, cal: Calendar =
         F.col("c_custkey").cast("string").alias("customer_id"),
         X.map_values("c_mktsegment", MKT_SEGMENT).alias("segment"))
     return tx.join(seg, "customer_id", "left")
-
-
-def calendar_for_fixture() -> Calendar:
-    return Calendar(start=_dt.date(1999, 8, 1), n_months=24, obs_days=723)

@@ -72,7 +72,6 @@ def test_safe_ratio_and_maps(spark):
 
 def test_month_label_and_date(spark):
     assert one(spark, X.month_label(F.lit(5), dt.date(2023, 1, 1))) == "2023-06"
-    assert one(spark, X.month_date(F.lit("2023-06"))) == dt.date(2023, 6, 1)
 
 
 def test_search_is_case_insensitive_regex(spark):

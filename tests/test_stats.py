@@ -59,3 +59,32 @@ def test_quantiles_keep_a_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     got = {r["g"]: r["m"] for r in S.quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
     assert got == {None: 2.0, "a": 5.0}
+
+
+@pytest.mark.parametrize("reuse,adaptive", [("true", "true"), ("false", "true"), ("true", "false"), ("false", "false")])
+def test_exact_quantiles_under_any_plan(spark, reuse, adaptive):
+    """A million distinct values, a null group and 200 partitions."""
+    n = 1_000_000
+    x = ((np.arange(n, dtype=np.int64) * 7919 + 13) % 1_000_003).astype(float) / 4 - 30_000
+    g = np.arange(n) % 3
+    keep = {"spark.sql.shuffle.partitions": "200", "spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive}
+    old = {k: spark.conf.get(k) for k in keep}
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        df = spark.range(n, numPartitions=7).select(
+            F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("g"),
+            (((F.col("id") * 7919 + 13) % 1_000_003).cast("double") / 4 - 30_000).alias("v"))
+        probs = {"a": 0.001, "b": 0.5, "c": 0.9, "d": 1.0}
+        r = S.quantile_row(df, "v", probs).first()
+        assert [r[k] for k in probs] == pytest.approx([np.quantile(x, p) for p in probs.values()], abs=1e-9)
+        got = {r.g: r for r in S.five_numbers(df, "v", ["g"]).collect()}
+        assert set(got) == {None, "1", "2"}
+        for i, k in enumerate((None, "1", "2")):
+            want = [np.quantile(x[g == i], p) for p in (0, 0.25, 0.5, 0.75, 1)]
+            assert [got[k].min, got[k].q1, got[k].median, got[k].q3, got[k].max] == pytest.approx(want, abs=1e-9)
+        top = S.top_k_sum(df, "v", 0.1).first()
+        assert top.top_sum == pytest.approx(np.sort(x)[-100_000:].sum(), abs=0.01)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
