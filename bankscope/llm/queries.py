@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _tokenizer(path: str | None = None) -> str:
+def tokenizer_json(path: str | None = None) -> str:
     """The JSON of a public tokenizer; the driver reads it, tasks get its text."""
     import public_tokenizers
 
@@ -30,7 +30,7 @@ def op2_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordtable.digests(_table(spark, sf_dir, "documents"), _tokenizer())
+    return wordtable.digests(_table(spark, sf_dir, "documents"), tokenizer_json())
 
 
 def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op7_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_json())
 
 
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

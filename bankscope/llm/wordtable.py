@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +34,50 @@ _GAP[[32, 9, 10, 11, 12, 13]] = True
 def cut_words(raw: np.ndarray, at: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
     """The words of texts that lie one after the other, and how many words
     each text has."""
+    if not len(raw):
+        return pa.array([], pa.large_binary()), np.zeros(len(at) - 1, np.int64)
     inside = ~_GAP[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    # a text's first byte begins a word though the text before ends in one
     starts = at[:-1][at[:-1] < at[1:]]
     first[starts] = inside[starts]
-    begin = np.flatnonzero(first)
-    kept = np.cumsum(inside)
-    offsets = np.append(kept[begin] - 1, kept[-1] if len(kept) else 0).astype(np.int64)
-    texts = np.searchsorted(begin, at)
-    data = np.ascontiguousarray(raw[inside])
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), np.diff(texts)
+    last[starts[1:] - 1] = inside[starts[1:] - 1]
+    begin, end = np.flatnonzero(first), np.flatnonzero(last)
+    offsets = np.append(0, np.cumsum(end + 1 - begin))
+    data = raw[inside]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), np.diff(np.searchsorted(begin, at))
+
+
+def word_bytes(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of non-empty words, one after the other, and where each
+    begins (with the end of the last)."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]] if len(words) else np.empty(0, np.uint8), at - at[0]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 well-mixed bits of each number, one to one."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def hash_words(words: pa.LargeBinaryArray) -> np.ndarray:
+    """64-bit hashes: the sum of random numbers of the bytes, each times one
+    of its place, mixed with the length."""
+    data, at = word_bytes(words)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    n = np.diff(at)
+    place = mixed(np.arange(int(n.max()), dtype=np.uint64))
+    byte = mixed(np.arange(256, 512, dtype=np.uint64))
+    where = np.arange(len(data)) - np.repeat(at[:-1], n)
+    return mixed(np.add.reduceat(byte[data] * place[where], at[:-1]) + n.astype(np.uint64))
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -57,6 +91,17 @@ def unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.uint32).ravel()
 
 
+def pack_long(a: np.ndarray) -> bytes:
+    """Numbers of eight bytes, byte by byte, compressed."""
+    b = np.ascontiguousarray(a, np.uint64).view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(b.T).tobytes())
+
+
+def unpack_long(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def flatten(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The ids of the words ``codes``, where word w has
     ids[begin[w]:begin[w] + length[w]]."""
@@ -67,6 +112,21 @@ def flatten(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, codes: np.nd
     return ids[np.arange(end[-1]) + np.repeat(begin[codes] - (end - n), n)]
 
 
+class _Grown:
+    """Numbers that are added to; the room for them doubles."""
+
+    def __init__(self, kind: type):
+        self.values, self.size = np.empty(1024, kind), 0
+
+    def add(self, new: np.ndarray) -> None:
+        if self.size + len(new) > len(self.values):
+            room = np.empty(2 * (self.size + len(new)), self.values.dtype)
+            room[:self.size] = self.values[:self.size]
+            self.values = room
+        self.values[self.size:self.size + len(new)] = new
+        self.size += len(new)
+
+
 class _Unit:
     """Distinct words, most frequent first, and the words of each text."""
 
@@ -74,18 +134,32 @@ class _Unit:
         words, self.counts = cut_words(raw, at)
         self.doc_ids = doc_ids
         coded = words.dictionary_encode()
-        table, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(-np.bincount(codes, minlength=len(table)), kind="stable")
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         self.codes = rank[codes]
-        self.words = table.take(pa.array(order)).to_pylist()
-        self.part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.words], np.int64)
-        h = hashlib.blake2b(self.codes.tobytes(), digest_size=16)
-        h.update(b"\n".join(self.words))
+        self.words = coded.dictionary.take(pa.array(order))
+        self.part = (hash_words(self.words) % np.uint64(parts)).astype(np.int64)
+        h = xxhash.xxh3_128(self.codes.tobytes())
+        h.update(word_bytes(self.words)[0].tobytes())
         h.update(repr((doc_ids.to_pylist(), self.counts.tolist())).encode())
         self.key = h.hexdigest()
 
+    def lists(self) -> Iterator[tuple[int, bytes]]:
+        """The words of each part, with a line feed between."""
+        order = np.argsort(self.part, kind="stable")
+        data, at = word_bytes(self.words.take(pa.array(order)))
+        lined = np.insert(data, at[1:], 10)
+        edges = np.append(_starts(self.part[order]), len(order))
+        for i, j in zip(edges.tolist(), edges[1:].tolist()):
+            yield int(self.part[order[i]]), lined[at[i] + i:at[j] + j - 1].tobytes()
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.empty(0, np.int64)
+
 
 def _units(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[_Unit]:
     for b in batches:
@@ -109,11 +183,8 @@ def encode(docs: DataFrame, tokenizer: str, emit: Callable[[list, np.ndarray, np
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in _units(batches, parts):
-            out: list[list[bytes]] = [[] for _ in range(parts)]
-            for w, p in zip(u.words, u.part.tolist(), strict=True):
-                out[p].append(w)
             z = zstandard.ZstdCompressor(3)
-            rows = [(u.key, p, z.compress(b"\n".join(w))) for p, w in enumerate(out) if w]
+            rows = [(u.key, p, z.compress(w)) for p, w in u.lists()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.binary()))],
                                              names=["unit", "part", "words"])
 
@@ -124,18 +195,25 @@ def encode(docs: DataFrame, tokenizer: str, emit: Callable[[list, np.ndarray, np
         tok = Tokenizer.from_str(tokenizer)
         tok.no_truncation()
         tok.no_padding()
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, int] = {}
+        length, ids = _Grown(np.int64), _Grown(np.uint32)  # of all known words
+        begin = _Grown(np.int64)
         for b in batches:
             for unit, part, packed in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 words = zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
                 new = [w for w in words if w not in known]
                 for i in range(0, len(new), 4096):
                     some = new[i:i + 4096]
-                    found = tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-                    known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(some, found, strict=True))
-                ids = [known[w] for w in words]
-                yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([part], pa.int32()), pa.array([pack(np.array([len(x) for x in ids]))]),
-                                                  pa.array([pack(np.concatenate(ids))])], names=["unit", "part", "lengths", "ids"])
+                    found = [e.ids for e in tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)]
+                    known.update(zip(some, range(len(known), len(known) + len(some))))
+                    n = np.fromiter(map(len, found), np.int64, len(found))
+                    begin.add(ids.size + np.cumsum(n) - n)
+                    length.add(n)
+                    ids.add(np.fromiter(chain.from_iterable(found), np.uint32))
+                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([part], pa.int32()), pa.array([pack(length.values[at])]),
+                                                  pa.array([pack(flatten(ids.values, begin.values, length.values, at))])],
+                                                 names=["unit", "part", "lengths", "ids"])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in _units(batches, parts):
