@@ -167,7 +167,8 @@ def level_weight(c: str | Column) -> Column:
 
 
 def one_hot(c: str | Column, values: Iterable[str], names: Iterable[str]) -> list[Column]:
-    return [(col(c) == v).cast("int").alias(n) for v, n in zip(values, names)]
+    """1 / 0 flags; a null value has none of them."""
+    return [F.coalesce((col(c) == v).cast("int"), F.lit(0)).alias(n) for v, n in zip(values, names)]
 
 
 def dimension_key(cols: Sequence[str]) -> Column:

@@ -142,6 +142,13 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
     return (hit.groupBy(*by) if by else hit.groupBy()).agg(*aggs)
 
 
+def lowest(df: DataFrame, value: str, share: float, by: Sequence[str] = ()) -> DataFrame:
+    """Per group ``_t``: the value of rank ceil(share * n), so that so many
+    rows (more at ties) are not above it."""
+    hit = _order_stats(df, value, by, {"t": share}, lambda n: [("t", "t", F.ceil(n * F.lit(share)) - 1)])
+    return hit.select(*by, F.col("_v").alias("_t"))
+
+
 def quantile_row(df: DataFrame, value: str, probs: Mapping[str, float], bounded: bool = False) -> DataFrame:
     """Whole-table quantiles as a single row (empty input -> nulls)."""
     # A global aggregation always yields exactly one row (nulls if empty).

@@ -82,8 +82,8 @@ def value_cluster(df: DataFrame, params: Params = DEFAULT_PARAMS) -> Column:
 def composite_features(df: DataFrame, params: Params = DEFAULT_PARAMS, risk_cluster: Column | None = None) -> DataFrame:
     """E4-E6 + M16: engagement, risk-adjusted value, churn %, clusters.
 
-    ``risk_cluster`` defaults to the tercile bands (M16); the KMeans variant
-    (M14, ``models.risk_cluster``) replaces it when a model is wanted.  All
+    ``risk_cluster`` defaults to the tercile bands (M16); the KMeans clusters
+    (M14) come from the table so built: see ``with_risk_cluster``.  All
     whole-table statistics are taken from the input frame, so no subquery
     nests another one.
     """
@@ -100,7 +100,7 @@ def composite_features(df: DataFrame, params: Params = DEFAULT_PARAMS, risk_clus
     })
 
 
-def minmax_scaled(df: DataFrame, cols=("churn_probability", "net_profit_per_client", "engagement_index")) -> DataFrame:
+def minmax_scaled(df: DataFrame, cols=("churn_probability", "net_profit_per_client", "engagement_index"), keep=()) -> DataFrame:
     """Min-max scaling of the clustering inputs (nulls -> 0 first);
     a constant column scales to 0."""
     aggs = []
@@ -113,7 +113,7 @@ def minmax_scaled(df: DataFrame, cols=("churn_probability", "net_profit_per_clie
         lo, hi = mm[f"{c}__lo"], mm[f"{c}__hi"]
         x = F.coalesce(F.col(c), F.lit(0.0)).cast("double")
         out.append(F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0)).alias(f"{c}_scaled"))
-    return df.select("customer_id", *out)
+    return df.select("customer_id", *keep, *out)
 
 
 def fill_features(df: DataFrame) -> DataFrame:
@@ -129,7 +129,17 @@ def enrich_from(rec_with_features: DataFrame, params: Params = DEFAULT_PARAMS,
 
 def enrich(recommendations: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
            params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Recommendations LEFT JOIN transaction features, fill 0, E1-E6."""
+    """Recommendations LEFT JOIN transaction features, fill 0, E1-E6, with
+    the tercile bands as risk cluster (``with_risk_cluster`` puts a table of
+    clusters in their place)."""
     feats = TXF.transaction_features(tx, cal)
     j = recommendations.join(feats, "customer_id", "left")
     return enrich_from(j, params)
+
+
+def with_risk_cluster(enriched: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The enriched table with the risk clusters of a (customer_id,
+    risk_cluster) table; a customer that it lacks keeps the band."""
+    c = clusters.select(F.col("customer_id").alias("_id"), F.col("risk_cluster").alias("_cluster"))
+    j = enriched.join(c, F.col("customer_id") == F.col("_id"), "left")
+    return j.select(*[F.coalesce("_cluster", "risk_cluster").alias(n) if n == "risk_cluster" else F.col(n) for n in enriched.columns])

@@ -1,11 +1,11 @@
 """Churn and revenue models, risk clusters (M1-M16, S13) with MLlib.
 
-Splits are hash-based (``xxhash64(customer_id, seed)``), so the same
-customers land in the same split on any partitioning and no window or
-sort over the whole table is needed; stratification follows because the
-hash is independent of the label.  Trees and KMeans are MLlib's
-distributed implementations.  MLlib subsamples features per node rather
-than per tree, so scores are not numerically those of another library.
+Splits take, of each class, the fifth of the customers whose seeded hash
+ranks lowest: the same ones on any partitioning, and of every class.  The
+feature matrix is written once; split, fit, evaluation and scoring read it.
+Trees and KMeans are MLlib's distributed implementations.  MLlib subsamples
+features per node rather than per tree, so scores are not numerically those
+of another library.
 """
 
 from __future__ import annotations
@@ -20,17 +20,28 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..functions import exprs as X
+from ..functions import stats as S
+from ..sources.stages import exists, materialize
 from . import enrich as E
 from . import txfeatures as TXF
 
+# Fixed values that must equal the original's: feature names and order, segment
+# flags, and the trees' parameters.
 CHURN_FEATURES = ["age", "income", "account_balance", "tenure_months", "tx_count", "tx_avg_amount",
                   "tx_std_amount", "tx_recency_days", "online_ratio", "atm_ratio",
                   "segment_retail", "segment_premium", "segment_hnw"]
 REVENUE_FEATURES = ["age", "income", "account_balance", "tenure_months", "tx_count", "tx_avg_amount",
                     "tx_total_volume", "online_ratio", "segment_retail", "segment_premium", "segment_hnw"]
 SEGMENT_FLAGS = [("retail", "segment_retail"), ("premium", "segment_premium"), ("high_net_worth", "segment_hnw")]
+TREES = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+TEST_SHARE = 0.2
+
+
+#: Missing personal data counts as 0, as every other missing feature.
+PERSON_FILL = {"age": 0, "income": 0.0, "account_balance": 0.0, "tenure_months": 0}
 
 
 def _flags() -> list[Column]:
@@ -44,10 +55,10 @@ def churn_features(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_
     j = customers.join(agg, "customer_id", "left")
     fills = {"tx_count": 0, "tx_avg_amount": 0.0, "tx_std_amount": 0.0, "tx_recency_days": 365,
              "online_ratio": 0.5, "atm_ratio": 0.3}
-    return j.fillna(fills).select(
+    return j.fillna({**fills, **PERSON_FILL}).select(
         "customer_id", "age", "income", "account_balance", "tenure_months", "tx_count", "tx_avg_amount",
         "tx_std_amount", "tx_recency_days", "online_ratio", "atm_ratio", *_flags(),
-        (F.col("churn_risk_score") > params.churn_label_cut).cast("int").alias("churn_label"))
+        F.coalesce((F.col("churn_risk_score") > params.churn_label_cut).cast("int"), F.lit(0)).alias("churn_label"))
 
 
 def revenue_features(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
@@ -64,16 +75,28 @@ def revenue_features(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAUL
                    F.coalesce(online, F.lit(0.5)).alias("online_ratio"),
                    revenue_target_expr(F.col("amt_total"), params, cal).alias("revenue_target"))
     j = customers.join(a, "customer_id", "left").fillna(
-        {"tx_count": 0, "tx_avg_amount": 0.0, "tx_total_volume": 0.0, "online_ratio": 0.0, "revenue_target": 0.0})
+        {"tx_count": 0, "tx_avg_amount": 0.0, "tx_total_volume": 0.0, "online_ratio": 0.0, "revenue_target": 0.0, **PERSON_FILL})
     return j.select("customer_id", "age", "income", "account_balance", "tenure_months", "tx_count",
                     "tx_avg_amount", "tx_total_volume", "online_ratio", *_flags(), "revenue_target")
 
 
-def hash_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """M3 / M9: deterministic train/test split by a seeded id hash."""
-    u = F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    d = df.withColumn("_u", u)
-    return d.where(F.col("_u") >= test_fraction).drop("_u"), d.where(F.col("_u") < test_fraction).drop("_u")
+def split(df: DataFrame, label: str | None = None, share: float = TEST_SHARE, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """M3 / M9: deterministic train and test rows.
+
+    Of each class of ``label`` (of all rows without one) the ceil(share * n)
+    customers whose MD5 of id and seed ranks lowest are for the test.  The
+    rank's threshold is an exact order statistic of the hash: no class is
+    sorted in one task.  A null label is a class."""
+    h = F.conv(F.substring(F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f":{seed}"))), 1, 13), 16, 10).cast("double")
+    d = df.withColumn("_u", h)
+    by = [label] if label else []
+    cut = S.lowest(d, "_u", share, by)
+    if by:
+        d = d.join(cut.withColumnRenamed(label, "_class"), F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
+    else:
+        d = d.withColumn("_t", S.scalars(cut)["_t"])
+    test = F.coalesce(F.col("_u") <= F.col("_t"), F.lit(False))
+    return d.where(~test).drop("_u", "_t"), d.where(test).drop("_u", "_t")
 
 
 def _assembled(cols: list[str]) -> VectorAssembler:
@@ -83,8 +106,8 @@ def _assembled(cols: list[str]) -> VectorAssembler:
 def fit_churn(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = 300) -> PipelineModel:
     """M4: gradient-boosted trees (300 trees, depth 6, rate 0.05, row and
     feature sampling 0.8)."""
-    gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxIter=max_iter, maxDepth=6,
-                        stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=params.seed)
+    gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxIter=max_iter,
+                        seed=params.seed, **TREES)
     return Pipeline(stages=[_assembled(CHURN_FEATURES), gbt]).fit(train)
 
 
@@ -97,8 +120,8 @@ def score_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
 def churn_model_report(customers: DataFrame, tx: DataFrame, params: Params = DEFAULT_PARAMS,
                        max_iter: int = 300) -> DataFrame:
     """M3-M6: split, fit, hold-out AUC, scores for every customer."""
-    feats = churn_features(customers, tx, params=params)
-    train, test = hash_split(feats, 0.2, params.seed)
+    feats = materialize(churn_features(customers, tx, params=params), "churn-matrix")
+    train, test = split(feats, "churn_label", seed=params.seed)
     model = fit_churn(train, params, max_iter)
     auc = BinaryClassificationEvaluator(labelCol="churn_label", rawPredictionCol="rawPrediction",
                                         metricName="areaUnderROC").evaluate(model.transform(test))
@@ -107,8 +130,8 @@ def churn_model_report(customers: DataFrame, tx: DataFrame, params: Params = DEF
 
 def fit_revenue(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = 300) -> PipelineModel:
     """Gradient-boosted regression trees, same hyper-parameters."""
-    gbt = GBTRegressor(labelCol="revenue_target", featuresCol="features", maxIter=max_iter, maxDepth=6,
-                       stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=params.seed)
+    gbt = GBTRegressor(labelCol="revenue_target", featuresCol="features", maxIter=max_iter,
+                       seed=params.seed, **TREES)
     return Pipeline(stages=[_assembled(REVENUE_FEATURES), gbt]).fit(train)
 
 
@@ -122,8 +145,8 @@ def score_revenue(model: PipelineModel, features: DataFrame) -> DataFrame:
 def revenue_model_report(customers: DataFrame, tx: DataFrame, params: Params = DEFAULT_PARAMS,
                          max_iter: int = 300) -> DataFrame:
     """Split, fit, R2 and MAE on the hold-out, scores."""
-    feats = revenue_features(customers, tx, params=params)
-    train, test = hash_split(feats, 0.2, params.seed)
+    feats = materialize(revenue_features(customers, tx, params=params), "revenue-matrix")
+    train, test = split(feats, seed=params.seed)
     model = fit_revenue(train, params, max_iter)
     pred = model.transform(test)
     r2 = RegressionEvaluator(labelCol="revenue_target", metricName="r2").evaluate(pred)
@@ -138,24 +161,26 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_or_train(path: str, train_fn, *args, **kwargs) -> PipelineModel:
-    """Load a saved pipeline, or train and save it when missing."""
-    try:
+    """Load a saved pipeline, or train and save it where none is; one
+    that is there but cannot be read is an error."""
+    from pyspark.sql import SparkSession
+
+    if exists(SparkSession.getActiveSession(), path):
         return PipelineModel.load(path)
-    except Exception:  # missing or unreadable model
-        model = train_fn(*args, **kwargs)
-        save_model(model, path)
-        return model
+    model = train_fn(*args, **kwargs)
+    save_model(model, path)
+    return model
 
 
 def risk_cluster_assignments(enriched: DataFrame, k: int = 3, n_init: int = 10, seed: int = 42) -> DataFrame:
     """KMeans (k = 3, best of 10 seeded starts by training cost)
     on min-max scaled churn, net profit and engagement; clusters named
-    low / medium / high by ascending mean churn probability."""
+    low / medium / high by ascending mean churn probability.  The scaled
+    vectors are written once and read by every start."""
     cols = ["churn_probability", "net_profit_per_client", "engagement_index"]
-    scaled = E.minmax_scaled(enriched, cols)
-    sc = [f"{c}_scaled" for c in cols]
-    data = VectorAssembler(inputCols=sc, outputCol="features").transform(scaled).join(
-        enriched.select("customer_id", "churn_probability"), "customer_id")
+    scaled = E.minmax_scaled(enriched, cols, keep=["churn_probability"])
+    data = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="features").transform(scaled)
+    data = materialize(data.select("customer_id", "churn_probability", "features"), "clustering")
     best, best_cost = None, None
     for i in range(n_init):
         m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
@@ -163,9 +188,7 @@ def risk_cluster_assignments(enriched: DataFrame, k: int = 3, n_init: int = 10,
         if best_cost is None or cost < best_cost:
             best, best_cost = m, cost
     pred = best.transform(data)
-    names = pred.groupBy("cluster").agg(F.avg("churn_probability").alias("_m"))
-    from pyspark.sql import Window
-    w = Window.orderBy("_m", "cluster")  # k rows only
-    names = names.withColumn("_r", F.row_number().over(w)).select(
-        "cluster", F.element_at(F.array(*[F.lit(n) for n in ("low", "medium", "high")]), F.col("_r")).alias("risk_cluster"))
-    return pred.join(F.broadcast(names), "cluster").select("customer_id", "risk_cluster")
+    means = sorted((r.m if r.m is not None else 0.0, r.cluster) for r in  # k rows
+                   pred.groupBy("cluster").agg(F.avg("churn_probability").alias("m")).collect())
+    names = {c: C.CLUSTER_NAMES[i] for i, (_, c) in enumerate(means)}
+    return pred.select("customer_id", X.map_values("cluster", names).alias("risk_cluster"))

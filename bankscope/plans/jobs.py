@@ -19,8 +19,9 @@ from ..operators import marts as M
 from ..operators import models as MD
 from ..operators import scoring as SC
 from ..operators import views as V
+from ..session import checkpoint_dir
 from ..sources import sinks
-from .pipeline import materialize
+from ..sources.stages import materialize
 
 
 def _report(parts: dict[str, DataFrame]) -> DataFrame:
@@ -43,49 +44,61 @@ def run_scoring_job(spark: SparkSession, customers: DataFrame, transactions: Dat
     deterministic scorer is used.
     """
     base = out_dir.rstrip("/")
+    checkpoint_dir(spark)  # the trees cut their lineage there
     if use_models:
-        cf = MD.churn_features(customers, transactions, cal, params)
-        rf = MD.revenue_features(customers, transactions, cal, params)
+        cf = materialize(MD.churn_features(customers, transactions, cal, params), "churn-matrix")
+        rf = materialize(MD.revenue_features(customers, transactions, cal, params), "revenue-matrix")
         mdir = (model_dir or f"{base}/models").rstrip("/")
-        if retrain:
-            cm = MD.fit_churn(MD.hash_split(cf, 0.2, params.seed)[0], params, max_iter)
-            rm = MD.fit_revenue(MD.hash_split(rf, 0.2, params.seed)[0], params, max_iter)
-            MD.save_model(cm, f"{mdir}/churn")
-            MD.save_model(rm, f"{mdir}/revenue")
-        else:
-            cm = MD.load_or_train(f"{mdir}/churn", lambda: MD.fit_churn(MD.hash_split(cf, 0.2, params.seed)[0],
-                                                                         params, max_iter))
-            rm = MD.load_or_train(f"{mdir}/revenue", lambda: MD.fit_revenue(MD.hash_split(rf, 0.2, params.seed)[0],
-                                                                             params, max_iter))
-        scoring = materialize(SC.scoring_table(customers, MD.score_churn(cm, cf), MD.score_revenue(rm, rf), params),
-                              "scoring")
+
+        def model(name: str, train):
+            path = f"{mdir}/{name}"
+            if retrain:
+                m = train()
+                MD.save_model(m, path)
+                return m
+            return MD.load_or_train(path, train)
+
+        cm = model("churn", lambda: MD.fit_churn(MD.split(cf, "churn_label", seed=params.seed)[0], params, max_iter))
+        rm = model("revenue", lambda: MD.fit_revenue(MD.split(rf, seed=params.seed)[0], params, max_iter))
+        scoring = SC.scoring_table(customers, MD.score_churn(cm, cf), MD.score_revenue(rm, rf), params)
     else:
-        scoring = SC.add_value_score(materialize(SC.exact_scoring_base(customers, transactions, cal, params),
-                                                 "scoring"))
-    rec = materialize(D.apply_recommendations(scoring, params), "recommendations")
-    paths = {
-        "scoring_table": sinks.write_parquet(scoring, f"{base}/scoring_table.parquet"),
-        "recommendations": sinks.write_parquet(rec, f"{base}/recommendations.parquet"),
-        "segment_breakdown": sinks.write_parquet(K.segment_breakdown(rec), f"{base}/segment_breakdown.parquet"),
-    }
-    report = _report({"portfolio": K.portfolio_metrics(rec), "segment_breakdown": K.segment_breakdown(rec),
+        scoring = SC.add_value_score(materialize(SC.exact_scoring_base(customers, transactions, cal, params), "scoring"))
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        """Write an output once; what follows reads the file."""
+        paths[name] = sinks.write_parquet(df, f"{base}/{name}.parquet")
+        return spark.read.schema(df.schema).parquet(paths[name])
+
+    paths: dict[str, str] = {}
+    rec = write("recommendations", D.apply_recommendations(write("scoring_table", scoring), params))
+    segments = write("segment_breakdown", K.segment_breakdown(rec))
+    report = _report({"portfolio": K.portfolio_metrics(rec), "segment_breakdown": segments,
                       "action_distribution": K.action_distribution(rec)})
     paths["business_metrics"] = sinks.write_report(report, f"{base}/business_metrics.json")
     return paths
 
 
 def run_mart_job(spark: SparkSession, recommendations: DataFrame, transactions: DataFrame, out_dir: str,
-                 cal: Calendar = DEFAULT_CALENDAR, params: Params = DEFAULT_PARAMS) -> dict[str, str]:
-    """Enrichment -> customer mart, financial aggregates, time series ->
-    KPI report -> export as Parquet + CSV -> dashboard cards."""
+                 cal: Calendar = DEFAULT_CALENDAR, params: Params = DEFAULT_PARAMS, clusters: str = "kmeans") -> dict[str, str]:
+    """Enrichment -> risk clusters -> customer mart, financial aggregates,
+    time series -> KPI report -> export as Parquet + CSV -> dashboard cards.
+
+    ``clusters``: "kmeans" (M14) or "tercile" (M16), the bands to fall back on
+    where clustering is not wanted.  Every table is written once; the exports
+    and reports read the written files."""
     base = out_dir.rstrip("/")
-    enriched = materialize(E.enrich(recommendations, transactions, cal, params), "enriched")
+    if clusters not in ("kmeans", "tercile"):
+        raise ValueError("clusters: kmeans or tercile")
+    enriched = E.enrich(recommendations, transactions, cal, params)
+    if clusters == "kmeans":
+        bands = materialize(enriched, "enriched")
+        enriched = E.with_risk_cluster(bands, MD.risk_cluster_assignments(bands, seed=params.seed))
     paths = {"enriched": sinks.write_parquet(enriched, f"{base}/enriched_customers.parquet")}
-    cust = M.customer_mart(enriched, params)
-    fa = materialize(M.financial_aggregates(enriched), "financial_aggregates")
-    ts = materialize(M.time_series(transactions, enriched, cal, params), "time_series")
-    paths.update(sinks.export_marts({"customer_table": cust, "financial_aggregates": fa, "time_series": ts},
-                                    f"{base}/marts"))
+    enriched = spark.read.schema(enriched.schema).parquet(paths["enriched"])
+    marts = {"customer_table": M.customer_mart(enriched, params), "financial_aggregates": M.financial_aggregates(enriched),
+             "time_series": M.time_series(transactions, enriched, cal, params)}
+    paths.update(sinks.export_marts(marts, f"{base}/marts"))
+    fa, ts = (spark.read.schema(marts[n].schema).parquet(paths[f"{n}_parquet"]) for n in ("financial_aggregates", "time_series"))
     paths["kpi_report"] = sinks.write_report(K.kpi_report(enriched, ts, params), f"{base}/kpis/kpi_report.json")
     paths["dashboard_cards"] = sinks.write_report(_report({"kpi_cards": V.kpi_cards(fa)}),
                                                   f"{base}/specs/dashboard_cards.json")

@@ -16,7 +16,7 @@ import datetime as _dt
 from .. import config as C
 from ..config import DEFAULT_CALENDAR as CAL
 from ..config import DEFAULT_PARAMS as PAR
-from ..sources.fixtures import MKT_SEGMENT, ORDER_STATUS_CHANNEL, PRIORITY_TYPE
+from ..sources.fixtures import CHURN_DAYS, MKT_SEGMENT, ORDER_STATUS_CHANNEL, PRIORITY_TYPE
 
 
 def _ts(d: _dt.date) -> str:
@@ -119,8 +119,8 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
        greatest(c.c_acctbal, 0.0::DOUBLE) AS account_balance,
        {_case('c.c_mktsegment', MKT_SEGMENT)} AS segment,
        round_even(least(1.0::DOUBLE, greatest(0.0::DOUBLE,
-           CAST(coalesce(CAST(floor((epoch({_ts(END)}) - epoch(l.last_ts)) / 86400) AS BIGINT), {DAYS}) AS DOUBLE)
-           / {float(DAYS)}::DOUBLE)), 4) AS churn_risk_score,
+           CAST(coalesce(CAST(floor((epoch({_ts(END)}) - epoch(l.last_ts)) / 86400) AS BIGINT), {CHURN_DAYS}) AS DOUBLE)
+           / {float(CHURN_DAYS)}::DOUBLE)), 4) AS churn_risk_score,
        CAST(1 + c.c_custkey % 179 AS INTEGER) AS tenure_months,
        r.r_name AS region
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey

@@ -2,9 +2,8 @@
 
 The scoring job (G1) and the mart job (G2) are chains of stages; every
 stage output that later stages read many times (scoring table,
-recommendations, enriched table) is materialised with a reliable
-``checkpoint()`` into the cluster's checkpoint folder (``spark.checkpoint.dir``;
-a scratch folder only when the session has none, as in tests).  This keeps
+recommendations, enriched table) is written once as Parquet in the cluster's
+checkpoint folder (``spark.checkpoint.dir``) and read back.  This keeps
 each stage's plan - and the scalar subqueries that carry whole-table
 thresholds - small, survives executor loss (the checkpoint is on shared
 storage, not on executors) and stops later stages from recomputing the
@@ -13,7 +12,6 @@ transaction roll-up.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,22 +20,8 @@ from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..operators import decision as D
 from ..operators import enrich as E
 from ..operators import scoring as SC
-from ..session import checkpoint_dir
 from ..sources import fixtures as FX
-
-
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage by writing the stage once as Parquet in the shared
-    checkpoint folder and reading it back (never ``localCheckpoint``).
-
-    Unlike ``DataFrame.checkpoint()`` (which evaluates the plan twice unless
-    it is cached) the stage is computed once; later reads get column pruning
-    and filter push-down, and the files survive executor loss.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/bankscope-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
+from ..sources.stages import materialize, release
 
 
 class Stages:
@@ -84,13 +68,24 @@ class Stages:
 _CACHE: dict = {}
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files: changed inputs give new stages."""
+    out = []
+    for t in ("customer", "orders", "nation", "region"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        out += [(f.getPath().toString(), f.getLen(), f.getModificationTime())
+                for f in (fs.listStatus(p) if fs.exists(p) else [])]
+    return tuple(out)
+
+
 def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR,
                    params: Params = DEFAULT_PARAMS, reuse: bool = True) -> Stages:
     """Stages of the deterministic-scorer pipeline over a fixture directory
     (tercile risk clusters).  Within one session they are shared by every
     query on the same directory and parameters.
     """
-    key = (sf_dir.rstrip("/"), repr(cal), repr(params))
+    key = (sf_dir.rstrip("/"), _stamp(spark, sf_dir), repr(cal), repr(params))
     hit = _CACHE.get(key)
     if reuse and hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
         return hit[1]
@@ -101,5 +96,11 @@ def fixture_stages(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CAL
 
 
 def clear_cache() -> None:
-    """Forget materialised stages (each call rebuilds from the raw tables)."""
+    """Forget the stages and delete their files (each call rebuilds from the
+    raw tables)."""
+    for spark, st in _CACHE.values():
+        if spark.sparkContext._jsc is not None:
+            for name in ("_base", "_rec", "enriched"):
+                if name in st.__dict__:
+                    release(st.__dict__[name])
     _CACHE.clear()

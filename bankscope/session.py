@@ -1,8 +1,8 @@
 """Session helpers.
 
 On a cluster the driver program owns the ``SparkSession``; this module only
-builds one for tests and the bench, and fills in settings that are unset
-(never overriding what the cluster configured).
+builds one for tests and the bench, and fills in settings that are unset.
+One is always set: the time zone, as timestamps are naive wall-clock values.
 """
 
 from __future__ import annotations
@@ -59,13 +59,15 @@ def ensure_settings(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is created
-    and registered.  Jobs cut long lineage with ``df.checkpoint()`` (reliable
-    checkpoint in this folder), never with ``localCheckpoint``.
+    Only a local session (tests, the bench) may go without: then a scratch
+    folder is created and registered.  On a cluster each executor would write
+    to a disk of its own, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="bankscope-ckpt-", dir=os.environ.get("BANKSCOPE_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -25,6 +25,8 @@ MKT_SEGMENT = {
     "MACHINERY": "high_net_worth",
 }
 ORDER_STATUS_CHANNEL = {"F": "online", "O": "ATM", "P": "branch"}
+# Days without an order after which the churn score is 1.
+CHURN_DAYS = 723
 PRIORITY_TYPE = {"1": "payment", "2": "payment", "3": "transfer", "4": "withdrawal", "5": "withdrawal"}
 
 
@@ -47,11 +49,10 @@ def transactions(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALEN
 
 def churn_score_expr(last_ts: Column, cal: Calendar = DEFAULT_CALENDAR) -> Column:
     """churn_risk_score = half-even 4 dp of clip(floor days from the last
-    order to the calendar end / obs_days, 0, 1); no order -> 1."""
+    order to the calendar end / CHURN_DAYS, 0, 1); no order -> 1."""
     days = X.floor_days(X.ts_lit(cal.end), last_ts)
     score = F.least(F.lit(1.0), F.greatest(F.lit(0.0),
-                                           F.coalesce(days, F.lit(cal.obs_days)).cast("double")
-                                           / F.lit(float(cal.obs_days))))
+                                           F.coalesce(days, F.lit(CHURN_DAYS)).cast("double") / F.lit(float(CHURN_DAYS))))
     return F.bround(score, 4)
 
 

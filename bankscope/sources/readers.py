@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from .schema import conform
+from .stages import exists
 
 # Mart names -> pipeline names (the customer mart renames two columns).
 MART_TO_PIPELINE = {"total_revenue_generated": "predicted_revenue_annual", "clv_5yr": "clv"}
@@ -37,15 +37,10 @@ class InputMissing(FileNotFoundError):
 
 def read_first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """S3: the first path that exists (e.g. enriched mart, else recommendations)."""
-    errors = []
     for p in paths:
-        try:
-            df = spark.read.parquet(p)
-            df.schema  # forces path resolution
-            return df
-        except AnalysisException as e:  # PATH_NOT_FOUND and friends
-            errors.append(f"{p}: {e.getCondition() or e}")
-    raise InputMissing("none of the inputs exist; run the scoring job first:\n  " + "\n  ".join(errors))
+        if exists(spark, p):  # a table that is there but unreadable is an error
+            return spark.read.parquet(p)
+    raise InputMissing("none of the inputs exist; run the scoring job first:\n  " + "\n  ".join(paths))
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -63,7 +58,6 @@ def coerce_timestamps(tx: DataFrame, column: str = "timestamp") -> DataFrame:
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A JSON report (multi-line); empty frame when missing."""
-    try:
-        return spark.read.option("multiLine", True).json(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], "value string")
+    return spark.read.option("multiLine", True).json(path)

@@ -29,18 +29,22 @@ def write_partitioned(df: DataFrame, path: str, cols=("segment", "month"), mode:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header, UTF-8 (Spark writes no byte-order mark)."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    """CSV with a header, UTF-8 with a byte-order mark: it is put before
+    the first column's name, so every part file begins with it."""
+    marked = df.withColumnRenamed(df.columns[0], f"\ufeff{df.columns[0]}")
+    marked.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
     return path
 
 
 def export_marts(tables: Mapping[str, DataFrame], directory: str) -> dict[str, str]:
-    """Every table as Parquet and CSV; returns ``{name_fmt: path}``."""
+    """Every table as Parquet and, from that file, CSV; returns
+    ``{name_fmt: path}``.  A table is evaluated once."""
     out: dict[str, str] = {}
     base = directory.rstrip("/")
     for name, df in tables.items():
         out[f"{name}_parquet"] = write_parquet(df, f"{base}/{name}.parquet")
-        out[f"{name}_csv"] = write_csv(df, f"{base}/{name}.csv")
+        written = df.sparkSession.read.schema(df.schema).parquet(out[f"{name}_parquet"])
+        out[f"{name}_csv"] = write_csv(written, f"{base}/{name}.csv")
     return out
 
 

@@ -29,11 +29,34 @@ def test_revenue_model_learns_the_target(spark):
     assert r["lo"] >= 0.0 and r["r2"] > 0.0
 
 
-def test_hash_split_is_stable(spark):
-    df = spark.range(2000).select(F.col("id").cast("string").alias("customer_id"))
-    a = {r[0] for r in MD.hash_split(df.repartition(2))[1].collect()}
-    b = {r[0] for r in MD.hash_split(df.repartition(9))[1].collect()}
-    assert a == b and 300 < len(a) < 500
+def test_split_is_stable_and_stratified(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("customer_id"), F.expr("if(id % 250 = 0, 1, if(id % 333 = 0, null, 0))").alias("y"))
+    a = {r[0]: r[1] for r in MD.split(df.repartition(2), "y")[1].collect()}
+    b = {r[0]: r[1] for r in MD.split(df.repartition(9), "y")[1].collect()}
+    n = {r.y: r["count"] for r in df.groupBy("y").count().collect()}
+    assert a == b and {y: list(a.values()).count(y) for y in n} == {y: -(-c // 5) for y, c in n.items()}
+    train, test = MD.split(df)
+    assert test.count() == 400 and train.join(test, "customer_id").count() == 0 and train.count() == 1600
+
+
+def test_missing_values_count_as_zero(spark):
+    cust = spark.createDataFrame([("a", None, None, None, None, None, None, None)],
+                                 "customer_id string, age int, income double, account_balance double, segment string, "
+                                 "churn_risk_score double, tenure_months int, region string")
+    tx = FX.transactions(spark, SF_SMALL).where("false")
+    r = MD.churn_features(cust, tx).first().asDict()
+    assert r == {"customer_id": "a", "age": 0, "income": 0.0, "account_balance": 0.0, "tenure_months": 0, "tx_count": 0,
+                 "tx_avg_amount": 0.0, "tx_std_amount": 0.0, "tx_recency_days": 365, "online_ratio": 0.5, "atm_ratio": 0.3,
+                 "segment_retail": 0, "segment_premium": 0, "segment_hnw": 0, "churn_label": 0}
+    assert all(v == 0 or k == "customer_id" for k, v in MD.revenue_features(cust, tx).first().asDict().items())
+
+
+def test_unreadable_model_is_an_error(spark, tmp_path):
+    (tmp_path / "model").mkdir()
+    (tmp_path / "model" / "junk").write_text("x")
+    with pytest.raises(Exception):
+        MD.load_or_train(f"file://{tmp_path}/model", lambda: pytest.fail("must not train"))
+    assert (tmp_path / "model" / "junk").exists()
 
 
 def test_risk_clusters_named_by_churn(spark):
