@@ -41,6 +41,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Files of a stage up to which it is sent to every executor.
+SMALL_MB = 24
+
+
+def small(staged: DataFrame) -> DataFrame:
+    """A stage to be broadcast if its files are small enough, however the
+    session's own limit is set; as it is otherwise, for a shuffled join."""
+    jvm, path = staged.sparkSession._jvm, staged._llm_path
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(staged.sparkSession._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return F.broadcast(staged) if size <= SMALL_MB << 20 else staged
+
+
 def release(*stages: DataFrame) -> None:
     """Delete the files of stages that nothing reads any more, and let Spark
     clean the shuffle files of plans that are no longer referred to."""

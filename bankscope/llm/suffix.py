@@ -25,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, slices, stage, utf8
-from .wordtable import mixed
+from .common import release, slices, small, stage, utf8
+from .wordtable import mixed, pack, pack_long, unpack, unpack_long
 
 #: Bytes of a string that counts as repeated, and of a gram.
 LONG, GRAM = 200, 64
 #: Batches in which the documents are indexed.
 BATCHES = 4
-UNIT = 2 << 20
+#: Bytes of text that are searched at a time, and strings that are compared
+#: before they are dealt.
+UNIT, STRINGS = 2 << 20, 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -159,43 +161,148 @@ def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(x[np.append(0, cut + 1)].tolist(), x[np.append(cut, len(x) - 1)].tolist())
 
 
+def _strings(h: _Hashed, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of some neighbourhoods in one text: the hash of each of their strings
+    with its offset, which neighbourhood it is of, and the offset."""
+    lo, n, off = place >> 16, place >> 8 & 255, place & 255
+    which = np.repeat(np.arange(len(lo)), n)
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    begin = lo[which] + step
+    return mixed(h.of(begin, begin + LONG) + (off[which] - step).astype(np.uint64)), which, off[which] - step
+
+
+def _parts_of(x: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` even ranges of 64 bits a number lies in."""
+    return ((x >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+_PACKED = "part int, open boolean, keys binary, classes binary, at binary, offsets binary"
+_NAMES = [x.split()[0] for x in _PACKED.split(", ")]
+_KINDS = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+
+
+def _marks(part: int, classes: np.ndarray, offsets: np.ndarray, parts: int) -> list[tuple]:
+    """Rows that say which offsets of which neighbourhoods are repeated,
+    dealt by neighbourhood."""
+    c = classes.view(np.uint64)
+    to = _parts_of(c, parts)
+    order = np.lexsort((offsets, c, to))
+    c, offsets, to = c[order], offsets[order], to[order]
+    cut = np.searchsorted(to, np.arange(parts + 1))
+    rows = []
+    for p in range(parts):
+        i, j = cut[p], cut[p + 1]
+        if i < j:
+            there, at = np.unique(c[i:j], return_inverse=True)
+            rows.append((p, False, None, pack_long(there), pack(at), pack(offsets[i:j])))
+    return rows
+
+
+def _batch(rows: list[tuple], kind: type = pa.RecordBatch):
+    return kind.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_KINDS)], names=_NAMES)
+
+
 def repeated(docs: DataFrame, family: Family) -> DataFrame:
     """(class, spans) of the neighbourhoods with a repeated string: first and
     last offset of runs of such strings, before the anchor."""
     whole = family.whole()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     strings, offset = F.expr("place >> 8 & 255"), F.expr("place & 255")
-    full = whole.where("n > 1").select("class", F.array(F.struct((offset - strings + 1).cast("int").alias("a"), offset.cast("int").alias("b"))).alias("spans"))
+    span = F.struct((offset - strings + 1).cast("int").alias("a"), offset.cast("int").alias("b"))
+    full = stage(whole.where("n > 1").select("class", F.array(span).alias("spans")), "suffixes-full")
     several = whole.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
-    # of a neighbourhood that comes once, and of those that come more often, one each
-    contested = stage(whole.join(several, "gram").select("class", "n", "doc", "place"), "suffixes-contested")
-    places = contested.groupBy("doc").agg(F.collect_list(F.struct("class", "place")).alias("places"))
+    # one place of each neighbourhood, however often it comes
+    places = (whole.join(several, "gram").select("class", "doc", "place", (F.col("n") > 1).alias("full"))
+              .groupBy("doc").agg(F.collect_list(F.struct("class", "place", "full")).alias("places")))
+    places = stage(places, "suffixes-places")
+    release(whole)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of neighbourhoods, dealt by their hash.  Of equal ones
+        here only one goes on, marked; the others are known to be repeated."""
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            string, c, full, off = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((c, string))
+            string, c, full, off = string[order], c[order], full[order], off[order]
+            first = np.append(True, string[1:] != string[:-1])
+            again = ~first
+            flag = np.append(again[1:], False) & first
+            known = again & ~full
+            rows = _marks(0, c[known], off[known], parts) if known.any() else []
+            s, c, full, off, flag = string[first], c[first], full[first], off[first], flag[first]
+            to = _parts_of(s, parts)
+            cut = np.searchsorted(to, np.arange(parts + 1))
+            for p in range(parts):
+                i, j = cut[p], cut[p + 1]
+                if i < j:
+                    there, at = np.unique(c[i:j], return_inverse=True)
+                    rows.append((p, True, pack_long(np.diff(s[i:j], prepend=np.uint64(0))), pack_long(there.view(np.uint64)),
+                                 pack(at.astype(np.uint32) * 4 + full[i:j] * 2 + flag[i:j]), pack(off[i:j])))
+            yield _batch(rows)
+
         for b in batches:
             for k in range(b.num_rows):
-                raw = np.frombuffer(b.column(1)[k].as_py().encode(), np.uint8)
                 rows = b.column(2)[k].values
-                c, place = (rows.field(x).to_numpy(zero_copy_only=False) for x in ("class", "place"))
-                h = _Hashed(raw)
+                c, place, full = (rows.field(x).to_numpy(zero_copy_only=False) for x in ("class", "place", "full"))
+                h = _Hashed(np.frombuffer(b.column(1)[k].as_py().encode(), np.uint8))
                 for i in range(0, len(c), 4096):
-                    lo, n, off = place[i:i + 4096] >> 16, place[i:i + 4096] >> 8 & 255, place[i:i + 4096] & 255
-                    which = np.repeat(np.arange(len(lo)), n)
-                    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    begin = lo[which] + step
-                    string = mixed(h.of(begin, begin + LONG) + (off[which] - step).astype(np.uint64)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(string), pa.array(c[i:i + 4096][which]), pa.array((off[which] - step).astype(np.int16))],
-                                                     names=["string", "class", "offset"])
-
-    strings_of = (docs.join(places, "doc").select("doc", "text", "places").mapInArrow(expand, "string long, class long, offset short"))
-    strings_of = stage(strings_of, "suffixes-strings")
-    twice = strings_of.groupBy("string").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("string")
-    partly = (strings_of.join(twice, "string").join(contested.where("n > 1").select("class"), "class", "left_anti")
-              .groupBy("class").agg(F.array_sort(F.collect_set("offset")).alias("offsets")))
-    # offsets to runs: a run begins where the offset before is missing
-    begins = F.filter("offsets", lambda x, i: (i == 0) | (F.get("offsets", i - 1) != x - 1))
-    ends = F.filter("offsets", lambda x, i: F.get("offsets", i + 1).isNull() | (F.get("offsets", i + 1) != x + 1))
-    spans = F.zip_with(begins, ends, lambda a, b: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
-    return full.unionByName(partly.select("class", spans.alias("spans")))
+                    string, which, off = _strings(h, place[i:i + 4096])
+                    held.append((string, c[i:i + 4096][which], full[i:i + 4096][which].astype(bool), off))
+                    size += len(string)
+                    if size >= STRINGS:
+                        yield from out()
+                        held.clear()
+                        size = 0
+        if held:
+            yield from out()
+
+    def compare(table: pa.Table) -> pa.Table:
+        """Strings of a part that different neighbourhoods have."""
+        rows = table.to_pylist()
+        known = [r for r in rows if not r["open"]]
+        rows = [r for r in rows if r["open"]]
+        out = [tuple(r[k] for k in _NAMES) for r in known]
+        if rows:
+            string, c, at, off = [], [], [], []
+            for r in rows:
+                a = unpack(r["at"])
+                string.append(np.cumsum(unpack_long(r["keys"]), dtype=np.uint64))
+                c.append(unpack_long(r["classes"])[a >> 2])
+                at.append(a)
+                off.append(unpack(r["offsets"]))
+            string, c, at, off = (np.concatenate(x) for x in (string, c, at, off))
+            order = np.lexsort((c, string))
+            string, c, at, off = string[order], c[order], at[order], off[order]
+            run = np.cumsum(np.append(False, string[1:] != string[:-1]))
+            twice = np.append(False, (string[1:] == string[:-1]) & (c[1:] != c[:-1])) | (at & 1 > 0)
+            use = (np.bincount(run, weights=twice)[run] > 0) & (at & 2 == 0)
+            if use.any():
+                out += _marks(0, c[use].view(np.int64), off[use], parts)
+        return _batch(out, pa.Table)
+
+    def join(table: pa.Table) -> pa.Table:
+        """Runs of the repeated offsets of each neighbourhood."""
+        rows = table.to_pylist()
+        c = np.concatenate([unpack_long(r["classes"])[unpack(r["at"])] for r in rows])
+        off = np.concatenate([unpack(r["offsets"]) for r in rows]).astype(np.int64)
+        order = np.lexsort((off, c))
+        c, off = c[order], off[order]
+        new = np.append(True, c[1:] != c[:-1])
+        # the same offset may be marked twice
+        first = np.flatnonzero(new | np.append(True, np.diff(off) > 1))
+        last = np.append(first[1:], len(off)) - 1
+        head = np.flatnonzero(new[first])
+        spans = pa.StructArray.from_arrays([pa.array(off[first].astype(np.int32)), pa.array(off[last].astype(np.int32))], names=["a", "b"])
+        return pa.table({"class": pa.array(c[first][head].view(np.int64)),
+                         "spans": pa.ListArray.from_arrays(pa.array(np.append(head, len(first)).astype(np.int32)), spans)})
+
+    packed = docs.join(small(places), "doc").select("doc", "text", "places").mapInArrow(expand, _PACKED)
+    marks = packed.groupBy("part").applyInArrow(compare, _PACKED)
+    partly = marks.groupBy("part").applyInArrow(join, "class long, spans array<struct<a:int,b:int>>")
+    return full.unionByName(partly)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
@@ -215,9 +322,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked = stage(repeated(d, family), "suffixes-repeated")
     found = d.where(F.octet_length("text") >= LONG).mapInArrow(_find, _ENTRY).select("class", "doc", "place")
     anchor = F.expr("(place >> 16) + (place & 255)")
-    spans = (found.join(marked, "class").select("doc", F.explode("spans").alias("s"), anchor.alias("x"))
+    spans = (found.join(small(marked), "class").select("doc", F.explode("spans").alias("s"), anchor.alias("x"))
              .select("doc", (F.col("x") - F.col("s.b")).alias("first"), (F.col("x") - F.col("s.a") + LONG).alias("end"))
              .groupBy("doc").agg(F.collect_list(F.struct("first", "end")).alias("found")))
+    spans = stage(spans, "suffixes-spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,6 +346,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      "spans": pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))}
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], names=list(kinds))
 
-    joined = _keyed(docs, doc_id, text, F.col(doc_id).cast("long").alias("doc_id")).join(spans, "doc", "left")
+    joined = _keyed(docs, doc_id, text, F.col(doc_id).cast("long").alias("doc_id")).join(small(spans), "doc", "left")
     return joined.select("doc_id", "text", "found").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first:long,end:long>>")
