@@ -167,18 +167,34 @@ def financial_aggregates(enriched: DataFrame) -> DataFrame:
 TS_COLUMNS = [
     "calendar_ym", "transaction_volume", "total_transaction_amount", "avg_transaction_amount",
     "unique_active_customers", "estimated_monthly_revenue", "avg_churn_probability", "high_risk_active_count",
-    "monthly_revenue_at_risk", "tx_amount_high_net_worth", "tx_amount_premium", "tx_amount_retail",
+    "monthly_revenue_at_risk", "tx_amount_high_net_worth", "tx_amount_premium", "tx_amount_retail", "tx_amount_other",
     "calendar_date", "month_index", "revenue_3m_rolling_avg", "churn_prob_3m_rolling_avg",
     "tx_volume_3m_rolling_avg", "revenue_mom_growth_pct",
 ]
 
 
 def customer_months(tx: DataFrame) -> DataFrame:
-    """(customer, month) cells: transaction rows, ids, amounts (exact)."""
+    """(customer, month) cells: transaction rows, ids, amounts (exact), in all
+    and by the transaction's segment (``other``: none or an unknown one)."""
+    by_segment = []
+    if "segment" in tx.columns:
+        named = {s: F.col("segment") == s for s in sorted(C.SEGMENTS)}
+        named["other"] = ~F.coalesce(F.col("segment").isin(*C.SEGMENTS), F.lit(False))
+        by_segment = [F.sum(F.when(is_, X.dec("amount", 4))).alias(f"amt_{s}") for s, is_ in named.items()]
     return (tx.where(F.col("month").isNotNull())
               .groupBy("customer_id", "month")
               .agg(F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_tx"),
-                   F.count("amount").alias("n_amt"), X.exact_sum("amount", 4).alias("amt")))
+                   F.count("amount").alias("n_amt"), X.exact_sum("amount", 4).alias("amt"), *by_segment))
+
+
+SEGMENT_AMOUNTS = [f"tx_amount_{s}" for s in [*sorted(C.SEGMENTS), "other"]]
+
+
+def monthly_segment_amount(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
+    """One row per month and segment found among the transactions."""
+    return (tx.where(F.col("month").isNotNull()).groupBy("month", "segment").agg(X.exact_sum("amount", 4).alias("_a"))
+              .select(X.month_label("month", cal.start).alias("calendar_ym"), "segment",
+                      F.coalesce(X.dround(F.col("_a"), 4), F.lit(0.0)).alias("amount")))
 
 
 def monthly_tx(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, params: Params = DEFAULT_PARAMS,
@@ -210,12 +226,10 @@ def monthly_risk(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CAL
     transaction, far fewer joined rows.
     """
     cm = cells if cells is not None else customer_months(tx)
-    cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level", "segment")
+    cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level")
     j = cm.join(cust, "customer_id", "left")
     n = F.col("n_rows").cast(DecimalType(20, 0))
-    seg_cols = {}
-    for s in sorted(C.SEGMENTS):
-        seg_cols[f"tx_amount_{s}"] = F.sum(F.when(F.col("segment") == s, F.col("amt")))
+    seg_cols = {c: F.sum(c.removeprefix("tx_").replace("amount", "amt")) for c in SEGMENT_AMOUNTS}
     g = j.groupBy("month").agg(
         F.sum(F.col("churn_probability").cast(DecimalType(10, 4)) * n).alias("_pn"),
         F.sum(F.when(F.col("churn_probability").isNotNull(), F.col("n_rows"))).alias("_pcount"),
@@ -265,11 +279,11 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
     at most ``n_months`` rows, so an unpartitioned window is bounded here.
     """
     cm = customer_months(tx)
-    cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level", "segment")
+    cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level")
     j = cm.join(cust, "customer_id", "left")
     n = F.col("n_rows").cast(DecimalType(20, 0))
     per = (Decimal(str(params.margin_rate)) / Decimal(cal.n_months)).quantize(Decimal("1e-10"))
-    segs = {f"tx_amount_{sg}": F.sum(F.when(F.col("segment") == sg, F.col("amt"))) for sg in sorted(C.SEGMENTS)}
+    segs = {c: F.sum(c.removeprefix("tx_").replace("amount", "amt")) for c in SEGMENT_AMOUNTS}
     g = j.groupBy("month").agg(
         F.sum("n_tx").alias("transaction_volume"), F.sum("amt").alias("_amt"), F.sum("n_amt").alias("_namt"),
         F.count("customer_id").alias("unique_active_customers"),
@@ -294,14 +308,14 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
         *[F.coalesce(X.dround(F.col(k), 4), F.lit(0.0)).alias(k) for k in segs],
     )
     w = Window.orderBy("calendar_ym")
-    k = F.least(F.row_number().over(w), F.lit(3))
     raw = F.col("_raw")
-    c1, c2 = F.lag(raw, 1).over(w), F.lag(raw, 2).over(w)
-    csum = F.when(c2.isNotNull(), c2 + c1 + raw).when(c1.isNotNull(), c1 + raw).otherwise(raw)
+    last3 = [F.lag(raw, 2).over(w), F.lag(raw, 1).over(w), raw]  # months without a value are left out
+    csum = sum((F.coalesce(c, F.lit(0.0)) for c in last3[1:]), F.coalesce(last3[0], F.lit(0.0)))
+    k = sum((c.isNotNull().cast("int") for c in last3[1:]), last3[0].isNotNull().cast("int"))
     out = ts.select(
         *[c for c in ts.columns if not c.startswith("_")],
         F.to_timestamp(F.concat(F.col("calendar_ym"), F.lit("-01"))).alias("calendar_date"),
         *revenue_trends(ts),
-        F.bround(csum / k.cast("double"), 4).alias("churn_prob_3m_rolling_avg"),
+        F.bround(F.try_divide(csum, k.cast("double")), 4).alias("churn_prob_3m_rolling_avg"),
     )
     return out.select(*TS_COLUMNS)

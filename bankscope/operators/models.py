@@ -48,10 +48,10 @@ def _flags() -> list[Column]:
     return X.one_hot("segment", [v for v, _ in SEGMENT_FLAGS], [n for _, n in SEGMENT_FLAGS])
 
 
-def churn_features(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
-                   params: Params = DEFAULT_PARAMS) -> DataFrame:
+def churn_features(customers: DataFrame, tx: DataFrame | None, cal: Calendar = DEFAULT_CALENDAR,
+                   params: Params = DEFAULT_PARAMS, activity: DataFrame | None = None) -> DataFrame:
     """M1 + M2 (J1, P1, P3): 13 features, label = churn score > 0.65."""
-    agg = TXF.churn_tx_features(tx, cal).drop("last_tx_date")
+    agg = TXF.churn_tx_features(tx, cal, activity).drop("last_tx_date")
     j = customers.join(agg, "customer_id", "left")
     fills = {"tx_count": 0, "tx_avg_amount": 0.0, "tx_std_amount": 0.0, "tx_recency_days": 365,
              "online_ratio": 0.5, "atm_ratio": 0.3}

@@ -141,11 +141,13 @@ def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFA
     j = j.select(
         "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
         "churn_risk_score",
-        F.col("churn_risk_score").alias("churn_probability"),
+        F.coalesce(F.col("churn_risk_score"), F.lit(0.5)).alias("churn_probability"),
         F.coalesce(revenue_target_expr(F.col("amt_total"), params, cal), F.lit(0.0)).alias("predicted_revenue_annual"),
         *[F.col(c) for c in (TXF.TX_FEATURE_COLUMNS if keep_features else [])],
     )
-    return j.withColumn("clv", clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"), params))
+    # no churn score: probability 0.5 and no value, as where a prediction is missing
+    return j.withColumn("clv", F.when(F.col("churn_risk_score").isNotNull(),
+                                      clv_expr(F.col("predicted_revenue_annual"), F.col("churn_probability"), params)))
 
 
 def add_value_score(base: DataFrame) -> DataFrame:
@@ -156,7 +158,8 @@ def add_value_score(base: DataFrame) -> DataFrame:
     rng = S.scalars(base.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi")))
     lo, hi = rng["lo"], rng["hi"]
     extra = [c for c in TXF.TX_FEATURE_COLUMNS if c in base.columns]
-    return base.withColumn("financial_value_score", value_score_expr(F.col("clv"), lo, hi)).select(
+    score = F.when(F.col("clv").isNotNull(), value_score_expr(F.col("clv"), lo, hi)).otherwise(F.lit(0.0))
+    return base.withColumns({"financial_value_score": score, "clv": F.coalesce("clv", F.lit(0.0))}).select(
         *SCORING_COLUMNS, *extra)
 
 

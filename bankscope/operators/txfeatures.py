@@ -31,6 +31,7 @@ from pyspark.sql.types import DecimalType
 
 from ..config import DEFAULT_CALENDAR, Calendar
 from ..functions import exprs as X
+from ..sources.stages import materialize
 
 D4 = DecimalType(18, 4)
 
@@ -53,12 +54,13 @@ def sample_std(n: Column, s: Column, q: Column, scale: int = 4) -> Column:
     return F.when(n >= 2, F.sqrt(F.greatest(num / den, F.lit(0.0))))
 
 
-def customer_activity(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
-    """One row per customer with the exact sums every feature is built from."""
+def customer_activity(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, unknown: bool = False) -> DataFrame:
+    """One row per customer with the exact sums every feature is built from;
+    with ``unknown`` one more for the transactions without a customer."""
     t = F.col("timestamp")
     has_id = F.col("transaction_id").isNotNull()
     x = X.dec("amount", 4)
-    days = (tx.where(F.col("customer_id").isNotNull())
+    days = ((tx if unknown else tx.where(F.col("customer_id").isNotNull()))
               .groupBy("customer_id", "month", X.day_of(t).alias("day"))
               .agg(
                   F.count("transaction_id").alias("n"),
@@ -117,7 +119,7 @@ def feature_columns(cal: Calendar = DEFAULT_CALENDAR) -> list[Column]:
         F.col("n90").alias("transaction_count_90d"),
         X.floor_days(X.ts_lit(cal.end), F.col("last_ts")).alias("days_since_last_transaction"),
         X.clip(F.col("n_days").cast("double") / F.lit(float(cal.obs_days)), 0.0, 1.0).alias("active_days_ratio"),
-        X.safe_ratio(F.col("amt_total"), F.col("n_amt")).alias("avg_transaction_amount"),
+        X.safe_ratio(F.col("amt_total"), F.col("n_amt"), 0.0).alias("avg_transaction_amount"),
         F.coalesce(F.col("m_xy").cast("double") / F.lit(cal.sxx), F.lit(0.0)).alias("spending_trend_slope"),
         F.sqrt(F.greatest(var_num / F.lit(float(n * (n - 1))), F.lit(0.0))).alias("spending_volatility"),
         F.coalesce(F.lit(n - 1) - F.col("m_last_active"), F.lit(n)).cast("int").alias("inactivity_streak"),
@@ -167,13 +169,17 @@ def _known_channel_ratios() -> tuple[Column, Column]:
     return online, atm
 
 
-def churn_tx_features(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
+def churn_tx_features(tx: DataFrame | None, cal: Calendar = DEFAULT_CALENDAR, activity: DataFrame | None = None) -> DataFrame:
     """A1 + A2: count, mean, sample std, recency against the latest
-    transaction of the whole table, online/ATM share of the known channels."""
-    act = customer_activity(tx, cal)
-    ref = tx.agg(F.max("timestamp")).scalar()  # whole-table max, one value
+    transaction of the whole table, online/ATM share of the known channels.
+
+    The transactions are read once: their latest time comes from the
+    roll-up, which is written as a stage (``activity``: such a stage, with
+    the row for unknown customers, if there is one already)."""
+    act = activity if activity is not None else materialize(customer_activity(tx, cal, unknown=True), "activity")
+    ref = act.agg(F.max("last_ts")).scalar()
     online, atm = _known_channel_ratios()
-    return act.select(
+    return act.where(F.col("customer_id").isNotNull()).select(
         "customer_id",
         F.col("n_tx").alias("tx_count"),
         X.safe_ratio(F.col("amt_total"), F.col("n_amt")).alias("tx_avg_amount"),

@@ -2,8 +2,8 @@
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs on the fixture tables of
 ``sf_dir``; ``SQL[name]`` computes the same rows in DuckDB from the raw
-tables.  Queries without an SQL statement (models, samples, nested reports,
-job runs) are checked on rows only.
+tables.  Models have a row of facts with a constant answer beside their
+scores; the scores and the nested report are checked on rows only.
 """
 
 from __future__ import annotations
@@ -69,14 +69,14 @@ def _risk(spark, d):
 
 
 def _ts(spark, d):
-    return M.time_series(fixture_stages(spark, d).transactions, _risk(spark, d))
+    return fixture_stages(spark, d).time_series
 
 
 # -- sources -------------------------------------------------------------------
 
 register("src_customers", O.q("customers", "SELECT * FROM customers"))(
     lambda s, d: FX.customers(s, d))
-register("src_transactions", O.q("tx", "SELECT * FROM tx"))(lambda s, d: _tx(s, d))
+register("src_transactions", O.q("txs", "SELECT * FROM txs"))(lambda s, d: FX.transactions_with_segment(s, d))
 
 # -- transaction features -------------------------------------------------------
 
@@ -122,6 +122,18 @@ SELECT customer_id, month, CAST({O.esum('amount', 4)} AS DOUBLE) AS spend
 FROM tx WHERE customer_id IS NOT NULL AND month >= 0 AND month < {CAL.n_months} GROUP BY customer_id, month"""))(
     lambda s, d: TXF.monthly_spend(_tx(s, d)))
 
+register("spend_trend_grid", O.with_("tx").rstrip() + f""",
+grid AS (SELECT c.customer_id, m.m AS month, coalesce(s.a, 0.0::DOUBLE) AS a
+              FROM (SELECT DISTINCT customer_id FROM tx WHERE customer_id IS NOT NULL) c
+              CROSS JOIN (SELECT unnest(range({CAL.n_months})) AS m) m
+              LEFT JOIN (SELECT customer_id, month, sum(amount) AS a FROM tx GROUP BY customer_id, month) s
+                ON s.customer_id = c.customer_id AND s.month = m.m)
+SELECT customer_id, round(stddev_samp(a), 3) AS volatility, round(regr_slope(a, month), 3) AS slope,
+       CAST({CAL.n_months} - 1 - coalesce(max(month) FILTER (WHERE a > 0), -1) AS INTEGER) AS inactivity_streak
+FROM grid GROUP BY customer_id""")(
+    lambda s, d: TXF.spend_trend(_tx(s, d)).select("customer_id", F.round("spending_volatility", 3).alias("volatility"),
+                                                   F.round("spending_trend_slope", 3).alias("slope"), "inactivity_streak"))
+
 register("spend_trend", O.q("txf", """
 SELECT customer_id, spending_volatility, spending_trend_slope, inactivity_streak FROM txf"""))(
     lambda s, d: TXF.spend_trend(_tx(s, d)))
@@ -131,7 +143,11 @@ SELECT customer_id, spending_volatility, spending_trend_slope, inactivity_streak
 
 def _churn_matrix(spark, d):
     from ..operators import models as MD
-    return MD.churn_features(FX.customers(spark, d), _tx(spark, d))
+    # orders are read once: the churn score, too, comes from the staged roll-up
+    act = fixture_stages(spark, d).activity
+    last = act.select("customer_id", F.col("last_ts").alias("_last"))
+    cust = FX.customers(spark, d, with_score=False).join(last, "customer_id", "left")
+    return MD.churn_features(cust.withColumn("churn_risk_score", FX.churn_score_expr(F.col("_last"))), None, activity=act)
 
 
 register("churn_matrix", O.q(["customers", "tx_cstat", "tx"], f"""
@@ -163,8 +179,7 @@ FROM tx_cstat"""))(lambda s, d: SC.revenue_target(_tx(s, d)))
 
 register("clv", O.q("scoring", "SELECT customer_id, clv, financial_value_score FROM scoring"))(
     lambda s, d: SC.compute_clv(*(lambda p: (p.select("customer_id", "churn_probability"),
-                                             p.select("customer_id", "predicted_revenue_annual")))(
-        SC.exact_predictions(FX.customers(s, d), _tx(s, d)))))
+                                             p.select("customer_id", "predicted_revenue_annual")))(fixture_stages(s, d).scoring)))
 
 
 def _scoring_general(spark, d):
@@ -174,6 +189,7 @@ def _scoring_general(spark, d):
                             preds.select("customer_id", "predicted_revenue_annual"))
 
 
+register("scoring_general", O.q("scoring", "SELECT * FROM scoring"))(_scoring_general)
 register("scoring_table", O.q("scoring", "SELECT * FROM scoring"))(lambda s, d: fixture_stages(s, d).scoring)
 register("recommendations", O.q("rec", "SELECT * FROM rec"))(lambda s, d: _rec(s, d))
 
@@ -244,16 +260,20 @@ SELECT calendar_ym, CAST(transaction_volume AS BIGINT) AS transaction_volume, to
 
 
 def _mrisk(spark, d, cols):
-    return M.monthly_risk(fixture_stages(spark, d).transactions, _risk(spark, d)).select(*cols)
+    return M.monthly_risk(fixture_stages(spark, d).transactions_with_segment, _risk(spark, d)).select(*cols)
 
 
 _RISK_COLS = ["calendar_ym", "avg_churn_probability", "high_risk_active_count", "monthly_revenue_at_risk"]
-_SEG_COLS = ["calendar_ym"] + [f"tx_amount_{s}" for s in sorted(C.SEGMENTS)]
+_SEG_COLS = ["calendar_ym", *M.SEGMENT_AMOUNTS]
 register("monthly_risk", O.q("mrisk", """
 SELECT calendar_ym, avg_churn_probability, CAST(high_risk_active_count AS BIGINT) AS high_risk_active_count,
        monthly_revenue_at_risk FROM mrisk"""))(lambda s, d: _mrisk(s, d, _RISK_COLS))
-register("monthly_segment_amount", O.q("mrisk", "SELECT " + ", ".join(_SEG_COLS) + " FROM mrisk"))(
+register("monthly_segment_columns", O.q("mrisk", "SELECT " + ", ".join(_SEG_COLS) + " FROM mrisk"))(
     lambda s, d: _mrisk(s, d, _SEG_COLS))
+register("monthly_segment_amount", O.q("txs", f"""
+SELECT {O._ym('month')} AS calendar_ym, segment, coalesce({O.dr(O.esum('amount', 4), 4)}, 0.0::DOUBLE) AS amount
+FROM txs WHERE month IS NOT NULL GROUP BY month, segment"""))(
+    lambda s, d: M.monthly_segment_amount(fixture_stages(s, d).transactions_with_segment))
 register("time_series", O.q("ts", """
 SELECT * REPLACE (CAST(transaction_volume AS BIGINT) AS transaction_volume,
                   CAST(high_risk_active_count AS BIGINT) AS high_risk_active_count) FROM ts"""))(_ts)
@@ -628,20 +648,58 @@ SELECT {O.ravg(O.esum('engagement_index', 4), 'count(engagement_index)', 4, 4)}
         FROM (SELECT {_CORR_PARTS} FROM enr)) AS corr_with_churn_prob
 FROM enr"""))(lambda s, d: V.low_engagement_cards(_enr(s, d)))
 
-# -- rows-only: samples, models, nested report, jobs -----------------------------------------
-
-register("stable_sample")(lambda s, d: V.samples(_mart(s, d), 8000, PAR.seed,
-                                                 ["customer_id", "churn_probability_pct", "clv_5yr", "risk_level",
-                                                  "segment", "revenue_at_risk"]))
-register("view_v18_clv_churn_points")(lambda s, d: V.samples(_enr(s, d), 5000, PAR.seed,
-                                                              ["customer_id", "churn_probability", "clv", "segment"]))
-register("view_v19_engagement_churn_points")(lambda s, d: V.samples(_enr(s, d), 6000, 1,
-                                                                    ["customer_id", "engagement_index",
-                                                                     "churn_probability", "segment"]))
-register("view_v32_engagement_priority_points")(
-    lambda s, d: V.samples(_mart(s, d), 5000, PAR.seed,
-                           ["customer_id", "engagement_index", "priority_score", "recommended_action", "revenue_at_risk"]))
+# -- samples (the size is the feature), models, reports, jobs ---------------------------------
+
+
+def _sampled(name: str, source: str, make, n: int, seed: int, cols: list[str]) -> None:
+    register(name, O.q(source, f"SELECT {', '.join(cols)} FROM {source} ORDER BY md5(customer_id || ':{seed}'), customer_id LIMIT {n}"))(
+        lambda s, d: V.samples(make(s, d), n, seed, cols))
+
+
+_POINTS = ["customer_id", "churn_probability_pct", "clv_5yr", "risk_level", "segment", "revenue_at_risk"]
+_sampled("stable_sample", "mart", _mart, 8000, PAR.seed, _POINTS)
+_sampled("stable_sample_700", "mart", _mart, 700, PAR.seed, _POINTS)  # fewer than the rows of the smallest tables but one
+_sampled("view_v18_clv_churn_points", "enr", _enr, 5000, PAR.seed, ["customer_id", "churn_probability", "clv", "segment"])
+_sampled("view_v19_engagement_churn_points", "enr", _enr, 6000, 1, ["customer_id", "engagement_index", "churn_probability", "segment"])
+_V32 = ["customer_id", "engagement_index", "priority_score", "recommended_action", "revenue_at_risk"]
+register("view_v32_engagement_priority_points", O.q("mart", f"SELECT {', '.join(_V32)} FROM mart"))(
+    lambda s, d: _mart(s, d).select(*_V32))
 register("kpi_report")(lambda s, d: K.kpi_report(_enr(s, d), _ts(s, d)))
+
+# The report's figures as rows: each block's number columns by name.
+_BLOCKS = {
+    "kpi_rar": ["revenue_at_risk", "pct_of_revenue"],
+    "kpi_churn": ["n_customers", "churn_rate_pct", "expected_annual_loss_count", "avg_churn_probability"],
+    "kpi_clv": ["total_clv", "avg_clv", "median_clv", "p90_clv", "clv_at_risk", "discount_factor"],
+    "kpi_hvar": ["count", "revenue_at_stake", "clv_at_stake", "avg_churn_probability", "pct_of_total_customers", "pct_of_total_revenue"],
+    "kpi_net_profit": ["total_net_profit", "avg_net_profit", "total_margin", "total_cost", "n_customers", "overall_profit_margin_pct"],
+    "kpi_engagement": ["avg_engagement", "low_engagement_count", "low_engagement_pct", "corr_with_churn_prob"],
+    "kpi_concentration": ["top_10pct_revenue_share", "top_10pct_revenue_amount", "top_20pct_revenue_share", "top_10pct_customer_count"],
+    "kpi_time_series": ["latest_monthly_revenue", "revenue_trend_6m_slope", "peak_monthly_revenue", "avg_monthly_revenue", "avg_monthly_tx_volume"],
+}
+
+
+def _report_rows(spark, d):
+    """A32 as (section, dimension, key, measure, value)."""
+    from functools import reduce
+    out = []
+    for name, measures in _BLOCKS.items():
+        df = QUERIES[name](spark, d)
+        at = [F.col(c) if c in df.columns else F.lit("").alias(c) for c in ("dimension", "key")]
+        each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
+        out.append(df.select(F.lit(name).alias("section"), *at, F.inline(each)))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _report_rows_sql() -> str:
+    out = []
+    for name, measures in _BLOCKS.items():
+        at = "'' AS dimension, '' AS \"key\"" if name in ("kpi_concentration", "kpi_time_series") else 'dimension, "key"'
+        out += [f"SELECT '{name}' AS section, {at}, '{m}' AS measure, CAST(\"{m}\" AS DOUBLE) AS value FROM ({SQL[name]})" for m in measures]
+    return "\nUNION ALL\n".join(out)
+
+
+register("kpi_report_rows", _report_rows_sql())(_report_rows)
 register("roi_waterfall", O.q("enr", f"""
 SELECT step, label, amount FROM (
   SELECT r.*, x.* FROM
@@ -655,6 +713,73 @@ SELECT step, label, amount FROM (
 """))(lambda s, d: V.roi_waterfall(_risk(s, d)))
 
 
+def _revenue_matrix(spark, d):
+    from ..operators import models as MD
+    return MD.revenue_features(FX.customers(spark, d, with_score=False), _tx(spark, d))
+
+
+def _split_test(spark, d, label):
+    from ..operators import models as MD
+    cust = FX.customers(spark, d).select("customer_id", F.coalesce(
+        (F.col("churn_risk_score") > PAR.churn_label_cut).cast("int"), F.lit(0)).alias("churn_label"))
+    return MD.split(cust.select("customer_id", *([label] if label else [])), label, seed=PAR.seed)[1]
+
+
+#: Trees of the registered fact rows; the models' own default is 300.
+_FACT_TREES = 20
+
+
+def _model_facts(spark, d, kind):
+    """One row of facts about a fitted model."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+    from ..operators import models as MD
+    from ..sources.stages import materialize
+    if kind == "churn":
+        feats = materialize(_churn_matrix(spark, d), "churn-matrix")
+        train, test = MD.split(feats, "churn_label", seed=PAR.seed)
+        fit, score, value = lambda: MD.fit_churn(train, PAR, _FACT_TREES), MD.score_churn, "churn_probability"
+    else:
+        feats = materialize(_revenue_matrix(spark, d), "revenue-matrix")
+        train, test = MD.split(feats, seed=PAR.seed)
+        fit, score, value = lambda: MD.fit_revenue(train, PAR, _FACT_TREES), MD.score_revenue, "predicted_revenue_annual"
+    path = _scratch(spark, f"{kind}-model")
+    model, again = MD.load_or_train(path, fit), MD.load_or_train(path, lambda: None)
+    if kind == "churn":
+        held = BinaryClassificationEvaluator(labelCol="churn_label", rawPredictionCol="rawPrediction").evaluate(model.transform(test)) > 0.5
+        upper = F.max(value) <= 1.0
+    else:
+        held = RegressionEvaluator(labelCol="revenue_target", metricName="r2").evaluate(model.transform(test)) > 0.0
+        upper = F.lit(True)
+    both = score(model, feats).join(score(again, feats).withColumnRenamed(value, "_again"), "customer_id")
+    return both.agg(F.countDistinct("customer_id").alias("n_rows"), ((F.min(value) >= 0.0) & upper).alias("in_range"),
+                    F.lit(bool(held)).alias("ranks_held_out" if kind == "churn" else "explains_held_out"),
+                    F.min(F.col(value) == F.col("_again")).alias("reload_same"))
+
+
+def _cluster_facts(spark, d):
+    """Every customer once, three names, means in their order."""
+    from ..operators import models as MD
+    from ..sources.stages import materialize
+    enr = _enr(spark, d)
+    rc = materialize(MD.risk_cluster_assignments(enr), "clusters")
+    j = rc.join(enr.select("customer_id", "churn_probability"), "customer_id")
+    mean = [F.avg(F.when(F.col("risk_cluster") == c, F.col("churn_probability"))) for c in C.CLUSTER_NAMES]
+    return j.agg(F.count("*").alias("n_rows"), (F.countDistinct("customer_id") == F.count("*")).alias("each_once"),
+                 (F.countDistinct("risk_cluster") == 3).alias("three_names"),
+                 ((mean[0] <= mean[1]) & (mean[1] <= mean[2])).alias("ordered"))
+
+
+def _scoring_job_models(spark, d):
+    """G1 with both models: facts about its recommendations."""
+    from .jobs import run_scoring_job
+    out = _scratch(spark, "scoring-job-models")
+    run_scoring_job(spark, FX.customers(spark, d), _tx(spark, d), out, use_models=True, max_iter=_FACT_TREES)
+    r = spark.read.parquet(f"{out}/recommendations.parquet")
+    return r.agg(F.count("*").alias("n_rows"), (F.countDistinct("customer_id") == F.count("*")).alias("each_once"),
+                 ((F.min("churn_probability") >= 0) & (F.max("churn_probability") <= 1) & (F.min("predicted_revenue_annual") >= 0)).alias("in_range"),
+                 F.min(F.col("recommended_action").isin(*C.ACTIONS)).alias("actions_known"))
+
+
 def _model_query(kind: str):
     def run(spark, d):
         from ..operators import models as MD
@@ -671,6 +796,35 @@ register("churn_model")(_model_query("churn"))
 register("revenue_model")(_model_query("revenue"))
 register("risk_cluster")(_model_query("cluster"))
 
+_REV = "c.age, c.income, c.account_balance, c.tenure_months"
+register("revenue_matrix", O.q(["customers", "tx_cstat"], f"""
+SELECT c.customer_id, {_REV}, coalesce(t.n_tx, 0) AS tx_count,
+       coalesce(CASE WHEN t.n_amt > 0 THEN CAST(t.amt_total AS DOUBLE) / CAST(t.n_amt AS DOUBLE) END, 0.0::DOUBLE) AS tx_avg_amount,
+       coalesce(CAST(t.amt_total AS DOUBLE), 0.0::DOUBLE) AS tx_total_volume,
+       CASE WHEN t.customer_id IS NULL THEN 0.0::DOUBLE WHEN t.n_chan > 0 THEN CAST(t.n_online AS DOUBLE)
+            / CAST({_KNOWN.replace('n_', 't.n_')} AS DOUBLE) ELSE 0.5::DOUBLE END AS online_ratio,
+       CAST(coalesce(c.segment = 'retail', FALSE) AS INTEGER) AS segment_retail,
+       CAST(coalesce(c.segment = 'premium', FALSE) AS INTEGER) AS segment_premium,
+       CAST(coalesce(c.segment = 'high_net_worth', FALSE) AS INTEGER) AS segment_hnw,
+       coalesce({O.dr(O.d4('t.amt_total') + " * CAST('" + O.FACTOR + "' AS DECIMAL(10,8))", 2)}, 0.0::DOUBLE) AS revenue_target
+FROM customers c LEFT JOIN tx_cstat t USING (customer_id)"""))(_revenue_matrix)
+
+_HASHED = f"row_number() OVER (PARTITION BY {{by}} ORDER BY md5(customer_id || ':{PAR.seed}')) AS r, count(*) OVER (PARTITION BY {{by}}) AS n"
+_LABEL = f"CAST(coalesce(churn_risk_score > {PAR.churn_label_cut}, FALSE) AS INTEGER)"
+register("churn_split", O.q("customers", f"""
+SELECT customer_id, churn_label FROM (SELECT *, {_HASHED.format(by='churn_label')} FROM (
+  SELECT customer_id, {_LABEL} AS churn_label FROM customers)) WHERE r <= ceil(n * 0.2)"""))(
+    lambda s, d: _split_test(s, d, "churn_label"))
+register("revenue_split", O.q("customers", f"""
+SELECT customer_id FROM (SELECT customer_id, {_HASHED.format(by="''")} FROM customers) WHERE r <= ceil(n * 0.2)"""))(
+    lambda s, d: _split_test(s, d, None))
+
+_TRUE = lambda *names: "SELECT count(*) AS n_rows, " + ", ".join(f"TRUE AS {n}" for n in names) + " FROM customer"
+register("churn_model_facts", _TRUE("in_range", "ranks_held_out", "reload_same"))(lambda s, d: _model_facts(s, d, "churn"))
+register("revenue_model_facts", _TRUE("in_range", "explains_held_out", "reload_same"))(lambda s, d: _model_facts(s, d, "revenue"))
+register("risk_cluster_facts", _TRUE("each_once", "three_names", "ordered"))(lambda s, d: _cluster_facts(s, d))
+register("scoring_job_models", _TRUE("each_once", "in_range", "actions_known"))(lambda s, d: _scoring_job_models(s, d))
+
 # -- sinks (write, read back) and jobs ----------------------------------------------------
 
 
@@ -689,7 +843,7 @@ def _sink_parquet(spark, d):
 def _sink_partitioned(spark, d):
     from ..sources import readers, schema, sinks
     path = sinks.write_partitioned(FX.transactions_with_segment(spark, d), _scratch(spark, "transactions"))
-    return readers.read_shards(spark, path, schema.TX_WITH_SEGMENT_SCHEMA)
+    return readers.read_shards(spark, path, schema.TX_SCHEMA)
 
 
 def _sink_csv(spark, d):
@@ -716,7 +870,7 @@ def _scoring_job(spark, d):
 def _mart_job(spark, d):
     from .jobs import run_mart_job
     out = _scratch(spark, "mart-job")
-    run_mart_job(spark, _rec(spark, d), _tx(spark, d), out)
+    run_mart_job(spark, _rec(spark, d), FX.transactions_with_segment(spark, d), out)
     return spark.read.parquet(f"{out}/marts/financial_aggregates.parquet")
 
 

@@ -164,7 +164,7 @@ SELECT c.customer_id,
        c.n30 AS transaction_count_30d, c.n90 AS transaction_count_90d,
        CAST(floor((epoch({_ts(END)}) - epoch(c.last_ts)) / 86400) AS BIGINT) AS days_since_last_transaction,
        least(greatest(CAST(c.n_days AS DOUBLE) / {float(DAYS)}::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) AS active_days_ratio,
-       CASE WHEN c.n_amt = 0 THEN NULL ELSE CAST(c.amt_total AS DOUBLE) / CAST(c.n_amt AS DOUBLE) END AS avg_transaction_amount,
+       CASE WHEN c.n_amt = 0 THEN 0.0::DOUBLE ELSE CAST(c.amt_total AS DOUBLE) / CAST(c.n_amt AS DOUBLE) END AS avg_transaction_amount,
        coalesce(CAST(m.m_xy AS DOUBLE) / {CAL.sxx}::DOUBLE, 0.0::DOUBLE) AS spending_trend_slope,
        sqrt(greatest({_var_num(NM, 'coalesce(m.m_sum, 0)', 'coalesce(m.m_sq, 0)')} / {float(NM * (NM - 1))}::DOUBLE,
                      0.0::DOUBLE)) AS spending_volatility,
@@ -336,10 +336,17 @@ cte("fa", ["enr"], "\nUNION ALL\n".join(_fa_level(n, c) for n, c in _LEVELS))
 
 # -- time series ----------------------------------------------------------------
 
-cte("cm", ["tx"], f"""
+_SEGS = sorted(C.SEGMENTS)
+_OTHER = "coalesce(segment NOT IN (" + ", ".join(_q(s) for s in _SEGS) + "), TRUE)"
+_IS = {**{s: f"segment = {_q(s)}" for s in _SEGS}, "other": _OTHER}
+
+cte("txs", ["tx", "customers"], "SELECT t.*, c.segment FROM tx t LEFT JOIN customers c USING (customer_id)")
+
+cte("cm", ["txs"], f"""
 SELECT customer_id, month, count(*) AS n_rows, count(transaction_id) AS n_tx, count(amount) AS n_amt,
-       {esum('amount', 4)} AS amt
-FROM tx WHERE month IS NOT NULL GROUP BY customer_id, month""")
+       {esum('amount', 4)} AS amt,
+       {", ".join(f"sum({d4('amount')}) FILTER (WHERE {w}) AS amt_{s}" for s, w in _IS.items())}
+FROM txs WHERE month IS NOT NULL GROUP BY customer_id, month""")
 
 
 def _ym(m: str) -> str:
@@ -357,7 +364,6 @@ SELECT {_ym('month')} AS calendar_ym, sum(n_tx) AS transaction_volume,
        {dr(f"CAST(sum(amt) AS DECIMAL(20,4)) * CAST('{_PER}' AS DECIMAL(12,10))", 2)} AS estimated_monthly_revenue
 FROM cm GROUP BY month""")
 
-_SEGS = sorted(C.SEGMENTS)
 cte("mrisk", ["cm", "enr"], f"""
 SELECT {_ym('c.month')} AS calendar_ym,
        {ravg('sum(CAST(e.churn_probability AS DECIMAL(10,4)) * CAST(c.n_rows AS DECIMAL(20,0)))',
@@ -367,7 +373,7 @@ SELECT {_ym('c.month')} AS calendar_ym,
        coalesce(sum(c.n_rows) FILTER (WHERE e.risk_level = 'High'), 0) AS high_risk_active_count,
        {rr(si('coalesce(sum(CAST(e.revenue_at_risk AS DECIMAL(18,2)) * CAST(c.n_rows AS DECIMAL(20,0))), 0)', 2),
            str(CAL.n_months * 100), 4)} AS monthly_revenue_at_risk,
-       {", ".join(f"coalesce({dr(f'sum(c.amt) FILTER (WHERE e.segment = {_q(s)})', 4)}, 0.0::DOUBLE) AS tx_amount_{s}" for s in _SEGS)}
+       {", ".join(f"coalesce({dr(f'sum(c.amt_{s})', 4)}, 0.0::DOUBLE) AS tx_amount_{s}" for s in _IS)}
 FROM cm c LEFT JOIN enr e USING (customer_id) GROUP BY c.month""")
 
 cte("ts0", ["mtx", "mrisk"], "SELECT * FROM mtx LEFT JOIN mrisk USING (calendar_ym)")
@@ -376,16 +382,17 @@ _REVC = si("estimated_monthly_revenue", 2)
 cte("ts", ["ts0"], f"""
 SELECT calendar_ym, transaction_volume, total_transaction_amount, avg_transaction_amount, unique_active_customers,
        estimated_monthly_revenue, avg_churn_probability, high_risk_active_count, monthly_revenue_at_risk,
-       {", ".join(f"tx_amount_{s}" for s in _SEGS)},
+       {", ".join(f"tx_amount_{s}" for s in _IS)},
        strptime(calendar_ym || '-01', '%Y-%m-%d') AS calendar_date,
        month_index,
        {rr('rsum', 'least(month_index, 3) * 100', 2)} AS revenue_3m_rolling_avg,
-       round_even(csum / CAST(least(month_index, 3) AS DOUBLE), 4) AS churn_prob_3m_rolling_avg,
+       round_even(csum / nullif(CAST(cn AS DOUBLE), 0.0), 4) AS churn_prob_3m_rolling_avg,
        {rr('vsum', 'least(month_index, 3)', 0)} AS tx_volume_3m_rolling_avg,
        {rr('(revc - lag1) * 100', 'lag1', 2)} AS revenue_mom_growth_pct
 FROM (SELECT *,
         revc + coalesce(lag1, 0) + coalesce(lag2, 0) AS rsum,
-        CASE WHEN c2 IS NOT NULL THEN c2 + c1 + raw WHEN c1 IS NOT NULL THEN c1 + raw ELSE raw END AS csum,
+        coalesce(c2, 0.0::DOUBLE) + coalesce(c1, 0.0::DOUBLE) + coalesce(raw, 0.0::DOUBLE) AS csum,
+        CAST(c2 IS NOT NULL AS INTEGER) + CAST(c1 IS NOT NULL AS INTEGER) + CAST(raw IS NOT NULL AS INTEGER) AS cn,
         transaction_volume + coalesce(v1, 0) + coalesce(v2, 0) AS vsum
       FROM (SELECT *, row_number() OVER w AS month_index,
               lag(revc, 1) OVER w AS lag1, lag(revc, 2) OVER w AS lag2,

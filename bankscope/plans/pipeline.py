@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..operators import decision as D
 from ..operators import enrich as E
+from ..operators import marts as M
 from ..operators import scoring as SC
+from ..operators import txfeatures as TXF
 from ..sources import fixtures as FX
 from ..sources.stages import materialize, release
 
@@ -38,6 +40,7 @@ class Stages:
         self.spark, self.sf_dir, self.cal, self.params = spark, sf_dir, cal, params
         self.customers = FX.customers(spark, sf_dir, cal)
         self.transactions = FX.transactions(spark, sf_dir, cal)
+        self.transactions_with_segment = FX.transactions_with_segment(spark, sf_dir, cal)
 
     @cached_property
     def _base(self) -> DataFrame:
@@ -64,6 +67,17 @@ class Stages:
     def enriched(self) -> DataFrame:
         return materialize(E.enrich_from(self._rec, self.params), "enriched")
 
+    @cached_property
+    def time_series(self) -> DataFrame:
+        """One row per month; the KPIs and views over it read this stage."""
+        return materialize(M.time_series(self.transactions_with_segment, E.financial_features(self.recommendations),
+                                         self.cal, self.params), "time-series")
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        """The transaction roll-up with the row for unknown customers."""
+        return materialize(TXF.customer_activity(self.transactions, self.cal, unknown=True), "activity")
+
 
 _CACHE: dict = {}
 
@@ -100,7 +114,7 @@ def clear_cache() -> None:
     raw tables)."""
     for spark, st in _CACHE.values():
         if spark.sparkContext._jsc is not None:
-            for name in ("_base", "_rec", "enriched"):
+            for name in ("_base", "_rec", "enriched", "time_series", "activity"):
                 if name in st.__dict__:
                     release(st.__dict__[name])
     _CACHE.clear()

@@ -87,7 +87,7 @@ def customers(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR
 
 
 def transactions_with_segment(spark: SparkSession, sf_dir: str, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
-    """Transactions carrying the customer's segment (the partitioned layout)."""
+    """All columns of TX_SCHEMA: transactions carry the customer's segment."""
     tx = transactions(spark, sf_dir, cal)
     seg = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType,
                                TimestampType)
 
@@ -25,11 +26,9 @@ TX_SCHEMA = StructType([
     StructField("type", StringType(), True),
     StructField("channel", StringType(), True),
     StructField("month", IntegerType(), True),
+    StructField("segment", StringType(), True),
 ])
 
-# Transactions as written by the partitioned layout (S7) also carry segment.
-TX_WITH_SEGMENT_SCHEMA = StructType(TX_SCHEMA.fields + [StructField("segment", StringType(), True)])
-
 CUSTOMER_COLUMNS = [f.name for f in CUSTOMER_SCHEMA.fields]
 TX_COLUMNS = [f.name for f in TX_SCHEMA.fields]
 
@@ -47,6 +46,12 @@ def require(df: DataFrame, columns, what: str = "input") -> DataFrame:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select and cast to a schema's columns (fails on a missing column)."""
+    """Select and cast to a schema's columns (fails on a missing column); a
+    NaN is a missing value and comes as null."""
     require(df, [f.name for f in schema.fields])
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def column(f: StructField):
+        c = df[f.name].cast(f.dataType)
+        return F.when(~F.isnan(c), c) if isinstance(f.dataType, DoubleType) else c
+
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])
