@@ -13,6 +13,7 @@ from .. import config as C
 from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..functions import exprs as X
 from ..functions import stats as S
+from . import txfeatures as TXF
 
 # -- B1: customer mart --------------------------------------------------------
 
@@ -176,15 +177,15 @@ TS_COLUMNS = [
 def customer_months(tx: DataFrame) -> DataFrame:
     """(customer, month) cells: transaction rows, ids, amounts (exact), in all
     and by the transaction's segment (``other``: none or an unknown one)."""
-    by_segment = []
-    if "segment" in tx.columns:
-        named = {s: F.col("segment") == s for s in sorted(C.SEGMENTS)}
-        named["other"] = ~F.coalesce(F.col("segment").isin(*C.SEGMENTS), F.lit(False))
-        by_segment = [F.sum(F.when(is_, X.dec("amount", 4))).alias(f"amt_{s}") for s, is_ in named.items()]
     return (tx.where(F.col("month").isNotNull())
               .groupBy("customer_id", "month")
               .agg(F.count(F.lit(1)).alias("n_rows"), F.count("transaction_id").alias("n_tx"),
-                   F.count("amount").alias("n_amt"), X.exact_sum("amount", 4).alias("amt"), *by_segment))
+                   F.count("amount").alias("n_amt"), X.exact_sum("amount", 4).alias("amt"), *TXF.segment_amounts(tx.columns)))
+
+
+def cells_of(month_cells: DataFrame) -> DataFrame:
+    """The same cells from the table of ``txfeatures.month_cells``."""
+    return month_cells.where(F.col("month").isNotNull()).withColumnsRenamed({"n": "n_tx", "a": "amt"})
 
 
 SEGMENT_AMOUNTS = [f"tx_amount_{s}" for s in [*sorted(C.SEGMENTS), "other"]]
@@ -268,8 +269,8 @@ def revenue_trends(ts: DataFrame) -> list[Column]:
     ]
 
 
-def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
-                params: Params = DEFAULT_PARAMS) -> DataFrame:
+def time_series(tx: DataFrame | None, enriched: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
+                params: Params = DEFAULT_PARAMS, cells: DataFrame | None = None) -> DataFrame:
     """B2: monthly series with 3-month rolling means and MoM growth.
 
     One pass: transactions -> (customer, month) cells -> LEFT JOIN the
@@ -278,7 +279,7 @@ def time_series(tx: DataFrame, enriched: DataFrame, cal: Calendar = DEFAULT_CALE
     (A19, A20) and the per-segment amounts (A21).  The windows then run over
     at most ``n_months`` rows, so an unpartitioned window is bounded here.
     """
-    cm = customer_months(tx)
+    cm = cells if cells is not None else customer_months(tx)
     cust = enriched.select("customer_id", "churn_probability", "revenue_at_risk", "risk_level")
     j = cm.join(cust, "customer_id", "left")
     n = F.col("n_rows").cast(DecimalType(20, 0))

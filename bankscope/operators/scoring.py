@@ -122,7 +122,7 @@ def scoring_table(customers: DataFrame, churn_preds: DataFrame, revenue_preds: D
 
 def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR,
                        params: Params = DEFAULT_PARAMS, keep_features: bool = False,
-                       churn_score_from_last=None) -> DataFrame:
+                       churn_score_from_last=None, cells: DataFrame | None = None) -> DataFrame:
     """Customers LEFT JOIN the per-customer transaction roll-up, with the
     deterministic predictions and CLV (everything but the value score).
 
@@ -131,7 +131,7 @@ def exact_scoring_base(customers: DataFrame, tx: DataFrame, cal: Calendar = DEFA
     nine E7 features ride along on the same join (the enrichment then needs
     no second join).
     """
-    act = TXF.customer_activity(tx, cal)
+    act = TXF.customer_activity(tx, cal, cells=cells)
     feats = TXF.feature_columns(cal) if keep_features else []
     vol = act.select("customer_id", "amt_total", "last_ts", *feats)
     j = customers.join(vol, "customer_id", "left")

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from .. import config as C
 from ..config import DEFAULT_CALENDAR, Calendar
 from ..functions import exprs as X
 from ..sources.stages import materialize
@@ -54,15 +55,28 @@ def sample_std(n: Column, s: Column, q: Column, scale: int = 4) -> Column:
     return F.when(n >= 2, F.sqrt(F.greatest(num / den, F.lit(0.0))))
 
 
-def customer_activity(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, unknown: bool = False) -> DataFrame:
-    """One row per customer with the exact sums every feature is built from;
-    with ``unknown`` one more for the transactions without a customer."""
+def segment_amounts(columns: list[str]) -> list[Column]:
+    """Exact amounts by the transaction's segment (``other``: none or an
+    unknown one), where there is such a column."""
+    if "segment" not in columns:
+        return []
+    named = {s: F.col("segment") == s for s in sorted(C.SEGMENTS)}
+    named["other"] = ~F.coalesce(F.col("segment").isin(*C.SEGMENTS), F.lit(False))
+    return [F.sum(F.when(is_, X.dec("amount", 4))).alias(f"amt_{s}") for s, is_ in named.items()]
+
+
+def month_cells(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
+    """(customer, month) cells with the exact sums that both the customers'
+    features and the monthly series are built from; transactions without a
+    customer or month have cells of their own."""
     t = F.col("timestamp")
     has_id = F.col("transaction_id").isNotNull()
     x = X.dec("amount", 4)
-    days = ((tx if unknown else tx.where(F.col("customer_id").isNotNull()))
-              .groupBy("customer_id", "month", X.day_of(t).alias("day"))
+    by_segment = segment_amounts(tx.columns)
+    names = [f"amt_{s}" for s in [*sorted(C.SEGMENTS), "other"]] if by_segment else []
+    days = (tx.groupBy("customer_id", "month", X.day_of(t).alias("day"))
               .agg(
+                  F.count(F.lit(1)).alias("n_rows"),
                   F.count("transaction_id").alias("n"),
                   F.count("amount").alias("n_amt"),
                   F.sum(x).cast(D4).alias("amt"),
@@ -74,14 +88,26 @@ def customer_activity(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR, unknown:
                   X.count_if(F.col("channel") == "ATM").alias("n_atm"),
                   X.count_if(F.col("channel") == "branch").alias("n_branch"),
                   F.count("channel").alias("n_chan"),
+                  *by_segment,
               ))
-    months = (days.groupBy("customer_id", "month")
-                  .agg(F.sum("n").alias("n"), F.sum("n_amt").alias("n_amt"),
+    return (days.groupBy("customer_id", "month")
+                  .agg(F.sum("n_rows").alias("n_rows"), F.sum("n").alias("n"), F.sum("n_amt").alias("n_amt"),
                        F.sum("amt").cast(D4).alias("a"), F.sum("amt_sq").alias("amt_sq"),
                        F.sum("n30").alias("n30"), F.sum("n90").alias("n90"),
                        F.max("last_ts").alias("last_ts"), F.count("day").alias("n_days"),
                        F.sum("n_online").alias("n_online"), F.sum("n_atm").alias("n_atm"),
-                       F.sum("n_branch").alias("n_branch"), F.sum("n_chan").alias("n_chan")))
+                       F.sum("n_branch").alias("n_branch"), F.sum("n_chan").alias("n_chan"),
+                       *[F.sum(c).alias(c) for c in names]))
+
+
+def customer_activity(tx: DataFrame | None, cal: Calendar = DEFAULT_CALENDAR, unknown: bool = False,
+                      cells: DataFrame | None = None) -> DataFrame:
+    """One row per customer with the exact sums every feature is built from;
+    with ``unknown`` one more for the transactions without a customer.
+    ``cells``: the table of ``month_cells``, if there is one already."""
+    months = cells if cells is not None else month_cells(tx if unknown else tx.where(F.col("customer_id").isNotNull()), cal)
+    if not unknown:
+        months = months.where(F.col("customer_id").isNotNull())
     m = F.col("month")
     a = F.col("a")
     in_range = m.isNotNull() & (m >= 0) & (m < cal.n_months)

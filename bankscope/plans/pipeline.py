@@ -48,8 +48,8 @@ class Stages:
         # the transactions are scanned once: the churn score (last order) comes
         # from the same roll-up as the predictions and features
         return materialize(SC.exact_scoring_base(
-            FX.customers(self.spark, self.sf_dir, cal, with_score=False), self.transactions, cal, params,
-            keep_features=True, churn_score_from_last=lambda last: FX.churn_score_expr(last, cal)), "scoring")
+            FX.customers(self.spark, self.sf_dir, cal, with_score=False), None, cal, params, keep_features=True,
+            churn_score_from_last=lambda last: FX.churn_score_expr(last, cal), cells=self.cells), "scoring")
 
     @cached_property
     def _rec(self) -> DataFrame:
@@ -70,13 +70,19 @@ class Stages:
     @cached_property
     def time_series(self) -> DataFrame:
         """One row per month; the KPIs and views over it read this stage."""
-        return materialize(M.time_series(self.transactions_with_segment, E.financial_features(self.recommendations),
-                                         self.cal, self.params), "time-series")
+        return materialize(M.time_series(None, E.financial_features(self.recommendations), self.cal, self.params,
+                                         cells=M.cells_of(self.cells)), "time-series")
 
     @cached_property
     def activity(self) -> DataFrame:
         """The transaction roll-up with the row for unknown customers."""
-        return materialize(TXF.customer_activity(self.transactions, self.cal, unknown=True), "activity")
+        return materialize(TXF.customer_activity(None, self.cal, unknown=True, cells=self.cells), "activity")
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        """(customer, month) cells of the transactions: the only stage that
+        reads them; features, scores and the monthly series build on it."""
+        return materialize(TXF.month_cells(self.transactions_with_segment, self.cal), "cells")
 
 
 _CACHE: dict = {}
@@ -114,7 +120,7 @@ def clear_cache() -> None:
     raw tables)."""
     for spark, st in _CACHE.values():
         if spark.sparkContext._jsc is not None:
-            for name in ("_base", "_rec", "enriched", "time_series", "activity"):
+            for name in ("cells", "_base", "_rec", "enriched", "time_series", "activity"):
                 if name in st.__dict__:
                     release(st.__dict__[name])
     _CACHE.clear()

@@ -37,7 +37,7 @@ def test_scoring_and_mart_jobs(spark):
 def test_partitioned_layout_prunes_partitions(spark):
     out = tempfile.mkdtemp(prefix="bankscope-test-shards-")
     sinks.write_partitioned(FX.transactions_with_segment(spark, SF_SMALL), out)
-    df = readers.read_shards(spark, out, schema.TX_WITH_SEGMENT_SCHEMA).where(
+    df = readers.read_shards(spark, out, schema.TX_SCHEMA).where(
         (F.col("segment") == "retail") & (F.col("month") == 3))
     plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "PartitionFilters" in plan and "segment" in plan
