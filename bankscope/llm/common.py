@@ -65,6 +65,35 @@ def release(*stages: DataFrame) -> None:
     SparkSession.getActiveSession()._jvm.System.gc()
 
 
+#: Bytes of a batch that goes to a Python worker: rows are counted in
+#: thousands by default, and texts may be very long.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no batch for Python workers hold much more than BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def tidied(run: Callable) -> Callable:
+    """A function of batches that gives its worker's memory back at its end:
+    idle workers stay, and later stages share the executor with them."""
+    def around(batches):
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        yield from run(batches)
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+        if trim:
+            trim(0)
+
+    return around
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns named so in any letter case."""
     gone = {n.lower() for n in names}

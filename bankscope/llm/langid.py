@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, without
+from .common import slices, tidied, utf8, without
 
 #: Hashed trigrams; the model has this many numbers for each language.
 BUCKETS = 1 << 15
@@ -77,7 +77,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     comes to the driver is languages x BUCKETS numbers, whatever the rows."""
     rows = (docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
             .select(_padded(text).alias("t"), F.col(lang).alias("l"))
-            .mapInArrow(_counts, "lang string, bucket int, n long")
+            .mapInArrow(tidied(_counts), "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toPandas()
     names = sorted(rows["lang"].unique())
     c = np.full((len(names), BUCKETS), 0.5)
@@ -148,6 +148,7 @@ def detect(docs: DataFrame, model: LanguageModel, text: str = "text", penalty: f
             sure = (share[0] * len(grams) + 1) / (len(grams) + len(langs))
             out.append((langs[which[0]], float(sure), [(langs[i], float(s)) for i, s in zip(which, share, strict=True)]))
         pred, score, mix = zip(*out, strict=True) if out else ((), (), ())
+        pa.default_memory_pool().release_unused()
         return pa.StructArray.from_arrays(
             [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, pa.map_(pa.string(), pa.float64()))],
             names=["lang_pred", "score", "lang_mix"])

@@ -249,6 +249,7 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", und
     def change(texts: pa.Array) -> pa.Array:
         replace = replacer(key, undo)
         new = [(None, None) if t is None else replace(t) for t in texts.to_pylist()]
+        pa.default_memory_pool().release_unused()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("pseudonym", pa.string())]))
         spans = [s and [dict(zip(("kind", "start", "end", "pseudonym"), x, strict=True)) for x in s] for _, s in new]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in new], pa.string()), pa.array(spans, kind)], names=["text", "spans"])

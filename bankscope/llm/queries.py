@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from . import hpylm, jaccard, knn, langid, lines, packing, pii, rules, suffix, wordtable
 
 
@@ -65,7 +66,15 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_lines, op2_partenum_join, op3_word_table_bpe, op4_suffix_family, op5_pitman_yor_scores, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
+def _bounded(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _bounded(f) for f in (op1_simhash_lines, op2_partenum_join, op3_word_table_bpe, op4_suffix_family, op5_pitman_yor_scores, op6_voronoi_top_k, op7_adaptive_rules, op8_histogram_packing, op9_language_mixture, op10_feistel_pseudonyms)}
 
 #: DuckDB SQL by query, where SQL can express it.
 SQL: dict[str, str] = {

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, slices, small, stage, utf8
+from .common import release, slices, stage, tidied, utf8
 from .wordtable import mixed, pack, pack_long, unpack, unpack_long
 
 #: Bytes of a string that counts as repeated, and of a gram.
@@ -122,7 +122,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, *more: F.Column) -> DataFram
 def index(batch: DataFrame) -> DataFrame:
     """The index of a batch (doc, text): an entry for each neighbourhood,
     with how often it comes and one of its places."""
-    found = batch.where(F.octet_length("text") >= LONG).mapInArrow(_find, _ENTRY)
+    found = batch.where(F.octet_length("text") >= LONG).mapInArrow(tidied(_find), _ENTRY)
     return found.groupBy("gram", "class").agg(F.count("*").alias("n"), F.min("doc").alias("doc"), F.min_by("place", "doc").alias("place"))
 
 
@@ -299,10 +299,13 @@ def repeated(docs: DataFrame, family: Family) -> DataFrame:
         return pa.table({"class": pa.array(c[first][head].view(np.int64)),
                          "spans": pa.ListArray.from_arrays(pa.array(np.append(head, len(first)).astype(np.int32)), spans)})
 
-    packed = docs.join(small(places), "doc").select("doc", "text", "places").mapInArrow(expand, _PACKED)
+    packed = docs.join(places, "doc").select("doc", "text", "places").mapInArrow(tidied(expand), _PACKED)
     marks = packed.groupBy("part").applyInArrow(compare, _PACKED)
     partly = marks.groupBy("part").applyInArrow(join, "class long, spans array<struct<a:int,b:int>>")
-    return full.unionByName(partly)
+    out = stage(full.unionByName(partly), "suffixes-repeated")
+    del packed, marks, partly
+    release(places, full)
+    return out
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
@@ -319,13 +322,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     family = Family()
     for k in range(batches):
         family.add(d.where(F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(batches)) == k))
-    marked = stage(repeated(d, family), "suffixes-repeated")
-    found = d.where(F.octet_length("text") >= LONG).mapInArrow(_find, _ENTRY).select("class", "doc", "place")
+    marked = repeated(d, family)
+    found = d.where(F.octet_length("text") >= LONG).mapInArrow(tidied(_find), _ENTRY).select("class", "doc", "place")
     anchor = F.expr("(place >> 16) + (place & 255)")
-    spans = (found.join(small(marked), "class").select("doc", F.explode("spans").alias("s"), anchor.alias("x"))
+    spans = (found.join(marked, "class").select("doc", F.explode("spans").alias("s"), anchor.alias("x"))
              .select("doc", (F.col("x") - F.col("s.b")).alias("first"), (F.col("x") - F.col("s.a") + LONG).alias("end"))
              .groupBy("doc").agg(F.collect_list(F.struct("first", "end")).alias("found")))
     spans = stage(spans, "suffixes-spans")
+    release(marked)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -346,6 +350,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      "spans": pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))}
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], names=list(kinds))
 
-    joined = _keyed(docs, doc_id, text, F.col(doc_id).cast("long").alias("doc_id")).join(small(spans), "doc", "left")
+    joined = _keyed(docs, doc_id, text, F.col(doc_id).cast("long").alias("doc_id")).join(spans, "doc", "left")
     return joined.select("doc_id", "text", "found").mapInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first:long,end:long>>")
+        tidied(cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first:long,end:long>>")

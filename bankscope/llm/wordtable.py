@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import slices, tidied, utf8
 
 #: Bytes of text in a unit.
 UNIT = 16 << 20
@@ -244,9 +244,9 @@ def encode(docs: DataFrame, tokenizer: str, emit: Callable[[list, np.ndarray, np
             out.append(emit(row["doc_ids"], flat, np.diff(upto[ends])))
         return pa.concat_tables(out)
 
-    asked = d.mapInArrow(ask, "unit string, part int, words binary").repartition("part")
-    answers = asked.mapInArrow(answer, "unit string, part int, lengths binary, ids binary")
-    coded = d.mapInArrow(texts, "unit string, doc_ids array<long>, counts binary, codes binary, parts binary")
+    asked = d.mapInArrow(tidied(ask), "unit string, part int, words binary").repartition("part")
+    answers = asked.mapInArrow(tidied(answer), "unit string, part int, lengths binary, ids binary")
+    coded = d.mapInArrow(tidied(texts), "unit string, doc_ids array<long>, counts binary, codes binary, parts binary")
     return coded.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(join, schema)
 
 
