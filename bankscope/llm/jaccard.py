@@ -2,7 +2,7 @@
 
 PartEnum: sets of similar size share a size band, in which similarity allows
 at most k differences.  The feature domain is cut by hash into parts, each
-part into cells; some part has at most one difference, so that leaving out
+part into cells; some parts have at most one difference, so that leaving out
 one of its cells leaves equal subsets: the hash of what a set has in a part
 without one cell is a signature, and sufficiently similar sets share one.
 Candidates come from shared signatures and are checked exactly.
@@ -25,13 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components_by_signature, slices, stage, utf8
+from .common import components_by_signature, slices, stage, tidied, utf8
 from .wordtable import UNIT, cut_words, hash_words, mixed, pack as pack_int, pack_long, unpack, unpack_long
 
 #: Cells of a part; a signature leaves out one.
 CELLS = 3
-#: A band's sizes differ by less than the similarity to this power.
-BAND = 3
 #: Features of the sets that are signed together.
 GROUP = 1 << 21
 #: The bits of a signature that are kept: unlike subsets that agree in them
@@ -64,9 +62,11 @@ def feature_sets(raw: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndar
 
 
 def _band_edges(similarity: tuple[int, int]) -> np.ndarray:
-    """First sizes of the bands, up to what fits into 32 bits."""
+    """First sizes of the bands, up to what fits into 32 bits.  Wide bands
+    need fewer sets to sign twice, narrow ones leave the parts more to hold,
+    which counts where similarity is low."""
     a, b = similarity
-    ratio = (b / a) ** BAND
+    ratio = (b / a) ** (3 if 10 * a >= 9 * b else 1)
     out = [1]
     while out[-1] < 1 << 31:
         out.append(max(out[-1] + 1, int(out[-1] * ratio)))
@@ -90,15 +90,23 @@ def signatures(features: np.ndarray, similarity: tuple[int, int], edges: np.ndar
         if k == 0:
             out.append(mixed(np.array([np.sum(mixed(features)) ^ np.uint64(band)], np.uint64)))
             continue
-        parts = k // 2 + 1
+        # k differences spoil k / 2 parts at most, so spare + 1 parts are good
+        spare = k // 16 + 1
+        parts = k // 2 + 1 + spare
         m = mixed(features ^ mixed(np.array([band], np.uint64)))
         cell = (m % np.uint64(parts)).astype(np.int64) * CELLS + ((m >> np.uint64(40)) % np.uint64(CELLS)).astype(np.int64)
         sums = np.zeros(parts * CELLS, np.uint64)
         np.add.at(sums, cell, mixed(m))
-        sums = sums.reshape(parts, CELLS)
+        sums, held = sums.reshape(parts, CELLS), np.bincount(cell, minlength=parts * CELLS).reshape(parts, CELLS)
         left = sums.sum(1, keepdims=True, dtype=np.uint64) - sums
+        empty = held.sum(1, keepdims=True) == held
         place = np.arange(parts * CELLS, dtype=np.uint64).reshape(parts, CELLS) + np.uint64(band << 40)
-        out.append(mixed(left + mixed(place)).ravel())
+        signed = mixed(left + mixed(place))
+        # Empty subsets, which many sets have in common, sign only for a set
+        # that has them in more than the spare parts.  Of two similar sets, if
+        # either has them in fewer, some good part leaves it no empty subset,
+        # and there both have equal ones; if neither has, both sign them.
+        out.append(signed.ravel() if empty.any(1).sum() > spare else signed[~empty])
     return np.concatenate(out)
 
 
@@ -258,14 +266,14 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         for i, f in _each(batches, size):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([f.view(np.int64)], pa.list_(pa.int64()))], names=["rep", "set"])
 
-    described = stage(d.mapInArrow(describe, "doc_id long, n long, node long, check long"), "jaccard-documents")
+    described = stage(d.mapInArrow(tidied(describe), "doc_id long, n long, node long, check long"), "jaccard-documents")
     classes = (described.where("n > 0 and doc_id is not null").groupBy("node", "check").agg(F.min("doc_id").alias("rep")))
-    signed = d.mapInArrow(sign, "part int, open boolean, sigs binary, nodes binary, at binary")
+    signed = d.mapInArrow(tidied(sign), "part int, open boolean, sigs binary, nodes binary, at binary")
     members = signed.groupBy("part").applyInArrow(gather, "sig long, node long").distinct()
     # from here on a set is its smallest document
     members = stage(members.join(classes, "node").select("sig", "rep"), "jaccard-members")
     wanted = members.select("rep").distinct()
-    sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(features, "rep long, set array<long>")
+    sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, set array<long>")
                  .dropDuplicates(["rep"]), "jaccard-sets")
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -51,27 +51,35 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
     return encode(docs, tokenizer, emit, PIECES)
 
 
-def combinations(window: int = WINDOW, grid: int = 32) -> np.ndarray:
-    """Up to three lengths, none over half a window, that fill one; unused
-    places are 0.  Of three lengths, the middle one is half a window or a
-    multiple of window / grid."""
-    half = window // 2
-    out = {(half, half, 0)}
-    for b in {half, *range(window // grid, half, max(1, window // grid))}:
-        for a in range(1, half + 1):
-            c = window - a - b
-            if 1 <= c <= half:
-                out.add(tuple(sorted((a, b, c), reverse=True)))
-    return np.array(sorted(out, reverse=True), np.int64)
-
-
-def solve(hist: np.ndarray, combos: np.ndarray, rounds: int = 400) -> np.ndarray:
+def combinations(window: int = WINDOW, grid: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Up to three lengths, none over half of it, that fill a window or an
+    even share of it down to an eighth (unused places are 0), and how many
+    such shares a window has.  Of three lengths, the middle one is half the
+    share or a multiple of a grid-th of it."""
+    out = []
+    for times in (1, 2, 4, 8):
+        share = window // times
+        half, step = share // 2, max(1, share // grid)
+        some = {(half, share - half, 0)}
+        for b in {half, *range(step, half, step)}:
+            for a in range(1, half + 1):
+                c = share - a - b
+                if 1 <= c <= half:
+                    some.add(tuple(sorted((a, b, c), reverse=True)))
+            if share - b <= half:
+                some.add((share - b, b, 0))
+        out += [(*lengths, times) for lengths in sorted(some, reverse=True)]
+    table = np.array(out, np.int64)
+    return table[:, :3], table[:, 3]
+
+
+def solve(hist: np.ndarray, combos: np.ndarray, times: np.ndarray, rounds: int = 400) -> np.ndarray:
     """Repeat counts x >= 0 of the combinations that bring the lengths used
     near the histogram (least squares, by multiplicative steps that never
     leave x >= 0)."""
     h = hist.astype(np.float64).copy()
     h[0] = 0
-    used = combos > 0
+    used = (combos > 0) * times[:, None]
 
     def gather(y: np.ndarray) -> np.ndarray:
         return (y[combos] * used).sum(1)
@@ -80,7 +88,7 @@ def solve(hist: np.ndarray, combos: np.ndarray, rounds: int = 400) -> np.ndarray
         return np.bincount(combos.ravel(), weights=(x[:, None] * used).ravel(), minlength=len(h))
 
     want = gather(h)
-    x = np.where(np.where(used, h[combos], 1).min(1) > 0, 1.0, 0.0)
+    x = np.where(np.where(used > 0, h[combos], 1).min(1) > 0, 1.0, 0.0)
     for _ in range(rounds):
         x *= want / np.maximum(gather(spread(x)), 1e-12)
     return x
@@ -99,12 +107,12 @@ def plan(hist: np.ndarray, window: int = WINDOW) -> list[tuple[tuple[int, ...],
                 left[n] -= times
 
     use((window,), int(left[window]))
-    combos = combinations(window)
-    x = solve(left, combos)
+    combos, shares = combinations(window)
+    x = solve(left, combos, shares)
     for k in np.argsort(-x, kind="stable"):
         if x[k] < 1:
             break
-        lengths = tuple(int(n) for n in combos[k] if n)
+        lengths = tuple(int(n) for n in combos[k] if n) * int(shares[k])
         use(lengths, min(int(x[k]), *(int(left[n]) // lengths.count(n) for n in lengths)))
     # what is left: the longest piece, then again and again the longest that fits
     there = [n for n in range(1, window + 1) if left[n]]
