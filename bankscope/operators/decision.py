@@ -19,6 +19,7 @@ from ..functions import stats as S
 
 P8 = DecimalType(12, 8)
 
+# Names and order of the output columns.
 REC_COLUMNS = [
     "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
     "churn_risk_score", "churn_probability", "predicted_revenue_annual", "clv", "financial_value_score",

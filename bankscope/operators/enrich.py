@@ -23,6 +23,7 @@ FEATURE_FILL = {
     "active_days_ratio": 0.0, "avg_transaction_amount": 0.0, "spending_trend_slope": 0.0,
     "spending_volatility": 0.0, "inactivity_streak": 0, "online_channel_ratio": 0.0,
 }
+# Names and order of the output columns.
 FINANCIAL_COLUMNS = [
     "cost_to_serve", "total_revenue_generated", "estimated_margin_per_client", "net_profit_per_client",
     "revenue_at_risk", "balance_decay_rate", "customer_tenure_years", "customer_value_score",

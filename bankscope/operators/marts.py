@@ -18,6 +18,7 @@ from . import txfeatures as TXF
 # -- B1: customer mart --------------------------------------------------------
 
 # (source column, mart column) in mart order.
+# Names and order of the output columns.
 CUSTOMER_MART_MAP = [
     ("customer_id", "customer_id"), ("segment", "segment"), ("region", "region"), ("age", "age"),
     ("income", "income"), ("account_balance", "account_balance"),
@@ -68,6 +69,7 @@ def customer_mart(enriched: DataFrame, params: Params = DEFAULT_PARAMS) -> DataF
 
 # -- A16: financial aggregates -------------------------------------------------
 
+# Dimensions and level names of the aggregates.
 DIMENSIONS = ["segment", "region", "risk_level", "recommended_action"]
 # (level name, grouped columns in key order); fixed level names of the mart.
 LEVELS = [
@@ -80,6 +82,7 @@ LEVELS = [
     ("by_segment_region", ["segment", "region"]),
     ("by_risk_action", ["risk_level", "recommended_action"]),
 ]
+# Names and order of the output columns.
 AGG_COLUMNS = [
     "dimension_key", "aggregation_level", "n_customers", "total_revenue", "avg_revenue_per_customer",
     "total_revenue_at_risk", "total_net_profit", "avg_net_profit", "total_clv", "avg_clv",
@@ -165,6 +168,7 @@ def financial_aggregates(enriched: DataFrame) -> DataFrame:
 
 # -- B2: monthly time series ----------------------------------------------------
 
+# Names and order of the output columns.
 TS_COLUMNS = [
     "calendar_ym", "transaction_volume", "total_transaction_amount", "avg_transaction_amount",
     "unique_active_customers", "estimated_monthly_revenue", "avg_churn_probability", "high_risk_active_count",

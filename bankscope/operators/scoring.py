@@ -19,6 +19,7 @@ from ..functions import exprs as X
 from ..functions import stats as S
 from . import txfeatures as TXF
 
+# Names and order of the output columns.
 SCORING_COLUMNS = [
     "customer_id", "segment", "age", "income", "account_balance", "tenure_months", "region",
     "churn_risk_score", "churn_probability", "predicted_revenue_annual", "clv", "financial_value_score",

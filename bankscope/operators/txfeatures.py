@@ -127,6 +127,7 @@ def customer_activity(tx: DataFrame | None, cal: Calendar = DEFAULT_CALENDAR, un
 
 # -- E7: the nine behavioural features -------------------------------------
 
+# Names and order of the output columns.
 TX_FEATURE_COLUMNS = [
     "transaction_count_30d", "transaction_count_90d", "days_since_last_transaction",
     "active_days_ratio", "avg_transaction_amount", "spending_trend_slope",

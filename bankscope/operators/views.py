@@ -355,13 +355,9 @@ def kpi_cards(agg: DataFrame) -> DataFrame:
     t = at_level(agg, "total")
     rar_pct = F.col("revenue_at_risk_pct")
     churn = F.col("churn_rate_pct")
-    return t.select(F.expr("""stack(6,
-        'Total Annual Revenue', total_revenue, 'static blue',
-        'Revenue at Risk', total_revenue_at_risk, 'rar',
-        'Portfolio Churn Rate', churn_rate_pct, 'churn',
-        '5-Year Customer CLV', total_clv, 'static green',
-        'Net Portfolio Profit', total_net_profit, 'profit',
-        'Critical Accounts', cast(critical_count as double), 'static red') as (label, value, rule)"""),
+    cards = F.array(*[F.struct(F.lit(label).alias("label"), F.col(measure).cast("double").alias("value"), F.lit(rule).alias("rule"))
+                      for label, measure, rule in C.KPI_CARDS])
+    return t.select(F.inline(cards),
                     rar_pct.alias("_rar_pct"), churn.alias("_churn")).select(
         "label", "value",
         F.when(F.col("label").isin("Portfolio Churn Rate"), X.format_pct(X.dround(X.dec("value", 2), 1), 1))
