@@ -56,12 +56,11 @@ def sample_std(n: Column, s: Column, q: Column, scale: int = 4) -> Column:
 
 
 def segment_amounts(columns: list[str]) -> list[Column]:
-    """Exact amounts by the transaction's segment (``other``: none or an
-    unknown one), where there is such a column."""
-    if "segment" not in columns:
-        return []
-    named = {s: F.col("segment") == s for s in sorted(C.SEGMENTS)}
-    named["other"] = ~F.coalesce(F.col("segment").isin(*C.SEGMENTS), F.lit(False))
+    """Exact amounts by the transaction's segment; ``other``: those without
+    one or with an unknown one, all of them where there is no such column."""
+    segment = F.col("segment") if "segment" in columns else F.lit(None).cast("string")
+    named = {s: segment == s for s in sorted(C.SEGMENTS)}
+    named["other"] = ~F.coalesce(segment.isin(*C.SEGMENTS), F.lit(False))
     return [F.sum(F.when(is_, X.dec("amount", 4))).alias(f"amt_{s}") for s, is_ in named.items()]
 
 
@@ -73,7 +72,7 @@ def month_cells(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     has_id = F.col("transaction_id").isNotNull()
     x = X.dec("amount", 4)
     by_segment = segment_amounts(tx.columns)
-    names = [f"amt_{s}" for s in [*sorted(C.SEGMENTS), "other"]] if by_segment else []
+    names = [f"amt_{s}" for s in [*sorted(C.SEGMENTS), "other"]]
     days = (tx.groupBy("customer_id", "month", X.day_of(t).alias("day"))
               .agg(
                   F.count(F.lit(1)).alias("n_rows"),
