@@ -147,8 +147,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     smallest neighbour by a map-side combined aggregate and hands it to the
     neighbours by an equi-join, so no component is ever gathered in one task."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    e, before = stage(e, "edges"), None
-    while True:
+    e = stage(e, "edges")
+
+    def stars() -> bool:
+        """Every id has one edge to a smaller one, or none and edges from larger ones."""
+        ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            e.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
+
+    while not stars():
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = (both.join(low, F.col("u") == F.col("k")).where("v > u")
@@ -158,10 +165,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .unionByName(small_low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct())
         e = stage(small, "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 31))).first()
-        if now == before:
-            break
-        before = now
     return (e.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
 
