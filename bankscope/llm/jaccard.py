@@ -35,6 +35,8 @@ GROUP = 1 << 21
 #: The bits of a signature that are kept: unlike subsets that agree in them
 #: cost a comparison, no more.
 _KEPT = np.uint64((1 << 48) - 1)
+#: Bits of a set's sketch.
+SKETCH = 1024
 #: Sets of a block, where many sets share a signature.
 BLOCK = 512
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
@@ -136,6 +138,13 @@ def _node(features: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(x[:8], "big", signed=True), int.from_bytes(x[8:], "big", signed=True)
 
 
+def _sketch(features: np.ndarray) -> np.ndarray:
+    """Whether an odd number of features falls on each of SKETCH places: two
+    sketches differ in no more bits than their sets in features."""
+    odd = np.bincount((features % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _block_links(a: int, b: int):
     """For two blocks of sets, or one with itself: links that join what their
     components leave apart."""
@@ -264,23 +273,31 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, f in _each(batches, size):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([f.view(np.int64)], pa.list_(pa.int64()))], names=["rep", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([len(f)], pa.int64()), pa.array([_sketch(f)], pa.list_(pa.int64())),
+                                              pa.array([f.view(np.int64)], pa.list_(pa.int64()))], names=["rep", "n", "sketch", "set"])
 
     described = stage(d.mapInArrow(tidied(describe), "doc_id long, n long, node long, check long"), "jaccard-documents")
-    classes = (described.where("n > 0 and doc_id is not null").groupBy("node", "check").agg(F.min("doc_id").alias("rep")))
+    classes = (described.where("n > 0 and doc_id is not null").groupBy("node", "check").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
     signed = d.mapInArrow(tidied(sign), "part int, open boolean, sigs binary, nodes binary, at binary")
     members = signed.groupBy("part").applyInArrow(gather, "sig long, node long").distinct()
     # from here on a set is its smallest document
-    members = stage(members.join(classes, "node").select("sig", "rep"), "jaccard-members")
+    members = stage(members.join(classes, "node").select("sig", "rep", F.col("n").alias("code")), "jaccard-members")
     wanted = members.select("rep").distinct()
-    sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, set array<long>")
+    sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, n long, sketch array<long>, set array<long>")
                  .dropDuplicates(["rep"]), "jaccard-sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Pairs x < y with the number of features they share and have."""
-        x, y = sets.select(F.col("rep").alias("x"), F.col("set").alias("sx")), sets.select(F.col("rep").alias("y"), F.col("set").alias("sy"))
-        both = pairs.join(x, "x").join(y, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
-        return both.select("x", "y", (F.col("both") * b >= (F.size("sx") + F.size("sy") - F.col("both")) * a).alias("linked"))
+        """Pairs x < y and whether they are linked.  Sets are fetched only for
+        pairs whose sketches differ in no more bits than linked sets can."""
+        def of(name: str, *columns: str) -> DataFrame:
+            return sets.select(F.col("rep").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+        bits = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, u: t + u)
+        sketched = pairs.join(of("x", "n", "sketch"), "x").join(of("y", "n", "sketch"), "y")
+        sketched = stage(sketched.select("x", "y", (bits * (a + b) <= (F.col("n_x") + F.col("n_y")) * (b - a)).alias("near")), "jaccard-sketched")
+        both = sketched.where("near").join(of("x", "set"), "x").join(of("y", "set"), "y").withColumn("both", F.size(F.array_intersect("set_x", "set_y")))
+        linked = F.col("both") * b >= (F.size("set_x") + F.size("set_y") - F.col("both")) * a
+        return both.select("x", "y", linked.alias("linked")).unionByName(sketched.where("not near").select("x", "y", F.lit(False).alias("linked")))
 
     def blocks(many: DataFrame) -> DataFrame:
         """Links between components in the signatures that many sets share:
@@ -294,7 +311,10 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         pairs = pairs.select("cluster", "rep", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         return pairs.join(sets, "rep").groupBy("cluster", "i", "j").applyInArrow(_block_links(a, b), "x long, y long").distinct()
 
-    component, links = components_by_signature(members.withColumn("code", F.lit(0)), verify, blocks)
+    def similar_sizes(n: F.Column, m: F.Column) -> F.Column:
+        return F.least(n, m) * b >= F.greatest(n, m) * a
+
+    component, links = components_by_signature(members, verify, blocks, near=similar_sizes)
     degree = links.select(F.explode(F.array("x", "y")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links_found"))
     by_class = classes.join(component, F.col("rep") == F.col("id"), "left").drop("id") if component is not None else classes.withColumn("component", F.lit(None).cast("long"))
     by_class = (by_class.join(degree, F.col("rep") == F.col("id"), "left")
