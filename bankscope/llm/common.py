@@ -61,6 +61,12 @@ def release(*stages: DataFrame) -> None:
         jvm, path = df.sparkSession._jvm, df._llm_path
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    free_shuffles()
+
+
+def free_shuffles() -> None:
+    """Let Spark clean the shuffle files of plans that are no longer referred
+    to now, not whenever the driver happens to collect its garbage."""
     gc.collect()
     SparkSession.getActiveSession()._jvm.System.gc()
 

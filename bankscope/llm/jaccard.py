@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components_by_signature, slices, stage, tidied, utf8
+from .common import components_by_signature, free_shuffles, slices, stage, tidied, utf8
 from .wordtable import UNIT, cut_words, hash_words, mixed, pack as pack_int, pack_long, unpack, unpack_long
 
 #: Cells of a part; a signature leaves out one.
@@ -282,9 +282,12 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
     members = signed.groupBy("part").applyInArrow(gather, "sig long, node long").distinct()
     # from here on a set is its smallest document
     members = stage(members.join(classes, "node").select("sig", "rep", F.col("n").alias("code")), "jaccard-members")
+    del signed
+    free_shuffles()  # of the signatures
     wanted = members.select("rep").distinct()
     sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, n long, sketch array<long>, set array<long>")
                  .dropDuplicates(["rep"]), "jaccard-sets")
+    free_shuffles()  # of the texts
 
     def verify(pairs: DataFrame) -> DataFrame:
         """Pairs x < y and whether they are linked.  Sets are fetched only for
