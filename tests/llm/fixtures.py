@@ -93,8 +93,8 @@ def dedup_lines(docs: dict[int, str | None], hashes: dict[str, int]) -> dict[int
     keys = sorted(first, key=first.get)
     sims = []
     for w in keys:
-        long = [x for x in w if len(x.encode()) > 3]
-        some = sorted({hashes[x] >> 4 for x in (w if len(long) < 5 else long)})[:60]
+        long = {x for x in w if len(x.encode()) > 3}
+        some = sorted({hashes[x] >> 4 for x in (w if len(long) < 5 else long)})[:45]
         n = Counter(b for x in some for b in range(60) if x >> b & 1)
         sims.append(sum(1 << b for b in range(60) if 2 * n[b] > len(some)))
     links = [(i, j) for i in range(len(keys)) for j in range(i + 1, len(keys)) if (sims[i] ^ sims[j]).bit_count() <= 3
