@@ -242,8 +242,8 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", und
     """``docs`` with the personal data of its text replaced, and
     ``pii_spans``: (kind, start, end, pseudonym) of each value, in code points
     of the given text.  A null text stays null with no spans, an empty one
-    empty.  A column pii_spans (any letter case) is replaced.  Texts without
-    a digit or an @ have no such value and stay in the JVM."""
+    empty.  A column pii_spans (any letter case) is replaced.  Every text
+    is searched: some values have neither a digit nor an @."""
 
     @F.arrow_udf("text string, spans array<struct<kind:string,start:int,end:int,pseudonym:string>>")
     def change(texts: pa.Array) -> pa.Array:
@@ -254,7 +254,7 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", und
         spans = [s and [dict(zip(("kind", "start", "end", "pseudonym"), x, strict=True)) for x in s] for _, s in new]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in new], pa.string()), pa.array(spans, kind)], names=["text", "spans"])
 
-    d = without(docs, "pii_spans").withColumn("_llm_pii", change(F.when(F.col(text).rlike("[0-9@]|password|secret|token"), F.col(text))))
+    d = without(docs, "pii_spans").withColumn("_llm_pii", change(text))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,pseudonym:string>>")
     return d.select(*[F.coalesce(F.col("_llm_pii.text"), F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in d.columns
                       if c != "_llm_pii"], F.coalesce(F.col("_llm_pii.spans"), none).alias("pii_spans"))
