@@ -1,16 +1,16 @@
 """Removal of long byte strings that come more than once, by a family of
-sparse suffix indexes.
+hashed indexes of anchors.
 
 A string of LONG bytes is found through its anchor: the place in it where the
 hash of the next GRAM bytes is smallest, so equal strings have their anchors
-at the same offset.  Only suffixes that begin at anchors are indexed, about
-one in seventy.  An entry of the index stands for all equal neighbourhoods of
+at the same offset.  Only places that are anchors are indexed, about one in
+seventy.  An entry of the index stands for all equal neighbourhoods of
 anchors (the bytes of all strings that share the anchor) and counts them.
 
-New batches of documents get an index of their own (level 0); two levels of
-one size are merged into one of twice the size, and the merge, a scan of both
-in the order of their suffixes, shows what they have in common.  Once all
-batches are in, a neighbourhood that comes twice is repeated as a whole;
+No suffix array is built or sorted: the index is a table by the hashes of an
+anchor's gram and of its neighbourhood.  New batches of documents get an index
+of their own (level 0); two levels of one size are added up by these hashes
+into one of twice the size.  Once all batches are in, a neighbourhood that comes twice is repeated as a whole;
 where different neighbourhoods share a gram, their strings are compared one
 by one, once for each neighbourhood, however often it comes.
 """
