@@ -2,10 +2,11 @@
 terms: an audit by Arrow's compute functions.
 
 Tasks lower, split, dictionary-encode and hash-group whole batches of texts
-and hand on partial counts of (language, source, term).  Merged counts of the
-terms kept are dealt, as columns, to shards of a language's terms; a shard
-holds a dense matrix of sources by terms and gives its share of every
-divergence, in integers.
+and hand on partial counts of (language, source, term), dealt by term to
+shards, as packed columns.  A shard merges its columns by another hash
+grouping and keeps the terms that enough documents hold.  Counts of the terms
+kept are dealt anew, so that all sources of a term meet: a dense matrix of
+sources by terms then gives its share of every divergence, in integers.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stage, tidied, utf8
+from .wordtable import hash_words, mixed
 
 #: What stands between terms: all of ASCII but its letters.
 GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -28,76 +31,100 @@ LEAST_DOCS = 30
 PSEUDO, UNITS = 5, 1_000_000_000
 #: Terms listed of each source.
 TOP = 50
-#: Bytes of text counted at once (one text may be larger), and distinct
-#: (language, source, term) that a task holds before it hands counts on.
-SLICE_BYTES = 4 << 20
-HELD = 400_000
-#: Cells (sources x terms) of a shard.
-CELLS = 1 << 21
+#: Bytes of text counted at once (one text may be larger), and for each shard
+#: of partial counts.
+SLICE_BYTES, SHARD_BYTES = 6 << 20, 8 << 20
+#: Cells (sources x terms) of a matrix.
+CELLS = 1 << 16
 
 _KEYS = ["lang", "source", "term"]
-_COUNTS = "lang string, source string, term string, n long, n_docs long"
+_KEPT = "lang string, source string, term string, n long, first boolean"
 
 
-def _counted(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
-    """Occurrences, and documents, of each (lang, source, term); a row
-    without a term for each (lang, source)."""
-    groups = pa.table({"lang": lang, "source": source})
-    parts = pc.split_pattern_regex(pc.ascii_lower(text.cast(pa.large_string())), GAP)
+def _codes(a: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    coded = a.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def _counted(lang: pa.Array, source: pa.Array, text: pa.Array) -> tuple[pa.Table, np.ndarray]:
+    """Occurrences, and documents, of each (lang, source, term), with a row
+    without a term for each (lang, source); and a hash of language and term."""
+    (a, langs), (b, sources) = _codes(lang), _codes(source)
+    group = a * len(sources) + b
+    parts = pc.split_pattern_regex(pc.ascii_lower(text), GAP)
     doc, term = pc.list_parent_indices(parts), pc.list_flatten(parts)
     some = pc.greater(pc.binary_length(term), 0)  # a split leaves empty strings at both ends
     coded = term.filter(some).dictionary_encode()
+    terms = coded.dictionary
     per_doc = pa.table({"doc": doc.filter(some), "term": coded.indices}).group_by(["doc", "term"], use_threads=False).aggregate([([], "count_all")])
-    named = groups.take(per_doc["doc"])
-    # by code: few different languages and sources, so that whole numbers are grouped
-    by = pa.table({"lang": named["lang"].combine_chunks().dictionary_encode().indices, "source": named["source"].combine_chunks().dictionary_encode().indices,
-                   "term": per_doc["term"], "n": per_doc["count_all"]}) if per_doc.num_rows else None
-    none = groups.group_by(["lang", "source"], use_threads=False).aggregate([])
-    none = none.append_column("term", pa.nulls(none.num_rows, pa.large_string())).append_column("n", pa.array(np.zeros(none.num_rows, np.int64)))
-    none = none.append_column("n_docs", none["n"]).select([*_KEYS, "n", "n_docs"])
-    if by is None:
-        return none
-    langs, sources = (named[c].combine_chunks().dictionary_encode().dictionary for c in ("lang", "source"))
-    sums = by.group_by(_KEYS, use_threads=False).aggregate([("n", "sum"), ("n", "count")])
-    out = pa.table({"lang": langs.take(sums["lang"]), "source": sources.take(sums["source"]), "term": coded.dictionary.take(sums["term"]),
-                    "n": sums["n_sum"], "n_docs": sums["n_count"]})
-    return pa.concat_tables([none, out])
-
-
-def _merged(tables: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(tables).group_by(_KEYS, use_threads=False).aggregate([("n", "sum"), ("n_docs", "sum")])
-    return out.rename_columns([*_KEYS, "n", "n_docs"])
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, n_docs) of ``docs`` (lang, source, text), summed
-    over all tasks; with a row without a term for each (lang, source)."""
+    of_doc = pa.array(group[per_doc["doc"].to_numpy()] * (len(terms) + 1) + per_doc["term"].to_numpy())
+    sums = pa.table({"k": of_doc, "n": per_doc["count_all"]}).group_by("k", use_threads=False).aggregate([("n", "sum"), ("n", "count")])
+    empty = np.unique(group) * (len(terms) + 1) + len(terms)
+    key = np.append(sums["k"].to_numpy(), empty)
+    group, term = np.divmod(key, len(terms) + 1)
+    of_term = np.append(hash_words(terms.cast(pa.large_binary())), np.uint64(0))
+    of_lang = np.array([xxhash.xxh3_64_intdigest(x) for x in langs.to_pylist()], np.uint64)
+    zeros = np.zeros(len(empty), np.int64)
+    out = pa.table({"lang": pa.DictionaryArray.from_arrays(pa.array((group // len(sources)).astype(np.int32)), langs),
+                    "source": pa.DictionaryArray.from_arrays(pa.array((group % len(sources)).astype(np.int32)), sources),
+                    "term": pa.concat_arrays([terms, pa.nulls(1, pa.large_string())]).take(pa.array(term)),
+                    "n": np.append(sums["n_sum"].to_numpy(), zeros), "n_docs": np.append(sums["n_count"].to_numpy(), zeros)})
+    return out, mixed(of_term[term] + of_lang[group // len(sources)])
+
+
+def counts(docs: DataFrame, shards: int) -> DataFrame:
+    """Partial counts of ``docs`` (lang, source, text) as (shard, columns):
+    of a language's term all are in one shard."""
     @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        rows = 0
-
-        def given() -> Iterator[pa.RecordBatch]:
-            for b in _merged(held).cast(pa.schema([(c, pa.string()) for c in _KEYS] + [("n", pa.int64()), ("n_docs", pa.int64())])).to_batches(max_chunksize=65536):
-                yield b
-
         for b in batches:
-            lang, source, text = (b.column(k) for k in range(3))
-            _, at = utf8(text)
+            raw, at = utf8(b.column(2))
             for i, j in slices(at, SLICE_BYTES):
-                held.append(_counted(*(c.slice(i, j - i).cast(pa.large_string()) for c in (lang, source, text))))
-                rows += held[-1].num_rows
-                if rows > 2 * HELD:
-                    held = [_merged(held)]
-                    rows = held[0].num_rows
-                    if rows > HELD:
-                        yield from given()
-                        held, rows = [], 0
-        if held:
-            yield from given()
+                # an array of its own: ascii_lower misreads one that begins within its data
+                text = pa.LargeStringArray.from_buffers(j - i, pa.py_buffer(at[i:j + 1] - at[i]), pa.py_buffer(raw[at[i]:at[j]]))
+                table, h = _counted(*(b.column(k).slice(i, j - i).cast(pa.large_string()) for k in range(2)), text)
+                shard = (h % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                table, edges = table.take(pa.array(order)).combine_chunks(), np.searchsorted(shard[order], np.arange(shards + 1))
+                rows = []
+                for s in np.unique(shard).tolist():
+                    rows.append((s, _packed(table.slice(edges[s], edges[s + 1] - edges[s]))))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "columns"])
 
     named = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return (named.mapInArrow(count, _COUNTS).groupBy(*_KEYS).agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")))
+    return named.mapInArrow(count, "shard int, columns binary")
+
+
+def _packed(t: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    # only the languages and sources that the slice has
+    t = pa.table({c: t[c].cast(pa.large_string()).dictionary_encode() if c in ("lang", "source") else t[c] for c in t.column_names})
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
+        w.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def _merged(table: pa.Table, least_docs: int) -> pa.Table:
+    """Merge a shard's columns; keep terms of enough documents.  ``first``
+    marks one row of each term of a language, and of each without one."""
+    parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["columns"]]
+    t = pa.concat_tables([p.set_column(0, "lang", p["lang"].cast(pa.large_string())).set_column(1, "source", p["source"].cast(pa.large_string())) for p in parts])
+    t = t.combine_chunks()
+    (a, langs), (b, sources), (c, terms) = (_codes(pc.fill_null(t[x].combine_chunks(), "")) for x in _KEYS)
+    sums = (pa.table({"k": (a * len(terms) + c) * len(sources) + b, "n": t["n"], "d": t["n_docs"]})
+            .group_by("k", use_threads=False).aggregate([("n", "sum"), ("d", "sum")]))
+    order = np.argsort(sums["k"].to_numpy())
+    k, n, d = (sums[x].to_numpy()[order] for x in ("k", "n_sum", "d_sum"))
+    of_term = k // len(sources)
+    start = np.flatnonzero(np.append(True, of_term[1:] != of_term[:-1]))
+    size = np.diff(np.append(start, len(k)))
+    none = pc.equal(terms, "").to_numpy(zero_copy_only=False)[of_term % len(terms)]  # a term is never empty
+    kept = none | (np.repeat(np.add.reduceat(d, start), size) >= least_docs)
+    first = np.zeros(len(k), bool)
+    first[start] = True
+    a, c, b = of_term // len(terms), of_term % len(terms), k % len(sources)
+    return pa.table({"lang": langs.take(pa.array(a[kept])).cast(pa.string()), "source": sources.take(pa.array(b[kept])).cast(pa.string()),
+                     "term": terms.take(pa.array(c[kept], mask=none[kept])).cast(pa.string()), "n": n[kept], "first": first[kept]})
 
 
 def _share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -157,10 +184,13 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, pseudo:
     language of one source has no pairs; an empty table has no rows.  Counts
     of a language must stay below 2**53.
     """
-    per_term = Window.partitionBy("lang", "term")
-    kept = stage(counts(docs).withColumn("seen", F.sum("n_docs").over(per_term))
-                 .withColumn("first", F.row_number().over(per_term.orderBy("source")) == 1)
-                 .where(F.col("term").isNull() | (F.col("seen") >= least_docs)).select(*_KEYS, "n", "first"), "audit")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+
+    def merge(table: pa.Table) -> pa.Table:
+        return _merged(table, least_docs)
+
+    kept = stage(counts(docs, shards).groupBy("shard").applyInArrow(merge, _KEPT), "audit")
     group = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     of_lang = kept.groupBy("lang").agg(F.count(F.when(F.col("first"), F.col("term"))).alias("vocabulary"),
                                        F.count(F.when(F.col("term").isNull(), 1)).alias("n_sources"))
