@@ -3,21 +3,19 @@
 Splits take, of each class, the fifth of the customers whose seeded hash
 ranks lowest: the same ones on any partitioning, and of every class.  The
 feature matrix is written once; split, fit, evaluation and scoring read it.
-Trees and KMeans are MLlib's distributed implementations.  MLlib subsamples
-features per node rather than per tree, so scores are not numerically those
-of another library.
+Trees draw their rows and columns per tree (``operators.boosting``); MLlib's,
+which draw columns per node, can be asked for.  All starts of the clusters
+advance together (``operators.clusters``).
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -25,6 +23,8 @@ from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..functions import exprs as X
 from ..functions import stats as S
 from ..sources.stages import exists, materialize
+from . import boosting as B
+from . import clusters as K
 from . import enrich as E
 from . import txfeatures as TXF
 
@@ -36,7 +36,9 @@ CHURN_FEATURES = ["age", "income", "account_balance", "tenure_months", "tx_count
 REVENUE_FEATURES = ["age", "income", "account_balance", "tenure_months", "tx_count", "tx_avg_amount",
                     "tx_total_volume", "online_ratio", "segment_retail", "segment_premium", "segment_hnw"]
 SEGMENT_FLAGS = [("retail", "segment_retail"), ("premium", "segment_premium"), ("high_net_worth", "segment_hnw")]
-TREES = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+N_TREES = 300
+TREES = {"depth": 6, "rate": 0.05, "row_share": 0.8, "column_share": 0.8}
+_MLLIB = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 TEST_SHARE = 0.2
 
 
@@ -103,92 +105,115 @@ def _assembled(cols: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
 
 
-def fit_churn(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = 300) -> PipelineModel:
+Model = B.TreeModel | PipelineModel
+
+
+def fit_churn(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = N_TREES, per_tree: bool = True) -> Model:
     """M4: gradient-boosted trees (300 trees, depth 6, rate 0.05, row and
-    feature sampling 0.8)."""
-    gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxIter=max_iter,
-                        seed=params.seed, **TREES)
+    column sampling 0.8 per tree; ``per_tree`` off: MLlib's)."""
+    if per_tree:
+        return B.fit(train, CHURN_FEATURES, "churn_label", B.Settings("logistic", max_iter, seed=params.seed, **TREES))
+    gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxIter=max_iter, seed=params.seed, **_MLLIB)
     return Pipeline(stages=[_assembled(CHURN_FEATURES), gbt]).fit(train)
 
 
-def score_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
+def churn_probability(model: Model, features: DataFrame) -> DataFrame:
+    """``features`` with the unrounded probability of class 1 as ``probability_1``."""
+    if isinstance(model, B.TreeModel):
+        return model.transform(features, "probability_1")
+    return model.transform(features).select(*features.columns, vector_to_array("probability")[1].alias("probability_1"))
+
+
+def score_churn(model: Model, features: DataFrame) -> DataFrame:
     """M6: P(class 1), 4 dp."""
-    p = model.transform(features)
-    return p.select("customer_id", F.bround(vector_to_array("probability")[1], 4).alias("churn_probability"))
+    return churn_probability(model, features).select("customer_id", F.bround("probability_1", 4).alias("churn_probability"))
+
+
+def churn_quality(model: Model, test: DataFrame) -> DataFrame:
+    """M5: one row n, n_positive, auc (exact) of held-out rows."""
+    return S.auc(churn_probability(model, test), "probability_1", "churn_label")
 
 
 def churn_model_report(customers: DataFrame, tx: DataFrame, params: Params = DEFAULT_PARAMS,
-                       max_iter: int = 300) -> DataFrame:
+                       max_iter: int = N_TREES, per_tree: bool = True) -> DataFrame:
     """M3-M6: split, fit, hold-out AUC, scores for every customer."""
     feats = materialize(churn_features(customers, tx, params=params), "churn-matrix")
     train, test = split(feats, "churn_label", seed=params.seed)
-    model = fit_churn(train, params, max_iter)
-    auc = BinaryClassificationEvaluator(labelCol="churn_label", rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(model.transform(test))
-    return score_churn(model, feats).withColumn("holdout_auc", F.lit(float(auc)))
+    model = fit_churn(train, params, max_iter, per_tree)
+    return score_churn(model, feats).withColumn("holdout_auc", F.lit(churn_quality(model, test).first()["auc"]).cast("double"))
 
 
-def fit_revenue(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = 300) -> PipelineModel:
+def fit_revenue(train: DataFrame, params: Params = DEFAULT_PARAMS, max_iter: int = N_TREES, per_tree: bool = True) -> Model:
     """Gradient-boosted regression trees, same hyper-parameters."""
-    gbt = GBTRegressor(labelCol="revenue_target", featuresCol="features", maxIter=max_iter,
-                       seed=params.seed, **TREES)
+    if per_tree:
+        return B.fit(train, REVENUE_FEATURES, "revenue_target", B.Settings("squared", max_iter, seed=params.seed, **TREES))
+    gbt = GBTRegressor(labelCol="revenue_target", featuresCol="features", maxIter=max_iter, seed=params.seed, **_MLLIB)
     return Pipeline(stages=[_assembled(REVENUE_FEATURES), gbt]).fit(train)
 
 
-def score_revenue(model: PipelineModel, features: DataFrame) -> DataFrame:
+def _revenue(model: Model, features: DataFrame) -> DataFrame:
+    return model.transform(features).withColumn(
+        "predicted_revenue_annual", F.bround(F.greatest(F.col("prediction"), F.lit(0.0)), 2)).drop("prediction")
+
+
+def score_revenue(model: Model, features: DataFrame) -> DataFrame:
     """Prediction clipped at 0, 2 dp."""
-    p = model.transform(features)
-    return p.select("customer_id",
-                    F.bround(F.greatest(F.col("prediction"), F.lit(0.0)), 2).alias("predicted_revenue_annual"))
+    return _revenue(model, features).select("customer_id", "predicted_revenue_annual")
+
+
+def revenue_quality(model: Model, test: DataFrame) -> DataFrame:
+    """One row n, r2, mae (from exact sums of cents) of held-out rows."""
+    return S.fit_quality(_revenue(model, test), "predicted_revenue_annual", "revenue_target")
 
 
 def revenue_model_report(customers: DataFrame, tx: DataFrame, params: Params = DEFAULT_PARAMS,
-                         max_iter: int = 300) -> DataFrame:
+                         max_iter: int = N_TREES, per_tree: bool = True) -> DataFrame:
     """Split, fit, R2 and MAE on the hold-out, scores."""
     feats = materialize(revenue_features(customers, tx, params=params), "revenue-matrix")
     train, test = split(feats, seed=params.seed)
-    model = fit_revenue(train, params, max_iter)
-    pred = model.transform(test)
-    r2 = RegressionEvaluator(labelCol="revenue_target", metricName="r2").evaluate(pred)
-    mae = RegressionEvaluator(labelCol="revenue_target", metricName="mae").evaluate(pred)
-    return score_revenue(model, feats).withColumns({"holdout_r2": F.lit(float(r2)), "holdout_mae": F.lit(float(mae))})
+    model = fit_revenue(train, params, max_iter, per_tree)
+    q = revenue_quality(model, test).first()
+    return score_revenue(model, feats).withColumns({"holdout_r2": F.lit(q["r2"]).cast("double"), "holdout_mae": F.lit(q["mae"]).cast("double")})
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    """Persist a fitted pipeline (overwrite)."""
+def save_model(model: Model, path: str, spark: SparkSession | None = None) -> str:
+    """Persist a fitted model (overwrite)."""
+    if isinstance(model, B.TreeModel):
+        return model.save(spark or SparkSession.getActiveSession(), path)
     model.write().overwrite().save(path)
     return path
 
 
-def load_or_train(path: str, train_fn, *args, **kwargs) -> PipelineModel:
-    """Load a saved pipeline, or train and save it where none is; one
-    that is there but cannot be read is an error."""
-    from pyspark.sql import SparkSession
+def load_model(path: str, spark: SparkSession | None = None) -> Model:
+    spark = spark or SparkSession.getActiveSession()
+    return PipelineModel.load(path) if exists(spark, f"{path}/stages") else B.TreeModel.load(spark, path)
+
 
-    if exists(SparkSession.getActiveSession(), path):
-        return PipelineModel.load(path)
+def load_or_train(path: str, train_fn, *args, spark: SparkSession | None = None, **kwargs) -> Model:
+    """Load a saved model, or train and save it where none is; one
+    that is there but cannot be read is an error."""
+    if exists(spark or SparkSession.getActiveSession(), path):
+        return load_model(path, spark)
     model = train_fn(*args, **kwargs)
-    save_model(model, path)
+    save_model(model, path, spark)
     return model
 
 
 def risk_cluster_assignments(enriched: DataFrame, k: int = 3, n_init: int = 10, seed: int = 42) -> DataFrame:
-    """KMeans (k = 3, best of 10 seeded starts by training cost)
-    on min-max scaled churn, net profit and engagement; clusters named
-    low / medium / high by ascending mean churn probability.  The scaled
-    vectors are written once and read by every start."""
+    """KMeans (k = 3, best of 10 seeded starts by cost) on min-max
+    scaled churn, net profit and engagement; clusters named low / medium /
+    high by ascending mean churn probability.  The scaled points are written
+    once; all starts share each scan of them."""
+    return risk_clusters(enriched, k, n_init, seed)[0]
+
+
+def risk_clusters(enriched: DataFrame, k: int = 3, n_init: int = 10, seed: int = 42) -> tuple[DataFrame, float]:
+    """``risk_cluster_assignments`` and their cost (squared distances)."""
     cols = ["churn_probability", "net_profit_per_client", "engagement_index"]
     scaled = E.minmax_scaled(enriched, cols, keep=["churn_probability"])
-    data = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="features").transform(scaled)
-    data = materialize(data.select("customer_id", "churn_probability", "features"), "clustering")
-    best, best_cost = None, None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
-        cost = m.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = m, cost
-    pred = best.transform(data)
+    data = materialize(scaled.select("customer_id", "churn_probability", *[f"{c}_scaled" for c in cols]), "clustering")
+    pred, cost = K.kmeans(data, [f"{c}_scaled" for c in cols], k, n_init, seed)
     means = sorted((r.m if r.m is not None else 0.0, r.cluster) for r in  # k rows
                    pred.groupBy("cluster").agg(F.avg("churn_probability").alias("m")).collect())
     names = {c: C.CLUSTER_NAMES[i] for i, (_, c) in enumerate(means)}
-    return pred.select("customer_id", X.map_values("cluster", names).alias("risk_cluster"))
+    return pred.select("customer_id", X.map_values("cluster", names).alias("risk_cluster")), cost

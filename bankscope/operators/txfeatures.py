@@ -89,7 +89,9 @@ def month_cells(tx: DataFrame, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
                   F.count("channel").alias("n_chan"),
                   *by_segment,
               ))
-    return (days.groupBy("customer_id", "month")
+    # dealt by customer alone: the cells of one customer are together already
+    # where they are written in buckets or rolled up further
+    return (days.repartition("customer_id").groupBy("customer_id", "month")
                   .agg(F.sum("n_rows").alias("n_rows"), F.sum("n").alias("n"), F.sum("n_amt").alias("n_amt"),
                        F.sum("amt").cast(D4).alias("a"), F.sum("amt_sq").alias("amt_sq"),
                        F.sum("n30").alias("n30"), F.sum("n90").alias("n90"),

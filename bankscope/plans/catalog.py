@@ -142,12 +142,7 @@ SELECT customer_id, spending_volatility, spending_trend_slope, inactivity_streak
 
 
 def _churn_matrix(spark, d):
-    from ..operators import models as MD
-    # orders are read once: the churn score, too, comes from the staged roll-up
-    act = fixture_stages(spark, d).activity
-    last = act.select("customer_id", F.col("last_ts").alias("_last"))
-    cust = FX.customers(spark, d, with_score=False).join(last, "customer_id", "left")
-    return MD.churn_features(cust.withColumn("churn_risk_score", FX.churn_score_expr(F.col("_last"))), None, activity=act)
+    return fixture_stages(spark, d).matrices[0]
 
 
 register("churn_matrix", O.q(["customers", "tx_cstat", "tx"], f"""
@@ -657,7 +652,7 @@ def _sampled(name: str, source: str, make, n: int, seed: int, cols: list[str]) -
 
 
 _POINTS = ["customer_id", "churn_probability_pct", "clv_5yr", "risk_level", "segment", "revenue_at_risk"]
-_sampled("stable_sample", "mart", _mart, 8000, PAR.seed, _POINTS)
+_sampled("stable_sample", "mart", _mart, 8000, PAR.seed, [*_POINTS, "recommended_action", "priority_score"])
 _sampled("stable_sample_700", "mart", _mart, 700, PAR.seed, _POINTS)  # fewer than the rows of the smallest tables but one
 _sampled("view_v18_clv_churn_points", "enr", _enr, 5000, PAR.seed, ["customer_id", "churn_probability", "clv", "segment"])
 _sampled("view_v19_engagement_churn_points", "enr", _enr, 6000, 1, ["customer_id", "engagement_index", "churn_probability", "segment"])
@@ -679,27 +674,46 @@ _BLOCKS = {
 }
 
 
+#: The report's keys of these blocks.
+_SECTIONS = dict(zip(_BLOCKS, (k for k, *_ in K.KPI_CATALOGUE), strict=True))
+_SUMMARY = ["total_revenue", "total_revenue_at_risk", "rar_pct", "churn_rate_pct", "total_clv", "total_net_profit", "critical_customers"]
+_METADATA = ["n_customers", "margin_rate", "clv_discount_rate", "clv_horizon_years"]
+
+
 def _report_rows(spark, d):
-    """A32 as (section, dimension, key, measure, value)."""
+    """A32 as (section, dimension, key, measure, value): the written report,
+    read back and flattened, metadata and summary included."""
     from functools import reduce
-    out = []
-    for name, measures in _BLOCKS.items():
-        df = QUERIES[name](spark, d)
-        at = [F.col(c) if c in df.columns else F.lit("").alias(c) for c in ("dimension", "key")]
-        each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
-        out.append(df.select(F.lit(name).alias("section"), *at, F.inline(each)))
+    from ..sources import readers, sinks
+    report = K.kpi_report(_enr(spark, d), _ts(spark, d))
+    written = sinks.write_report(report, _scratch(spark, "kpi-report-rows") + ".json")
+    # the schema is the report's own: a figure that is null in every row is not in the JSON
+    r = readers.read_report(spark, written, report.schema)
+    blank = [F.lit("").alias(c) for c in ("dimension", "key")]
+
+    def measures(names, of):
+        return F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), of(m).cast("double").alias("value")) for m in names]))
+
+    out = [r.select(F.lit(part).alias("section"), *blank, measures(names, lambda m, p=part: F.col(f"{p}.{m}")))
+           for part, names in (("metadata", _METADATA), ("summary", _SUMMARY))]
+    for name, names in _BLOCKS.items():
+        rows = r.select(F.inline(_SECTIONS[name]))
+        at = [F.col(c) if c in rows.columns else F.lit("").alias(c) for c in ("dimension", "key")]
+        out.append(rows.select(F.lit(name).alias("section"), *at, measures(names, F.col)))
     return reduce(DataFrame.unionByName, out)
 
 
 def _report_rows_sql() -> str:
-    out = []
+    fixed = {"margin_rate": PAR.margin_rate, "clv_discount_rate": PAR.discount_rate, "clv_horizon_years": PAR.clv_years}
+    out = ["SELECT 'metadata' AS section, '' AS dimension, '' AS \"key\", 'n_customers' AS measure, CAST(count(*) AS DOUBLE) AS value FROM customer"]
+    out += [f"SELECT 'metadata', '', '', '{m}', {float(v)!r}::DOUBLE" for m, v in fixed.items()]
+    out += [f"SELECT 'summary', '', '', '{m}', CAST(\"{m}\" AS DOUBLE) FROM ({SQL['view_v40_report_summary']})" for m in _SUMMARY]
     for name, measures in _BLOCKS.items():
         at = "'' AS dimension, '' AS \"key\"" if name in ("kpi_concentration", "kpi_time_series") else 'dimension, "key"'
         out += [f"SELECT '{name}' AS section, {at}, '{m}' AS measure, CAST(\"{m}\" AS DOUBLE) AS value FROM ({SQL[name]})" for m in measures]
     return "\nUNION ALL\n".join(out)
 
 
-register("kpi_report_rows", _report_rows_sql())(_report_rows)
 register("roi_waterfall", O.q("enr", f"""
 SELECT step, label, amount FROM (
   SELECT r.*, x.* FROM
@@ -714,8 +728,7 @@ SELECT step, label, amount FROM (
 
 
 def _revenue_matrix(spark, d):
-    from ..operators import models as MD
-    return MD.revenue_features(FX.customers(spark, d, with_score=False), _tx(spark, d))
+    return fixture_stages(spark, d).matrices[1]
 
 
 def _split_test(spark, d, label):
@@ -725,76 +738,92 @@ def _split_test(spark, d, label):
     return MD.split(cust.select("customer_id", *([label] if label else [])), label, seed=PAR.seed)[1]
 
 
-#: Trees of the registered fact rows; the models' own default is 300.
-_FACT_TREES = 20
+def _model(spark, d, kind):
+    """A model at its full size, its matrix and its held-out rows; trained once for all queries."""
+    from ..operators import models as MD
+    st = fixture_stages(spark, d)
+    matrix = st.matrices[kind == "revenue"]
+    test = MD.split(matrix, "churn_label" if kind == "churn" else None, seed=PAR.seed)[1]
+    return MD.load_model(f"{st.model_dir}/{kind}", spark), matrix, test
 
 
-def _model_facts(spark, d, kind):
-    """One row of facts about a fitted model."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+def _model_scores(kind: str):
+    """Every customer's score, with the model's hold-out figures."""
+    def run(spark, d):
+        from ..operators import models as MD
+        model, matrix, test = _model(spark, d, kind)
+        if kind == "churn":
+            return MD.score_churn(model, matrix).withColumn("holdout_auc", F.lit(MD.churn_quality(model, test).first()["auc"]).cast("double"))
+        q = MD.revenue_quality(model, test).first()
+        return MD.score_revenue(model, matrix).withColumns({f"holdout_{k}": F.lit(q[k]).cast("double") for k in ("r2", "mae")})
+    return run
+
+
+def _churn_facts(spark, d):
+    """Sizes of the hold-out, its AUC, the scores' range, and that
+    a model saved and loaded again scores alike."""
     from ..operators import models as MD
-    from ..sources.stages import materialize
-    if kind == "churn":
-        feats = materialize(_churn_matrix(spark, d), "churn-matrix")
-        train, test = MD.split(feats, "churn_label", seed=PAR.seed)
-        fit, score, value = lambda: MD.fit_churn(train, PAR, _FACT_TREES), MD.score_churn, "churn_probability"
-    else:
-        feats = materialize(_revenue_matrix(spark, d), "revenue-matrix")
-        train, test = MD.split(feats, seed=PAR.seed)
-        fit, score, value = lambda: MD.fit_revenue(train, PAR, _FACT_TREES), MD.score_revenue, "predicted_revenue_annual"
-    path = _scratch(spark, f"{kind}-model")
-    model, again = MD.load_or_train(path, fit), MD.load_or_train(path, lambda: None)
-    if kind == "churn":
-        held = BinaryClassificationEvaluator(labelCol="churn_label", rawPredictionCol="rawPrediction").evaluate(model.transform(test)) > 0.5
-        upper = F.max(value) <= 1.0
-    else:
-        held = RegressionEvaluator(labelCol="revenue_target", metricName="r2").evaluate(model.transform(test)) > 0.0
-        upper = F.lit(True)
-    both = score(model, feats).join(score(again, feats).withColumnRenamed(value, "_again"), "customer_id")
-    return both.agg(F.countDistinct("customer_id").alias("n_rows"), ((F.min(value) >= 0.0) & upper).alias("in_range"),
-                    F.lit(bool(held)).alias("ranks_held_out" if kind == "churn" else "explains_held_out"),
-                    F.min(F.col(value) == F.col("_again")).alias("reload_same"))
+    model, matrix, test = _model(spark, d, "churn")
+    again = MD.load_model(MD.save_model(model, _scratch(spark, "churn-model")))
+    q = MD.churn_quality(model, test).first()
+    both = MD.score_churn(model, matrix).join(MD.score_churn(again, matrix).withColumnRenamed("churn_probability", "_again"), "customer_id")
+    p = F.col("churn_probability")
+    return both.agg(F.count("*").alias("n_rows"), F.lit(len(model.trees)).alias("n_trees"), F.lit(q["n"]).alias("n_held_out"),
+                    F.lit(q["n_positive"]).alias("n_positive"), F.lit(q["auc"] >= 0.95).alias("auc_from_095"),
+                    ((F.min(p) >= 0.0) & (F.max(p) <= 1.0)).alias("in_range"), F.min(p == F.col("_again")).alias("reload_same"))
+
+
+def _revenue_facts(spark, d):
+    """As above, with R2, and the mean error against that of the mean."""
+    from ..operators import models as MD
+    model, matrix, test = _model(spark, d, "revenue")
+    again = MD.load_model(MD.save_model(model, _scratch(spark, "revenue-model")))
+    q = MD.revenue_quality(model, test).first()
+    both = MD.score_revenue(model, matrix).join(MD.score_revenue(again, matrix).withColumnRenamed("predicted_revenue_annual", "_again"), "customer_id")
+    p = F.col("predicted_revenue_annual")
+    return both.agg(F.count("*").alias("n_rows"), F.lit(len(model.trees)).alias("n_trees"), F.lit(q["n"]).alias("n_held_out"),
+                    F.lit(q["r2"] >= 0.9).alias("r2_from_09"), (F.min(p) >= 0.0).alias("in_range"), F.min(p == F.col("_again")).alias("reload_same"))
 
 
 def _cluster_facts(spark, d):
-    """Every customer once, three names, means in their order."""
+    """Every customer once, three names, means in their order, and
+    the cost that the clusters have when it is added up from the assignment."""
     from ..operators import models as MD
     from ..sources.stages import materialize
     enr = _enr(spark, d)
-    rc = materialize(MD.risk_cluster_assignments(enr), "clusters")
-    j = rc.join(enr.select("customer_id", "churn_probability"), "customer_id")
+    found, cost = MD.risk_clusters(enr)
+    cols = ["churn_probability", "net_profit_per_client", "engagement_index"]
+    j = materialize(found, "clusters").join(E.minmax_scaled(enr, cols, keep=["churn_probability"]), "customer_id")
+    x = [F.col(f"{c}_scaled") for c in cols]
+    # sum of squares less the squared sum by count, of each cluster
+    each = j.groupBy("risk_cluster").agg(sum((F.sum(c * c) - F.sum(c) * F.sum(c) / F.count("*") for c in x[1:]),
+                                             F.sum(x[0] * x[0]) - F.sum(x[0]) * F.sum(x[0]) / F.count("*")).alias("cost"))
     mean = [F.avg(F.when(F.col("risk_cluster") == c, F.col("churn_probability"))) for c in C.CLUSTER_NAMES]
     return j.agg(F.count("*").alias("n_rows"), (F.countDistinct("customer_id") == F.count("*")).alias("each_once"),
                  (F.countDistinct("risk_cluster") == 3).alias("three_names"),
-                 ((mean[0] <= mean[1]) & (mean[1] <= mean[2])).alias("ordered"))
+                 ((mean[0] <= mean[1]) & (mean[1] <= mean[2])).alias("ordered")).withColumn(
+        "cost_adds_up", F.abs(each.agg(F.sum("cost")).scalar() - F.lit(cost)) <= F.lit(1e-3 * max(cost, 1e-9)))
 
 
 def _scoring_job_models(spark, d):
-    """G1 with both models: facts about its recommendations."""
+    """G1 with both models of full size: facts about its recommendations."""
     from .jobs import run_scoring_job
     out = _scratch(spark, "scoring-job-models")
-    run_scoring_job(spark, FX.customers(spark, d), _tx(spark, d), out, use_models=True, max_iter=_FACT_TREES)
+    run_scoring_job(spark, FX.customers(spark, d), _tx(spark, d), out, use_models=True, model_dir=fixture_stages(spark, d).model_dir)
     r = spark.read.parquet(f"{out}/recommendations.parquet")
     return r.agg(F.count("*").alias("n_rows"), (F.countDistinct("customer_id") == F.count("*")).alias("each_once"),
                  ((F.min("churn_probability") >= 0) & (F.max("churn_probability") <= 1) & (F.min("predicted_revenue_annual") >= 0)).alias("in_range"),
                  F.min(F.col("recommended_action").isin(*C.ACTIONS)).alias("actions_known"))
 
 
-def _model_query(kind: str):
-    def run(spark, d):
-        from ..operators import models as MD
-        cust, tx = FX.customers(spark, d), _tx(spark, d)
-        if kind == "churn":
-            return MD.churn_model_report(cust, tx)
-        if kind == "revenue":
-            return MD.revenue_model_report(cust, tx)
-        return MD.risk_cluster_assignments(_enr(spark, d))
-    return run
+def _risk_cluster(spark, d):
+    from ..operators import models as MD
+    return MD.risk_cluster_assignments(_enr(spark, d))
 
 
-register("churn_model")(_model_query("churn"))
-register("revenue_model")(_model_query("revenue"))
-register("risk_cluster")(_model_query("cluster"))
+register("churn_model")(_model_scores("churn"))
+register("revenue_model")(_model_scores("revenue"))
+register("risk_cluster")(_risk_cluster)
 
 _REV = "c.age, c.income, c.account_balance, c.tenure_months"
 register("revenue_matrix", O.q(["customers", "tx_cstat"], f"""
@@ -820,9 +849,15 @@ SELECT customer_id FROM (SELECT customer_id, {_HASHED.format(by="''")} FROM cust
     lambda s, d: _split_test(s, d, None))
 
 _TRUE = lambda *names: "SELECT count(*) AS n_rows, " + ", ".join(f"TRUE AS {n}" for n in names) + " FROM customer"
-register("churn_model_facts", _TRUE("in_range", "ranks_held_out", "reload_same"))(lambda s, d: _model_facts(s, d, "churn"))
-register("revenue_model_facts", _TRUE("in_range", "explains_held_out", "reload_same"))(lambda s, d: _model_facts(s, d, "revenue"))
-register("risk_cluster_facts", _TRUE("each_once", "three_names", "ordered"))(lambda s, d: _cluster_facts(s, d))
+register("churn_model_facts", O.q("customers", f"""
+SELECT count(*) AS n_rows, 300 AS n_trees, CAST(sum(held) AS BIGINT) AS n_held_out, CAST(sum(held * churn_label) AS BIGINT) AS n_positive,
+       TRUE AS auc_from_095, TRUE AS in_range, TRUE AS reload_same
+FROM (SELECT churn_label, CAST(r <= ceil(n * 0.2) AS INTEGER) AS held FROM (SELECT *, {_HASHED.format(by='churn_label')} FROM (
+  SELECT customer_id, {_LABEL} AS churn_label FROM customers)))"""))(_churn_facts)
+register("revenue_model_facts", """
+SELECT count(*) AS n_rows, 300 AS n_trees, CAST(ceil(count(*) * 0.2) AS BIGINT) AS n_held_out, TRUE AS r2_from_09, TRUE AS in_range, TRUE AS reload_same
+FROM customer""")(_revenue_facts)
+register("risk_cluster_facts", _TRUE("each_once", "three_names", "ordered", "cost_adds_up"))(_cluster_facts)
 register("scoring_job_models", _TRUE("each_once", "in_range", "actions_known"))(lambda s, d: _scoring_job_models(s, d))
 
 # -- sinks (write, read back) and jobs ----------------------------------------------------
@@ -917,6 +952,9 @@ SELECT {O.dr(O.esum('predicted_revenue_annual', 2), 2)} AS total_revenue,
 FROM enr"""))(_report_summary)
 
 
+register("kpi_report_rows", _report_rows_sql())(_report_rows)
+
+
 def _first_available(spark, d):
     """S3 + S4 + S5: the customer mart if it exists, else recommendations;
     mart names normalised to pipeline names; timestamps coerced."""

@@ -8,6 +8,9 @@ as JSON by Spark.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,6 @@ from ..operators import marts as M
 from ..operators import models as MD
 from ..operators import scoring as SC
 from ..operators import views as V
-from ..session import checkpoint_dir
 from ..sources import sinks
 from ..sources.stages import materialize
 
@@ -32,34 +34,41 @@ def _report(parts: dict[str, DataFrame]) -> DataFrame:
                            for name, df in parts.items()})
 
 
+def train_models(spark: SparkSession, churn: DataFrame, revenue: DataFrame, model_dir: str, params: Params = DEFAULT_PARAMS,
+                 max_iter: int = MD.N_TREES, retrain: bool = False) -> tuple[MD.Model, MD.Model]:
+    """Both models of the feature matrices, loaded from ``model_dir`` or
+    trained and saved there.  They are trained at the same time: their passes
+    are short, so one alone leaves a cluster mostly idle."""
+    def model(name: str, train) -> MD.Model:
+        path = f"{model_dir.rstrip('/')}/{name}"
+        if not retrain:
+            return MD.load_or_train(path, train, spark=spark)
+        m = train()
+        MD.save_model(m, path, spark)
+        return m
+
+    fits = [("churn", lambda: MD.fit_churn(MD.split(churn, "churn_label", seed=params.seed)[0], params, max_iter)),
+            ("revenue", lambda: MD.fit_revenue(MD.split(revenue, seed=params.seed)[0], params, max_iter))]
+    with ThreadPoolExecutor(len(fits)) as pool:
+        return tuple(pool.map(inheritable_thread_target(lambda f: model(*f)), fits))
+
+
 def run_scoring_job(spark: SparkSession, customers: DataFrame, transactions: DataFrame, out_dir: str,
                     use_models: bool = False, model_dir: str | None = None, retrain: bool = False,
                     cal: Calendar = DEFAULT_CALENDAR, params: Params = DEFAULT_PARAMS,
-                    max_iter: int = 300) -> dict[str, str]:
+                    max_iter: int = MD.N_TREES) -> dict[str, str]:
     """G1: features -> churn and revenue predictions -> scoring table ->
     recommendations -> portfolio metrics.
 
-    ``use_models`` scores with MLlib trees (loaded from ``model_dir`` or
+    ``use_models`` scores with boosted trees (loaded from ``model_dir`` or
     trained and saved there; ``retrain`` forces training); otherwise the
     deterministic scorer is used.
     """
     base = out_dir.rstrip("/")
-    checkpoint_dir(spark)  # the trees cut their lineage there
     if use_models:
         cf = materialize(MD.churn_features(customers, transactions, cal, params), "churn-matrix")
         rf = materialize(MD.revenue_features(customers, transactions, cal, params), "revenue-matrix")
-        mdir = (model_dir or f"{base}/models").rstrip("/")
-
-        def model(name: str, train):
-            path = f"{mdir}/{name}"
-            if retrain:
-                m = train()
-                MD.save_model(m, path)
-                return m
-            return MD.load_or_train(path, train)
-
-        cm = model("churn", lambda: MD.fit_churn(MD.split(cf, "churn_label", seed=params.seed)[0], params, max_iter))
-        rm = model("revenue", lambda: MD.fit_revenue(MD.split(rf, seed=params.seed)[0], params, max_iter))
+        cm, rm = train_models(spark, cf, rf, model_dir or f"{base}/models", params, max_iter, retrain)
         scoring = SC.scoring_table(customers, MD.score_churn(cm, cf), MD.score_revenue(rm, rf), params)
     else:
         scoring = SC.add_value_score(materialize(SC.exact_scoring_base(customers, transactions, cal, params), "scoring"))

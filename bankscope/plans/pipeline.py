@@ -12,9 +12,11 @@ transaction roll-up.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CALENDAR, DEFAULT_PARAMS, Calendar, Params
 from ..operators import decision as D
@@ -22,8 +24,9 @@ from ..operators import enrich as E
 from ..operators import marts as M
 from ..operators import scoring as SC
 from ..operators import txfeatures as TXF
+from ..session import checkpoint_dir
 from ..sources import fixtures as FX
-from ..sources.stages import materialize, release
+from ..sources.stages import delete, materialize, materialize_bucketed, release
 
 
 class Stages:
@@ -81,8 +84,29 @@ class Stages:
     @cached_property
     def cells(self) -> DataFrame:
         """(customer, month) cells of the transactions: the only stage that
-        reads them; features, scores and the monthly series build on it."""
-        return materialize(TXF.month_cells(self.transactions_with_segment, self.cal), "cells")
+        reads them; features, scores and the monthly series build on it.
+        Bucketed by customer: the roll-up per customer and the joins of cells
+        to customers move no cell again."""
+        return materialize_bucketed(TXF.month_cells(self.transactions_with_segment, self.cal), "cells", "customer_id")
+
+
+    @cached_property
+    def matrices(self) -> tuple[DataFrame, DataFrame]:
+        """Feature matrices of the churn and the revenue model."""
+        from ..operators import models as MD
+        last = self.activity.select("customer_id", F.col("last_ts").alias("_last"))
+        cust = FX.customers(self.spark, self.sf_dir, self.cal, with_score=False).join(last, "customer_id", "left")
+        churn = MD.churn_features(cust.withColumn("churn_risk_score", FX.churn_score_expr(F.col("_last"), self.cal)), None, self.cal, self.params, self.activity)
+        revenue = MD.revenue_features(FX.customers(self.spark, self.sf_dir, self.cal, with_score=False), self.transactions, self.cal, self.params)
+        return materialize(churn, "churn-matrix"), materialize(revenue, "revenue-matrix")
+
+    @cached_property
+    def model_dir(self) -> str:
+        """Folder of both models, trained once for all queries that use them."""
+        from .jobs import train_models
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/bankscope-models-{uuid.uuid4().hex}"
+        train_models(self.spark, *self.matrices, path, self.params)
+        return path
 
 
 _CACHE: dict = {}
@@ -123,4 +147,8 @@ def clear_cache() -> None:
             for name in ("cells", "_base", "_rec", "enriched", "time_series", "activity"):
                 if name in st.__dict__:
                     release(st.__dict__[name])
+            for df in st.__dict__.get("matrices", ()):
+                release(df)
+            if "model_dir" in st.__dict__:
+                delete(spark, st.model_dir)
     _CACHE.clear()

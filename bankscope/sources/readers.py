@@ -25,9 +25,10 @@ def read_shards(spark: SparkSession, directory: str, schema: StructType | None =
     """A directory of Parquet shards; partition columns are discovered.
 
     Filters on partition columns (segment, month) prune directories before
-    any file is opened.
+    any file is opened.  Shards written in batches are read together, without
+    the batch's name.
     """
-    df = spark.read.option("basePath", directory).parquet(directory)
+    df = spark.read.option("basePath", directory).parquet(directory).drop("_batch")
     return conform(df, schema) if schema is not None else df
 
 
@@ -56,8 +57,8 @@ def coerce_timestamps(tx: DataFrame, column: str = "timestamp") -> DataFrame:
     return tx.withColumn(column, F.to_timestamp(F.col(column)))
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A JSON report (multi-line); empty frame when missing."""
     if not exists(spark, path):
-        return spark.createDataFrame([], "value string")
-    return spark.read.option("multiLine", True).json(path)
+        return spark.createDataFrame([], schema or "value string")
+    return spark.read.option("multiLine", True).json(path, schema=schema)
