@@ -5,7 +5,8 @@ its own seeded share of the columns and rows, with second-order leaves
 (-G / (H + 1)).  Features are binned once.  A level of a tree is one pass: every
 task adds up the gradients of its rows by (node, column, bin) and Spark sums
 those tables; the driver sees them summed, as many cells as nodes x columns x
-bins, and picks the splits.  Gradients are whole numbers of a fixed unit, so
+bins, and picks the splits.  A table of at most ``AT_ONCE`` rows is the work of
+one task instead (the trees are the same).  Gradients are whole numbers of a fixed unit, so
 that sums, and with them the trees, do not depend on the partitioning.
 
 The margin of every row (the sum of the trees so far) lies in a stage that is
@@ -36,6 +37,9 @@ BINS, ACCURACY = 256, 10_000
 EVERY = 25
 #: Tasks up to which the driver adds up their tables by itself.
 FEW = 16
+#: Rows up to which one task grows all trees (about 40 bytes a row): passes
+#: over so little would be nothing but the starts of jobs.
+AT_ONCE = 1 << 18
 #: Rows of a batch that are added up in floating point: exact below 2**53.
 _ROWS = 1 << 20
 #: Weight of the leaves' squares, and the least curvature of a child.
@@ -175,23 +179,33 @@ def _margins(state: pa.RecordBatch, trees: list[Tree], depth: int) -> tuple[np.n
 _STATE = "key long, y double, bins binary, margin double"
 
 
+def _add(total: np.ndarray, key: np.ndarray, y: np.ndarray, x: np.ndarray, m: np.ndarray, s: Settings, tree: Tree, number: int, level: int, columns: np.ndarray, bits: int) -> None:
+    """Add the gradients and curvatures of some rows to a level's cells."""
+    for i in range(0, len(y), _ROWS):
+        j = slice(i, i + _ROWS)
+        node = tree.leaves(x[j], tree.bin, level) - (2**level - 1)
+        here = (node >= 0) & _drawn(key[j], s.seed, number, s.row_share)
+        values = _gradients(s.loss, m[j][here], y[j][here], bits)
+        slot = ((node[here, None] * len(columns) + np.arange(len(columns))) * BINS + x[j][here][:, columns]).ravel()
+        for to, v in zip(total, values, strict=True):
+            to += np.bincount(slot, np.repeat(v, len(columns)), total.shape[1]).astype(np.int64)
+
+
+def _columns(s: Settings, number: int, n: int) -> np.ndarray:
+    """The columns that a tree is grown on."""
+    return np.sort(np.random.default_rng([s.seed, number]).permutation(n)[:max(1, int(s.column_share * n))])
+
+
 def _cells(state: DataFrame, s: Settings, trees: list[Tree], tree: Tree, number: int, level: int, columns: np.ndarray, bits: int, few: bool) -> np.ndarray:
     """Gradients and curvatures of a level's nodes by (node, column, bin): one pass."""
-    first, nodes = 2**level - 1, 2**level
+    nodes = 2**level
     size = nodes * len(columns) * BINS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, size), np.int64)
         for b in batches:
-            for i in range(0, b.num_rows, _ROWS):
-                part = b.slice(i, _ROWS)
-                x, m = _margins(part, trees, s.depth)
-                node = tree.leaves(x, tree.bin, level) - first
-                here = (node >= 0) & _drawn(part.column("key").to_numpy(), s.seed, number, s.row_share)
-                g, h = _gradients(s.loss, m[here], part.column("y").to_numpy()[here], bits)
-                slot = ((node[here, None] * len(columns) + np.arange(len(columns))) * BINS + x[here][:, columns]).ravel()
-                for to, v in zip(total, (g, h), strict=True):
-                    to += np.bincount(slot, np.repeat(v, len(columns)), size).astype(np.int64)
+            x, m = _margins(b, trees, s.depth)
+            _add(total, b.column("key").to_numpy(), b.column("y").to_numpy(), x, m, s, tree, number, level, columns, bits)
         if few:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["cells"])
         else:
@@ -208,6 +222,29 @@ def _cells(state: DataFrame, s: Settings, trees: list[Tree], tree: Tree, number:
     return out.reshape(2, nodes, len(columns), BINS)
 
 
+def _grown_at_once(state: DataFrame, s: Settings, edges: list[np.ndarray], bits: int) -> list[Tree]:
+    """All trees of a table of a few rows, grown in one task: the same ones as
+    by passes, as all sums are whole numbers."""
+    names = ("column", "threshold", "bin", "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = [(b.column("key").to_numpy(), b.column("y").to_numpy(), *_margins(b, [], s.depth)) for b in batches if b.num_rows]
+        key, y, x, m = (np.concatenate(v) for v in zip(*some, strict=True))
+        for number in range(s.trees):
+            columns, tree = _columns(s, number, x.shape[1]), _empty(s.depth)
+            for level in range(s.depth):
+                total = np.zeros((2, 2**level * len(columns) * BINS), np.int64)
+                _add(total, key, y, x, m, s, tree, number, level, columns, bits)
+                if not _split(total.reshape(2, 2**level, len(columns), BINS), tree, level, columns, edges, s, bits):
+                    break
+            m += tree.value[tree.leaves(x, tree.bin, s.depth)]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([getattr(tree, c).tobytes()], pa.binary()) for c in names]], names=["number", *names])
+
+    rows = state.coalesce(1).mapInArrow(run, "number long, " + ", ".join(f"{c} binary" for c in names)).collect()  # a row of a few KB for each tree
+    like = _empty(s.depth)
+    return [Tree(*[np.frombuffer(r[c], getattr(like, c).dtype).copy() for c in names]) for r in sorted(rows, key=lambda r: r.number)]
+
+
 def _split(cells: np.ndarray, tree: Tree, level: int, columns: np.ndarray, edges: list[np.ndarray], s: Settings, bits: int) -> bool:
     """Set the best split of each node of a level, and its children's values;
     whether any node was split."""
@@ -235,9 +272,10 @@ def _split(cells: np.ndarray, tree: Tree, level: int, columns: np.ndarray, edges
     return any_
 
 
-def fit(train: DataFrame, columns: Sequence[str], label: str, settings: Settings, key: str = "customer_id") -> TreeModel:
+def fit(train: DataFrame, columns: Sequence[str], label: str, settings: Settings, key: str = "customer_id", at_once: int = AT_ONCE) -> TreeModel:
     """A model of ``label`` by numeric ``columns``.  ``key`` draws the rows of
-    each tree.  Rows without a label are left out, missing values count as 0;
+    each tree.  Up to ``at_once`` rows are one task's work, more are searched
+    by one pass for each level; the trees are the same.  Rows without a label are left out, missing values count as 0;
     of no rows the model is a constant 0 (logistic: one half)."""
     columns, s = list(columns), settings
     given = train.where(F.col(label).isNotNull()).select(F.xxhash64(key).alias("key"), F.col(label).cast("double").alias("y"),
@@ -272,11 +310,14 @@ def fit(train: DataFrame, columns: Sequence[str], label: str, settings: Settings
 
     state = materialize(raw.mapInArrow(binned, _STATE), "trees-state")
     release(raw)
+    if total.n <= at_once:
+        trees = _grown_at_once(state, s, edges, bits)
+        release(state)
+        return TreeModel(columns, s, base, unit, trees)
     few = state.rdd.getNumPartitions() <= FEW
     model, pending = TreeModel(columns, s, base, unit), []
     for number in range(s.trees):
-        drawn = np.random.default_rng([s.seed, number]).permutation(len(columns))[:max(1, int(s.column_share * len(columns)))]
-        drawn.sort()
+        drawn = _columns(s, number, len(columns))
         tree = _empty(s.depth)
         for level in range(s.depth):
             cells = _cells(state, s, pending, tree, number, level, drawn, bits, few)

@@ -9,11 +9,19 @@ for all starts; then Lloyd steps follow until its centres stay.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
+from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Functions that run in tasks travel with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: A unit of a point's components, for values about [0, 1].
 UNIT = 2**-20
 
@@ -59,21 +67,43 @@ def seeds(points: DataFrame, names: Sequence[str], k: int, starts: int, seed: in
     return out
 
 
+def _partial_sums(centers: list[tuple[int, np.ndarray]], names: Sequence[str]) -> Callable:
+    """A task's rows, costs and sums by (start, cluster).  In Arrow, as centres
+    inside an expression would have Spark compile each step anew."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], list[int]] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
+            for s, center in centers:
+                d = ((x[:, None, :] - center[None]) ** 2).cumsum(axis=2)[:, :, -1]
+                nearest = d.argmin(axis=1)  # the first of several
+                cost = np.rint(d[np.arange(len(x)), nearest])
+                for c in np.unique(nearest).tolist():
+                    here = nearest == c
+                    new = [int(here.sum()), int(cost[here].astype(np.int64).sum()), *(int(v) for v in x[here].astype(np.int64).sum(axis=0))]
+                    old = total.get((s, c))
+                    total[s, c] = new if old is None else [p + q for p, q in zip(old, new, strict=True)]
+        rows = [(*at, v[0], *map(Decimal, v[1:])) for at, v in total.items()]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.decimal128(38, 0)] * (1 + len(names))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["start", "cluster", "n", "cost", *names])
+
+    return run
+
+
 def lloyd(points: DataFrame, names: Sequence[str], centers: Centers, steps: int = 100) -> tuple[Centers, list[int]]:
     """Centres that stay, or those after so many steps, and the cost of each
     start, in whole squared units.  A step moves all starts that have not come to rest, in
     one scan: sums by (start, cluster)."""
-    x = [F.col(n) for n in names]
     centers = [list(c) for c in centers]
     costs = [0] * len(centers)
     moving = list(range(len(centers)))
+    values = points.select(*[F.col(n).cast("double") for n in names])
+    kinds = "start int, cluster int, n long, cost decimal(38,0), " + ", ".join(f"{n} decimal(38,0)" for n in names)
     for _ in range(steps):
-        each = []
-        for s in moving:
-            i, d = nearest(x, centers[s])
-            each.append(F.struct(F.lit(s).alias("start"), i.alias("cluster"), F.round(d).cast("decimal(38,0)").alias("cost")))
-        sums = (points.select(*x, F.inline(F.array(*each))).groupBy("start", "cluster")
-                .agg(F.count("*").alias("n"), F.sum("cost").alias("cost"), *[F.sum(F.col(n).cast("decimal(20,0)")).alias(n) for n in names])
+        sums = (values.mapInArrow(_partial_sums([(s, np.array(centers[s])) for s in moving], names), kinds).groupBy("start", "cluster")
+                .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(n).alias(n) for n in names])
                 .collect())  # starts x k rows
         new = {s: list(centers[s]) for s in moving}
         total = dict.fromkeys(moving, 0)
