@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,10 +111,11 @@ def deal(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
     documents each pair stands how often.  Further rows hold the document
     ids and lengths of each unit."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, raw, at in _units(batches):
+        for number, (b, raw, at) in enumerate(_units(batches)):
             h, c, d, counts = tokens(raw, at)
             ids, train = b.column(0).to_pylist(), np.array(b.column(2).to_pylist(), np.uint8)
-            unit = xxhash.xxh3_128_hexdigest(repr((ids, counts.tolist())).encode() + h.tobytes())
+            # by content first, so that their order does not depend on the files; equal units differ by their place
+            unit = f"{xxhash.xxh3_128_hexdigest(repr((ids, counts.tolist())).encode() + h.tobytes())}-{TaskContext.get().partitionId()}-{number}"
             salt = np.where(_is_in(h, hot), c.astype(np.uint64) + np.uint64(1), np.uint64(0))
             part = ((((h + salt) * _ODD) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((d, c, h, part))
@@ -353,7 +355,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
 
     Documents whose crc32 of the id as text, mod 7, is 2 are held out.  A
     null text is empty: its one token is the end.  A null id counts as the
-    empty text and comes back as null.  An empty table gives an empty result;
+    empty text and comes back as null.  Rows that come twice, ids that clash
+    and files that hold the same rows are texts of their own: each counts, and
+    each has its row in the result.  An empty table gives an empty result;
     with no training token every score is that of the base alone.
     """
     spark = docs.sparkSession
@@ -405,7 +409,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
         return pa.concat_tables(out)
 
     sums = dealt.mapInArrow(tidied(partial), "unit string, part int, docs binary, known binary, base binary, score binary")
-    infos = everything.where("words is null").select("unit", "doc_ids", "tokens").dropDuplicates(["unit"])
+    infos = everything.where("words is null").select("unit", "doc_ids", "tokens")
     scored = infos.groupBy("unit").cogroup(sums.groupBy("unit")).applyInArrow(total, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     again = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return scored.select("doc_id", again.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),

@@ -106,3 +106,19 @@ def test_empty_and_untrained_tables(spark, empty):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = hpylm.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.base_score == 0 and math.isfinite(r.score)
+
+
+def test_a_file_and_its_copy(spark, tmp_path):
+    """Each row of equal files counts and comes back, with the counts of both."""
+    rows = [(i, f"the cat {i % 3} sat on the mat") for i in range(6)]
+    for name in "ab":
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"file://{tmp_path}/{name}")
+    once = {r.doc_id: r for r in hpylm.score(spark.read.parquet(f"file://{tmp_path}/a")).collect()}
+    both = hpylm.score(spark.read.parquet(f"file://{tmp_path}/a", f"file://{tmp_path}/b")).collect()
+    assert sorted(r.doc_id for r in both) == sorted([*range(6)] * 2)
+    for r in both:
+        assert (r.n_tokens, r.train_tokens) == (once[r.doc_id].n_tokens, 2 * once[r.doc_id].train_tokens)
+        assert r.n_known <= r.n_tokens
+        # twice the training makes them likelier; scores that are added up would be twice as low
+        assert 1.2 * once[r.doc_id].score < r.score < 0
+    assert all(len({x.score for x in both if x.doc_id == i}) == 1 for i in range(6))
