@@ -107,8 +107,12 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     largest inner products with each row of ``queries`` (id, v), without the
     row of the query's own id; ties go to the smaller id.  Fewer rows where
     ``data`` has fewer.  Scores must fit into 64 bits.  Vectors of other
-    lengths count as filled up with zeros."""
+    lengths count as filled up with zeros.  Rows without an id or a vector
+    take no part.  Rows of ``data`` with one id are candidates of their own;
+    of queries with one id the smallest vector is asked for."""
     spark = data.sparkSession
+    data = data.where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    queries = queries.where(F.col("id").isNotNull() & F.col("v").isNotNull()).groupBy("id").agg(F.min("v").alias("v"))
     n, n_queries = data.count(), queries.count()
     sample = data.orderBy(F.xxhash64("id"), "id").limit(min(MOST_PIVOTS, max(1, math.isqrt(n) // 2)))
     pivots = _matrix(pa.array([r.v for r in sample.select("v").collect()], pa.list_(pa.int64())))
@@ -149,9 +153,10 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     per_cell = np.ones(int(cells.max()) + 1, int)
     per_cell[cells] = blocks
     n_blocks = F.element_at(F.array(*[F.lit(int(x)) for x in per_cell]), F.col("cell") + 1)
+    # a block goes only to the parts of the queries that visit it
+    visits = asked.select(*[F.col(c).alias(c) for c in ("cell", "block", "part")]).distinct()
     held = (grouped.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), n_blocks).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-            .select("id", "v", "cell", "block", "part"))
+            .join(visits, ["cell", "block"]).select("id", "v", "cell", "block", "part"))
 
     def solve(key, found: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []

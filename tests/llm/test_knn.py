@@ -61,3 +61,21 @@ def test_bounds_leave_out_groups_but_no_answer():
 def test_products_beyond_floating_point():
     a = np.array([[2**40, 1], [3, -5]])
     assert knn._products(a, np.array([[2**20, 1]])).tolist() == [[2**60 + 1], [3 * 2**20 - 5]]
+
+
+def test_null_and_repeated_ids(spark):
+    """A row without an id takes no part; equal rows are candidates of their own."""
+    schema = "vec_id long, embedding array<float>"
+    rows = [(0, [0.5, 0.5]), (None, [9.0, 9.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [0.25, 0.0]), (50, [1.0, 0.0])]
+    df = knn.integers(spark.createDataFrame(rows, schema))
+    asked = df.where("id % 50 = 0")
+    got = {(r.query_id, r["rank"]): (r.id, r.score) for r in knn.top_k(df, asked.unionByName(asked), 3).collect()}
+    assert got == {(0, 1): (7, 65536), (0, 2): (7, 65536), (0, 3): (50, 32768), (50, 1): (7, 65536), (50, 2): (7, 65536), (50, 3): (0, 32768)}
+
+
+def test_blocks_go_only_where_they_are_visited(spark, monkeypatch):
+    """With many parts of the queries: the same answers."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(1500)]
+    monkeypatch.setattr(knn, "MOST_ROWS", 7)
+    assert _run(spark, [(*r, 1, 2, 3) for r in rows]) == sorted(brute(rows, 5))
