@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, slices, stage, tidied, utf8
+from .common import release, slices, small, stage, tidied, utf8, without
 from .wordtable import mixed, pack, pack_long, unpack, unpack_long
 
 #: Bytes of a string that counts as repeated, and of a gram.
@@ -114,9 +114,25 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["gram", "class", "doc", "place"])
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str, *more: F.Column) -> DataFrame:
-    """(doc, text): a row without an id goes by a hash of its text."""
-    return docs.select(*more, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("doc"), F.col(text).cast("string").alias("text"))
+def _twice(docs: DataFrame, doc_id: str) -> DataFrame | None:
+    """The ids (_twice) of several rows; None where there are none."""
+    ids = docs.select(F.col(doc_id).cast("long").alias("_twice")).where("_twice is not null")
+    several = stage(ids.groupBy("_twice").agg(F.count("*").alias("_n")).where("_n > 1").select("_twice"), "suffixes-ids")
+    if several.isEmpty():
+        release(several)
+        return None
+    return several
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str, twice: DataFrame | None, *more: F.Column) -> DataFrame:
+    """(doc, text): a row without an id goes by a hash of its text, one whose
+    id others have too by a hash of both, so that rows with one key hold the
+    same text."""
+    key = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    if twice is not None:
+        docs = docs.join(small(twice), F.col(doc_id).cast("long") == F.col("_twice"), "left")
+        key = F.when(F.col("_twice").isNotNull(), F.xxhash64("_twice", text)).otherwise(key)
+    return docs.select(*more, key.alias("doc"), F.col(text).cast("string").alias("text"))
 
 
 def index(batch: DataFrame) -> DataFrame:
@@ -315,10 +331,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     them.  ``spans`` are the first byte and the end of each run that goes.
 
     Texts that are null or shorter than LONG lose nothing; a null text is
-    empty.  Rows with the same id must hold the same text; each is a place of
-    its own.  Rows without an id go by their text.
+    empty.  Each row is a place of its own, also where rows have the same id,
+    with the same or with different texts, and where they have none.
     """
-    d = _keyed(docs, doc_id, text)
+    docs = without(docs, "_twice")
+    twice = _twice(docs, doc_id)
+    d = _keyed(docs, doc_id, text, twice)
     family = Family()
     for k in range(batches):
         family.add(d.where(F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(batches)) == k))
@@ -350,6 +368,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      "spans": pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))}
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], names=list(kinds))
 
-    joined = _keyed(docs, doc_id, text, F.col(doc_id).cast("long").alias("doc_id")).join(spans, "doc", "left")
+    joined = _keyed(docs, doc_id, text, twice, F.col(doc_id).cast("long").alias("doc_id")).join(spans, "doc", "left")
     return joined.select("doc_id", "text", "found").mapInArrow(
         tidied(cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first:long,end:long>>")

@@ -55,3 +55,14 @@ def test_columns_and_empty_table(docs, empty):
     out = suffix.remove_repeats(docs)
     assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     assert suffix.remove_repeats(empty).collect() == []
+
+
+def test_one_id_with_two_texts(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij ") for _ in range(300))
+    shared = word()
+    rows = [(1, word() + shared), (1, shared + word()), (1, None), (2, word()), (2, ""), (3, shared), (3, shared), (None, shared[:250]), (4, word())]
+    out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out)
+    want = brute([(k, (t or "").encode()) for k, (_, t) in enumerate(rows)])
+    assert got == sorted((i or 0, *want[k]) for k, (i, _) in enumerate(rows))
