@@ -5,6 +5,9 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
+
+import regex
 
 GAP = re.compile(r"[\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -80,25 +83,25 @@ def edits(a: list, b: list) -> int:
 
 
 def line_words(line: str) -> list[str]:
-    return [w for w in line.lower().split(" ") if w]
+    """Runs of letters and digits with their marks, in lower case."""
+    return regex.findall(r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*", line.lower())
 
 
-def dedup_lines(docs: dict[int, str | None], hashes: dict[str, int]) -> dict[int, tuple[str | None, int, int]]:
-    """(text, lines, removed lines) of each document; ``hashes``: of words."""
+def dedup_lines(docs: dict[int, str | None]) -> dict[int, tuple[str | None, int, int]]:
+    """(text, lines, removed lines) of each document, by the edits of all pairs of lines."""
     first: dict[tuple, tuple[int, int]] = {}
     every = [(i, k, tuple(line_words(x))) for i in sorted(docs) if docs[i] is not None for k, x in enumerate(docs[i].split("\n"))]
     for i, k, w in every:
         if w:
             first.setdefault(w, (i, k))
     keys = sorted(first, key=first.get)
-    sims = []
-    for w in keys:
-        long = {x for x in w if len(x.encode()) > 3}
-        some = sorted({hashes[x] >> 4 for x in (w if len(long) < 5 else long)})[:45]
-        n = Counter(b for x in some for b in range(60) if x >> b & 1)
-        sims.append(sum(1 << b for b in range(60) if 2 * n[b] > len(some)))
-    links = [(i, j) for i in range(len(keys)) for j in range(i + 1, len(keys)) if (sims[i] ^ sims[j]).bit_count() <= 3
-             and edits(keys[i], keys[j]) <= int(max(len(keys[i]), len(keys[j])) * 0.2 + 1e-9)]
+    bags = [Counter(w) for w in keys]
+    links = []
+    for i, j in combinations(range(len(keys)), 2):
+        most = max(len(keys[i]), len(keys[j])) // 5
+        # each edit brings in one word that the other has more often, at most
+        if abs(len(keys[i]) - len(keys[j])) <= most and max(len(keys[i]), len(keys[j])) - (bags[i] & bags[j]).total() <= most and edits(keys[i], keys[j]) <= most:
+            links.append((i, j))
     keep = {keys[i]: first[keys[c]] for i, c in enumerate(components(len(keys), links))}
     gone = defaultdict(set)
     for i, k, w in every:

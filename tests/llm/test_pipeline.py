@@ -7,7 +7,6 @@ from bankscope.llm import langid, pii
 from bankscope.llm.queries import tokenizer_json
 
 from . import fixtures as B
-from .test_lines import _hashes
 
 
 def test_like_brute_force(spark, docs, given, tmp_path):
@@ -20,7 +19,7 @@ def test_like_brute_force(spark, docs, given, tmp_path):
     sure = {r.doc_id for r in langid.keep_sure(spark.read.parquet(f"file://{tmp_path}/documents.parquet")).collect()}
     texts = {r[0]: r[1] for r in given if r[0] in sure}
     assert len(texts) > 80 and all(t is not None for t in texts.values())
-    lines = B.dedup_lines(texts, _hashes(spark, texts))
+    lines = B.dedup_lines(texts)
     texts = {i: t for i, (t, _, n) in lines.items() if n == 0 or any(B.line_words(x) for x in t.split("\n"))}
     keep = B.jaccard(texts, 5, 80, 100)
     texts = {i: t for i, t in texts.items() if keep[i][1] == i}
@@ -52,4 +51,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14)) and "pipeline" in names
