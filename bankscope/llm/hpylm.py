@@ -487,11 +487,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
     each has its row in the result.  An empty table gives an empty result;
     with no training token every score is that of the base alone.
     """
-    spark = docs.sparkSession
     held = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 7 == 2
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), (~held).alias("train"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART))
+    parts = max(1, -(-size // PART))
     hot = frequent(d, parts)
     everything = stage(deal(d, parts, hot), "lm-tokens")
     dealt = everything.where("words is not null")

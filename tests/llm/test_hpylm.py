@@ -85,20 +85,14 @@ def test_probabilities_sum_to_one(spark):
             assert (x + hpylm.STRENGTH + model.discount * seats[c]) / (hpylm.STRENGTH + sums[c][1]) == pytest.approx(1)
 
 
-def test_scores_do_not_depend_on_the_parts(spark, docs):
+def test_scores_do_not_depend_on_the_parts(monkeypatch, docs):
     """Nor on which words are dealt by word and context."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
     found = []
-    frequent = hpylm.frequent
-    try:
-        for n, some in ((2, None), (13, None), (5, np.sort(np.concatenate([_hash(b"the"), _hash(b"a"), [hpylm._END]])))):
-            spark.conf.set("spark.sql.shuffle.partitions", n)
-            if some is not None:
-                hpylm.frequent = lambda *_: some  # noqa: B023
-            found.append(sorted(((str(r.doc_id), r.n_tokens, r.n_known, r.score) for r in hpylm.score(docs.repartition(n)).collect())))
-    finally:
-        hpylm.frequent = frequent
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for n, size, some in ((2, 12 << 20, None), (13, 20_000, None), (5, 60_000, np.sort(np.concatenate([_hash(b"the"), _hash(b"a"), [hpylm._END]])))):
+        monkeypatch.setattr(hpylm, "PART", size)
+        if some is not None:
+            monkeypatch.setattr(hpylm, "frequent", lambda *_: some)  # noqa: B023
+        found.append(sorted(((str(r.doc_id), r.n_tokens, r.n_known, r.score) for r in hpylm.score(docs.repartition(n)).collect())))
     for other in found[1:]:
         assert [x[:3] for x in other] == [x[:3] for x in found[0]]
         assert [x[3] for x in other] == pytest.approx([x[3] for x in found[0]], rel=1e-5)
