@@ -89,3 +89,15 @@ def test_windowed_counts_and_active_days(spark):
     assert f["active_days_ratio"] == pytest.approx(3 / 723)
     assert f["online_channel_ratio"] == pytest.approx(0.75)
     assert f["avg_transaction_amount"] == pytest.approx(2.5)
+
+
+def test_active_days_where_a_day_has_several_months(spark):
+    """Each day counts once, however its transactions' months are set, also
+    before 1970 and without a time; against the set of days in Python."""
+    at = [dt.datetime(2024, 3, 1, 0, 0), dt.datetime(2024, 3, 1, 23, 59), dt.datetime(2024, 3, 1, 12), dt.datetime(2024, 5, 4, 1),
+          dt.datetime(1969, 12, 31, 1), dt.datetime(1969, 10, 28, 1), dt.datetime(1970, 1, 1), None]
+    at += [dt.datetime(2023, 1, 1) + dt.timedelta(days=i * 7 % 400) for i in range(200)]
+    rows = [(str(i), "c" if i % 3 else "d", t, 1.0, "payment", "online", (None, 3, 5, 14)[i % 4]) for i, t in enumerate(at)]
+    want = {c: len({r[2].date() for r in rows if r[1] == c and r[2]}) for c in "cd"}
+    got = {r.customer_id: r.active_days for r in T.active_days(spark.createDataFrame(rows, SCHEMA), CAL).collect()}
+    assert got == want
