@@ -40,6 +40,36 @@ def test_one_task_and_passes_grow_the_same_trees(spark, monkeypatch, loss):
     assert all(len(set(t.column[t.column >= 0])) <= 2 for t in one.trees)  # 0.8 of three columns
 
 
+def test_passes_are_small_jobs_over_persisted_blocks(spark, monkeypatch):
+    """A pass over few rows has one task, however many parts the stage has; nothing stays persisted."""
+    sc = spark.sparkContext
+    df = spark.createDataFrame(_rows(), SCHEMA).repartition(5)
+    s = B.Settings("squared", trees=5, depth=3, rate=0.3)
+    one = B.fit(df, ["a", "b", "c"], "y", s)
+    monkeypatch.setattr(B, "EVERY", 2)
+    tasks, real, kept = [], B._cells, sc._jsc.sc().getPersistentRDDs().size()
+
+    def counted(blocks, *rest):
+        tasks.append(blocks.getNumPartitions())
+        assert sc._jsc.sc().getPersistentRDDs().size() - kept <= 2
+        return real(blocks, *rest)
+
+    monkeypatch.setattr(B, "_cells", counted)
+    assert _same(one, B.fit(df, ["a", "b", "c"], "y", s, at_once=0))
+    assert set(tasks) == {1} and len(tasks) <= 5 * 3
+    assert sc._jsc.sc().getPersistentRDDs().size() == kept
+
+
+def test_many_tasks_add_up_their_cells_in_a_tree(spark, monkeypatch):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    s = B.Settings("logistic", trees=2, depth=3, rate=0.3)
+    df = df.withColumn("y", F.expr("double(y > 1.5)"))
+    one = B.fit(df, ["a", "b", "c"], "y", s)
+    for name, value in (("FEW", 0), ("_TASK", 1), ("_BLOCK", 50)):
+        monkeypatch.setattr(B, name, value)
+    assert _same(one, B.fit(df.repartition(9), ["a", "b", "c"], "y", s, at_once=0))
+
+
 def test_trees_learn_and_come_back(spark, tmp_path):
     df = spark.createDataFrame(_rows(), SCHEMA)
     model = B.fit(df, ["a", "b", "c"], "y", B.Settings("squared", trees=60, depth=4, rate=0.2))
