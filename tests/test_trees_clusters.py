@@ -131,3 +131,18 @@ def test_clusters_of_few_points(spark):
     got = {r.customer_id: r.cluster for r in out.collect()}
     assert cost == 0 and got["a"] == got["b"] != got["c"]
     assert K.kmeans(df.where("false"), ["x"], 3, 2)[1] == 0
+
+
+def test_repeated_customers_do_not_repeat_their_transactions(spark, tmp_path):
+    """The revenue matrix counts each order once where a customer has two rows."""
+    from bankscope.plans.pipeline import clear_cache, fixture_stages
+    from bankscope.sources import fixtures as FX
+
+    from .conftest import SF_SMALL
+    for t in ("orders", "nation", "region", "customer"):
+        df = FX.table(spark, SF_SMALL, t)
+        (df.union(df) if t == "customer" else df).write.parquet(f"file://{tmp_path}/{t}.parquet")
+    want = FX.table(spark, SF_SMALL, "orders").groupBy("o_custkey").count().collect()
+    got = {r.customer_id: r.tx_count for r in fixture_stages(spark, f"file://{tmp_path}").revenue_matrix.collect()}
+    clear_cache()
+    assert all(got[str(r[0])] == r[1] for r in want if str(r[0]) in got)
