@@ -89,6 +89,11 @@ def test_orders_are_read_once(spark, name):
     assert acc.value == real(spark, SF_SMALL, "orders").count()
 
 
+@pytest.mark.parametrize("name", ["monthly_segment_columns", "monthly_risk", "revenue_matrix"])
+def test_orders_are_read_once_by_series_and_matrices(spark, name):
+    test_orders_are_read_once(spark, name)
+
+
 def test_no_scratch_folder_on_a_cluster(monkeypatch):
     class Conf:
         def get(self, *_):
