@@ -146,3 +146,64 @@ def test_repeated_customers_do_not_repeat_their_transactions(spark, tmp_path):
     got = {r.customer_id: r.tx_count for r in fixture_stages(spark, f"file://{tmp_path}").revenue_matrix.collect()}
     clear_cache()
     assert all(got[str(r[0])] == r[1] for r in want if str(r[0]) in got)
+
+
+def test_passes_add_up_one_of_two_children(spark, monkeypatch):
+    """A pass has cells for half of a level's nodes at most; the trees are the same."""
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    s = B.Settings("squared", trees=3, depth=4, rate=0.3)
+    one = B.fit(df, ["a", "b", "c"], "y", s)
+    nodes, real = [], B._cells
+
+    def counted(sample, tree, level, *rest):
+        found = real(sample, tree, level, *rest)
+        nodes.append((level, found.shape[1]))
+        return found
+
+    monkeypatch.setattr(B, "_cells", counted)
+    assert _same(one, B.fit(df, ["a", "b", "c"], "y", s, at_once=0))
+    assert all(n <= max(1, 2 ** (level - 1)) for level, n in nodes) and max(n for _, n in nodes) > 1
+
+
+def test_checkpoints_of_passes_are_deleted(spark, monkeypatch):
+    import os
+    monkeypatch.setattr(B, "EVERY", 2)
+    found, real = [], B.delete
+    monkeypatch.setattr(B, "delete", lambda sp, path: (found.append(path), real(sp, path)))
+    B.fit(spark.createDataFrame(_rows(), SCHEMA), ["a", "b", "c"], "y", B.Settings("squared", trees=5, depth=2), at_once=0)
+    assert len(set(found)) == 2 and not any(os.path.exists(p.removeprefix("file:")) for p in found)
+
+
+def test_a_query_trains_its_own_model_only(spark, monkeypatch):
+    from bankscope.operators import models as MD
+    from bankscope.plans import catalog
+    from bankscope.plans.pipeline import clear_cache, fixture_stages
+
+    from .conftest import SF_SMALL
+    clear_cache()
+    asked = []
+    for kind in ("churn", "revenue"):
+        real = getattr(MD, f"fit_{kind}")
+        monkeypatch.setattr(MD, f"fit_{kind}", lambda rows, params, n, kind=kind, real=real: (asked.append(kind), real(rows, params, 2))[1])
+    n = catalog.QUERIES["revenue_model"](spark, SF_SMALL).count()
+    st = fixture_stages(spark, SF_SMALL)
+    assert n == st.customers.count() and asked == ["revenue"] and "cells" not in st.__dict__ and "churn_matrix" not in st.__dict__
+    assert catalog.QUERIES["churn_model"](spark, SF_SMALL).count() == n and asked == ["revenue", "churn"] and "cells" not in st.__dict__
+    assert st.model_dir and asked == ["revenue", "churn"]
+    clear_cache()
+
+
+def test_totals_are_those_of_the_activity(spark):
+    """Also where the orders of a customer with several rows repeat."""
+    from bankscope.operators import txfeatures as T
+    rows = [(f"t{i}" if i % 7 else None, f"c{i % 5}" if i % 11 else None, f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", None if i % 6 == 0 else i * 1.37,
+             i % 12 if i % 9 else None, ["online", "ATM", "branch", "fax", None][i % 5 if i % 4 else 4]) for i in range(200)]
+    tx = spark.createDataFrame(rows, "transaction_id string, customer_id string, t string, amount double, month int, channel string")
+    tx = tx.withColumn("timestamp", F.to_timestamp("t")).drop("t")
+    copies = spark.createDataFrame([("c0", 1), ("c1", 3), ("c2", 2)], "customer_id string, _copies long")
+    got = T.customer_totals(tx)
+    for totals, of in ((got, tx), (T.repeated(got.join(copies, "customer_id", "left"), "_copies"),
+                                   tx.join(copies, "customer_id", "left").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1))))))):
+        want = T.customer_activity(of, unknown=True)
+        assert dict(totals.dtypes) == {c: t for c, t in want.dtypes if c in totals.columns}
+        assert sorted(map(str, totals.collect())) == sorted(map(str, want.select(*totals.columns).collect()))
