@@ -52,3 +52,18 @@ def test_registered():
 
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14)) and "pipeline" in names
+
+
+def test_steps_leave_one_stage_behind(spark):
+    """What line_dedup and ngram_join wrote on the way to their removals is gone when they return."""
+    import os
+
+    from bankscope.llm.common import shared_dir
+    folder = shared_dir(spark).removeprefix("file:")
+    docs = [(i, f"alpha beta gamma delta epsilon zeta {i % 3}\nonly of number {i} with words w{i} v{i} u{i}\nalpha beta gamma delta epsilon eta theta iota {i % 2}") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for step, name in ((corpus_pipeline.line_dedup, "llm-line-removals"), (corpus_pipeline.ngram_join, "llm-spare")):
+        before = set(os.listdir(folder))
+        out = step(spark, df, "")
+        assert [n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before] == [name]
+        assert 0 < out.count() <= 40
