@@ -305,9 +305,7 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
     def blocks(many: DataFrame) -> DataFrame:
         """Links between components in the signatures that many sets share:
         matrix products of blocks of sets, each cluster of signatures once."""
-        degree = many.groupBy("rep").agg(F.count("*").alias("degree"))
-        central = many.join(degree, "rep").groupBy("sig").agg(F.max(F.struct("degree", "rep")).alias("one"))
-        cluster = many.join(central, "sig").select(F.col("one.rep").alias("cluster"), "rep", "component").distinct()
+        cluster = many.select(F.col("sig").alias("cluster"), "rep", "component")
         size = cluster.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
         dealt = cluster.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
         pairs = dealt.select("cluster", "rep", "component", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
