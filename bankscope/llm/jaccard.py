@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components_by_signature, free_shuffles, slices, stage, tidied, utf8
+from .common import components_by_signature, free_shuffles, slices, small, stage, tidied, utf8
 from .wordtable import UNIT, cut_words, hash_words, mixed, pack as pack_int, pack_long, unpack, unpack_long
 
 #: Cells of a part; a signature leaves out one.
@@ -284,9 +284,12 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
     members = stage(members.join(classes, "node").select("sig", "rep", F.col("n").alias("code")), "jaccard-members")
     del signed
     free_shuffles()  # of the signatures
-    wanted = members.select("rep").distinct()
-    sets = stage(d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, n long, sketch array<long>, set array<long>")
-                 .dropDuplicates(["rep"]), "jaccard-sets")
+    wanted = small(stage(members.select("rep").distinct(), "jaccard-wanted"))
+    sets = d.join(wanted, d.doc_id == wanted.rep, "left_semi").mapInArrow(tidied(features), "rep long, n long, sketch array<long>, set array<long>")
+    # the sets are shuffled only if an id has several rows
+    again = described.join(wanted, described.doc_id == wanted.rep, "left_semi").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    sets = stage(sets if again.isEmpty() else sets.dropDuplicates(["rep"]), "jaccard-sets")
+    del again
     free_shuffles()  # of the texts
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -298,7 +301,7 @@ def link(docs: DataFrame, size: int = 3, similarity: tuple[int, int] = (90, 100)
         bits = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, u: t + u)
         sketched = pairs.join(of("x", "n", "sketch"), "x").join(of("y", "n", "sketch"), "y")
         sketched = stage(sketched.select("x", "y", (bits * (a + b) <= (F.col("n_x") + F.col("n_y")) * (b - a)).alias("near")), "jaccard-sketched")
-        both = sketched.where("near").join(of("x", "set"), "x").join(of("y", "set"), "y").withColumn("both", F.size(F.array_intersect("set_x", "set_y")))
+        both = of("x", "set").join(small(sketched).where("near"), "x").join(of("y", "set"), "y").withColumn("both", F.size(F.array_intersect("set_x", "set_y")))
         linked = F.col("both") * b >= (F.size("set_x") + F.size("set_y") - F.col("both")) * a
         return both.select("x", "y", linked.alias("linked")).unionByName(sketched.where("not near").select("x", "y", F.lit(False).alias("linked")))
 

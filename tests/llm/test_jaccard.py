@@ -62,3 +62,21 @@ def test_signatures_are_shared_by_all_similar_sets():
                     y = z
                 sx, sy = (set(jaccard.signatures(s, (a, b), edges).tolist()) for s in (x, y))
                 assert sx & sy, (a, n, gone)
+
+
+def test_sets_are_shuffled_only_if_an_id_comes_again(spark, monkeypatch):
+    plans, stage = [], jaccard.stage
+
+    def noted(df, name):
+        if name == "jaccard-sets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(jaccard, "stage", noted)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{text} x{i % 3}") for i in range(6)] + [(9, "unlike all others")]
+    for more in ([], [(0, f"{text} x0")]):
+        df = spark.createDataFrame(rows + more, "doc_id long, text string")
+        got = {(r.doc_id, r.component_id) for r in jaccard.link(df).collect()}
+        assert got == {(i, 0) for i in range(6)} | {(9, 9)}
+    assert ["hashpartitioning(rep" in p for p in plans] == [False, True]
